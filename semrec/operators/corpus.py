@@ -51,8 +51,8 @@ def missing_items_report(interactions: DataFrame, items: DataFrame) -> DataFrame
     Reasons: ``absent`` (not in the catalogue), ``no_sid`` (null/empty SID),
     ``no_text`` (SID present but title or categories empty).
     """
-    r = resolve_sequence(interactions, items.withColumn("_hit", F.lit(True)).select(
-        "item_id", "sid", "title", "categories", "_hit"), "left")
+    cat = items.select("item_id", "sid", "title", "categories").withColumn("_hit", F.lit(True))
+    r = interactions.select("user_id", "pos", "item_id").join(sized_broadcast(cat), "item_id", "left")
     reason = (F.when(F.col("_hit").isNull(), "absent").when(~_nonempty("sid"), "no_sid")
               .when(~(_nonempty("title") & _nonempty("categories")), "no_text"))
     return (r.withColumn("reason", reason).where(F.col("reason").isNotNull())

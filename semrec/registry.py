@@ -9,7 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import oracle as O
-from .plans import corpora
+from .operators import behaviors as bh
+from .operators import corpus as corpus_ops
+from .plans import corpora, metadata
 from .sources import fixtures as fx
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -43,3 +45,292 @@ where len(q.seq) >= s.k + 2""", "interactions", "catalog")
 @query("sid_prediction_corpus", _K2_SQL)
 def q_sid_prediction_corpus(spark: SparkSession, sf: str) -> DataFrame:
     return corpora.sid_prediction_corpus(fx.interactions(spark, sf), fx.catalog(spark, sf))
+
+
+_K2_CTE = """sid_corpus as (
+select s.split, q.user_id,
+       'The user has purchased the following items: ' ||
+         array_to_string(q.seq[1:len(q.seq) - s.k - 1], '; ') || ';' description,
+       q.seq[len(q.seq) - s.k] groundtruth
+from (select user_id, list(sid order by pos) seq
+      from interactions i join catalog k using (item_id)
+      where coalesce(k.sid, '') <> '' group by user_id) q,
+     (values ('train', 2), ('val', 1), ('test', 0)) s(split, k)
+where len(q.seq) >= s.k + 2)"""
+
+_PHRASE_SQL = ("sid || ', its title is \"' || coalesce(title, '') || '\", its categories are \"' || "
+               "coalesce(categories, '') || '\"'")
+
+_K4_CTE = f"""ra_corpus as (
+select s.split, q.user_id,
+       'The user has purchased the following items: ' ||
+         array_to_string(list_transform(q.seq[1:len(q.seq) - s.k - 1], lambda x: x.p), '; ') || ';'
+         description,
+       struct_extract(q.seq[len(q.seq) - s.k], 'sid') groundtruth,
+       struct_extract(q.seq[len(q.seq) - s.k], 't') title,
+       struct_extract(q.seq[len(q.seq) - s.k], 'c') categories
+from (select user_id,
+             list({{'p': {_PHRASE_SQL}, 'sid': sid, 't': coalesce(title, ''),
+                   'c': coalesce(categories, '')}} order by pos) seq
+      from interactions i join catalog k using (item_id)
+      where coalesce(k.sid, '') <> '' group by user_id) q,
+     (values ('train', 2), ('val', 1), ('test', 0)) s(split, k)
+where len(q.seq) >= s.k + 2)"""
+
+_K3_SQL = O.with_fixtures(f"""
+select s.split, q.user_id,
+       'The user has purchased the following items: ' ||
+         array_to_string(list_transform(list_filter(q.seq[1:len(q.seq) - s.k], lambda x: x.ok),
+                                        lambda x: x.p), '; ') || ';' description
+from (select i.user_id,
+             list({{'ok': coalesce(k.sid, '') <> '' and coalesce(k.title, '') <> ''
+                          and coalesce(k.categories, '') <> '',
+                   'p': {_PHRASE_SQL}}} order by i.pos) seq
+      from interactions i left join catalog k using (item_id) group by i.user_id) q,
+     (values ('train', 2), ('val', 1), ('test', 0)) s(split, k)
+where len(q.seq) > s.k and len(list_filter(q.seq[1:len(q.seq) - s.k], lambda x: x.ok)) > 0""",
+                          "interactions", "catalog")
+
+
+def _sid_corpus(spark: SparkSession, sf: str) -> DataFrame:
+    return corpora.sid_prediction_corpus(fx.interactions(spark, sf), fx.catalog(spark, sf))
+
+
+def _ra_corpus(spark: SparkSession, sf: str) -> DataFrame:
+    return corpora.reasoning_corpus(fx.interactions(spark, sf), fx.catalog(spark, sf))
+
+
+@query("reasoning_corpus", O.with_fixtures("select * from ra_corpus", "interactions", "catalog",
+                                           extra=[_K4_CTE]))
+def q_reasoning_corpus(spark, sf):
+    return _ra_corpus(spark, sf)
+
+
+@query("alignment_corpus", _K3_SQL)
+def q_alignment_corpus(spark, sf):
+    return corpora.alignment_corpus(fx.interactions(spark, sf), fx.catalog(spark, sf))
+
+
+@query("missing_items_report", O.with_fixtures("""
+select user_id, reason, count(*) n_items from (
+  select i.user_id,
+         case when k.item_id is null then 'absent' when coalesce(k.sid, '') = '' then 'no_sid'
+              when coalesce(k.title, '') = '' or coalesce(k.categories, '') = '' then 'no_text'
+         end reason
+  from interactions i left join catalog k using (item_id)) t
+where reason is not null group by user_id, reason""", "interactions", "catalog"))
+def q_missing_items_report(spark, sf):
+    return corpus_ops.missing_items_report(fx.interactions(spark, sf), fx.catalog(spark, sf))
+
+
+@query("split_counts", O.with_fixtures(
+    "select split, count(*) n_rows from sid_corpus group by split",
+    "interactions", "catalog", extra=[_K2_CTE]))
+def q_split_counts(spark, sf):
+    return corpus_ops.split_counts(_sid_corpus(spark, sf))
+
+
+@query("preview_rows", O.with_fixtures("""
+select split, user_id, description, groundtruth from (
+  select *, row_number() over (partition by split order by user_id) rn from sid_corpus) t
+where rn <= 2""", "interactions", "catalog", extra=[_K2_CTE]))
+def q_preview_rows(spark, sf):
+    return corpus_ops.preview_rows(_sid_corpus(spark, sf))
+
+
+# ------------------------------------------------------------- behaviours ---
+
+def _clean(c: str) -> str:
+    return f"replace(replace(replace({c}, chr(8232), ' '), chr(8233), ' '), chr(13), ' ')"
+
+
+_VALID_SQL = """select * from behaviors
+where coalesce(item_id, '') <> '' and coalesce(user_id, '') <> ''
+  and prompt is not null and semantic_id is not null"""
+
+_EXTRA_SQL = f"""select *, json_extract_string(extra_info, '$.played_dur') played_dur,
+       json_extract_string(extra_info, '$.element_action') element_action,
+       json_extract_string(extra_info, '$.query_cnt') query_cnt
+from ({_VALID_SQL}) v"""
+
+_PLOG_CTE = f"""plog as (
+select user_id, item_id, photo_type, event_type, behavior_type, behavior_subtype, time_stamp,
+       content_type, {_clean('prompt')} prompt, {_clean('title')} title,
+       {_clean('introduction')} introduction,
+       {_clean('element_query_content')} element_query_content, query_cnt, semantic_id, event_id
+from ({_EXTRA_SQL}) r
+where event_type = 'PRODUCE'
+   or (behavior_type = 'OPERATE' and behavior_subtype in
+       ('LIKE', 'UNLIKE', 'COMMENT', 'SHARE', 'SAME_STYLE', 'REPORT'))
+   or behavior_type = 'VIDEO_PLAY_FINISH'
+   or (behavior_type in ('LONG_PLAY', 'SHORT_PLAY') and platform_type = 'Web'
+       and try_cast(played_dur as double) >= 5)
+   or (behavior_type in ('LONG_PLAY', 'SHORT_PLAY') and platform_type = 'App')
+   or ((platform_type = 'Web' and element_action in ('FANC_CARD') and behavior_type = 'OPERATE'
+        and behavior_subtype = 'LARGE')
+       or (platform_type = 'App' and behavior_type = 'OPERATE' and behavior_subtype = 'LARGE')))"""
+
+_PARSED = f"case when {O.strip('semantic_id')} <> '' then try_cast({O.strip('semantic_id')} as bigint[]) end"
+
+_PARSEABLE_CTE = f"""prows as (select *, {_PARSED} codes from plog where ({_PARSED}) is not null)"""
+
+
+def _plog(spark: SparkSession, sf: str) -> DataFrame:
+    return bh.positive_log(fx.behaviors(spark, sf))
+
+
+def _bsql(body: str, *extra: str) -> str:
+    return O.with_fixtures(body, "behaviors", extra=[_PLOG_CTE, *extra])
+
+
+@query("valid_behavior_rows", O.with_fixtures(
+    "select event_id, user_id, item_id from (" + _VALID_SQL + ") v", "behaviors"))
+def q_valid_behavior_rows(spark, sf):
+    return bh.valid_behavior_rows(fx.behaviors(spark, sf)).select("event_id", "user_id", "item_id")
+
+
+@query("extract_extra_info", O.with_fixtures(
+    "select event_id, played_dur, element_action, query_cnt from (" + _EXTRA_SQL + ") x",
+    "behaviors"))
+def q_extract_extra_info(spark, sf):
+    return (bh.extract_extra_info(bh.valid_behavior_rows(fx.behaviors(spark, sf)))
+            .select("event_id", "played_dur", "element_action", "query_cnt"))
+
+
+@query("positive_behaviors", _bsql("select * from plog"))
+def q_positive_behaviors(spark, sf):
+    return _plog(spark, sf)
+
+
+@query("scan_behavior_partition", _bsql("select * from plog p join behaviors b using (event_id) "
+                                        "where b.p_date = '20240102'".replace(
+                                            "select *", "select p.*")))
+def q_scan_behavior_partition(spark, sf):
+    raw = bh.require_partition(fx.behaviors(spark, sf), "20240102")
+    return bh.positive_log(raw)
+
+
+@query("parseable_sid_rows", _bsql("select event_id, codes from prows", _PARSEABLE_CTE))
+def q_parseable_sid_rows(spark, sf):
+    from .functions.sid import parse_semantic_id
+    return bh.parseable_sid_rows(_plog(spark, sf)).select(
+        "event_id", parse_semantic_id("semantic_id").alias("codes"))
+
+
+@query("order_behaviors", _bsql("select user_id, event_id, time_stamp from plog"))
+def q_order_behaviors(spark, sf):
+    return bh.order_behaviors(_plog(spark, sf)).select("user_id", "event_id", "time_stamp")
+
+
+_TS_SQL = ("strftime(time_stamp, '%Y-%m-%d %H:%M:%S') || case when epoch_us(time_stamp) % 1000000 "
+           "<> 0 then '.' || strftime(time_stamp, '%f') else '' end")
+
+
+@query("user_sequences", _bsql("""
+select user_id, user_id || ' ' || string_agg(item_id, ' ' order by time_stamp nulls last, event_id)
+         line, count(*) n_items
+from prows group by user_id having count(*) >= 3""", _PARSEABLE_CTE))
+def q_user_sequences(spark, sf):
+    return bh.user_sequences(_plog(spark, sf))
+
+
+@query("user_behavior_details", _bsql(f"""
+select user_id,
+       row_number() over (partition by user_id order by time_stamp nulls last, event_id) idx,
+       item_id, coalesce(event_type, 'UNKNOWN') event_type,
+       coalesce(behavior_type, '') behavior_type, coalesce(behavior_subtype, '') behavior_subtype,
+       coalesce({_TS_SQL}, '') "timestamp",
+       coalesce(element_query_content, '') element_query_content,
+       coalesce(try_cast(query_cnt as bigint), 0) query_cnt
+from prows""", _PARSEABLE_CTE))
+def q_user_behavior_details(spark, sf):
+    return bh.user_behavior_details(_plog(spark, sf))
+
+
+@query("latest_item_records", _bsql("""
+select item_id, event_id, user_id, semantic_id from (
+  select *, row_number() over (partition by item_id
+                               order by time_stamp desc nulls first, event_id desc) r
+  from plog) t where r = 1"""))
+def q_latest_item_records(spark, sf):
+    return bh.latest_item_records(_plog(spark, sf)).select(
+        "item_id", "event_id", "user_id", "semantic_id")
+
+
+@query("event_type_distribution", _bsql("""
+select rank, event_type, n, round(n * 100.0 / total, 6) pct from (
+  select case event_type when 'RECOMMEND' then 0 when 'SEARCH' then 1 else 2 end rank,
+         event_type, count(*) n, (select count(*) from plog) total
+  from plog where event_type in ('RECOMMEND', 'SEARCH', 'PRODUCE') group by event_type) t"""))
+def q_event_type_distribution(spark, sf):
+    return bh.event_type_distribution(_plog(spark, sf))
+
+
+@query("sequence_length_histogram", _bsql("""
+select b.rank, b.bin, count(u.n) n_users,
+       round(count(u.n) * 100.0 / (select count(distinct user_id) from prows), 6) pct
+from (values (0, '1-2', 0, 3), (1, '3-4', 3, 5), (2, '5-9', 5, 10), (3, '10-19', 10, 20),
+             (4, '20-49', 20, 50), (5, '50+', 50, 1000000000)) b(rank, bin, lo, hi)
+left join (select user_id, count(*) n from prows group by user_id) u
+  on u.n >= b.lo and u.n < b.hi
+group by b.rank, b.bin""", _PARSEABLE_CTE))
+def q_sequence_length_histogram(spark, sf):
+    return bh.sequence_length_histogram(_plog(spark, sf))
+
+
+@query("sequence_user_totals", _bsql("""
+select count(*) total_users, count(*) filter (where n >= 3) valid_users
+from (select user_id, count(*) n from prows group by user_id) u""", _PARSEABLE_CTE))
+def q_sequence_user_totals(spark, sf):
+    return bh.sequence_user_totals(_plog(spark, sf))
+
+
+@query("search_query_stats", _bsql("""
+select count(*) search_rows, count(*) filter (where coalesce(element_query_content, '') <> '')
+       with_query,
+       round(case when count(*) > 0 then count(*) filter
+             (where coalesce(element_query_content, '') <> '') * 100.0 / count(*) end, 6) pct
+from plog where event_type = 'SEARCH'"""))
+def q_search_query_stats(spark, sf):
+    return bh.search_query_stats(_plog(spark, sf))
+
+
+_LATEST_CTE = """latest as (
+select * from (select *, row_number() over (partition by item_id
+                                             order by time_stamp desc nulls first, event_id desc) r
+               from plog) t where r = 1)"""
+
+_ITEMS_CTE = f"""items as (
+select item_id,
+       coalesce(nullif(title, ''), nullif(substring(introduction, 1, 100), ''),
+                nullif(substring(description, 1, 100), ''), 'Item ' || item_id) title,
+       description,
+       case when content_type is null then 'General Creation'
+            when content_type = 0 then 'Image and Video Creation'
+            when content_type = 1 then 'Image Creation' when content_type = 2 then 'Video Creation'
+            else 'Content Type ' || cast(content_type as varchar) end ||
+       case when photo_type is null then '' when photo_type = 1 then ' > Material'
+            when photo_type = 2 then ' > Short Film'
+            else ' > Type ' || cast(photo_type as varchar) end categories,
+       '<|sid_begin|>' || array_to_string(list_transform(codes[1:3], lambda x, i:
+           '<' || ['s_a', 's_b', 's_c'][i] || '_' || cast(x as varchar) || '>'), '') ||
+         '<|sid_end|>' sid
+from (select *, {_PARSED.replace('semantic_id', 'l.semantic_id')} codes,
+             case when length(coalesce(prompt, '')) > 1000
+                  then substring(prompt, 1, 1000) || '...' else coalesce(prompt, '') end description
+      from latest l) t
+where len(codes) > 0)"""
+
+
+@query("item_metadata", _bsql("select * from items", _LATEST_CTE, _ITEMS_CTE))
+def q_item_metadata(spark, sf):
+    return metadata.item_metadata(_plog(spark, sf))
+
+
+@query("catalog_quality", _bsql(f"""
+select (select count(*) from plog) raw_rows, count(*) unique_items,
+       count(*) filter (where len({_PARSED}) > 0) valid_items,
+       count(*) - count(*) filter (where len({_PARSED}) > 0) missing_sid
+from latest""", _LATEST_CTE))
+def q_catalog_quality(spark, sf):
+    return metadata.catalog_quality(_plog(spark, sf))
