@@ -66,3 +66,27 @@ def ordered_concat(df: DataFrame, keys: Sequence[str], order_col: str, value_col
     if count_out:
         aggs.append(F.sum("_n").alias(count_out))
     return level1.groupBy(*keys).agg(*aggs)
+
+
+def global_row_number(df: DataFrame, order: Sequence[str | Column], out: str = "rn",
+                      total_out: str | None = None) -> DataFrame:
+    """Dense 1..N row number in ``order`` without a single-partition window.
+
+    Range-partition and sort by ``order``; each row's number is its partition's
+    offset (a running sum over one count per partition, a table of at most
+    ``#partitions`` rows) plus its index inside the partition.  ``order``
+    must be unique so a recomputed partition numbers its rows identically.
+    ``total_out`` adds the total row count taken from the same small table.
+    """
+    cols = _cols(order)
+    s = (df.repartitionByRange(*cols).sortWithinPartitions(*cols)
+         .withColumn("_pid", F.spark_partition_id())
+         .withColumn("_mid", F.monotonically_increasing_id()))
+    sizes = s.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"), F.min("_mid").alias("_base"))
+    w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.withColumn("_off", F.coalesce(F.sum("_cnt").over(w), F.lit(0)))
+    if total_out:
+        offsets = offsets.withColumn(total_out, F.sum("_cnt").over(Window.partitionBy()))
+    return (s.join(F.broadcast(offsets), "_pid")
+            .withColumn(out, (F.col("_off") + F.col("_mid") - F.col("_base") + 1).cast("bigint"))
+            .drop("_pid", "_mid", "_cnt", "_base", "_off"))

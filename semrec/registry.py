@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 from . import oracle as O
 from .operators import behaviors as bh
 from .operators import corpus as corpus_ops
+from .functions import sid as sidf
+from .operators import candidates as cand
+from .operators import trie
 from .plans import corpora, metadata
 from .sources import fixtures as fx
 
@@ -334,3 +337,155 @@ select (select count(*) from plog) raw_rows, count(*) unique_items,
 from latest""", _LATEST_CTE))
 def q_catalog_quality(spark, sf):
     return metadata.catalog_quality(_plog(spark, sf))
+
+
+# ------------------------------------------------------------ SID / trie ---
+
+_VOCAB_CTE = """vocab as (
+select '<|sid_begin|>' token, 0 token_id union all select '<|sid_end|>', 1
+union all
+select '<' || ['s_a', 's_b', 's_c'][(i // 256) + 1] || '_' || cast(i % 256 as varchar) || '>',
+       i + 2 from range(768) t(i))"""
+
+_TOKEN_RE = "<[^<>]+>"
+
+_CAT_STEPS_CTE = f"""csteps as (
+select sid, pos, toks[pos + 1] token,
+       case when pos + 1 < len(toks) then toks[pos + 2] else '<|endoftext|>' end next_token,
+       array_to_string(toks[1:pos + 1], '') prefix
+from (select sid, toks, unnest(range(len(toks))) pos
+      from (select sid, regexp_extract_all(sid, '{_TOKEN_RE}') toks
+            from VSRC where sid is not null) a) b)"""
+
+_VALID_CTE = f"""valid as (
+select distinct sid from (
+  select unnest(regexp_extract_all(description, '{O.SID_RE}')) sid from sid_corpus
+  where split = 'test'
+  union all
+  select {O.first_sid('groundtruth')} sid from sid_corpus where split = 'test') u
+where contains(sid, '<|sid_begin|>') and contains(sid, '<|sid_end|>'))"""
+
+
+def _steps(src: str) -> str:
+    return _CAT_STEPS_CTE.replace("VSRC", src)
+
+
+def _test_corpus(spark, sf):
+    return _sid_corpus(spark, sf).where(F.col("split") == "test")
+
+
+def _valid_sids(spark, sf):
+    return trie.valid_sid_set(_test_corpus(spark, sf))
+
+
+def _tsql(body: str, *extra: str, more: tuple[str, ...] = ()) -> str:
+    return O.with_fixtures(body, "interactions", "catalog", *more,
+                           extra=[_K2_CTE, _VALID_CTE, *extra])
+
+
+@query("sid_vocabulary_encode", O.with_fixtures("""
+select s.sid, s.pos, s.token, v.token_id from csteps s join vocab v using (token)""",
+                                                "catalog", extra=[_VOCAB_CTE, _steps("catalog")]))
+def q_sid_vocabulary_encode(spark, sf):
+    vocab = trie.sid_vocabulary(spark)
+    sids = fx.catalog(spark, sf).where(F.col("sid").isNotNull()).select("sid")
+    return trie.encode_sid_tokens(sids, vocab).select("sid", "pos", "token", "token_id")
+
+
+@query("next_token", O.with_fixtures("select sid, pos, token, next_token from csteps", "catalog",
+                                     extra=[_steps("catalog")]))
+def q_next_token(spark, sf):
+    sids = fx.catalog(spark, sf).where(F.col("sid").isNotNull()).select("sid")
+    return trie.token_steps(sids)
+
+
+@query("sid_tokens", O.with_fixtures(f"""
+select sid, len(regexp_extract_all(sid, '{_TOKEN_RE}')) n_tokens,
+       array_to_string(regexp_extract_all(sid, '{_TOKEN_RE}'), ' ') tokens
+from catalog where sid is not null""", "catalog"))
+def q_sid_tokens(spark, sf):
+    c = fx.catalog(spark, sf).where(F.col("sid").isNotNull())
+    t = sidf.sid_tokens("sid")
+    return c.select("sid", F.size(t).cast("bigint").alias("n_tokens"),
+                    F.array_join(t, " ").alias("tokens"))
+
+
+@query("valid_sid_set", _tsql("select sid from valid"))
+def q_valid_sid_set(spark, sf):
+    return _valid_sids(spark, sf)
+
+
+@query("sid_union_distinct", _tsql("""
+select distinct sid from (select sid from catalog where sid is not null
+                          union all select groundtruth from sid_corpus) u"""))
+def q_sid_union_distinct(spark, sf):
+    cat = fx.catalog(spark, sf).where(F.col("sid").isNotNull()).select("sid")
+    return trie.sid_union_distinct(cat, _sid_corpus(spark, sf).select(
+        F.col("groundtruth").alias("sid")))
+
+
+@query("sid_transitions", _tsql("""
+select pos, token, array_to_string(list_sort(list_distinct(list(next_token))), ' ') next_tokens
+from csteps group by pos, token""", _steps("valid")))
+def q_sid_transitions(spark, sf):
+    t = trie.sid_transitions(_valid_sids(spark, sf))
+    return t.select("pos", "token", F.array_join("next_tokens", " ").alias("next_tokens"))
+
+
+@query("sid_prefix_trie", _tsql("""
+select pos, prefix, array_to_string(list_sort(list_distinct(list(next_token))), ' ') next_tokens
+from csteps group by pos, prefix""", _steps("valid")))
+def q_sid_prefix_trie(spark, sf):
+    t = trie.sid_prefix_trie(_valid_sids(spark, sf))
+    return t.select("pos", "prefix", F.array_join("next_tokens", " ").alias("next_tokens"))
+
+
+@query("trie_stats", _tsql("""
+select 'unique_sids' metric, cast(null as bigint) pos, count(*) value from valid
+union all
+select 'max_depth', null, max(len(regexp_extract_all(sid, '<[^<>]+>'))) from valid
+union all
+select 'tokens_at_pos', pos, count(distinct token) from csteps where pos < 6 group by pos
+union all
+select 'total_samples', null, count(*) from sid_corpus where split = 'test'""", _steps("valid")))
+def q_trie_stats(spark, sf):
+    return trie.trie_stats(_valid_sids(spark, sf), _test_corpus(spark, sf))
+
+
+_PREDS_CTE = f"""preds as (
+select sample_id, think_idx, beam_idx, text, score, groundtruth,
+       {O.normalize_prediction('text')} pred_sid
+from candidates)"""
+
+
+def _legal_sql(mode: str) -> str:
+    key = "token" if mode == "bigram" else "prefix"
+    return _tsql(f"""
+select p.sample_id, p.think_idx, p.beam_idx, p.pred_sid from preds p
+where regexp_full_match(p.pred_sid, '{O.SID_RE}')
+  and not exists (
+    select 1 from (select sid, pos, token, next_token, prefix from ccand) s
+    where s.sid = p.pred_sid and not exists (
+      select 1 from csteps a where a.pos = s.pos and a.{key} = s.{key}
+                               and a.next_token = s.next_token))""",
+                 _PREDS_CTE, _steps("valid"),
+                 _steps("(select distinct pred_sid sid from preds)").replace("csteps as", "ccand as"),
+                 more=("candidates",))
+
+
+def _preds(spark, sf):
+    return cand.with_predictions(fx.candidates(spark, sf))
+
+
+@query("legal_continuations", _legal_sql("bigram"))
+def q_legal_continuations(spark, sf):
+    table = trie.sid_transitions(_valid_sids(spark, sf))
+    return trie.legal_continuations(_preds(spark, sf), table, "pred_sid", "bigram").select(
+        "sample_id", "think_idx", "beam_idx", "pred_sid")
+
+
+@query("legal_continuations_prefix", _legal_sql("prefix"))
+def q_legal_continuations_prefix(spark, sf):
+    table = trie.sid_prefix_trie(_valid_sids(spark, sf))
+    return trie.legal_continuations(_preds(spark, sf), table, "pred_sid", "prefix").select(
+        "sample_id", "think_idx", "beam_idx", "pred_sid")
