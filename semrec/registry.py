@@ -14,7 +14,8 @@ from .operators import corpus as corpus_ops
 from .functions import sid as sidf
 from .operators import candidates as cand
 from .operators import trie
-from .plans import corpora, metadata
+from .operators import metrics as metrics_ops
+from .plans import corpora, evaluation, metadata
 from .sources import fixtures as fx
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -489,3 +490,265 @@ def q_legal_continuations_prefix(spark, sf):
     table = trie.sid_prefix_trie(_valid_sids(spark, sf))
     return trie.legal_continuations(_preds(spark, sf), table, "pred_sid", "prefix").select(
         "sample_id", "think_idx", "beam_idx", "pred_sid")
+
+
+# ------------------------------------------------------------- evaluation ---
+
+METRICS = ["hit@1", "hit@5", "hit@10", "ndcg@5", "ndcg@10"]
+
+
+def _metric_sql(rel: str, metrics=METRICS, extra_keys: str = "") -> str:
+    """DuckDB metric_report over a ``rel(sample_id, rank, rel)`` relation."""
+    parts = []
+    for m in metrics:
+        k = int(m.split("@")[1])
+        if m.startswith("hit"):
+            parts.append(f"max(case when rank <= {k} then rel else 0 end) h{k}")
+        else:
+            parts.append(f"sum(case when rank <= {k} then rel / log2(rank + 1) else 0 end) d{k}")
+    per = f"select sample_id, count(*) n, {', '.join(parts)} from {rel} group by sample_id"
+    cols = []
+    for i, m in enumerate(metrics):
+        k = int(m.split("@")[1])
+        if m.startswith("hit"):
+            cols.append(f"avg(case when n >= {k} and h{k} = 1 then 1.0 else 0.0 end) m{i}")
+        else:
+            cols.append(f"avg(d{k}) m{i}")
+    wide = f"select count(*) n_samples, {', '.join(cols)} from ({per}) p"
+    return "\nunion all\n".join(
+        f"select '{m}' metric, round(m{i}, 6) value, n_samples from ({wide}) w"
+        for i, m in enumerate(metrics))
+
+
+def _rounded(df: DataFrame, col: str = "value") -> DataFrame:
+    return df.withColumn(col, F.round(F.col(col), 6))
+
+
+_DIRECT_REL_CTE = """drel as (
+select sample_id, think_idx, beam_idx, pred_sid, score,
+       row_number() over (partition by sample_id order by score desc, think_idx, beam_idx) rank,
+       cast(pred_sid = """ + O.first_sid("groundtruth") + """ as integer) rel
+from preds where think_idx = 0)"""
+
+
+def _esql(body: str, *extra: str) -> str:
+    return O.with_fixtures(body, "candidates", extra=[_PREDS_CTE, *extra])
+
+
+def _direct(spark, sf):
+    return fx.candidates(spark, sf).where(F.col("think_idx") == 0)
+
+
+@query("rank_candidates", _esql("""
+select sample_id, beam_idx, rank, pred_sid, rel from drel""", _DIRECT_REL_CTE))
+def q_rank_candidates(spark, sf):
+    return evaluation.direct_relevance(_direct(spark, sf), fx.truth(spark, sf)).select(
+        "sample_id", "beam_idx", "rank", "pred_sid", "rel")
+
+
+@query("normalize_prediction", _esql("select sample_id, think_idx, beam_idx, pred_sid from preds"))
+def q_normalize_prediction(spark, sf):
+    return _preds(spark, sf).select("sample_id", "think_idx", "beam_idx", "pred_sid")
+
+
+@query("hit_at_k", _esql("select value from (" + _metric_sql("drel", ["hit@10"]) + ") t",
+                         _DIRECT_REL_CTE))
+def q_hit_at_k(spark, sf):
+    rel = evaluation.direct_relevance(_direct(spark, sf), fx.truth(spark, sf))
+    return _rounded(metrics_ops.hit_at_k(rel, 10))
+
+
+@query("ndcg_at_k", _esql("select value from (" + _metric_sql("drel", ["ndcg@10"]) + ") t",
+                          _DIRECT_REL_CTE))
+def q_ndcg_at_k(spark, sf):
+    rel = evaluation.direct_relevance(_direct(spark, sf), fx.truth(spark, sf))
+    return _rounded(metrics_ops.ndcg_at_k(rel, 10))
+
+
+@query("evaluate_direct", _esql(_metric_sql("drel"), _DIRECT_REL_CTE))
+def q_evaluate_direct(spark, sf):
+    return _rounded(evaluation.evaluate_direct(_direct(spark, sf), fx.truth(spark, sf), METRICS))
+
+
+_BEST_CTE = """best as (
+select sample_id, pred_sid, max(score) score, min(think_idx * 100000 + beam_idx) ord,
+       min(think_idx * 100000 + beam_idx) // 100000 first_think,
+       min(think_idx * 100000 + beam_idx) % 100000 first_beam
+from preds group by sample_id, pred_sid)"""
+
+_TOP_CTE = """top10 as (
+select b.*, string_split(f.first_text, '</think>')[1] || '</think>' prefix from (
+  select *, row_number() over (partition by sample_id order by score desc, ord) rank from best) b
+join (select sample_id, arg_min(text, think_idx * 100000 + beam_idx) first_text
+      from preds group by sample_id) f using (sample_id)
+where rank <= 10)"""
+
+_PADDED_CTE = """padded as (
+select sample_id, rank, prefix, pred_sid, score, false padded from top10
+union all
+select m.sample_id, m.m + r.i, m.lprefix, m.lpred, m.lscore - 0.05::double * r.i * (r.i + 1), true
+from (select sample_id, max(rank) m, arg_max(pred_sid, rank) lpred, arg_max(score, rank) lscore,
+             arg_max(prefix, rank) lprefix
+      from top10 group by sample_id) m, range(1, 11) r(i)
+where m.m + r.i <= 10)"""
+
+_COT_REL_CTE = """crel as (
+select p.sample_id, p.rank, cast(p.pred_sid = """ + O.first_sid("t.groundtruth") + """ as integer) rel
+from padded p join truth t using (sample_id))"""
+
+
+@query("best_score_per_sid", _esql(
+    "select sample_id, pred_sid, score, first_think, first_beam from best", _BEST_CTE))
+def q_best_score_per_sid(spark, sf):
+    b = cand.best_score_per_sid(_preds(spark, sf))
+    return b.select("sample_id", "pred_sid", "score",
+                    F.col("first_ord.think_idx").cast("bigint").alias("first_think"),
+                    F.col("first_ord.beam_idx").cast("bigint").alias("first_beam"))
+
+
+@query("unique_top10", _esql("""
+select sample_id, rank, prefix || chr(10) || pred_sid text, round(score, 6) score, padded
+from padded""", _BEST_CTE, _TOP_CTE, _PADDED_CTE))
+def q_unique_top10(spark, sf):
+    t = cand.unique_top_k(_preds(spark, sf), 10)
+    return _rounded(t.select("sample_id", "rank", "text", "score", "padded"), "score")
+
+
+@query("evaluate_cot", _esql(_metric_sql("crel"), _BEST_CTE, _TOP_CTE, _PADDED_CTE,
+                             _COT_REL_CTE))
+def q_evaluate_cot(spark, sf):
+    return _rounded(evaluation.evaluate_cot(fx.candidates(spark, sf), fx.truth(spark, sf),
+                                            METRICS))
+
+
+@query("demote_illegal_items", _esql("""
+select p.sample_id, p.think_idx, p.beam_idx,
+       case when l.sid is null then -1000.0 else p.score end score
+from preds p left join (select distinct sid from catalog where sid is not null) l
+  on l.sid = p.pred_sid"""))
+def q_demote_illegal_items(spark, sf):
+    legal = fx.catalog(spark, sf).where(F.col("sid").isNotNull()).select("sid")
+    return cand.demote_illegal_items(_preds(spark, sf), legal).select(
+        "sample_id", "think_idx", "beam_idx", "score")
+
+
+@query("fan_out_thinking", O.with_fixtures("""
+select user_id, t.i think_idx, description from sid_corpus, range(0, 5) t(i)
+where split = 'test'""", "interactions", "catalog", extra=[_K2_CTE]))
+def q_fan_out_thinking(spark, sf):
+    return cand.fan_out_thinking(_test_corpus(spark, sf).select("user_id", "description"), 5) \
+        .select("user_id", F.col("think_idx").cast("bigint").alias("think_idx"), "description")
+
+
+@query("slice_samples", O.with_fixtures("""
+select sample_id, groundtruth from (
+  select *, row_number() over (order by sample_id) rn from truth) t
+where rn > 100 and rn <= 100 + 500""", "truth"))
+def q_slice_samples(spark, sf):
+    return cand.slice_samples(fx.truth(spark, sf), offset=100, n=500)
+
+
+@query("head_samples", O.with_fixtures(
+    "select sample_id, groundtruth from truth order by sample_id limit 64", "truth"))
+def q_head_samples(spark, sf):
+    return cand.head_samples(fx.truth(spark, sf), 64)
+
+
+@query("contiguous_shards", O.with_fixtures("""
+select sample_id, cast(floor((row_number() over (order by sample_id) - 1) /
+                             ceil(count(*) over () / 8.0)) as integer) shard
+from truth""", "truth"))
+def q_contiguous_shards(spark, sf):
+    return metrics_ops.contiguous_shards(fx.truth(spark, sf), 8, "ceil").select(
+        "sample_id", "shard")
+
+
+@query("contiguous_shards_floor", O.with_fixtures("""
+select sample_id, shard from (
+  select sample_id, cast(floor((row_number() over (order by sample_id) - 1) /
+                               floor(count(*) over () / 8)) as integer) shard from truth) t
+where shard < 8""", "truth"))
+def q_contiguous_shards_floor(spark, sf):
+    return metrics_ops.contiguous_shards(fx.truth(spark, sf), 8, "floor").select(
+        "sample_id", "shard")
+
+
+_SHARDS_CTE = """shards as (
+select sample_id, shard from (
+  select sample_id, cast(floor((row_number() over (order by sample_id) - 1) /
+                               floor(count(*) over () / 8)) as integer) shard from truth) t
+where shard < 8)"""
+
+
+def _per_shard_sql(rel: str) -> str:
+    parts, cols = [], []
+    for i, m in enumerate(METRICS):
+        k = int(m.split("@")[1])
+        if m.startswith("hit"):
+            parts.append(f"max(case when rank <= {k} then rel else 0 end) h{k}")
+            cols.append(f"avg(case when n >= {k} and h{k} = 1 then 1.0 else 0.0 end) m{i}")
+        else:
+            parts.append(f"sum(case when rank <= {k} then rel / log2(rank + 1) else 0 end) d{k}")
+            cols.append(f"avg(d{k}) m{i}")
+    per = (f"select sample_id, count(*) n, {', '.join(parts)} from {rel} group by sample_id")
+    wide = (f"select s.shard, count(*) n, {', '.join(cols)} from ({per}) p "
+            f"join shards s using (sample_id) group by s.shard")
+    return "shard_metrics as (" + "\nunion all\n".join(
+        f"select shard, '{m}' metric, m{i} value, n from ({wide}) w"
+        for i, m in enumerate(METRICS)) + ")"
+
+
+@query("shard_metric_summary", _esql("""
+select metric, round(avg(round(value, 4)), 6) macro, round(sum(value * n) / sum(n), 6) micro,
+       sum(n) n_samples, count(distinct shard) shards
+from shard_metrics group by metric""", _DIRECT_REL_CTE, _SHARDS_CTE, _per_shard_sql("drel")))
+def q_shard_metric_summary(spark, sf):
+    rel = evaluation.direct_relevance(_direct(spark, sf), fx.truth(spark, sf))
+    shards = metrics_ops.contiguous_shards(fx.truth(spark, sf), 8, "floor").select(
+        "sample_id", "shard")
+    s = metrics_ops.shard_metric_summary(metrics_ops.sharded_metrics(rel, shards, METRICS))
+    return s.withColumn("macro", F.round("macro", 6)).withColumn("micro", F.round("micro", 6))
+
+
+def _running_sql(rel: str, batch: int, every: int) -> str:
+    parts, sums = [], []
+    for i, m in enumerate(METRICS):
+        k = int(m.split("@")[1])
+        if m.startswith("hit"):
+            parts.append(f"case when count(*) >= {k} and max(case when rank <= {k} then rel "
+                         f"else 0 end) = 1 then 1.0 else 0.0 end m{i}")
+        else:
+            parts.append(f"sum(case when rank <= {k} then rel / log2(rank + 1) else 0 end) m{i}")
+        sums.append(f"sum(m{i}) over (order by sample_id) c{i}")
+    per = f"select sample_id, {', '.join(parts)} from {rel} group by sample_id"
+    cum = (f"select row_number() over (order by sample_id) rn, {', '.join(sums)} from ({per}) p")
+    rep = f"select rn, * exclude (rn) from ({cum}) c where rn % {batch * every} = 0"
+    return "\nunion all\n".join(
+        f"select rn // {batch} step, rn samples, '{m}' metric, round(c{i} / rn, 6) value "
+        f"from ({rep}) r" for i, m in enumerate(METRICS))
+
+
+@query("running_metrics", _esql(_running_sql("drel", 4, 50), _DIRECT_REL_CTE))
+def q_running_metrics(spark, sf):
+    rel = evaluation.direct_relevance(_direct(spark, sf), fx.truth(spark, sf))
+    out = metrics_ops.running_metrics(rel, 4, 50, METRICS)
+    return _rounded(out.select("step", "samples", "metric", "value"))
+
+
+@query("default_candidates", O.with_fixtures("""
+select l.sample_id, t.beam_idx, t.dst pred_sid, cast(t.cnt as double) score
+from (select user_id sample_id, sid from rr where r = 2) l
+join (select src, dst, cnt, beam_idx from (
+        select src, dst, cnt,
+               cast(row_number() over (partition by src order by cnt desc, dst) - 1 as integer)
+                 beam_idx
+        from (select a.sid src, b.sid dst, count(*) cnt
+              from (select * from rr where r > 2) a join (select * from rr where r > 2) b
+                on a.user_id = b.user_id and b.pos = a.pos + 1
+              group by a.sid, b.sid) c) x where beam_idx < 10) t
+  on t.src = l.sid""", "interactions", "catalog", extra=["""rr as (
+select i.user_id, i.pos, k.sid,
+       row_number() over (partition by i.user_id order by i.pos desc) r
+from interactions i join catalog k using (item_id) where coalesce(k.sid, '') <> '')"""]))
+def q_default_candidates(spark, sf):
+    return evaluation.default_candidates(fx.interactions(spark, sf), fx.catalog(spark, sf), 10)
