@@ -11,11 +11,14 @@ from pyspark.sql import functions as F
 from . import oracle as O
 from .operators import behaviors as bh
 from .operators import corpus as corpus_ops
+from .functions import chat as chatf
 from .functions import sid as sidf
+from .functions import text as txt
 from .operators import candidates as cand
 from .operators import trie
 from .operators import metrics as metrics_ops
 from .plans import corpora, evaluation, metadata
+from .session import read_table
 from .sources import fixtures as fx
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -752,3 +755,289 @@ select i.user_id, i.pos, k.sid,
 from interactions i join catalog k using (item_id) where coalesce(k.sid, '') <> '')"""]))
 def q_default_candidates(spark, sf):
     return evaluation.default_candidates(fx.interactions(spark, sf), fx.catalog(spark, sf), 10)
+
+
+# ------------------------------------------------------------ text / chat ---
+
+def _q(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+def _nl(s: str) -> str:
+    """SQL string expression for a Python literal that may contain newlines."""
+    parts = s.split("\n")
+    return " || chr(10) || ".join(_q(p) for p in parts)
+
+
+_OPENER_HEAD = _nl(f"<|im_start|>system\n{txt.SYSTEM_MESSAGE}<|im_end|>\n<|im_start|>user\n")
+_OPENER_TAIL = _nl("<|im_end|>\n<|im_start|>assistant\n")
+
+
+def _opener_sql(user: str) -> str:
+    return f"({_OPENER_HEAD} || coalesce({user}, '') || {_OPENER_TAIL})"
+
+
+_EMPTY_THINK = _nl("<think>\n\n</think>\n")
+
+
+@query("chat_texts", O.with_fixtures(f"""
+select split, user_id,
+       {_opener_sql('description')} prompt_think,
+       {_opener_sql('description')} || {_EMPTY_THINK} prompt_direct,
+       {_opener_sql('description')} || {_EMPTY_THINK} || groundtruth || '<|im_end|>' || chr(10) sft
+from sid_corpus""", "interactions", "catalog", extra=[_K2_CTE]))
+def q_chat_texts(spark, sf):
+    c = _sid_corpus(spark, sf)
+    return c.select("split", "user_id", txt.chat_prompt_think("description").alias("prompt_think"),
+                    txt.chat_prompt_direct("description").alias("prompt_direct"),
+                    txt.sft_text("description", "groundtruth").alias("sft"))
+
+
+def _rationale_sql(p: str = "") -> str:
+    return (f"{_opener_sql(p + 'description')} || '<think>' || chr(10) || "
+            f"case when {p}title is not null then 'The user is likely to buy items in ' || "
+            f"coalesce({p}categories, 'None') || ' category' else '' end || chr(10) || "
+            f"'</think>' || chr(10) || coalesce({p}groundtruth, '') || '<|im_end|>' || chr(10)")
+
+
+@query("rationale_text", O.with_fixtures(f"""
+select split, user_id, {_rationale_sql()} text from ra_corpus""", "interactions", "catalog",
+                                         extra=[_K4_CTE]))
+def q_rationale_text(spark, sf):
+    c = _ra_corpus(spark, sf)
+    return c.select("split", "user_id", txt.rationale_text(
+        "description", "groundtruth", "title", "categories").alias("text"))
+
+
+@query("align_text", _K3_SQL.replace(
+    "select s.split, q.user_id,\n       'The user", "select s.split, q.user_id,\n       'The user", 1)
+       .replace("|| ';' description\nfrom (select i.user_id", "|| ';' text\nfrom (select i.user_id"))
+def q_align_text(spark, sf):
+    a = corpora.alignment_corpus(fx.interactions(spark, sf), fx.catalog(spark, sf))
+    return a.select("split", "user_id", F.col("description").alias("text"))
+
+
+def _gen_sql() -> str:
+    return f"""gen as (
+select c.sample_id, c.think_idx, c.beam_idx, s.description u,
+       {_opener_sql('s.description')} || c.text g
+from candidates c join sid_corpus s on s.user_id = cast(c.sample_id as varchar)
+where s.split = 'test')"""
+
+
+def _gen(spark, sf):
+    c = fx.candidates(spark, sf).withColumn("user_id", F.col("sample_id").cast("string"))
+    s = _test_corpus(spark, sf).select("user_id", "description")
+    return c.join(s, "user_id").withColumn(
+        "generated", F.concat(txt.chat_prompt_think("description"), F.col("text")))
+
+
+_THINK_SQL = """case when contains(g, '<think>') and contains(ap, '<think>')
+     then trim(case when contains(tp, '</think>') then string_split(tp, '</think>')[1] else tp end,
+               WS) else '' end""".replace("WS", O.WS)
+
+
+@query("extract_thinking", O.with_fixtures(f"""
+select sample_id, think_idx, beam_idx, {_THINK_SQL} thinking,
+       {_opener_sql('u')} || '<think>' || chr(10) || {_THINK_SQL} || chr(10) || '</think>' ||
+         chr(10) sid_prompt
+from (select *, string_split(ap, '<think>')[-1] tp from (
+        select *, case when contains(g, u) then string_split(g, u)[-1] else g end ap
+        from gen) a) b""", "interactions", "catalog", "candidates", extra=[_K2_CTE, _gen_sql()]))
+def q_extract_thinking(spark, sf):
+    g = _gen(spark, sf).withColumn("thinking", txt.extract_thinking("generated", "description"))
+    return g.select("sample_id", "think_idx", "beam_idx", "thinking",
+                    txt.chat_prompt_sid("description", "thinking").alias("sid_prompt"))
+
+
+def _response_variant(spark, sf):
+    c = fx.candidates(spark, sf)
+    answer = F.substring_index("text", "</think>", -1)
+    v = (F.when(F.col("beam_idx") % 3 == 0, F.col("text"))
+         .when(F.col("beam_idx") % 3 == 1,
+               F.concat(F.lit("<|im_start|>assistant\n"), answer,
+                        F.lit("<|im_end|>\n<|im_start|>user\nmore")))
+         .otherwise(answer))
+    return c.withColumn("v", v)
+
+
+_RESP_V = """case when beam_idx % 3 = 0 then text
+     when beam_idx % 3 = 1 then '<|im_start|>assistant' || chr(10) ||
+        string_split(text, '</think>')[-1] || '<|im_end|>' || chr(10) || '<|im_start|>user' ||
+        chr(10) || 'more'
+     else string_split(text, '</think>')[-1] end"""
+
+_SP = "split_part(v, '<|im_start|>assistant', 2)"
+_RESP_SQL = f"""case when contains(v, '</think>')
+       then {O.first_sid(O.strip("string_split(v, '</think>')[-1]"))}
+     when contains(v, '<|im_start|>assistant')
+       then {O.first_sid(O.strip(f"case when contains({_SP}, '<|im_end|>') then string_split({_SP}, '<|im_end|>')[1] else {_SP} end"))}
+     else {O.first_sid('v')} end"""
+
+
+@query("extract_response", O.with_fixtures(f"""
+select sample_id, think_idx, beam_idx, {_RESP_SQL} response
+from (select *, {_RESP_V} v from candidates) c""", "candidates"))
+def q_extract_response(spark, sf):
+    return _response_variant(spark, sf).select(
+        "sample_id", "think_idx", "beam_idx", txt.extract_response("v").alias("response"))
+
+
+_CONV_CTE = """conv as (
+select conv_id, count(*) n_turns,
+       string_agg('<|im_start|>' || role || chr(10) || text || '<|im_end|>' || chr(10), ''
+                  order by turn) text
+from conversations group by conv_id)"""
+
+
+@query("loss_span", O.with_fixtures("""
+select conv_id, n_turns, length(text) n_chars,
+       cast(instr(text, '<|im_start|>user') - 1 as bigint) user_start
+from conv""", extra=[_CONV_CTE]))
+def q_loss_span(spark, sf):
+    conv = chatf.conversation_text(read_table(spark, sf, "conversations"))
+    return conv.select("conv_id", "n_turns", F.length("text").cast("bigint").alias("n_chars"),
+                       txt.loss_span_start("text").alias("user_start"))
+
+
+_VERB_SQL = """coalesce(
+  case behavior_subtype when 'LIKE' then 'liked' when 'UNLIKE' then 'unliked'
+       when 'COMMENT' then 'commented on' when 'SHARE' then 'shared' end,
+  case behavior_type when 'VIDEO_PLAY_FINISH' then 'finished watching'
+       when 'LONG_PLAY' then 'watched' when 'SHORT_PLAY' then 'watched'
+       when 'OPERATE' then 'clicked' when 'PRODUCE' then 'created' end,
+  case event_type when 'PRODUCE' then 'created' end)"""
+
+
+@query("behavior_verb", _bsql(f"select event_id, {_VERB_SQL} verb from plog"))
+def q_behavior_verb(spark, sf):
+    return _plog(spark, sf).select(
+        "event_id", txt.behavior_verb("behavior_subtype", "behavior_type", "event_type")
+        .alias("verb"))
+
+
+_CATEGORY_SQL = """case when content_type is null then 'General Creation'
+            when content_type = 0 then 'Image and Video Creation'
+            when content_type = 1 then 'Image Creation' when content_type = 2 then 'Video Creation'
+            else 'Content Type ' || cast(content_type as varchar) end ||
+       case when photo_type is null then '' when photo_type = 1 then ' > Material'
+            when photo_type = 2 then ' > Short Film'
+            else ' > Type ' || cast(photo_type as varchar) end"""
+
+
+@query("item_text_fields", _bsql(f"""
+select event_id, {_CATEGORY_SQL} categories, description,
+       coalesce(nullif(title, ''), nullif(substring(introduction, 1, 100), ''),
+                nullif(substring(description, 1, 100), ''), 'Item ' || item_id) title
+from (select *, case when length(coalesce(prompt, '')) > 1000
+                     then substring(prompt, 1, 1000) || '...' else coalesce(prompt, '') end
+                  description from plog) t"""))
+def q_item_text_fields(spark, sf):
+    p = _plog(spark, sf).withColumn("description", txt.truncate_description("prompt"))
+    return p.select("event_id", txt.item_category("content_type", "photo_type").alias("categories"),
+                    "description",
+                    txt.item_title("title", "introduction", "description", "item_id").alias("title"))
+
+
+@query("clean_text", O.with_fixtures(f"""
+select event_id, {_clean('prompt')} prompt, {_clean('title')} title,
+       {_clean('introduction')} introduction,
+       {_clean('element_query_content')} element_query_content
+from behaviors""", "behaviors"))
+def q_clean_text(spark, sf):
+    b = fx.behaviors(spark, sf)
+    return b.select("event_id", *[txt.clean_text(c).alias(c) for c in
+                                  ["prompt", "title", "introduction", "element_query_content"]])
+
+
+@query("extract_all_sids", O.with_fixtures(f"""
+select split, user_id, len(regexp_extract_all(description, '{O.SID_RE}')) n_sids,
+       array_to_string(regexp_extract_all(description, '{O.SID_RE}'), ' ') sids
+from sid_corpus""", "interactions", "catalog", extra=[_K2_CTE]))
+def q_extract_all_sids(spark, sf):
+    a = sidf.extract_all_sids("description")
+    return _sid_corpus(spark, sf).select("split", "user_id", F.size(a).cast("bigint").alias("n_sids"),
+                                         F.array_join(a, " ").alias("sids"))
+
+
+@query("extract_first_sid", O.with_fixtures(f"""
+select sample_id, think_idx, beam_idx, {O.first_sid('text')} first_sid from candidates""",
+                                            "candidates"))
+def q_extract_first_sid(spark, sf):
+    return fx.candidates(spark, sf).select("sample_id", "think_idx", "beam_idx",
+                                           sidf.extract_first_sid("text").alias("first_sid"))
+
+
+_STRICT3 = r"<\|sid_begin\|>(?:<s_[a-d]_\d+>){3}<\|sid_end\|>"
+_STRICT4 = r"<\|sid_begin\|>(?:<s_[a-d]_\d+>){4}<\|sid_end\|>"
+
+
+@query("extract_sid_strict", O.with_fixtures(f"""
+select sample_id, think_idx, beam_idx,
+       nullif(regexp_extract(text, '{_STRICT3}', 0), '') strict3,
+       nullif(regexp_extract(text, '{_STRICT4}', 0), '') strict4
+from candidates""", "candidates"))
+def q_extract_sid_strict(spark, sf):
+    return fx.candidates(spark, sf).select(
+        "sample_id", "think_idx", "beam_idx",
+        sidf.extract_sid_strict("text", 3).alias("strict3"),
+        sidf.extract_sid_strict("text", 4).alias("strict4"))
+
+
+@query("parse_format_sid", _bsql(f"""
+select event_id, array_to_string(codes, ',') codes,
+       case when len(codes) > 0 then '<|sid_begin|>' ||
+         array_to_string(list_transform(codes[1:3], lambda x, i:
+           '<' || ['s_a', 's_b', 's_c'][i] || '_' || cast(x as varchar) || '>'), '') ||
+         '<|sid_end|>' end sid
+from (select event_id, {_PARSED} codes from plog) t"""))
+def q_parse_format_sid(spark, sf):
+    p = _plog(spark, sf).withColumn("c", sidf.parse_semantic_id("semantic_id"))
+    return p.select("event_id", F.array_join(F.transform("c", lambda x: x.cast("string")), ",")
+                    .alias("codes"), sidf.format_sid("c").alias("sid"))
+
+
+# ---------------------------------------------------- rationale gating (K8) ---
+
+_GATE_CTE = f"""gated as (
+select c.split, c.user_id, c.description, c.groundtruth,
+       case when m.user_id is not null then c.title end title,
+       case when m.user_id is not null then c.categories end categories,
+       m.user_id is not null matched
+from ra_corpus c left join (
+  select distinct cast(sample_id as varchar) user_id,
+         nullif(regexp_extract(text, '{_STRICT3}', 0), '') sid
+  from candidates where think_idx < 2 and beam_idx < 5) m
+  on m.user_id = c.user_id and m.sid = nullif(regexp_extract(c.groundtruth, '{_STRICT3}', 0), ''))"""
+
+
+def _gsql(body: str) -> str:
+    return O.with_fixtures(body, "interactions", "catalog", "candidates",
+                           extra=[_K4_CTE, _GATE_CTE])
+
+
+def _k8_cands(spark, sf):
+    return fx.candidates(spark, sf).withColumn("user_id", F.col("sample_id").cast("string"))
+
+
+@query("gate_rationales", _gsql("select split, user_id, title, categories, matched from gated"))
+def q_gate_rationales(spark, sf):
+    preds = _k8_cands(spark, sf).where((F.col("think_idx") < 2) & (F.col("beam_idx") < 5))
+    g = metrics_ops.gate_rationales(_ra_corpus(spark, sf), preds.select("user_id", "text"))
+    return g.select("split", "user_id", "title", "categories", "matched")
+
+
+@query("reconstruct_epoch_data", _gsql(f"""
+select split, user_id, description, groundtruth, title, categories, matched,
+       {_rationale_sql()} text from gated"""))
+def q_reconstruct_epoch_data(spark, sf):
+    out = evaluation.reconstruct_epoch_data(_ra_corpus(spark, sf), _k8_cands(spark, sf))
+    return out.select("split", "user_id", "description", "groundtruth", "title", "categories",
+                      "matched", "text")
+
+
+@query("match_rate", _gsql("""
+select count(*) "rows", count(*) filter (where matched) matched,
+       round(count(*) filter (where matched) / count(*), 6) rate from gated"""))
+def q_match_rate(spark, sf):
+    return evaluation.reconstruct_match_rate(_ra_corpus(spark, sf), _k8_cands(spark, sf))
