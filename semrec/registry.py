@@ -19,7 +19,9 @@ from .operators import trie
 from .operators import metrics as metrics_ops
 from .plans import corpora, evaluation, metadata
 from .session import read_table
+from .operators.ordered import ordered_concat
 from .sources import fixtures as fx
+from .sources import readers, writers
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -1041,3 +1043,98 @@ select count(*) "rows", count(*) filter (where matched) matched,
        round(count(*) filter (where matched) / count(*), 6) rate from gated"""))
 def q_match_rate(spark, sf):
     return evaluation.reconstruct_match_rate(_ra_corpus(spark, sf), _k8_cands(spark, sf))
+
+
+# ------------------------------------------------------- sources and sinks ---
+
+def _sequence_text(spark, sf):
+    """Sequence-file lines derived from the interactions, with the whitespace
+    variants real files have (tabs, padding, blank lines)."""
+    inter = fx.interactions(spark, sf)
+    lines = ordered_concat(inter, ["user_id"], "pos", "item_id", " ", "items")
+    u = F.col("user_id").cast("bigint")
+    body = F.concat_ws(" ", "user_id", "items")
+    value = (F.when(u % 11 == 0, F.lit("   "))
+             .when(u % 4 == 1, F.concat(F.lit("  "), F.regexp_replace(body, " ", "\t  "),
+                                        F.lit(" \t")))
+             .otherwise(body))
+    return lines.select(value.alias("value"))
+
+
+_SEQ_TEXT_CTE = """seqtext as (
+select case when cast(user_id as bigint) % 11 = 0 then '   '
+            when cast(user_id as bigint) % 4 = 1
+              then '  ' || replace(user_id || ' ' || items, ' ', chr(9) || '  ') || ' ' || chr(9)
+            else user_id || ' ' || items end value
+from (select user_id, string_agg(item_id, ' ' order by pos) items
+      from interactions group by user_id) t)"""
+
+
+@query("read_sequences", O.with_fixtures("""
+select toks[1] user_id, cast(len(toks) - 1 as bigint) n_items,
+       array_to_string(toks[2:], ' ') items
+from (select string_split_regex(trim(value, ' ' || chr(9)), '\\s+') toks from seqtext) t
+where len(toks) > 1""", "interactions", extra=[_SEQ_TEXT_CTE]))
+def q_read_sequences(spark, sf):
+    parsed = readers.parse_sequence_lines(_sequence_text(spark, sf))
+    agg = ordered_concat(parsed, ["line_id", "user_id"], "pos", "item_id", " ", "items", "n_items")
+    return agg.select("user_id", F.col("n_items").cast("bigint").alias("n_items"), "items")
+
+
+@query("read_item_catalog", O.with_fixtures(
+    "select item_id, title, description, categories, sid from catalog", "catalog"))
+def q_read_item_catalog(spark, sf):
+    lines = writers.catalog_json_lines(fx.catalog(spark, sf))
+    return readers.parse_catalog_json(lines)
+
+
+@query("read_eval_set", O.with_fixtures("""
+select coalesce(case when cast(user_id as bigint) % 5 = 0 then null else user_id end,
+                'user_' || cast(row_number() over (order by cast(user_id as bigint)) - 1
+                                as varchar)) user_id,
+       description, groundtruth
+from sid_corpus where split = 'test'""", "interactions", "catalog", extra=[_K2_CTE]))
+def q_read_eval_set(spark, sf):
+    t = _test_corpus(spark, sf).withColumn("uid_num", F.col("user_id").cast("bigint"))
+    t = t.withColumn("user_id", F.when(F.col("uid_num") % 5 != 0, F.col("user_id")))
+    return readers.eval_set(t.select("user_id", "uid_num", "description", "groundtruth"),
+                            key="uid_num").select("user_id", "description", "groundtruth")
+
+
+@query("stream_positive_behaviors", _bsql("select * from plog"))
+def q_stream_positive_behaviors(spark, sf):
+    import uuid
+    from .session import checkpoint_dir
+    from .streaming.behaviors import stream_positive_behaviors
+    root = f"{checkpoint_dir(spark).rstrip('/')}/semrec-stream-{uuid.uuid4().hex}"
+    raw = fx.behaviors(spark, sf)
+    raw.write.partitionBy("p_date").parquet(f"{root}/raw")
+    return stream_positive_behaviors(spark, f"{root}/raw", raw.schema, f"{root}/out",
+                                     f"{root}/checkpoint")
+
+
+def _stub_scorer(pdf):
+    """Deterministic stand-in model for J1: beam b proposes the b-th most
+    recent SID of the prompt's history, score -b."""
+    import pandas as pd
+    from .functions.sid import sid_regex
+    pat = sid_regex(3)
+    rows = []
+    for sid_, desc in zip(pdf["sample_id"], pdf["prompt"]):
+        found = pd.Series([desc]).str.findall(pat).iloc[0]
+        for b in range(min(5, len(found))):
+            rows.append((int(sid_), 0, b, "<think>\n\n</think>\n" + found[-1 - b], float(-b)))
+    return pd.DataFrame(rows, columns=["sample_id", "think_idx", "beam_idx", "text", "score"])
+
+
+@query("generate_candidates", O.with_fixtures(f"""
+select cast(user_id as bigint) sample_id, 0 think_idx, cast(b.i as integer) beam_idx,
+       '<think>' || chr(10) || chr(10) || '</think>' || chr(10) || s[len(s) - b.i] text,
+       cast(-b.i as double) score
+from (select user_id, regexp_extract_all(description, '{O.SID_RE}') s from sid_corpus
+      where split = 'test') t, range(0, 5) b(i)
+where b.i < len(s)""", "interactions", "catalog", extra=[_K2_CTE]))
+def q_generate_candidates(spark, sf):
+    prompts = _test_corpus(spark, sf).select(F.col("user_id").cast("bigint").alias("sample_id"),
+                                             F.col("description").alias("prompt"))
+    return cand.generate_candidates(prompts, _stub_scorer)
