@@ -17,7 +17,7 @@ from .functions import text as txt
 from .operators import candidates as cand
 from .operators import trie
 from .operators import metrics as metrics_ops
-from .plans import corpora, evaluation, metadata
+from .plans import corpora, evaluation, metadata, persona
 from .session import read_table
 from .operators.ordered import ordered_concat
 from .sources import fixtures as fx
@@ -902,13 +902,13 @@ def q_loss_span(spark, sf):
                        txt.loss_span_start("text").alias("user_start"))
 
 
-_VERB_SQL = """coalesce(
-  case behavior_subtype when 'LIKE' then 'liked' when 'UNLIKE' then 'unliked'
-       when 'COMMENT' then 'commented on' when 'SHARE' then 'shared' end,
-  case behavior_type when 'VIDEO_PLAY_FINISH' then 'finished watching'
-       when 'LONG_PLAY' then 'watched' when 'SHORT_PLAY' then 'watched'
-       when 'OPERATE' then 'clicked' when 'PRODUCE' then 'created' end,
-  case event_type when 'PRODUCE' then 'created' end)"""
+def _verb_case(col: str) -> str:
+    whens = " ".join(f"when {_q(k)} then {_q(v)}" for k, v in txt.BEHAVIOR_VERBS.items())
+    return f"case {col} {whens} end"
+
+
+_VERB_SQL = ("coalesce(" + _verb_case("behavior_subtype") + ", " + _verb_case("behavior_type")
+             + ", " + _verb_case("event_type") + ")")
 
 
 @query("behavior_verb", _bsql(f"select event_id, {_VERB_SQL} verb from plog"))
@@ -1138,3 +1138,65 @@ def q_generate_candidates(spark, sf):
     prompts = _test_corpus(spark, sf).select(F.col("user_id").cast("bigint").alias("sample_id"),
                                              F.col("description").alias("prompt"))
     return cand.generate_candidates(prompts, _stub_scorer)
+
+
+# ---------------------------------------------------------- persona (K1) ---
+
+_DET_CTE = """det as (
+select p.*, i.sid, i.title i_title, i.categories i_categories, i.description i_description
+from (select user_id,
+             row_number() over (partition by user_id order by time_stamp nulls last, event_id) idx,
+             item_id, coalesce(event_type, 'UNKNOWN') event_type,
+             coalesce(behavior_type, '') behavior_type,
+             coalesce(behavior_subtype, '') behavior_subtype,
+             coalesce(element_query_content, '') q,
+             coalesce(try_cast(query_cnt as bigint), 0) query_cnt
+      from prows) p
+left join items i using (item_id))"""
+
+_RES_CTE = """res as (
+select *, row_number() over (partition by user_id order by idx desc) rr,
+       count(*) over (partition by user_id) n
+from det where coalesce(sid, '') <> '')"""
+
+_CUTS_CTE = """cuts as (
+select s.split, r.user_id, r.idx cut, r.sid groundtruth, r.i_title title,
+       r.i_categories categories
+from res r join (values ('train', 2), ('val', 1), ('test', 0)) s(split, k)
+  on r.rr = s.k + 1 and r.n >= s.k + 2)"""
+
+_D_VERB = (_VERB_SQL.replace("behavior_subtype", "d.behavior_subtype")
+           .replace("behavior_type", "d.behavior_type").replace("event_type", "d.event_type"))
+
+_CLAUSES_CTE = f"""clauses as (
+select c.user_id, c.split, min(d.idx) * 3 o,
+       'searched for ' || chr(39) || d.q || chr(39) || ' ' || cast(max(d.query_cnt) as varchar)
+         || ' times' clause
+from det d join cuts c on c.user_id = d.user_id and d.idx < c.cut
+where d.event_type = 'SEARCH' and d.q <> '' group by c.user_id, c.split, d.q
+union all
+select c.user_id, c.split, d.idx * 3 + 1,
+       'created content with prompt ' || chr(39) || d.i_description || chr(39)
+from det d join cuts c on c.user_id = d.user_id and d.idx < c.cut
+where d.event_type = 'PRODUCE' and d.i_description is not null
+union all
+select c.user_id, c.split, d.idx * 3 + 2,
+       coalesce({_D_VERB}, 'interacted with') || ' item ' || d.sid || ', its title is ' ||
+       chr(39) || coalesce(d.i_title, '') || chr(39) || ', its categories are ' || chr(39) ||
+       coalesce(d.i_categories, '') || chr(39)
+from det d join cuts c on c.user_id = d.user_id and d.idx < c.cut
+where coalesce(d.sid, '') <> '')"""
+
+_PERSONA_SQL = _bsql("""
+select c.split, c.user_id, 'The user has ' || coalesce(h.history, '') || ';' description,
+       c.groundtruth, c.title, c.categories
+from cuts c left join (select user_id, split, string_agg(clause, '; ' order by o) history
+                       from clauses group by user_id, split) h using (user_id, split)""",
+                     _PARSEABLE_CTE, _LATEST_CTE, _ITEMS_CTE, _DET_CTE, _RES_CTE, _CUTS_CTE,
+                     _CLAUSES_CTE)
+
+
+@query("persona_grounding", _PERSONA_SQL)
+def q_persona_grounding(spark, sf):
+    log = _plog(spark, sf)
+    return persona.persona_grounding(log, metadata.item_metadata(log))
