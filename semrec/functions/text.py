@@ -83,8 +83,15 @@ def item_title(title, introduction, description, item_id, n: int = 100) -> Colum
 
 
 def clean_text(c) -> Column:
-    """H9: U+2028, U+2029 and CR become spaces; LF and TAB stay."""
-    return F.translate(_col(c), _LINE_BREAKS, " " * len(_LINE_BREAKS))
+    """H9: U+2028, U+2029 and CR become spaces; LF and TAB stay.
+
+    Byte-level ``replace`` per terminator: several times faster than
+    ``translate``'s per-character map lookups on long texts.
+    """
+    out = _col(c)
+    for ch in _LINE_BREAKS:
+        out = F.replace(out, F.lit(ch), F.lit(" "))
+    return out
 
 
 def item_phrase(sid, title, categories, quote: str = '"') -> Column:

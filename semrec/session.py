@@ -76,5 +76,19 @@ def sized_broadcast(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) ->
     return F.broadcast(df) if 0 <= size <= max_bytes else df
 
 
+def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin ``df`` over the cluster's cores when its scan arrives in
+    fewer partitions (e.g. one small file with a single row group).
+
+    On real inputs a scan already spans many splits and this is a no-op; it
+    only stops a small table from running row-heavy text work in one task.
+    """
+    spark = df.sparkSession
+    want = min_partitions or spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < want:
+        return df.repartition(want)
+    return df
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..session import read_table, sized_broadcast
+from ..session import ensure_parallelism, read_table, sized_broadcast
 
 U2028 = "\u2028"
 U2029 = "\u2029"
@@ -62,7 +62,7 @@ def behaviors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw behaviour log with every awkward case of the real one: null event
     types, empty/malformed/``[]``/null semantic ids, null timestamps,
     non-numeric durations, null prompts, CR and U+2028/U+2029 in text."""
-    e = read_table(spark, sf_dir, "events").alias("e")
+    e = ensure_parallelism(read_table(spark, sf_dir, "events")).alias("e")
     # Only doc ids below _DOC_MOD can match; the pre-filter is pushed to the
     # scan and bounds the broadcast side to _DOC_MOD whole documents.
     docs = (read_table(spark, sf_dir, "documents").where(F.col("doc_id") < _DOC_MOD)
