@@ -24,7 +24,7 @@ USER_TURN = "<|im_start|>user"
 ASSISTANT_TURN = "<|im_start|>assistant"
 RATIONALE_TEMPLATE = "The user is likely to buy items in {categories} category"
 
-# Category names for content_type / kling_photo_type codes.
+# Category names for the content_type / photo_type codes.
 CONTENT_TYPE_NAMES = {0: "Image and Video Creation", 1: "Image Creation", 2: "Video Creation"}
 PHOTO_TYPE_NAMES = {1: "Material", 2: "Short Film"}
 DEFAULT_CATEGORY = "General Creation"

@@ -21,6 +21,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import checkpoint_dir, sized_broadcast
+
 CHUNK_SIZE = 512
 
 
@@ -28,14 +30,47 @@ def _cols(cs: Sequence[str | Column]) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in cs]
 
 
+def _stamped(df: DataFrame, cols: list[Column]) -> DataFrame:
+    """Range-partition and sort by ``cols``, stamp partition id and in-partition
+    row id, and checkpoint the result.
+
+    The ids are read by two branches (per-partition counts, and the rows
+    themselves).  A reliable checkpoint in the cluster's checkpoint folder
+    gives both the same partitioning: two independent range exchanges would
+    each sample their own bounds, and the stamped ids survive executor loss.
+    """
+    checkpoint_dir(df.sparkSession)
+    s = (df.repartitionByRange(*cols).sortWithinPartitions(*cols)
+         .withColumn("_pid", F.spark_partition_id())
+         .withColumn("_mid", F.monotonically_increasing_id()))
+    return s.checkpoint(eager=True)
+
+
 def positions(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
-              out: str = "pos") -> DataFrame:
+              out: str = "pos", skew_safe: bool = True) -> DataFrame:
     """Add ``out`` = 1-based rank of each row within ``keys`` by ``order``.
 
     ``order`` must be unique within a group (callers add a tie-breaker).
+
+    ``skew_safe`` (default): range-partition and sort by ``(keys, order)`` so a
+    hot group is cut across many partitions, then number rows as the group's
+    offset at that partition (a running count over a table with one row per
+    ``(group, partition)`` block) plus the row's index inside the block.
+    Otherwise a plain ``row_number`` window, which sorts each group in one task.
     """
-    w = Window.partitionBy(*keys).orderBy(*_cols(order))
-    return df.withColumn(out, F.row_number().over(w).cast("bigint"))
+    if not skew_safe:
+        w = Window.partitionBy(*keys).orderBy(*_cols(order))
+        return df.withColumn(out, F.row_number().over(w).cast("bigint"))
+    keys = list(keys)
+    cols = [F.col(k) for k in keys] + _cols(order)
+    s = _stamped(df, cols)
+    blocks = s.groupBy(*keys, "_pid").agg(F.count(F.lit(1)).alias("_cnt"),
+                                          F.min("_mid").alias("_base"))
+    w = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.withColumn("_off", F.coalesce(F.sum("_cnt").over(w), F.lit(0)))
+    return (s.join(sized_broadcast(blocks.drop("_cnt")), [*keys, "_pid"])
+            .withColumn(out, (F.col("_off") + F.col("_mid") - F.col("_base") + 1).cast("bigint"))
+            .drop("_pid", "_mid", "_base", "_off"))
 
 
 def last_k(df: DataFrame, keys: Sequence[str], order_col: str, k: int,
@@ -78,10 +113,7 @@ def global_row_number(df: DataFrame, order: Sequence[str | Column], out: str = "
     must be unique so a recomputed partition numbers its rows identically.
     ``total_out`` adds the total row count taken from the same small table.
     """
-    cols = _cols(order)
-    s = (df.repartitionByRange(*cols).sortWithinPartitions(*cols)
-         .withColumn("_pid", F.spark_partition_id())
-         .withColumn("_mid", F.monotonically_increasing_id()))
+    s = _stamped(df, _cols(order))
     sizes = s.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"), F.min("_mid").alias("_base"))
     w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.withColumn("_off", F.coalesce(F.sum("_cnt").over(w), F.lit(0)))

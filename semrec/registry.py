@@ -1200,3 +1200,20 @@ from cuts c left join (select user_id, split, string_agg(clause, '; ' order by o
 def q_persona_grounding(spark, sf):
     log = _plog(spark, sf)
     return persona.persona_grounding(log, metadata.item_metadata(log))
+
+
+@query("merge_shards", _gsql("""
+select cast(floor((row_number() over (order by user_id) - 1) /
+                  ceil(count(*) over () / 4.0)) as integer) shard,
+       user_id, title, matched
+from gated where split = 'test'"""))
+def q_merge_shards(spark, sf):
+    """Shard the test split into 4 contiguous blocks, gate each shard on its
+    own (as the parallel reconstruct step does), and merge in shard order."""
+    corpus = _ra_corpus(spark, sf).where(F.col("split") == "test")
+    sharded = metrics_ops.contiguous_shards(corpus, 4, "ceil", key="user_id")
+    preds = _k8_cands(spark, sf).where((F.col("think_idx") < 2) & (F.col("beam_idx") < 5))
+    parts = [metrics_ops.gate_rationales(sharded.where(F.col("shard") == i).drop("shard"),
+                                         preds.select("user_id", "text"))
+             for i in range(4)]
+    return metrics_ops.merge_shards(parts).select("shard", "user_id", "title", "matched")

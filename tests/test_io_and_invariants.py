@@ -191,3 +191,20 @@ def test_generate_candidates_plugin(spark):
                              "text": pdf["prompt"] + "!", "score": pdf["prompt"].str.len() * 1.0})
     got = sorted(C.generate_candidates(prompts, fn).collect())
     assert [(r.sample_id, r.text, r.score) for r in got] == [(1, "a!", 1.0), (2, "bb!", 2.0)]
+
+
+def test_positions_with_a_hot_key(spark):
+    """One key holds most rows and spans many range partitions; positions must
+    still be dense and ordered per key."""
+    from semrec.operators.ordered import positions
+    hot = spark.range(0, 20000).select(F.lit("hot").alias("k"), (F.col("id") * 7 % 20000).alias("t"))
+    cold = spark.range(0, 3000).select((F.col("id") % 30).cast("string").alias("k"),
+                                       F.col("id").alias("t"))
+    df = hot.unionByName(cold).repartition(11, F.rand(seed=3))
+    got = positions(df, ["k"], ["t"]).toPandas()
+    for _, g in got.groupby("k"):
+        g = g.sort_values("t")
+        assert list(g["pos"]) == list(range(1, len(g) + 1))
+    plain = positions(df, ["k"], ["t"], skew_safe=False).toPandas()
+    m = got.merge(plain, on=["k", "t"])
+    assert (m["pos_x"] == m["pos_y"]).all() and len(m) == 23000
