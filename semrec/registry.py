@@ -219,11 +219,12 @@ def q_scan_behavior_partition(spark, sf):
     return bh.positive_log(raw)
 
 
-@query("parseable_sid_rows", _bsql("select event_id, codes from prows", _PARSEABLE_CTE))
+@query("parseable_sid_rows", _bsql("select event_id, array_to_string(codes, ',') codes from prows",
+                                   _PARSEABLE_CTE))
 def q_parseable_sid_rows(spark, sf):
-    from .functions.sid import parse_semantic_id
+    codes = sidf.parse_semantic_id("semantic_id")
     return bh.parseable_sid_rows(_plog(spark, sf)).select(
-        "event_id", parse_semantic_id("semantic_id").alias("codes"))
+        "event_id", F.array_join(F.transform(codes, lambda x: x.cast("string")), ",").alias("codes"))
 
 
 @query("order_behaviors", _bsql("select user_id, event_id, time_stamp from plog"))
@@ -704,7 +705,7 @@ def _per_shard_sql(rel: str) -> str:
 
 
 @query("shard_metric_summary", _esql("""
-select metric, round(avg(round(value, 4)), 6) macro, round(sum(value * n) / sum(n), 6) micro,
+select metric, round(avg(round(value, 4)), 8) macro, round(sum(value * n) / sum(n), 6) micro,
        sum(n) n_samples, count(distinct shard) shards
 from shard_metrics group by metric""", _DIRECT_REL_CTE, _SHARDS_CTE, _per_shard_sql("drel")))
 def q_shard_metric_summary(spark, sf):
@@ -712,7 +713,8 @@ def q_shard_metric_summary(spark, sf):
     shards = metrics_ops.contiguous_shards(fx.truth(spark, sf), 8, "floor").select(
         "sample_id", "shard")
     s = metrics_ops.shard_metric_summary(metrics_ops.sharded_metrics(rel, shards, METRICS))
-    return s.withColumn("macro", F.round("macro", 6)).withColumn("micro", F.round("micro", 6))
+    # the mean of 4-decimal shard values has at most 7 decimals: 8 avoids a tie
+    return s.withColumn("macro", F.round("macro", 8)).withColumn("micro", F.round("micro", 6))
 
 
 def _running_sql(rel: str, batch: int, every: int) -> str:
