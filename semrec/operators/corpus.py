@@ -59,6 +59,13 @@ def missing_items_report(interactions: DataFrame, items: DataFrame) -> DataFrame
             .groupBy("user_id", "reason").agg(F.count(F.lit(1)).alias("n_items")))
 
 
+def _drop_tail(full: F.Column, removed: F.Column) -> F.Column:
+    """``full`` without its last phrases whose joined length (phrases plus
+    separators) is ``removed``; character arithmetic, no second pass."""
+    keep = F.length(full) - removed
+    return F.when(keep > 0, F.substring(full, F.lit(1), keep))
+
+
 def leave_k_out_split(items: DataFrame, phrase_col: str = "phrase",
                       target_cols: tuple[str, ...] = ("sid",),
                       prefix: str = PURCHASED_PREFIX) -> DataFrame:
@@ -66,8 +73,10 @@ def leave_k_out_split(items: DataFrame, phrase_col: str = "phrase",
     remaining one is the target, the rest the history (needs >= k + 2 items).
 
     ``items``: one row per usable item ``(user_id, pos, phrase_col, *target_cols)``.
-    Only the last three items per user are gathered into an array; the
-    history body before them is assembled by :func:`ordered_concat`.
+    The whole history is joined once by :func:`ordered_concat` (chunked, so a
+    hot user is spread over tasks); only the last three items per user are
+    gathered into an array, and each split's history is the full text with
+    its last k + 1 phrases cut off by their known length.
     Returns ``(split, user_id, description, <target_cols>)``; the first target
     column is renamed ``groundtruth``.
     """
@@ -75,20 +84,19 @@ def leave_k_out_split(items: DataFrame, phrase_col: str = "phrase",
     tail = last_k(items, ["user_id"], "pos", max_k + 1)
     tail_agg = tail.groupBy("user_id").agg(
         F.array_sort(F.collect_list(F.struct("pos", phrase_col, *target_cols))).alias("tail"))
-    body = items.join(tail.select("user_id", "pos"), ["user_id", "pos"], "left_anti")
-    body_txt = ordered_concat(body, ["user_id"], "pos", phrase_col, SEP, "body", "n_body")
-    per_user = tail_agg.join(body_txt, "user_id", "left")
+    full = ordered_concat(items, ["user_id"], "pos", phrase_col, SEP, "full", "n")
+    per_user = tail_agg.join(full, "user_id")
     t = F.size("tail")
-    n = F.coalesce(F.col("n_body"), F.lit(0)) + t
-    s = per_user.select("user_id", "tail", "body", n.alias("n"), t.alias("t"),
+    s = per_user.select("user_id", "tail", "full", "n", t.alias("t"),
                         F.explode(_split_array()).alias("s"))
     k = F.col("s.k")
     s = s.where(F.col("n") >= k + 2)
     target = F.element_at(F.col("tail"), (F.col("t") - k).cast("int"))
-    hist_tail = F.array_join(
-        F.transform(F.slice(F.col("tail"), F.lit(1), F.greatest(F.col("t") - k - 1, F.lit(0))),
-                    lambda x: x[phrase_col]), SEP)
-    history = F.concat_ws(SEP, F.col("body"), F.nullif(hist_tail, F.lit("")))
+    # the target and the k items after it: the last k + 1 tail entries
+    cut = F.slice(F.col("tail"), (F.col("t") - k).cast("int"), (k + 1).cast("int"))
+    removed = F.aggregate(cut, F.lit(0), lambda acc, x: acc + F.length(x[phrase_col])
+                          + len(SEP))
+    history = _drop_tail(F.col("full"), removed)
     out = [F.col("s.split").alias("split"), "user_id",
            history_sentence(history, prefix).alias("description"),
            target[target_cols[0]].alias("groundtruth")]
@@ -101,7 +109,11 @@ def prefix_split(interactions: DataFrame, items: DataFrame,
     """E2 (alignment): test uses all items, val drops the last raw item (needs
     > 1), train the last two (needs > 2); the drop happens on the *raw*
     sequence, before unusable items are skipped.  A row is emitted only when
-    at least one described item survives."""
+    at least one described item survives.
+
+    The described items are joined once; a split's text is that string with
+    the described items among its dropped raw tail cut off by length.
+    """
     r = resolve_sequence(interactions, items, "left")
     described = _nonempty("sid") & _nonempty("title") & _nonempty("categories")
     r = r.withColumn("ok", described).withColumn(
@@ -110,23 +122,23 @@ def prefix_split(interactions: DataFrame, items: DataFrame,
     tail = last_k(r, ["user_id"], "pos", max_k)
     tail_agg = tail.groupBy("user_id").agg(
         F.array_sort(F.collect_list(F.struct("pos", "ok", "phrase"))).alias("tail"))
-    body = r.join(tail.select("user_id", "pos"), ["user_id", "pos"], "left_anti")
-    n_raw = body.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_body_raw"))
-    body_txt = ordered_concat(body.where(F.col("ok")), ["user_id"], "pos", "phrase", SEP,
-                              "body", "n_body")
-    per_user = tail_agg.join(n_raw, "user_id", "left").join(body_txt, "user_id", "left")
+    n_raw = r.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
+    full = ordered_concat(r.where(F.col("ok")), ["user_id"], "pos", "phrase", SEP,
+                          "full", "n_ok")
+    per_user = tail_agg.join(n_raw, "user_id").join(full, "user_id", "left")
     t = F.size("tail")
-    s = per_user.select("user_id", "tail", "body", F.coalesce("n_body", F.lit(0)).alias("nb"),
-                        (F.coalesce("n_body_raw", F.lit(0)) + t).alias("n"), t.alias("t"),
-                        F.explode(_split_array()).alias("s"))
+    s = per_user.select("user_id", "tail", "full", F.coalesce("n_ok", F.lit(0)).alias("n_ok"),
+                        "n", t.alias("t"), F.explode(_split_array()).alias("s"))
     k = F.col("s.k")
     s = s.where(F.col("n") > k)
-    kept = F.filter(F.slice(F.col("tail"), F.lit(1), F.greatest(F.col("t") - k, F.lit(0))),
-                    lambda x: x["ok"])
-    s = s.withColumn("kept", kept).where(F.col("nb") + F.size("kept") > 0)
-    history = F.concat_ws(SEP, F.col("body"),
-                          F.nullif(F.array_join(F.transform("kept", lambda x: x["phrase"]), SEP),
-                                   F.lit("")))
+    # described items among the k raw items dropped from the end
+    dropped = F.filter(F.slice(F.col("tail"), F.greatest(F.col("t") - k + 1, F.lit(1)).cast("int"),
+                               k.cast("int")), lambda x: x["ok"])
+    s = s.withColumn("dropped", F.when(k > 0, dropped).otherwise(F.array()))
+    s = s.where(F.col("n_ok") - F.size("dropped") > 0)
+    removed = F.aggregate("dropped", F.lit(0), lambda acc, x: acc + F.length(x["phrase"])
+                          + len(SEP))
+    history = _drop_tail(F.col("full"), removed)
     return s.select(F.col("s.split").alias("split"), "user_id",
                     history_sentence(history, prefix).alias("description"))
 
