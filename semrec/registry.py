@@ -86,11 +86,12 @@ from (select user_id,
      (values ('train', 2), ('val', 1), ('test', 0)) s(split, k)
 where len(q.seq) >= s.k + 2)"""
 
-_K3_SQL = O.with_fixtures(f"""
+def _k3_sql(out: str = "description") -> str:
+    return O.with_fixtures(f"""
 select s.split, q.user_id,
        'The user has purchased the following items: ' ||
          array_to_string(list_transform(list_filter(q.seq[1:len(q.seq) - s.k], lambda x: x.ok),
-                                        lambda x: x.p), '; ') || ';' description
+                                        lambda x: x.p), '; ') || ';' {out}
 from (select i.user_id,
              list({{'ok': coalesce(k.sid, '') <> '' and coalesce(k.title, '') <> ''
                           and coalesce(k.categories, '') <> '',
@@ -98,7 +99,7 @@ from (select i.user_id,
       from interactions i left join catalog k using (item_id) group by i.user_id) q,
      (values ('train', 2), ('val', 1), ('test', 0)) s(split, k)
 where len(q.seq) > s.k and len(list_filter(q.seq[1:len(q.seq) - s.k], lambda x: x.ok)) > 0""",
-                          "interactions", "catalog")
+                           "interactions", "catalog")
 
 
 def _sid_corpus(spark: SparkSession, sf: str) -> DataFrame:
@@ -115,7 +116,7 @@ def q_reasoning_corpus(spark, sf):
     return _ra_corpus(spark, sf)
 
 
-@query("alignment_corpus", _K3_SQL)
+@query("alignment_corpus", _k3_sql())
 def q_alignment_corpus(spark, sf):
     return corpora.alignment_corpus(fx.interactions(spark, sf), fx.catalog(spark, sf))
 
@@ -211,9 +212,8 @@ def q_positive_behaviors(spark, sf):
     return _plog(spark, sf)
 
 
-@query("scan_behavior_partition", _bsql("select * from plog p join behaviors b using (event_id) "
-                                        "where b.p_date = '20240102'".replace(
-                                            "select *", "select p.*")))
+@query("scan_behavior_partition", _bsql(
+    "select p.* from plog p join behaviors b using (event_id) where b.p_date = '20240102'"))
 def q_scan_behavior_partition(spark, sf):
     raw = bh.require_partition(fx.behaviors(spark, sf), "20240102")
     return bh.positive_log(raw)
@@ -813,9 +813,7 @@ def q_rationale_text(spark, sf):
         "description", "groundtruth", "title", "categories").alias("text"))
 
 
-@query("align_text", _K3_SQL.replace(
-    "select s.split, q.user_id,\n       'The user", "select s.split, q.user_id,\n       'The user", 1)
-       .replace("|| ';' description\nfrom (select i.user_id", "|| ';' text\nfrom (select i.user_id"))
+@query("align_text", _k3_sql("text"))
 def q_align_text(spark, sf):
     a = corpora.alignment_corpus(fx.interactions(spark, sf), fx.catalog(spark, sf))
     return a.select("split", "user_id", F.col("description").alias("text"))
