@@ -189,6 +189,24 @@ def _plog(spark: SparkSession, sf: str) -> DataFrame:
     return bh.positive_log(fx.behaviors(spark, sf))
 
 
+_TS_FMT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
+_TS_FMT_SQL = "%Y-%m-%d %H:%M:%S.%f"
+
+
+def _present_log(df: DataFrame) -> DataFrame:
+    """Log rows as compared with the oracle: nullable codes and timestamps as
+    text so both engines hand over the same value types."""
+    return df.select(*[F.col(c).cast("string").alias(c) if c in ("photo_type", "content_type")
+                       else F.date_format(c, _TS_FMT).alias(c) if c == "time_stamp"
+                       else F.col(c) for c in df.columns])
+
+
+def _present_log_sql(rel: str = "plog") -> str:
+    return (f"select * replace (cast(photo_type as varchar) as photo_type, "
+            f"cast(content_type as varchar) as content_type, "
+            f"strftime(time_stamp, '{_TS_FMT_SQL}') as time_stamp) from {rel}")
+
+
 def _bsql(body: str, *extra: str) -> str:
     return O.with_fixtures(body, "behaviors", extra=[_PLOG_CTE, *extra])
 
@@ -207,16 +225,16 @@ def q_extract_extra_info(spark, sf):
             .select("event_id", "played_dur", "element_action", "query_cnt"))
 
 
-@query("positive_behaviors", _bsql("select * from plog"))
+@query("positive_behaviors", _bsql(_present_log_sql()))
 def q_positive_behaviors(spark, sf):
-    return _plog(spark, sf)
+    return _present_log(_plog(spark, sf))
 
 
-@query("scan_behavior_partition", _bsql(
-    "select p.* from plog p join behaviors b using (event_id) where b.p_date = '20240102'"))
+@query("scan_behavior_partition", _bsql(_present_log_sql(
+    "(select p.* from plog p join behaviors b using (event_id) where b.p_date = '20240102') q")))
 def q_scan_behavior_partition(spark, sf):
     raw = bh.require_partition(fx.behaviors(spark, sf), "20240102")
-    return bh.positive_log(raw)
+    return _present_log(bh.positive_log(raw))
 
 
 @query("parseable_sid_rows", _bsql("select event_id, array_to_string(codes, ',') codes from prows",
@@ -227,9 +245,11 @@ def q_parseable_sid_rows(spark, sf):
         "event_id", F.array_join(F.transform(codes, lambda x: x.cast("string")), ",").alias("codes"))
 
 
-@query("order_behaviors", _bsql("select user_id, event_id, time_stamp from plog"))
+@query("order_behaviors", _bsql(
+    f"select user_id, event_id, strftime(time_stamp, '{_TS_FMT_SQL}') time_stamp from plog"))
 def q_order_behaviors(spark, sf):
-    return bh.order_behaviors(_plog(spark, sf)).select("user_id", "event_id", "time_stamp")
+    return bh.order_behaviors(_plog(spark, sf)).select(
+        "user_id", "event_id", F.date_format("time_stamp", _TS_FMT).alias("time_stamp"))
 
 
 _TS_SQL = ("strftime(time_stamp, '%Y-%m-%d %H:%M:%S') || case when epoch_us(time_stamp) % 1000000 "
@@ -448,15 +468,17 @@ def q_sid_prefix_trie(spark, sf):
 
 
 @query("trie_stats", _tsql("""
-select 'unique_sids' metric, cast(null as bigint) pos, count(*) value from valid
+select 'unique_sids' metric, cast(-1 as bigint) pos, count(*) value from valid
 union all
-select 'max_depth', null, max(len(regexp_extract_all(sid, '<[^<>]+>'))) from valid
+select 'max_depth', -1, max(len(regexp_extract_all(sid, '<[^<>]+>'))) from valid
 union all
 select 'tokens_at_pos', pos, count(distinct token) from csteps where pos < 6 group by pos
 union all
-select 'total_samples', null, count(*) from sid_corpus where split = 'test'""", _steps("valid")))
+select 'total_samples', -1, count(*) from sid_corpus where split = 'test'""", _steps("valid")))
 def q_trie_stats(spark, sf):
-    return trie.trie_stats(_valid_sids(spark, sf), _test_corpus(spark, sf))
+    # whole-table statistics carry pos -1 in the compared output
+    out = trie.trie_stats(_valid_sids(spark, sf), _test_corpus(spark, sf))
+    return out.withColumn("pos", F.coalesce("pos", F.lit(-1).cast("bigint")))
 
 
 _PREDS_CTE = f"""preds as (
@@ -578,8 +600,8 @@ def q_evaluate_direct(spark, sf):
 
 _BEST_CTE = """best as (
 select sample_id, pred_sid, max(score) score, min(think_idx * 100000 + beam_idx) ord,
-       min(think_idx * 100000 + beam_idx) // 100000 first_think,
-       min(think_idx * 100000 + beam_idx) % 100000 first_beam
+       cast(min(think_idx * 100000 + beam_idx) // 100000 as bigint) first_think,
+       cast(min(think_idx * 100000 + beam_idx) % 100000 as bigint) first_beam
 from preds group by sample_id, pred_sid)"""
 
 _TOP_CTE = """top10 as (
@@ -706,7 +728,7 @@ def _per_shard_sql(rel: str) -> str:
 
 @query("shard_metric_summary", _esql("""
 select metric, round(avg(round(value, 4)), 8) macro, round(sum(value * n) / sum(n), 6) micro,
-       sum(n) n_samples, count(distinct shard) shards
+       cast(sum(n) as bigint) n_samples, count(distinct shard) shards
 from shard_metrics group by metric""", _DIRECT_REL_CTE, _SHARDS_CTE, _per_shard_sql("drel")))
 def q_shard_metric_summary(spark, sf):
     rel = evaluation.direct_relevance(_direct(spark, sf), fx.truth(spark, sf))
@@ -1101,7 +1123,7 @@ def q_read_eval_set(spark, sf):
                             key="uid_num").select("user_id", "description", "groundtruth")
 
 
-@query("stream_positive_behaviors", _bsql("select * from plog"))
+@query("stream_positive_behaviors", _bsql(_present_log_sql()))
 def q_stream_positive_behaviors(spark, sf):
     import uuid
     from .session import checkpoint_dir
@@ -1109,8 +1131,8 @@ def q_stream_positive_behaviors(spark, sf):
     root = f"{checkpoint_dir(spark).rstrip('/')}/semrec-stream-{uuid.uuid4().hex}"
     raw = fx.behaviors(spark, sf)
     raw.write.partitionBy("p_date").parquet(f"{root}/raw")
-    return stream_positive_behaviors(spark, f"{root}/raw", raw.schema, f"{root}/out",
-                                     f"{root}/checkpoint")
+    return _present_log(stream_positive_behaviors(spark, f"{root}/raw", raw.schema,
+                                                  f"{root}/out", f"{root}/checkpoint"))
 
 
 def _stub_scorer(pdf):
