@@ -186,6 +186,13 @@ def loss_span_start(text) -> Column:
     return (F.instr(_col(text), USER_TURN) - 1).cast("bigint")
 
 
+def loss_span(text) -> Column:
+    """H22 as ``struct<start, masked>``: ``masked`` when the user turn is absent
+    and the whole row is excluded from the loss."""
+    start = loss_span_start(text)
+    return F.struct(start.alias("start"), (start < 0).alias("masked"))
+
+
 def behavior_verb(subtype, behavior_type, event_type) -> Column:
     """Verb for an interaction; subtype first, then type, then event."""
     m = _map(BEHAVIOR_VERBS)

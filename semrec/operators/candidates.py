@@ -63,9 +63,8 @@ def rank_candidates(candidates: DataFrame, score: str = "score",
 
 
 def best_score_per_sid(candidates: DataFrame) -> DataFrame:
-    """Per sample and normalised SID the best score and first occurrence.
-
-    Also carries the sample's first candidate text (for the rebuilt prefix).
+    """Per sample and normalised SID the best score and the first
+    occurrence ``(think_idx, beam_idx)``, which breaks score ties.
     Expects ``pred_sid`` (see :func:`with_predictions`).
     """
     ordk = F.struct("think_idx", "beam_idx")
@@ -88,22 +87,29 @@ def unique_top_k(candidates: DataFrame, k: int = 10, step: float = 0.1) -> DataF
              .agg(F.min_by("text", F.struct("think_idx", "beam_idx")).alias("first_text")))
     prefix = F.concat(F.substring_index("first_text", THINK_CLOSE, 1), F.lit(THINK_CLOSE))
     top = top.join(first, "sample_id").withColumn("prefix", prefix)
-    m = top.groupBy("sample_id").agg(F.max("rank").alias("m"),
-                                     F.max_by(F.struct("pred_sid", "score", "prefix"), "rank")
-                                     .alias("last"))
+    kept = top.select("sample_id", "rank", "prefix", "pred_sid", "score")
+    out = pad_candidates(kept, k, step)
+    return out.select("sample_id", "rank",
+                      F.concat("prefix", F.lit("\n"), "pred_sid").alias("text"),
+                      "pred_sid", "score", "padded")
+
+
+def pad_candidates(ranked: DataFrame, k: int = 10, step: float = 0.1) -> DataFrame:
+    """Pad each sample's ranked list ``(sample_id, rank, ..., score)`` to ``k``
+    rows by repeating its last row; pad i scores ``last - step * i * (i + 1) / 2``
+    (each pad subtracts ``step * i`` from the previous, already penalised one).
+    Adds ``padded``.  Per sample only the last row is carried (``max_by``)."""
+    other = [c for c in ranked.columns if c not in ("sample_id", "rank", "score")]
+    m = ranked.groupBy("sample_id").agg(
+        F.max("rank").alias("m"), F.max_by(F.struct("score", *other), "rank").alias("last"))
     pads = (m.where(F.col("m") < k)
-            .select("sample_id", "m", "last", F.explode(F.sequence(F.lit(1), k - F.col("m")))
-                    .alias("i"))
+            .select("sample_id", "m", "last",
+                    F.explode(F.sequence(F.lit(1), k - F.col("m"))).alias("i"))
             .select("sample_id", (F.col("m") + F.col("i")).alias("rank"),
-                    F.col("last.prefix").alias("prefix"), F.col("last.pred_sid").alias("pred_sid"),
+                    *[F.col(f"last.{c}").alias(c) for c in other],
                     (F.col("last.score") - F.lit(step / 2) * F.col("i") * (F.col("i") + 1))
                     .alias("score"), F.lit(True).alias("padded")))
-    kept = top.select("sample_id", "rank", "prefix", "pred_sid", "score",
-                      F.lit(False).alias("padded"))
-    out = kept.unionByName(pads)
-    return out.select("sample_id", "rank",
-                      F.concat("prefix", F.lit("\n"), "pred_sid").alias("text"),
-                      "pred_sid", "score", "padded")
+    return ranked.withColumn("padded", F.lit(False)).unionByName(pads)
 
 
 def generate_candidates(prompts: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame],

@@ -32,3 +32,9 @@ def alignment_corpus(interactions: DataFrame, items: DataFrame,
     """K3 (dense captioning): ``(split, user_id, description)``; splits on the raw
     sequence, then keeps described items only."""
     return prefix_split(interactions, items, prefix)
+
+
+def align_text(corpus: DataFrame) -> DataFrame:
+    """The alignment description is the training text."""
+    return corpus.select(*[c for c in ("split", "user_id") if c in corpus.columns],
+                         F.col("description").alias("text"))

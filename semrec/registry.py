@@ -837,8 +837,8 @@ def q_rationale_text(spark, sf):
 
 @query("align_text", _k3_sql("text"))
 def q_align_text(spark, sf):
-    a = corpora.alignment_corpus(fx.interactions(spark, sf), fx.catalog(spark, sf))
-    return a.select("split", "user_id", F.col("description").alias("text"))
+    return corpora.align_text(corpora.alignment_corpus(fx.interactions(spark, sf),
+                                                       fx.catalog(spark, sf)))
 
 
 def _gen_sql() -> str:
@@ -921,7 +921,7 @@ from conv""", extra=[_CONV_CTE]))
 def q_loss_span(spark, sf):
     conv = chatf.conversation_text(read_table(spark, sf, "conversations"))
     return conv.select("conv_id", "n_turns", F.length("text").cast("bigint").alias("n_chars"),
-                       txt.loss_span_start("text").alias("user_start"))
+                       txt.loss_span("text")["start"].alias("user_start"))
 
 
 def _verb_case(col: str) -> str:

@@ -159,3 +159,11 @@ def parse_metric_logs(spark: SparkSession, path: str, metrics: Sequence[str],
         "shard", "found", F.lit(None).cast("string").alias("metric"),
         F.lit(None).cast("double").alias("value"), F.lit(None).cast("bigint").alias("n"))
     return ok.unionByName(bad)
+
+
+def read_shards(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """G1 from files: read each shard's parquet output and concatenate them in
+    shard order (``shard`` = position in ``paths``).  A missing shard raises
+    (the reference skipped it with a warning)."""
+    from ..operators.metrics import merge_shards
+    return merge_shards([spark.read.parquet(p) for p in paths])

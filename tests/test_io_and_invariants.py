@@ -208,3 +208,16 @@ def test_positions_with_a_hot_key(spark):
     plain = positions(df, ["k"], ["t"], skew_safe=False).toPandas()
     m = got.merge(plain, on=["k", "t"])
     assert (m["pos_x"] == m["pos_y"]).all() and len(m) == 23000
+
+
+def test_read_shards_in_order(spark, tmp_dir):
+    from semrec.sources.readers import read_shards
+    paths = []
+    for i in range(3):
+        p = os.path.join(tmp_dir, f"shard_{i}")
+        spark.range(i * 10, i * 10 + 5).write.parquet(p)
+        paths.append(p)
+    got = read_shards(spark, paths).toPandas()
+    assert len(got) == 15 and (got["id"] // 10 == got["shard"]).all()
+    with pytest.raises(Exception):
+        read_shards(spark, paths + [os.path.join(tmp_dir, "missing")]).count()
