@@ -42,7 +42,9 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared checkpoint folder named by the cluster (``spark.checkpoint.dir``).
 
-    Only when the session has none (unit tests, a laptop) do we create one.
+    Only a ``local[...]`` session without one (unit tests, a laptop) gets a
+    temporary folder; on a cluster a machine-local folder would not survive
+    the loss of that machine, so a missing setting is an error there.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -51,6 +53,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...)")
         configured = tempfile.mkdtemp(prefix="semrec-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
