@@ -19,6 +19,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
+from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir, sized_broadcast
@@ -40,10 +41,15 @@ def _stamped(df: DataFrame, cols: list[Column]) -> DataFrame:
     each sample their own bounds, and the stamped ids survive executor loss.
     """
     checkpoint_dir(df.sparkSession)
-    s = (df.repartitionByRange(*cols).sortWithinPartitions(*cols)
+    # the range exchange reads its input twice (bound sampling, then the
+    # shuffle); keep it cached only while the checkpoint is written
+    src = df.persist(StorageLevel.MEMORY_AND_DISK)
+    s = (src.repartitionByRange(*cols).sortWithinPartitions(*cols)
          .withColumn("_pid", F.spark_partition_id())
          .withColumn("_mid", F.monotonically_increasing_id()))
-    return s.checkpoint(eager=True)
+    out = s.checkpoint(eager=True)
+    src.unpersist()
+    return out
 
 
 def positions(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
