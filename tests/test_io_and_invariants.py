@@ -221,3 +221,22 @@ def test_read_shards_in_order(spark, tmp_dir):
     assert len(got) == 15 and (got["id"] // 10 == got["shard"]).all()
     with pytest.raises(Exception):
         read_shards(spark, paths + [os.path.join(tmp_dir, "missing")]).count()
+
+
+def test_every_valid_sid_is_a_legal_continuation(spark):
+    from semrec.operators import trie as TR
+    corpus = corpora.sid_prediction_corpus(fx.interactions(spark, SF_SMALL),
+                                           fx.catalog(spark, SF_SMALL))
+    valid = TR.valid_sid_set(corpus.where("split = 'test'"))
+    cand = valid.select(F.col("sid").alias("pred_sid"))
+    n = valid.count()
+    assert TR.legal_continuations(cand, TR.sid_transitions(valid)).count() == n
+    assert TR.legal_continuations(cand, TR.sid_prefix_trie(valid), mode="prefix").count() == n
+
+
+def test_cot_hit_is_monotone_in_k(spark):
+    from semrec.plans.evaluation import evaluate_cot
+    rep = evaluate_cot(fx.candidates(spark, SF_SMALL), fx.truth(spark, SF_SMALL),
+                       ["hit@1", "hit@3", "hit@5", "hit@10"]).toPandas().set_index("metric")
+    vals = list(rep.loc[["hit@1", "hit@3", "hit@5", "hit@10"], "value"])
+    assert vals == sorted(vals)
