@@ -87,11 +87,12 @@ def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> Data
     On real inputs a scan already spans many splits and this is a no-op; it
     only stops a small table from running row-heavy text work in one task.
     """
-    spark = df.sparkSession
-    want = min_partitions or spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < want:
-        return df.repartition(want)
-    return df
+    try:
+        want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:  # pragma: no cover - no RDD API (e.g. Spark Connect)
+        return df
+    return df.repartition(want) if have < want else df
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
