@@ -1230,12 +1230,15 @@ select cast(floor((row_number() over (order by user_id) - 1) /
        user_id, title, matched
 from gated where split = 'test'"""))
 def q_merge_shards(spark, sf):
-    """Shard the test split into 4 contiguous blocks, gate each shard on its
-    own (as the parallel reconstruct step does), and merge in shard order."""
+    """Shard the test split into 4 contiguous blocks, gate it (row-wise, so per
+    shard or at once is the same), and merge the shard outputs in shard order.
+    The gated frame is checkpointed once so the four shard reads do not redo
+    the gating."""
+    from .session import checkpoint_dir
     corpus = _ra_corpus(spark, sf).where(F.col("split") == "test")
     sharded = metrics_ops.contiguous_shards(corpus, 4, "ceil", key="user_id")
     preds = _k8_cands(spark, sf).where((F.col("think_idx") < 2) & (F.col("beam_idx") < 5))
-    parts = [metrics_ops.gate_rationales(sharded.where(F.col("shard") == i).drop("shard"),
-                                         preds.select("user_id", "text"))
-             for i in range(4)]
+    checkpoint_dir(spark)
+    gated = metrics_ops.gate_rationales(sharded, preds.select("user_id", "text")).checkpoint()
+    parts = [gated.where(F.col("shard") == i).drop("shard") for i in range(4)]
     return metrics_ops.merge_shards(parts).select("shard", "user_id", "title", "matched")
