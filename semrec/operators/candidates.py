@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import THINK_CLOSE, normalize_prediction
-from ..session import sized_broadcast
+from ..session import ship_package, sized_broadcast
 from .ordered import global_row_number
 
 ILLEGAL_SCORE = -1000.0
@@ -126,6 +126,7 @@ def generate_candidates(prompts: DataFrame, fn: Callable[[pd.DataFrame], pd.Data
             if out is not None and len(out):
                 yield out
 
+    ship_package(prompts.sparkSession)
     df = prompts
     if batch_rows:
         df = df.repartition(max(1, batch_rows))
