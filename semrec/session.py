@@ -95,6 +95,28 @@ def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> Data
     return df.repartition(want) if have < want else df
 
 
+def input_bytes(spark: SparkSession, paths: list[str]) -> int:
+    """Total size of the files under ``paths`` (Hadoop file system API)."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    total = 0
+    for p in paths:
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        total += int(path.getFileSystem(conf).getContentSummary(path).getLength())
+    return total
+
+
+def size_shuffle_partitions(spark: SparkSession, paths: list[str],
+                            target_bytes: int = 200 * 1024 * 1024) -> int:
+    """Set ``spark.sql.shuffle.partitions`` to about input bytes / ``target_bytes``
+    (at least two per core) so shuffle partitions fit executor memory at any
+    scale; AQE coalesces the ones that turn out small."""
+    cores = spark.sparkContext.defaultParallelism
+    n = max(2 * cores, -(-input_bytes(spark, paths) // target_bytes))
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    return n
+
+
 _SHIPPED: set[str] = set()
 
 
