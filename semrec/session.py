@@ -146,5 +146,20 @@ def ship_package(spark: SparkSession) -> None:
     _SHIPPED.add(key)
 
 
+_TABLES: dict[tuple[str, str], DataFrame] = {}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """The parquet table ``name`` under ``sf_dir``.
+
+    One DataFrame per application and path: a job reads the same table in
+    several branches, and each fresh ``read.parquet`` lists files and reads
+    footers on the driver again.  (Plans are unaffected; the input tables
+    are read-only.)
+    """
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (spark.sparkContext.applicationId, path)
+    df = _TABLES.get(key)
+    if df is None:
+        df = _TABLES[key] = spark.read.parquet(path)
+    return df

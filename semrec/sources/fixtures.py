@@ -12,11 +12,30 @@ given tables with plain DataFrame code; the work grows with the tables.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import ensure_parallelism, read_table, sized_broadcast
 
+_MEMO: dict[tuple[str, str, str], DataFrame] = {}
+
+
+def _memo(fn):
+    """One DataFrame per (application, data directory, table): DataFrames are
+    immutable, and building a derived table's plan costs driver round trips
+    every time a job asks for it again."""
+    @functools.wraps(fn)
+    def wrapper(spark: SparkSession, sf_dir: str) -> DataFrame:
+        key = (spark.sparkContext.applicationId, sf_dir, fn.__name__)
+        df = _MEMO.get(key)
+        if df is None:
+            df = _MEMO[key] = fn(spark, sf_dir)
+        return df
+    return wrapper
+
+
 U2028 = "\u2028"
 U2029 = "\u2029"
 # documents rows referenced by the behaviour log (doc_id = event_id * 13 % 180).
@@ -25,6 +44,7 @@ _DOC_MOD = 180
 _CAND_MOD = 1500
 
 
+@_memo
 def catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = F.col("p_partkey")
     sid = F.concat(F.lit("<|sid_begin|><s_a_"), (p % 256).cast("string"),
@@ -41,6 +61,7 @@ def catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
                     p.alias("p_partkey")))
 
 
+@_memo
 def interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Time-ordered purchases per customer; some customers are cut short so
     every split threshold is exercised."""
@@ -58,6 +79,7 @@ def interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
                     "o_custkey", "l_partkey"))
 
 
+@_memo
 def behaviors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw behaviour log with every awkward case of the real one: null event
     types, empty/malformed/``[]``/null semantic ids, null timestamps,
@@ -126,6 +148,7 @@ def behaviors(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_memo
 def truth(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per customer with >= 2 resolvable purchases: the last one's SID."""
     inter = interactions(spark, sf_dir).select("o_custkey", "pos", "l_partkey")
@@ -136,6 +159,7 @@ def truth(spark: SparkSession, sf_dir: str) -> DataFrame:
     return last.where(F.col("n") >= 2).select(F.col("o_custkey").alias("sample_id"), "groundtruth")
 
 
+@_memo
 def candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Five thinking samples x ten beams of scored outputs per sample (a tenth
     of the samples keep only four beams); scores tie, some texts hold no SID."""
