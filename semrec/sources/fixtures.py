@@ -14,10 +14,9 @@ from __future__ import annotations
 
 import functools
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..operators.ordered import positions
 from ..session import ensure_parallelism, read_table, sized_broadcast
 
 _MEMO: dict[tuple[str, str, str], DataFrame] = {}
@@ -69,10 +68,10 @@ def interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_linenumber", "l_shipdate")
     od = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    j = li.join(od, F.col("l_orderkey") == F.col("o_orderkey")).drop("o_orderkey")
-    # dense purchase order per customer without a one-task-per-customer window
-    # (the numbering is checkpointed, so it is computed once per application)
-    j = positions(j, ["o_custkey"], ["l_shipdate", "l_orderkey", "l_linenumber", "l_partkey"])
+    w = Window.partitionBy("o_custkey").orderBy("l_shipdate", "l_orderkey", "l_linenumber",
+                                                "l_partkey")
+    j = (li.join(od, F.col("l_orderkey") == F.col("o_orderkey"))
+         .withColumn("pos", F.row_number().over(w).cast("bigint")))
     c = F.col("o_custkey")
     return (j.where((c % 3 != 0) | (F.col("pos") <= c % 7))
             .select(c.cast("string").alias("user_id"), "pos",
