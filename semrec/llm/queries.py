@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing, pii, sharding, token_counts
+from . import balltree, jaccard, packing, pii, preference, quality, sharding, token_counts, toxicity
 from .common import table, text_of, vocabulary
 
 
@@ -26,10 +26,40 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
         "*", F.lit("rows").alias("law"), F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op5_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings", "vec_id", "embedding").select(
+        "vec_id", balltree.quantised("embedding").alias("v"))
+    return balltree.top_k(vectors, vectors.where(F.col("vec_id") % 100 == 0))
+
+
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text", "lang", "source")
+    return quality.quality_verdicts(docs).select(
+        "doc_id", *quality.STATS, "base_failed", "kept", "distance")
+
+
+def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.linked_documents(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     return token_counts.token_counts(docs, vocabulary("byte_bpe_50k.json"))
 
 
-QUERIES = {f.__name__: f for f in [op1_best_fit_packing, op2_pii, op4_sharding, op8_token_counts]}
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    grammar = toxicity.learn(docs, table(spark, sf_dir, "labels", "doc_id", "toxic"))
+    return (toxicity.toxicity_scores(docs, grammar)
+            .select("doc_id", toxicity.held_out().alias("held_out"), "score", "predicted"))
+
+
+def op10_preference_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
+    return preference.format_preferences(*preference.echo_pairs(preference.numbered_turns(turns)))
+
+
+QUERIES = {f.__name__: f for f in [op1_best_fit_packing, op2_pii, op4_sharding, op5_exact_top_k, op6_quality_rules,
+                                  op7_ngram_jaccard,
+                                  op8_token_counts, op9_toxicity, op10_preference_formatting]}
 ORACLE: dict[str, str] = {}
