@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import balltree, jaccard, packing, pii, preference, quality, sharding, token_counts, toxicity
+from . import balltree, jaccard, packing, pii, preference, quality, sharding, spm, token_counts, toxicity
 from .common import table, text_of, vocabulary
 
 
@@ -18,6 +18,15 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pii_spans(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    model = vocabulary("piece_bpe_32k.model")
+    coded = spm.decode(spm.encode(docs, model), model)
+    return coded.select("doc_id", F.floor(F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"),
+                        F.crc32("ids").alias("ids_crc32"),
+                        (F.col("decoded") == text_of()).alias("round_trip"))
+
+
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     rows = docs.select("doc_id", (F.octet_length(text_of()) + 16).cast("bigint").alias("size"),
@@ -59,7 +68,8 @@ def op10_preference_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return preference.format_preferences(*preference.echo_pairs(preference.numbered_turns(turns)))
 
 
-QUERIES = {f.__name__: f for f in [op1_best_fit_packing, op2_pii, op4_sharding, op5_exact_top_k, op6_quality_rules,
+QUERIES = {f.__name__: f for f in [op1_best_fit_packing, op2_pii, op3_sentencepiece, op4_sharding,
+                                  op5_exact_top_k, op6_quality_rules,
                                   op7_ngram_jaccard,
                                   op8_token_counts, op9_toxicity, op10_preference_formatting]}
 ORACLE: dict[str, str] = {}
