@@ -181,43 +181,31 @@ def robust_estimates(vectors: DataFrame, core: float = CORE, steps: int = STEPS)
     return now
 
 
-def quality_verdicts(docs: DataFrame, text_col: str = "text", min_rows: int = MIN_ROWS,
-                     cutoff: float = CUTOFF) -> DataFrame:
-    """``docs`` without its text plus the statistics, ``base_failed``, ``distance``
-    (squared; null for a failed document) and ``kept``.
-
-    ``docs`` needs ``lang`` and ``source``; a null one is a value of its own.
-    Only documents that pass the base limits shape the estimates.  A group under
-    ``min_rows`` rows is judged by the estimate of its language, and a language
-    under it by that of all documents.  Repeated rows stay; an empty frame gives
-    an empty one; input columns named like the results are replaced.
-    """
-    docs = docs.drop("base_failed", "kept", "distance")
-    stats = frozen(text_statistics(docs, text_col).withColumn("base_failed", base_failed()))
-    vectors = stats.select("*", *_vector())
-    passed = vectors.where(~F.col("base_failed"))
-    levels = F.explode(F.array(
-        F.struct(F.lit(0).alias("level"), F.col("lang"), F.col("source")),
-        F.struct(F.lit(1).alias("level"), F.col("lang"), F.lit(None).cast("string").alias("source")),
-        F.struct(F.lit(2).alias("level"), F.lit(None).cast("string").alias("lang"),
-                 F.lit(None).cast("string").alias("source"))))
+def learned_estimates(stats: DataFrame, min_rows: int = MIN_ROWS) -> DataFrame:
+    """Estimates of the groups of ``min_rows`` rows and more among ``stats`` (with
+    ``base_failed``), of each language and of all, under keys of level 0, 1 and 2."""
+    passed = stats.where(~F.col("base_failed")).select("lang", "source", *_vector())
+    levels = F.explode(F.array(*[F.struct(_key(k, "lang").alias("lang"), _key(k, "source").alias("source"))
+                                 for k in range(3)]))
     tagged = passed.select(levels.alias("__g"), *_XS).select(
-        F.concat_ws(":", F.col("__g.level"), F.lit("lang"),
-                    F.coalesce(F.concat(F.lit("="), F.col("__g.lang")), F.lit("-"))).alias("__lang"),
-        F.coalesce(F.concat(F.lit("="), F.col("__g.source")), F.lit("-")).alias("__source"), *_XS)
-    estimates = robust_estimates(tagged)
-    big = estimates.where((F.col("size") >= min_rows) | F.col("lang").startswith("2:"))
-
-    def key(level: int, c: str) -> Column:
-        own = F.coalesce(F.concat(F.lit("="), F.col(c)), F.lit("-"))
-        if c == "source":
-            return own if level == 0 else F.lit("-")
-        return F.concat(F.lit(f"{level}:lang:"), own if level < 2 else F.lit("-"))
-
-    out = vectors
+        F.col("__g.lang").alias("__lang"), F.col("__g.source").alias("__source"), *_XS)
+    return robust_estimates(tagged).where((F.col("size") >= min_rows) | F.col("lang").startswith("2:"))
+
+
+def _key(level: int, column: str) -> Column:
+    own = F.coalesce(F.concat(F.lit("="), F.col(column)), F.lit("-"))
+    if column == "source":
+        return own if level == 0 else F.lit("-")
+    return F.concat(F.lit(f"{level}:"), own if level < 2 else F.lit("-"))
+
+
+def judged(stats: DataFrame, estimates: DataFrame, cutoff: float = CUTOFF) -> DataFrame:
+    """``stats`` plus ``distance`` (squared; null for a failed document) and ``kept``, by the
+    estimate of the document's group, else its language's, else that of all."""
+    out = stats.select("*", *_vector())
     for level in range(3):
-        keyed = out.withColumns({"__lang": key(level, "lang"), "__source": key(level, "source")})
-        out = (_joined(keyed, big.where(F.col("lang").startswith(f"{level}:")))
+        keyed = out.withColumns({"__lang": _key(level, "lang"), "__source": _key(level, "source")})
+        out = (_joined(keyed, estimates.where(F.col("lang").startswith(f"{level}:")))
                .withColumn(f"__d{level}", _distance())
                .drop("__lang", "__source", "size", *[f"m{i}" for i in range(DIMS)],
                      *[f"c{i}{j}" for i, j in _PAIRS]))
@@ -226,3 +214,35 @@ def quality_verdicts(docs: DataFrame, text_col: str = "text", min_rows: int = MI
             .withColumn("kept", F.when(F.col("base_failed"), F.lit(False)).otherwise(
                 F.coalesce(F.col("distance") <= cutoff, F.lit(True))))
             .drop(*_XS, "__d0", "__d1", "__d2"))
+
+
+def _statistics(docs: DataFrame, text_col: str) -> DataFrame:
+    docs = docs.drop("base_failed", "kept", "distance", "size")
+    return text_statistics(docs, text_col).withColumn("base_failed", base_failed())
+
+
+def quality_verdicts(docs: DataFrame, text_col: str = "text", min_rows: int = MIN_ROWS,
+                     cutoff: float = CUTOFF) -> DataFrame:
+    """``docs`` without its text plus the statistics, ``base_failed``, ``distance`` and ``kept``.
+
+    ``docs`` needs ``lang`` and ``source``; a null one is a value of its own.
+    Only documents that pass the base limits shape the estimates.  Repeated rows
+    stay; an empty frame gives an empty one; input columns named like the results
+    are replaced.
+    """
+    stats = frozen(_statistics(docs, text_col))
+    return judged(stats, learned_estimates(stats, min_rows), cutoff)
+
+
+def kept_documents(docs: DataFrame, text_col: str = "text", min_rows: int = MIN_ROWS,
+                   cutoff: float = CUTOFF) -> DataFrame:
+    """The rows of ``docs`` that :func:`quality_verdicts` keeps, unchanged.
+
+    Texts are read a second time rather than shuffled to meet their verdicts.
+    """
+    needed = [c for c in {"lang", "source", text_col}]
+    stats = frozen(_statistics(docs.select(*needed), text_col))
+    estimates = learned_estimates(stats, min_rows)
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    judged_rows = judged(_statistics(docs.select(*needed, whole), text_col), estimates, cutoff)
+    return judged_rows.where("kept").select("row.*")
