@@ -72,4 +72,62 @@ QUERIES = {f.__name__: f for f in [op1_best_fit_packing, op2_pii, op3_sentencepi
                                   op5_exact_top_k, op6_quality_rules,
                                   op7_ngram_jaccard,
                                   op8_token_counts, op9_toxicity, op10_preference_formatting]}
+
 ORACLE: dict[str, str] = {}
+
+ORACLE["op5_exact_top_k"] = """
+with v as (
+  select vec_id, [cast(floor(1024 * cast(x as double)) as double) for x in embedding] e
+  from embeddings
+  where vec_id is not null and len(embedding) > 0
+    and len([x for x in embedding if x is null or isnan(x) or isinf(x)]) = 0),
+scored as (
+  select q.vec_id query_id, c.vec_id, cast(list_dot_product(q.e, c.e) as bigint) score
+  from v q join v c on q.vec_id % 100 = 0 and c.vec_id <> q.vec_id and len(q.e) = len(c.e))
+select query_id, cast(row_number() over best as integer) rank, vec_id, score
+from scored
+window best as (partition by query_id order by score desc, vec_id)
+qualify row_number() over best <= 10
+"""
+
+ORACLE["op10_preference_formatting"] = """
+with turns as (
+  select distinct conv_id, turn, coalesce(role, '') role, coalesce(text, '') text from conversations),
+numbered as (
+  select conv_id, role, text,
+         row_number() over (partition by conv_id order by turn nulls first, role, text) - 1 pos
+  from turns),
+ends as (
+  select conv_id, max(pos) filter (role = 'assistant') answer, max(pos) last_pos, arg_min(text, pos) opening
+  from numbered group by conv_id),
+rejected as (
+  select n.conv_id, n.pos, n.role, case when n.pos = e.answer then e.opening else n.text end text
+  from numbered n join ends e on n.conv_id is not distinct from e.conv_id
+  where n.pos < coalesce(e.answer, e.last_pos) or n.pos = e.answer),
+both_sides as (
+  select coalesce(c.conv_id, r.conv_id) pair_id, coalesce(c.pos, r.pos) pos,
+         c.role c_role, c.text c_text, r.role r_role, r.text r_text
+  from numbered c full join rejected r
+    on c.conv_id is not distinct from r.conv_id and c.pos = r.pos),
+prefix as (
+  select pair_id, min(pos) filter (c_role is distinct from r_role or c_text is distinct from r_text) stop
+  from both_sides group by pair_id),
+tagged as (
+  select b.*, b.pos < coalesce(p.stop, 1000000000000) common
+  from both_sides b join prefix p on b.pair_id is not distinct from p.pair_id),
+parts as (
+  select pair_id, 'prompt' part, pos, c_role role, c_text text from tagged where common
+  union all
+  select pair_id, 'chosen', pos, c_role, c_text from tagged where not common and c_role is not null
+  union all
+  select pair_id, 'rejected', pos, r_role, r_text from tagged where not common and r_role is not null),
+rendered as (
+  select pair_id, part, pos, role,
+         '<|im_start|>' || role || chr(10) || text || '<|im_end|>' || chr(10) rendered from parts)
+select pair_id, part, pos, role, rendered,
+       cast(sum(length(rendered)) over upto as bigint) - length(rendered) as "start",
+       cast(sum(length(rendered)) over upto as bigint) as "end",
+       part = 'prompt' or role <> 'assistant' masked
+from rendered
+window upto as (partition by pair_id, part order by pos)
+"""
