@@ -29,21 +29,22 @@ _CORPORA = {"sid": corpora.sid_prediction_corpus, "ra": corpora.reasoning_corpus
 
 
 def _corpus(spark, a):
-    seq = readers.read_sequences(spark, a.sequences).select("user_id", "pos", "item_id")
+    seq = readers.read_sequences(spark, a.sequences)
     items = readers.read_item_catalog(spark, a.items, whole_file=a.whole_file)
-    out = _CORPORA[a.kind](seq, items, a.prefix) if a.prefix else _CORPORA[a.kind](seq, items)
+    more = (a.prefix,) if a.prefix else ()
+    out = corpora.by_line(_CORPORA[a.kind], seq, items, *more)
     writers.write_splits(out, a.out)
 
 
 def _behaviors(spark, a):
     log = (readers.read_behavior_tsv(spark, a.log) if a.log.endswith(".tsv") or a.format == "tsv"
            else spark.read.parquet(a.log))
+    if "event_id" not in log.columns:  # file order, taken at the scan before any filter
+        log = log.withColumn("event_id", F.monotonically_increasing_id())
     if a.p_date:
         log = bh.require_partition(log, a.p_date)
     if a.raw:
         log = bh.positive_log(log)
-    if "event_id" not in log.columns:
-        log = log.withColumn("event_id", F.monotonically_increasing_id())
     log = (log.withColumn("time_stamp", F.col("time_stamp").cast("timestamp_ntz"))
            .withColumn("content_type", F.col("content_type").cast("bigint"))
            .withColumn("photo_type", F.col("photo_type").cast("bigint")))
@@ -65,8 +66,9 @@ def _evaluate(spark, a):
     cands = spark.read.parquet(a.candidates)
     truth = spark.read.parquet(a.truth)
     if "sample_id" not in truth.columns:  # an eval set keyed by user id
-        truth = truth.withColumn("sample_id", F.col("user_id").cast("bigint"))
-    truth = truth.select("sample_id", "groundtruth")
+        truth = truth.withColumn("sample_id", F.col("user_id").cast("string"))
+    truth = truth.select(F.col("sample_id").cast("string").alias("sample_id"), "groundtruth")
+    cands = cands.withColumn("sample_id", F.col("sample_id").cast("string"))
     metrics = a.metrics.split(",")
     rep = (evaluation.evaluate_cot(cands, truth, metrics) if a.mode == "cot"
            else evaluation.evaluate_direct(cands, truth, metrics))

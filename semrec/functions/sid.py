@@ -37,6 +37,12 @@ def sid_regex(levels: int = 3) -> str:
     return "<\\|sid_begin\\|>" + body + "<\\|sid_end\\|>"
 
 
+_INT = r"[+-]?(?:0+|[1-9][0-9]*)"
+#: A list or tuple literal of integers, as a whole.
+INTEGER_LIST = (rf"^(?:\[\s*(?:{_INT}\s*(?:,\s*{_INT}\s*)*,?\s*)?\]"
+                rf"|\(\s*(?:{_INT}\s*,\s*(?:{_INT}\s*(?:,\s*{_INT}\s*)*,?\s*)?)?\))$")
+
+
 def strict_sid_regex(levels: int = 4, letters: str = "a-d") -> str:
     """SID with exactly ``levels`` tokens drawn from ``s_[letters]`` in any order."""
     return "<\\|sid_begin\\|>(?:<s_[" + letters + "]_\\d+>){" + str(levels) + "}<\\|sid_end\\|>"
@@ -61,10 +67,13 @@ def extract_sid_strict(c, levels: int = 4, letters: str = "a-d") -> Column:
 def parse_semantic_id(c) -> Column:
     """H4: ``' [69,142,246] '`` -> ``[69,142,246]``; null, empty or malformed -> null.
 
-    ``'[]'`` parses to an empty array, which is *not* null (kept by B8).
+    The whole text must be a list or tuple of integers (a trailing comma may
+    stand, a tuple of one needs it).  ``'[]'`` parses to an empty array, which is
+    *not* null (kept by B8).
     """
     s = py_strip(c)
-    return F.when(s != "", F.from_json(s, "array<bigint>"))
+    numbers = F.regexp_extract_all(s, F.lit(r"[+-]?\d+"), F.lit(0))
+    return F.when(s.rlike(INTEGER_LIST), F.transform(numbers, lambda x: x.try_cast("bigint")))
 
 
 def format_sid(codes, levels: int = 3) -> Column:

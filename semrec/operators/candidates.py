@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import THINK_CLOSE, normalize_prediction
 from ..session import ship_package, sized_broadcast
-from .ordered import global_row_number
+from .ordered import CHUNK_SIZE, global_row_number, positions
 
 ILLEGAL_SCORE = -1000.0
 
@@ -43,11 +43,9 @@ def demote_illegal_items(candidates: DataFrame, legal: DataFrame, sid_col: str =
 
 def slice_samples(df: DataFrame, offset: int = 0, n: int = -1, key: str = "sample_id") -> DataFrame:
     """Skip ``offset`` rows in ``key`` order, then keep at most ``n`` (n <= 0: all)."""
-    rn = global_row_number(df, [key], "_rn")
-    keep = F.col("_rn") > offset
-    if n > 0:
-        keep = keep & (F.col("_rn") <= offset + n)
-    return rn.where(keep).drop("_rn")
+    if n > 0:  # each task keeps its first offset + n rows
+        return df.orderBy(key).offset(offset).limit(n)
+    return global_row_number(df, [key], "_rn").where(F.col("_rn") > offset).drop("_rn")
 
 
 def head_samples(df: DataFrame, n: int, key: str = "sample_id") -> DataFrame:
@@ -80,18 +78,28 @@ def unique_top_k(candidates: DataFrame, k: int = 10, step: float = 0.1) -> DataF
 
     Returns ``(sample_id, rank, text, pred_sid, score, padded)``.
     """
-    best = best_score_per_sid(candidates)
-    w = Window.partitionBy("sample_id").orderBy(F.col("score").desc(), F.col("first_ord"))
-    top = best.withColumn("rank", F.row_number().over(w).cast("bigint")).where(F.col("rank") <= k)
-    first = (candidates.groupBy("sample_id")
-             .agg(F.min_by("text", F.struct("think_idx", "beam_idx")).alias("first_text")))
+    ordk = F.struct("think_idx", "beam_idx")
+    best = candidates.groupBy("sample_id", "pred_sid").agg(
+        F.max("score").alias("score"), F.min(ordk).alias("first_ord"),
+        F.min_by("text", ordk).alias("text"))
+    # a sample has at most as many SIDs as its beam budget; one sorted list holds its top k
+    sids = F.sort_array(F.collect_list(F.struct(
+        F.col("score").isNull().alias("unscored"), (-F.col("score")).alias("s"), "first_ord",
+        "pred_sid")))
+    per = best.groupBy("sample_id").agg(F.slice(sids, 1, k).alias("top"),
+                                        F.min_by("text", "first_ord").alias("first_text"))
     prefix = F.concat(F.substring_index("first_text", THINK_CLOSE, 1), F.lit(THINK_CLOSE))
-    top = top.join(first, "sample_id").withColumn("prefix", prefix)
-    kept = top.select("sample_id", "rank", "prefix", "pred_sid", "score")
-    out = pad_candidates(kept, k, step)
-    return out.select("sample_id", "rank",
-                      F.concat("prefix", F.lit("\n"), "pred_sid").alias("text"),
-                      "pred_sid", "score", "padded")
+    ranks = F.transform(F.sequence(F.lit(1), F.lit(k)), lambda r: F.struct(
+        r.cast("bigint").alias("rank"), F.element_at("top", F.least(r, F.size("top"))).alias("c"),
+        F.greatest(r - F.size("top"), F.lit(0)).alias("pad")))
+    rows = per.select("sample_id", prefix.alias("prefix"), F.explode(ranks).alias("r"))
+    i = F.col("r.pad")
+    score = -F.col("r.c.s")
+    return rows.select("sample_id", F.col("r.rank").alias("rank"),
+                       F.concat("prefix", F.lit("\n"), "r.c.pred_sid").alias("text"),
+                       F.col("r.c.pred_sid").alias("pred_sid"),
+                       F.when(i > 0, score - F.lit(step / 2) * i * (i + 1)).otherwise(score)
+                       .alias("score"), (i > 0).alias("padded"))
 
 
 def pad_candidates(ranked: DataFrame, k: int = 10, step: float = 0.1) -> DataFrame:
@@ -113,11 +121,12 @@ def pad_candidates(ranked: DataFrame, k: int = 10, step: float = 0.1) -> DataFra
 
 
 def generate_candidates(prompts: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame],
-                        schema: str = "sample_id long, think_idx int, beam_idx int, "
+                        schema: str = "sample_id string, think_idx int, beam_idx int, "
                                       "text string, score double",
                         batch_rows: int | None = None) -> DataFrame:
     """Plug-in batch scorer.  ``fn`` maps a pandas batch of prompts
-    (``sample_id``, ``prompt``, ...) to candidate rows of ``schema``.  Runs in
+    (``sample_id``, ``prompt``, ...) of at most ``batch_rows`` rows to candidate rows
+    of ``schema``.  Runs in
     Arrow batches through ``mapInPandas``; no model ships with this package.
     """
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -126,30 +135,36 @@ def generate_candidates(prompts: DataFrame, fn: Callable[[pd.DataFrame], pd.Data
             if out is not None and len(out):
                 yield out
 
+    def batched(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for at in range(0, len(pdf), batch_rows or max(1, len(pdf))):
+                yield pdf.iloc[at:at + (batch_rows or len(pdf))]
+
     ship_package(prompts.sparkSession)
-    df = prompts
-    if batch_rows:
-        df = df.repartition(max(1, batch_rows))
-    return df.mapInPandas(run, schema)
+    return prompts.mapInPandas(lambda batches: run(batched(batches)), schema)
 
 
 def transition_candidates(train_seqs: DataFrame, last_items: DataFrame, k: int = 10) -> DataFrame:
     """Default candidate generator without a model.
 
-    ``train_seqs``: ``(user_id, pos, sid)`` training histories.  Counts
-    item -> next item transitions (a self-join on consecutive positions, keyed
-    by ``(user_id, pos)`` which no hot user can skew), keeps the top ``k``
-    successors per item by count then SID, and proposes them for each
-    ``last_items`` row ``(sample_id, sid)``.
-    Returns ``(sample_id, beam_idx, pred_sid, score)``.
+    ``train_seqs``: ``(user_id, pos, sid)`` training histories of resolved items.
+    They are renumbered without gaps, then item -> next item transitions are
+    counted (a self-join on consecutive positions, keyed by ``(user_id, pos)``
+    which no hot user can skew); the top ``k`` successors per item by count then
+    SID are proposed for each ``last_items`` row ``(sample_id, sid)``.
+    Returns candidates ``(sample_id, think_idx, beam_idx, text, pred_sid, score)``
+    that the evaluation jobs take as they are.
     """
-    a = train_seqs.select("user_id", "pos", F.col("sid").alias("src"))
-    b = train_seqs.select("user_id", (F.col("pos") - 1).alias("pos"), F.col("sid").alias("dst"))
+    dense = positions(train_seqs.select("user_id", F.col("pos").alias("at"), "sid"), ["user_id"],
+                      ["at"], bucket=F.floor(F.col("at") / CHUNK_SIZE))
+    a = dense.select("user_id", "pos", F.col("sid").alias("src"))
+    b = dense.select("user_id", (F.col("pos") - 1).alias("pos"), F.col("sid").alias("dst"))
     pairs = a.join(b, ["user_id", "pos"]).groupBy("src", "dst").agg(
         F.count(F.lit(1)).alias("cnt"))
     w = Window.partitionBy("src").orderBy(F.col("cnt").desc(), F.col("dst"))
     top = (pairs.withColumn("beam_idx", (F.row_number().over(w) - 1).cast("int"))
            .where(F.col("beam_idx") < k))
     return (last_items.select("sample_id", F.col("sid").alias("src")).join(top, "src")
-            .select("sample_id", "beam_idx", F.col("dst").alias("pred_sid"),
+            .select("sample_id", F.lit(0).alias("think_idx"), "beam_idx", F.col("dst").alias("text"),
+                    F.col("dst").alias("pred_sid"),
                     F.col("cnt").cast("double").alias("score")))

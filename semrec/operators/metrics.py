@@ -9,6 +9,7 @@ Metrics follow the reference's edge rules exactly:
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
@@ -17,33 +18,31 @@ from pyspark.sql import functions as F
 from ..functions.sid import extract_first_sid, extract_sid_strict
 from .ordered import global_row_number
 
+#: Report blocks summed together before the running sum over spans.
+SPAN = 4096
 DEFAULT_METRICS = ["hit@1", "hit@5", "hit@10", "ndcg@5", "ndcg@10"]
 
 
 def parse_metrics(metrics: Sequence[str]) -> list[tuple[str, str, int]]:
-    """D16 name parsing: ``hit@k`` / ``ndcg@k`` (case-insensitive prefix)."""
-    out = []
-    for m in metrics:
-        low = m.lower()
-        if low.startswith("hit"):
-            kind = "hit"
-        elif low.startswith("ndcg"):
-            kind = "ndcg"
-        else:
-            raise NotImplementedError(f"Metric {m} not implemented")
-        out.append((m, kind, int(m.split("@")[1])))
-    return out
+    """D16 name parsing: ``hit@k`` / ``ndcg@k`` in any case; other names are a ``ValueError``."""
+    found = [(m, re.fullmatch(r"(hit|ndcg)\w*@([1-9]\d*)", m.strip(), re.IGNORECASE)) for m in metrics]
+    unknown = [m for m, hit in found if hit is None]
+    if unknown:
+        raise ValueError(f"unknown metrics: {', '.join(unknown)}")
+    return [(m, hit[1].lower(), int(hit[2])) for m, hit in found]
 
 
 def match_truth(ranked: DataFrame, truth: DataFrame, pred_col: str = "pred_sid",
                 levels: int = 3) -> DataFrame:
     """``rel`` = 1 when the prediction equals the target's first SID.
 
-    ``truth``: ``(sample_id, groundtruth)``; joined on ``sample_id`` (unique).
+    ``truth``: ``(sample_id, groundtruth)`` decides the samples (``sample_id`` is
+    unique); one without any candidate keeps one row with a null ``rank`` and
+    ``rel`` 0, so it counts as a miss in every metric.
     """
     t = truth.select("sample_id", extract_first_sid("groundtruth", levels).alias("target"))
-    return (ranked.join(t, "sample_id")
-            .withColumn("rel", (F.col(pred_col) == F.col("target")).cast("int")))
+    rel = F.coalesce((F.col(pred_col) == F.col("target")).cast("int"), F.lit(0))
+    return t.join(ranked, "sample_id", "left").withColumn("rel", rel)
 
 
 def per_sample_metrics(rel: DataFrame, metrics: Sequence[str] = DEFAULT_METRICS) -> DataFrame:
@@ -52,8 +51,7 @@ def per_sample_metrics(rel: DataFrame, metrics: Sequence[str] = DEFAULT_METRICS)
     ``rel``: ``(sample_id, rank, rel)``; one shuffle on ``sample_id``.
     """
     r, rank = F.col("rel"), F.col("rank")
-    n = F.count(F.lit(1))
-    aggs = [n.alias("n")]
+    aggs = [F.count(rank).alias("n")]  # a null rank marks a sample without candidates
     for name, kind, k in parse_metrics(metrics):
         if kind == "hit":
             aggs.append(F.max(F.when(rank <= k, r).otherwise(0)).alias(f"_h{k}"))
@@ -146,9 +144,19 @@ def running_metrics(rel: DataFrame, batch_size: int, every: int,
     block = F.ceil((F.floor((F.col("_rn") - 1) / batch_size) + 1) / every).cast("bigint")
     sums = per.groupBy(block.alias("block")).agg(
         F.count(F.lit(1)).alias("_n"), *[F.sum(f"`{m}`").alias(m) for m in metrics])
-    w = Window.orderBy("block").rowsBetween(Window.unboundedPreceding, 0)
-    cum = sums.select("block", F.sum("_n").over(w).alias("samples"),
-                      *[F.sum(f"`{m}`").over(w).alias(m) for m in metrics])
+    # running sums in two levels: inside a span of blocks, and over the few spans
+    sums = sums.withColumn("_span", F.floor(F.col("block") / SPAN))
+    inside = Window.partitionBy("_span").orderBy("block").rowsBetween(Window.unboundedPreceding, 0)
+    before = Window.orderBy("_span").rowsBetween(Window.unboundedPreceding, -1)
+    names = ["_n", *metrics]
+    spans = sums.groupBy("_span").agg(*[F.sum(f"`{c}`").alias(f"_t{i}") for i, c in enumerate(names)])
+    starts = spans.select("_span", *[F.coalesce(F.sum(f"_t{i}").over(before), F.lit(0)).alias(f"_s{i}")
+                                     for i in range(len(names))])
+    cum = (sums.select("_span", "block", *[F.sum(f"`{c}`").over(inside).alias(f"_c{i}")
+                                           for i, c in enumerate(names)])
+           .join(starts, "_span")
+           .select("block", *[(F.col(f"_c{i}") + F.col(f"_s{i}")).alias("samples" if i == 0 else c)
+                              for i, c in enumerate(names)]))
     # only complete report blocks are reported
     cum = cum.where(F.col("samples") >= F.col("block") * batch_size * every)
     wide = cum.select((F.col("block") * every).alias("step"), "samples",

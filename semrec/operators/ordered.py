@@ -3,8 +3,8 @@
 A single user (or sample) may own a large share of all rows.  Nothing here
 collects a whole group into one array:
 
-* ``positions``       dense 1..n order index per group (sort-based window,
-                      spills instead of holding the group in memory);
+* ``positions``       dense 1..n order index per group, numbered per slice of the
+                      order (a hot group spans many slices and tasks);
 * ``ordered_concat``  joins a group's values in order in two levels: fixed-size
                       chunks of ``chunk_size`` rows are assembled in parallel
                       tasks, then only the chunk strings are joined;
@@ -19,64 +19,70 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
-from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_dir, sized_broadcast
-
 CHUNK_SIZE = 512
+#: Slices of an order, and keys sampled to find their bounds.
+BUCKETS, SAMPLE = 64, 2048
 
 
 def _cols(cs: Sequence[str | Column]) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in cs]
 
 
-def _stamped(df: DataFrame, cols: list[Column]) -> DataFrame:
-    """Range-partition and sort by ``cols``, stamp partition id and in-partition
-    row id, and checkpoint the result.
+def _literal(value) -> Column:
+    return F.struct(*[F.lit(v) if v is not None else F.lit(None) for v in value])
 
-    The ids are read by two branches (per-partition counts, and the rows
-    themselves).  A reliable checkpoint in the cluster's checkpoint folder
-    gives both the same partitioning: two independent range exchanges would
-    each sample their own bounds, and the stamped ids survive executor loss.
-    """
-    checkpoint_dir(df.sparkSession)
-    # the range exchange reads its input twice (bound sampling, then the
-    # shuffle); keep it cached only while the checkpoint is written
-    src = df.persist(StorageLevel.MEMORY_AND_DISK)
-    s = (src.repartitionByRange(*cols).sortWithinPartitions(*cols)
-         .withColumn("_pid", F.spark_partition_id())
-         .withColumn("_mid", F.monotonically_increasing_id()))
-    out = s.checkpoint(eager=True)
-    src.unpersist()
-    return out
 
+def order_bucket(df: DataFrame, cols: list[Column], buckets: int = BUCKETS) -> Column:
+    """Number (0 .. buckets - 1) of the slice of the order that a row falls into.
 
-def positions(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
-              out: str = "pos", skew_safe: bool = True) -> DataFrame:
-    """Add ``out`` = 1-based rank of each row within ``keys`` by ``order``.
+    The bounds are quantiles of a bounded sample of order keys (the
+    ``SAMPLE`` smallest hashes, one small job) and enter the plan as literals, so the
+    bucket of a row never depends on the layout or on a recomputation.
+    """
+    key = F.struct(*[c.alias(f"k{i}") for i, c in enumerate(cols)])
+    drawn = (df.select(key.alias("k")).orderBy(F.xxhash64("k"), "k").limit(SAMPLE)
+             .orderBy("k").collect())
+    step = max(1, -(-len(drawn) // buckets))
+    bounds = [r["k"] for r in drawn[step::step]]
+    if not bounds:
+        return F.lit(0)
+    kind = df.select(key.alias("k")).schema["k"].dataType
+    return F.size(F.filter(F.array(*[_literal(b).cast(kind) for b in bounds]), lambda b: key >= b))
 
-    ``order`` must be unique within a group (callers add a tie-breaker).
 
-    ``skew_safe`` (default): range-partition and sort by ``(keys, order)`` so a
-    hot group is cut across many partitions, then number rows as the group's
-    offset at that partition (a running count over a table with one row per
-    ``(group, partition)`` block) plus the row's index inside the block.
-    Otherwise a plain ``row_number`` window, which sorts each group in one task.
+def positions(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
+              out: str = "pos", skew_safe: bool = True, bucket: Column | None = None) -> DataFrame:
+    """Add ``out`` = 1-based rank of each row within ``keys`` by ``order`` (ascending, nulls first).
+
+    ``order`` must be unique within a group (callers add a tie-breaker).  Rows with
+    null keys form groups like any other.
+
+    ``skew_safe`` (default): rows are counted per ``(keys, bucket)`` with map-side
+    combine, where ``bucket`` is a coarse function of the order (default:
+    :func:`order_bucket`); a running count over that small table gives each
+    bucket's offset and a window numbers the rows inside a bucket, so a hot
+    group is spread over its buckets.  Otherwise a plain ``row_number`` window,
+    which sorts each group in one task.
     """
+    keys, cols = list(keys), _cols(order)
     if not skew_safe:
-        w = Window.partitionBy(*keys).orderBy(*_cols(order))
+        w = Window.partitionBy(*keys).orderBy(*cols)
         return df.withColumn(out, F.row_number().over(w).cast("bigint"))
-    keys = list(keys)
-    cols = [F.col(k) for k in keys] + _cols(order)
-    s = _stamped(df, cols)
-    blocks = s.groupBy(*keys, "_pid").agg(F.count(F.lit(1)).alias("_cnt"),
-                                          F.min("_mid").alias("_base"))
-    w = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = blocks.withColumn("_off", F.coalesce(F.sum("_cnt").over(w), F.lit(0)))
-    return (s.join(sized_broadcast(blocks.drop("_cnt")), [*keys, "_pid"])
-            .withColumn(out, (F.col("_off") + F.col("_mid") - F.col("_base") + 1).cast("bigint"))
-            .drop("_pid", "_mid", "_base", "_off"))
+    s = df.withColumn("_b", order_bucket(df, cols) if bucket is None else bucket)
+    before = (Window.partitionBy(*keys).orderBy("_b")
+              .rowsBetween(Window.unboundedPreceding, -1))
+    starts = (s.groupBy(*keys, "_b").agg(F.count(F.lit(1)).alias("_cnt"))
+              .select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col("_b").alias("_sb"),
+                      F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off")))
+    inside = F.row_number().over(Window.partitionBy(*keys, "_b").orderBy(*cols))
+    on = F.col("_b").eqNullSafe(F.col("_sb"))
+    for i, k in enumerate(keys):
+        on = on & F.col(k).eqNullSafe(F.col(f"_k{i}"))
+    return (s.withColumn("_in", inside).join(starts, on)
+            .withColumn(out, (F.col("_off") + F.col("_in")).cast("bigint"))
+            .drop("_b", "_in", "_sb", "_off", *[f"_k{i}" for i in range(len(keys))]))
 
 
 def last_k(df: DataFrame, keys: Sequence[str], order_col: str, k: int,
@@ -97,7 +103,9 @@ def ordered_concat(df: DataFrame, keys: Sequence[str], order_col: str, value_col
     """
     keys = list(keys)
     chunked = (df.select(*keys, F.col(order_col).alias("_o"), F.col(value_col).alias("_v"))
-               .withColumn("_chunk", F.floor(F.col("_o") / chunk_size)))
+               .withColumn("_chunk", F.floor(F.col("_o") / chunk_size))
+               # its own exchange: an input dealt by ``keys`` alone would keep a hot group in one task
+               .repartition(*keys, "_chunk"))
     level1 = chunked.groupBy(*keys, "_chunk").agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_o", "_v"))),
                                  lambda x: x["_v"]), sep).alias("_part"),
@@ -111,20 +119,21 @@ def ordered_concat(df: DataFrame, keys: Sequence[str], order_col: str, value_col
 
 def global_row_number(df: DataFrame, order: Sequence[str | Column], out: str = "rn",
                       total_out: str | None = None) -> DataFrame:
-    """Dense 1..N row number in ``order`` without a single-partition window.
+    """Dense 1..N row number in ``order`` without a single-partition window over rows.
 
-    Range-partition and sort by ``order``; each row's number is its partition's
-    offset (a running sum over one count per partition, a table of at most
-    ``#partitions`` rows) plus its index inside the partition.  ``order``
-    must be unique so a recomputed partition numbers its rows identically.
-    ``total_out`` adds the total row count taken from the same small table.
+    Rows are counted per :func:`order_bucket`; a running sum over that table (at most
+    ``BUCKETS`` rows) gives each bucket's offset, a window per bucket the rest.
+    ``order`` must be unique.  ``total_out`` adds the total row count from the same
+    small table.
     """
-    s = _stamped(df, _cols(order))
-    sizes = s.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"), F.min("_mid").alias("_base"))
-    w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.withColumn("_off", F.coalesce(F.sum("_cnt").over(w), F.lit(0)))
+    cols = _cols(order)
+    s = df.withColumn("_b", order_bucket(df, cols))
+    sizes = s.groupBy("_b").agg(F.count(F.lit(1)).alias("_cnt"))
+    w = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.withColumn("_off", F.coalesce(F.sum("_cnt").over(w), F.lit(0)))
     if total_out:
-        offsets = offsets.withColumn(total_out, F.sum("_cnt").over(Window.partitionBy()))
-    return (s.join(F.broadcast(offsets), "_pid")
-            .withColumn(out, (F.col("_off") + F.col("_mid") - F.col("_base") + 1).cast("bigint"))
-            .drop("_pid", "_mid", "_cnt", "_base", "_off"))
+        starts = starts.withColumn(total_out, F.sum("_cnt").over(Window.partitionBy()))
+    inside = F.row_number().over(Window.partitionBy("_b").orderBy(*cols))
+    return (s.withColumn("_in", inside).join(F.broadcast(starts.drop("_cnt")), "_b")
+            .withColumn(out, (F.col("_off") + F.col("_in")).cast("bigint"))
+            .drop("_b", "_in", "_off"))

@@ -47,18 +47,20 @@ catalog as (
 
 FIXTURES["interactions"] = """
 interactions as (
-  select cast(o_custkey as varchar) user_id, pos, cast(l_partkey as varchar) item_id,
-         o_custkey, l_partkey
+  select cast(o_custkey as varchar) ||
+           case when o_custkey % 3 = 0 then '-' || cast((p - 1) // (o_custkey % 7 + 1) as varchar)
+                else '' end user_id,
+         case when o_custkey % 3 = 0 then (p - 1) % (o_custkey % 7 + 1) + 1 else p end pos,
+         cast(l_partkey as varchar) item_id, o_custkey, l_partkey
   from (select o_custkey, l_partkey,
                row_number() over (partition by o_custkey
-                                  order by l_shipdate, l_orderkey, l_linenumber, l_partkey) pos
-        from lineitem join orders on l_orderkey = o_orderkey) t
-  where o_custkey % 3 <> 0 or pos <= o_custkey % 7)"""
+                                  order by l_shipdate, l_orderkey, l_linenumber, l_partkey) p
+        from lineitem join orders on l_orderkey = o_orderkey) t)"""
 
 FIXTURES["behaviors"] = """
 behaviors as (
   select cast(e.user_id as varchar) user_id,
-    cast((e.event_id * 13) % 180 as varchar) item_id,
+    cast((e.event_id * 13) % (select count(*) from documents) as varchar) item_id,
     case when e.event_id % 13 = 0 then null when e.event_id % 13 = 12 then 5
          else cast(e.event_id % 2 + 1 as integer) end photo_type,
     case e.event_type when 'purchase' then 'PRODUCE' when 'signup' then 'SEARCH'
@@ -76,10 +78,10 @@ behaviors as (
     case when e.event_id % 47 = 0 then null
          when e.event_id % 5 = 4 then d.text || chr(13) || 'tail' else d.text end prompt,
     case when e.event_id % 4 = 0 then '' when e.event_id % 4 = 1 then null
-         else 'Work ' || cast((e.event_id * 13) % 180 as varchar) ||
+         else 'Work ' || cast((e.event_id * 13) % (select count(*) from documents) as varchar) ||
               case when e.event_id % 10 = 2 then chr(13) || 'cut' else '' end end title,
     case when e.event_id % 6 = 0 then null when e.event_id % 6 = 3 then ''
-         else substring(d.text, 1, 120) || chr(8232) || 'intro' end introduction,
+         else d.text || chr(8232) || 'intro' end introduction,
     case when e.event_type = 'signup' then
       case when e.event_id % 5 = 0 then '' when e.event_id % 5 = 1 then null
            else 'query ' || cast(e.event_id % 7 as varchar) || chr(8233) end end element_query_content,
@@ -89,18 +91,21 @@ behaviors as (
       '","query_cnt":' || cast(e.event_id % 9 as varchar) || '}' extra_info,
     case when e.event_id % 53 = 0 then null when e.event_id % 31 = 0 then ''
          when e.event_id % 37 = 0 then '[1,' when e.event_id % 43 = 0 then '[]'
+         when e.event_id % 59 = 0 then '[1,2,3] x' when e.event_id % 61 = 0 then '[1,2,3]]'
+         when e.event_id % 67 = 0 then '[1,null]' when e.event_id % 71 = 0 then '(1,2,3)'
+         when e.event_id % 73 = 0 then '[1,2,]'
          else ' [' || cast(e.event_id % 256 as varchar) || ',' || cast(e.user_id % 256 as varchar) ||
-              ',' || cast((e.event_id * 13) % 180 as varchar) || '] ' end semantic_id,
+              ',' || cast((e.event_id * 13) % (select count(*) from documents) as varchar) || '] ' end semantic_id,
     strftime(e.ts, '%Y%m%d') p_date,
     e.event_id
-  from events e left join documents d on d.doc_id = (e.event_id * 13) % 180)"""
+  from events e left join documents d on d.doc_id = (e.event_id * 13) % (select count(*) from documents))"""
 
 FIXTURES["truth"] = """
 truth as (
-  select o_custkey sample_id, arg_max(k.sid, i.pos) groundtruth
+  select i.user_id sample_id, arg_max(k.sid, i.pos) groundtruth
   from interactions i join catalog k on i.l_partkey = k.p_partkey
   where k.sid is not null
-  group by o_custkey having count(*) >= 2)"""
+  group by i.user_id having count(*) >= 2)"""
 
 FIXTURES["candidates"] = """
 candidates as (
@@ -108,14 +113,16 @@ candidates as (
     cast(g.beam_idx as integer) beam_idx,
     '<think>' || chr(10) || 'reason ' || cast(g.think_idx as varchar) || chr(10) || '</think>' ||
       chr(10) ||
-      case when (g.sample_id * 7 + g.think_idx * 3 + g.beam_idx) % 23 = 0 then g.groundtruth
-           when (g.sample_id + g.beam_idx) % 13 = 0 then 'no id here'
+      case when (g.s * 7 + g.think_idx * 3 + g.beam_idx) % 23 = 0 then g.groundtruth
+           when (g.s + g.beam_idx) % 13 = 0 then 'no id here'
            else coalesce(k.sid, 'unknown') end text,
-    -cast((g.sample_id * 31 + g.think_idx * 17 + g.beam_idx * 29) % 97 as double) / 10 score
-  from (select t.sample_id, t.groundtruth, a.x think_idx, b.x beam_idx
-        from truth t, range(0, 5) a(x), range(0, 10) b(x)
-        where t.sample_id % 10 <> 0 or b.x < 4) g
-  left join catalog k on k.p_partkey = (g.sample_id * 37 + g.think_idx * 5 + g.beam_idx * 3) % 1500)"""
+    -cast((g.s * 31 + g.think_idx * 17 + g.beam_idx * 29) % 97 as double) / 10 score
+  from (select t.sample_id, t.s, t.groundtruth, a.x think_idx, b.x beam_idx
+        from (select *, cast(split_part(sample_id, '-', 1) as bigint) s from truth) t,
+             range(0, 5) a(x), range(0, 10) b(x)
+        where t.s % 29 <> 0 and (t.s % 10 <> 0 or b.x < 4)) g
+  left join catalog k on k.p_partkey =
+    (g.s * 37 + g.think_idx * 5 + g.beam_idx * 3) % (select count(*) from part))"""
 
 # Dependencies between the fixtures (emitted in this order).
 _ORDER = ["catalog", "interactions", "behaviors", "truth", "candidates"]

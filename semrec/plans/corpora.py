@@ -38,3 +38,13 @@ def align_text(corpus: DataFrame) -> DataFrame:
     """The alignment description is the training text."""
     return corpus.select(*[c for c in ("split", "user_id") if c in corpus.columns],
                          F.col("description").alias("text"))
+
+
+def by_line(build, sequences: DataFrame, items: DataFrame, *more) -> DataFrame:
+    """``build`` (a corpus of this module) over sequence lines: two lines of one user are
+    two histories.  ``sequences``: ``(line_id, user_id, pos, item_id)``."""
+    mark = "\x1f"
+    keyed = sequences.select(F.concat_ws(mark, F.col("line_id").cast("string"), "user_id")
+                             .alias("user_id"), "pos", "item_id")
+    out = build(keyed, items, *more)
+    return out.withColumn("user_id", F.substring_index("user_id", mark, -1))

@@ -39,7 +39,7 @@ def query(name: str, sql: str | None = None):
 
 # ---------------------------------------------------------------- corpora ---
 
-_K2_SQL = O.with_fixtures("""
+_K2_CTE = """sid_corpus as (
 select s.split, q.user_id,
        'The user has purchased the following items: ' ||
          array_to_string(q.seq[1:len(q.seq) - s.k - 1], '; ') || ';' description,
@@ -48,7 +48,11 @@ from (select user_id, list(sid order by pos) seq
       from interactions i join catalog k using (item_id)
       where coalesce(k.sid, '') <> '' group by user_id) q,
      (values ('train', 2), ('val', 1), ('test', 0)) s(split, k)
-where len(q.seq) >= s.k + 2""", "interactions", "catalog")
+where len(q.seq) >= s.k + 2)"""
+
+
+_K2_SQL = O.with_fixtures("select split, user_id, description, groundtruth from sid_corpus",
+                          "interactions", "catalog", extra=[_K2_CTE])
 
 
 @query("sid_prediction_corpus", _K2_SQL)
@@ -56,17 +60,6 @@ def q_sid_prediction_corpus(spark: SparkSession, sf: str) -> DataFrame:
     return corpora.sid_prediction_corpus(fx.interactions(spark, sf), fx.catalog(spark, sf))
 
 
-_K2_CTE = """sid_corpus as (
-select s.split, q.user_id,
-       'The user has purchased the following items: ' ||
-         array_to_string(q.seq[1:len(q.seq) - s.k - 1], '; ') || ';' description,
-       q.seq[len(q.seq) - s.k] groundtruth
-from (select user_id, list(sid order by pos) seq
-      from interactions i join catalog k using (item_id)
-      where coalesce(k.sid, '') <> '' group by user_id) q,
-     (values ('train', 2), ('val', 1), ('test', 0)) s(split, k)
-where len(q.seq) >= s.k + 2)"""
-
 _PHRASE_SQL = ("sid || ', its title is \"' || coalesce(title, '') || '\", its categories are \"' || "
                "coalesce(categories, '') || '\"'")
 
@@ -163,24 +156,30 @@ _EXTRA_SQL = f"""select *, json_extract_string(extra_info, '$.played_dur') playe
        json_extract_string(extra_info, '$.query_cnt') query_cnt
 from ({_VALID_SQL}) v"""
 
+_LONG_ENOUGH = ("(platform_type = 'App' or (platform_type = 'Web' "
+                "and try_cast(played_dur as double) >= 5))")
+
 _PLOG_CTE = f"""plog as (
 select user_id, item_id, photo_type, event_type, behavior_type, behavior_subtype, time_stamp,
        content_type, {_clean('prompt')} prompt, {_clean('title')} title,
        {_clean('introduction')} introduction,
        {_clean('element_query_content')} element_query_content, query_cnt, semantic_id, event_id
 from ({_EXTRA_SQL}) r
-where event_type = 'PRODUCE'
-   or (behavior_type = 'OPERATE' and behavior_subtype in
-       ('LIKE', 'UNLIKE', 'COMMENT', 'SHARE', 'SAME_STYLE', 'REPORT'))
-   or behavior_type = 'VIDEO_PLAY_FINISH'
-   or (behavior_type in ('LONG_PLAY', 'SHORT_PLAY') and platform_type = 'Web'
-       and try_cast(played_dur as double) >= 5)
-   or (behavior_type in ('LONG_PLAY', 'SHORT_PLAY') and platform_type = 'App')
-   or ((platform_type = 'Web' and element_action in ('FANC_CARD') and behavior_type = 'OPERATE'
-        and behavior_subtype = 'LARGE')
-       or (platform_type = 'App' and behavior_type = 'OPERATE' and behavior_subtype = 'LARGE')))"""
-
-_PARSED = f"case when {O.strip('semantic_id')} <> '' then try_cast({O.strip('semantic_id')} as bigint[]) end"
+where event_type = 'PRODUCE' or case behavior_type
+  when 'VIDEO_PLAY_FINISH' then true
+  when 'LONG_PLAY' then {_LONG_ENOUGH} when 'SHORT_PLAY' then {_LONG_ENOUGH}
+  when 'OPERATE' then case behavior_subtype
+    when 'LARGE' then platform_type = 'App' or (platform_type = 'Web' and element_action = 'FANC_CARD')
+    else behavior_subtype in ('LIKE', 'UNLIKE', 'COMMENT', 'SHARE', 'SAME_STYLE', 'REPORT') end
+  end)"""
+
+# a list or tuple of integers and nothing else, as a literal parser takes it
+_INTS = r"[+-]?(0+|[1-9][0-9]*)"
+_LITERAL = (rf"(\\[\\s*({_INTS}\\s*(,\\s*{_INTS}\\s*)*,?\\s*)?\\]"
+            rf"|\\(\\s*({_INTS}\\s*,\\s*({_INTS}\\s*(,\\s*{_INTS}\\s*)*,?\\s*)?)?\\))")
+_PARSED = (f"case when regexp_full_match({O.strip('semantic_id')}, '{_LITERAL}') then "
+           f"list_transform(regexp_extract_all({O.strip('semantic_id')}, '[+-]?[0-9]+'), "
+           "lambda x: try_cast(x as bigint)) end").replace("\\\\", "\\")
 
 _PARSEABLE_CTE = f"""prows as (select *, {_PARSED} codes from plog where ({_PARSED}) is not null)"""
 
@@ -233,7 +232,7 @@ def q_positive_behaviors(spark, sf):
 @query("scan_behavior_partition", _bsql(_present_log_sql(
     "(select p.* from plog p join behaviors b using (event_id) where b.p_date = '20240102') q")))
 def q_scan_behavior_partition(spark, sf):
-    raw = bh.require_partition(fx.behaviors(spark, sf), "20240102")
+    raw = bh.require_partition(fx.behavior_table(spark, sf), "20240102")
     return _present_log(bh.positive_log(raw))
 
 
@@ -411,12 +410,15 @@ def _tsql(body: str, *extra: str, more: tuple[str, ...] = ()) -> str:
 
 
 @query("sid_vocabulary_encode", O.with_fixtures("""
-select s.sid, s.pos, s.token, v.token_id from csteps s join vocab v using (token)""",
+select s.sid, s.pos, s.token, v.token_id, 1024 padded_size
+from csteps s join vocab v using (token)""",
                                                 "catalog", extra=[_VOCAB_CTE, _steps("catalog")]))
 def q_sid_vocabulary_encode(spark, sf):
     vocab = trie.sid_vocabulary(spark)
     sids = fx.catalog(spark, sf).where(F.col("sid").isNotNull()).select("sid")
-    return trie.encode_sid_tokens(sids, vocab).select("sid", "pos", "token", "token_id")
+    size = vocab.select("token_id", F.col("padded_size").cast("int").alias("padded_size"))
+    return trie.encode_sid_tokens(sids, vocab).join(F.broadcast(size), "token_id").select(
+        "sid", "pos", "token", "token_id", "padded_size")  # levels x 256 + 2 rows
 
 
 @query("next_token", O.with_fixtures("select sid, pos, token, next_token from csteps", "catalog",
@@ -534,7 +536,7 @@ def _metric_sql(rel: str, metrics=METRICS, extra_keys: str = "") -> str:
             parts.append(f"max(case when rank <= {k} then rel else 0 end) h{k}")
         else:
             parts.append(f"sum(case when rank <= {k} then rel / log2(rank + 1) else 0 end) d{k}")
-    per = f"select sample_id, count(*) n, {', '.join(parts)} from {rel} group by sample_id"
+    per = f"select sample_id, count(rank) n, {', '.join(parts)} from {rel} group by sample_id"
     cols = []
     for i, m in enumerate(metrics):
         k = int(m.split("@")[1])
@@ -553,10 +555,11 @@ def _rounded(df: DataFrame, col: str = "value") -> DataFrame:
 
 
 _DIRECT_REL_CTE = """drel as (
-select sample_id, think_idx, beam_idx, pred_sid, score,
-       row_number() over (partition by sample_id order by score desc, think_idx, beam_idx) rank,
-       cast(pred_sid = """ + O.first_sid("groundtruth") + """ as integer) rel
-from preds where think_idx = 0)"""
+select t.sample_id, p.think_idx, p.beam_idx, p.pred_sid, p.score,
+       case when p.sample_id is not null then row_number() over (
+         partition by t.sample_id order by p.score desc, p.think_idx, p.beam_idx) end rank,
+       coalesce(cast(p.pred_sid = """ + O.first_sid("t.groundtruth") + """ as integer), 0) rel
+from truth t left join (select * from preds where think_idx = 0) p on p.sample_id = t.sample_id)"""
 
 
 def _esql(body: str, *extra: str) -> str:
@@ -568,10 +571,12 @@ def _direct(spark, sf):
 
 
 @query("rank_candidates", _esql("""
-select sample_id, beam_idx, rank, pred_sid, rel from drel""", _DIRECT_REL_CTE))
+select sample_id, coalesce(beam_idx, -1) beam_idx, coalesce(rank, 0) rank, pred_sid, rel
+from drel""", _DIRECT_REL_CTE))
 def q_rank_candidates(spark, sf):
     return evaluation.direct_relevance(_direct(spark, sf), fx.truth(spark, sf)).select(
-        "sample_id", "beam_idx", "rank", "pred_sid", "rel")
+        "sample_id", F.coalesce("beam_idx", F.lit(-1)).alias("beam_idx"),
+        F.coalesce("rank", F.lit(0)).cast("bigint").alias("rank"), "pred_sid", "rel")
 
 
 @query("normalize_prediction", _esql("select sample_id, think_idx, beam_idx, pred_sid from preds"))
@@ -622,7 +627,10 @@ where m.m + r.i <= 10)"""
 
 _COT_REL_CTE = """crel as (
 select p.sample_id, p.rank, cast(p.pred_sid = """ + O.first_sid("t.groundtruth") + """ as integer) rel
-from padded p join truth t using (sample_id))"""
+from padded p join truth t using (sample_id)
+union all
+select t.sample_id, r.i, 0 from truth t, range(1, 11) r(i)
+where t.sample_id not in (select sample_id from padded))"""
 
 
 @query("best_score_per_sid", _esql(
@@ -702,10 +710,8 @@ def q_contiguous_shards_floor(spark, sf):
 
 
 _SHARDS_CTE = """shards as (
-select sample_id, shard from (
-  select sample_id, cast(floor((row_number() over (order by sample_id) - 1) /
-                               floor(count(*) over () / 8)) as integer) shard from truth) t
-where shard < 8)"""
+select sample_id, cast(floor((row_number() over (order by sample_id) - 1) /
+                             ceil(count(*) over () / 8.0)) as integer) shard from truth)"""
 
 
 def _per_shard_sql(rel: str) -> str:
@@ -718,7 +724,7 @@ def _per_shard_sql(rel: str) -> str:
         else:
             parts.append(f"sum(case when rank <= {k} then rel / log2(rank + 1) else 0 end) d{k}")
             cols.append(f"avg(d{k}) m{i}")
-    per = (f"select sample_id, count(*) n, {', '.join(parts)} from {rel} group by sample_id")
+    per = (f"select sample_id, count(rank) n, {', '.join(parts)} from {rel} group by sample_id")
     wide = (f"select s.shard, count(*) n, {', '.join(cols)} from ({per}) p "
             f"join shards s using (sample_id) group by s.shard")
     return "shard_metrics as (" + "\nunion all\n".join(
@@ -732,8 +738,7 @@ select metric, round(avg(round(value, 4)), 8) macro, round(sum(value * n) / sum(
 from shard_metrics group by metric""", _DIRECT_REL_CTE, _SHARDS_CTE, _per_shard_sql("drel")))
 def q_shard_metric_summary(spark, sf):
     rel = evaluation.direct_relevance(_direct(spark, sf), fx.truth(spark, sf))
-    shards = metrics_ops.contiguous_shards(fx.truth(spark, sf), 8, "floor").select(
-        "sample_id", "shard")
+    shards = metrics_ops.contiguous_shards(fx.truth(spark, sf), 8).select("sample_id", "shard")
     s = metrics_ops.shard_metric_summary(metrics_ops.sharded_metrics(rel, shards, METRICS))
     # the mean of 4-decimal shard values has at most 7 decimals: 8 avoids a tie
     return s.withColumn("macro", F.round("macro", 8)).withColumn("micro", F.round("micro", 6))
@@ -744,7 +749,7 @@ def _running_sql(rel: str, batch: int, every: int) -> str:
     for i, m in enumerate(METRICS):
         k = int(m.split("@")[1])
         if m.startswith("hit"):
-            parts.append(f"case when count(*) >= {k} and max(case when rank <= {k} then rel "
+            parts.append(f"case when count(rank) >= {k} and max(case when rank <= {k} then rel "
                          f"else 0 end) = 1 then 1.0 else 0.0 end m{i}")
         else:
             parts.append(f"sum(case when rank <= {k} then rel / log2(rank + 1) else 0 end) m{i}")
@@ -764,6 +769,20 @@ def q_running_metrics(spark, sf):
     return _rounded(out.select("step", "samples", "metric", "value"))
 
 
+_RR_CTE = """rr as (
+select i.user_id, i.pos, k.sid,
+       row_number() over (partition by i.user_id order by i.pos desc) r
+from interactions i join catalog k using (item_id) where coalesce(k.sid, '') <> '')"""
+
+_SUCCESSORS_CTE = """successors as (
+select src, dst, cnt from (
+  select src, dst, cnt, row_number() over (partition by src order by cnt desc, dst) n
+  from (select sid src, next_sid dst, count(*) cnt
+        from (select sid, lead(sid) over (partition by user_id order by pos) next_sid
+              from rr where r > 2) a
+        where next_sid is not null group by sid, next_sid) c) x where n <= 10)"""
+
+
 @query("default_candidates", O.with_fixtures("""
 select l.sample_id, t.beam_idx, t.dst pred_sid, cast(t.cnt as double) score
 from (select user_id sample_id, sid from rr where r = 2) l
@@ -771,18 +790,47 @@ join (select src, dst, cnt, beam_idx from (
         select src, dst, cnt,
                cast(row_number() over (partition by src order by cnt desc, dst) - 1 as integer)
                  beam_idx
-        from (select a.sid src, b.sid dst, count(*) cnt
-              from (select * from rr where r > 2) a join (select * from rr where r > 2) b
-                on a.user_id = b.user_id and b.pos = a.pos + 1
-              group by a.sid, b.sid) c) x where beam_idx < 10) t
-  on t.src = l.sid""", "interactions", "catalog", extra=["""rr as (
-select i.user_id, i.pos, k.sid,
-       row_number() over (partition by i.user_id order by i.pos desc) r
-from interactions i join catalog k using (item_id) where coalesce(k.sid, '') <> '')"""]))
+        from (select sid src, next_sid dst, count(*) cnt
+              from (select sid, lead(sid) over (partition by user_id order by pos) next_sid
+                    from rr where r > 2) a
+              where next_sid is not null group by sid, next_sid) c) x where beam_idx < 10) t
+  on t.src = l.sid""", "interactions", "catalog", extra=[_RR_CTE]))
 def q_default_candidates(spark, sf):
+    return _default_candidates(spark, sf).select("sample_id", "beam_idx", "pred_sid", "score")
+
+
+def _default_candidates(spark, sf):
     return evaluation.default_candidates(fx.interactions(spark, sf), fx.catalog(spark, sf), 10)
 
 
+_DEFAULT_REL_CTE = """drel as (
+select t.sample_id,
+       case when d.src is not null then row_number() over (
+         partition by t.sample_id order by d.cnt desc, d.dst) end rank,
+       coalesce(cast(d.dst = t.groundtruth as integer), 0) rel
+from truth t
+left join (select user_id, sid from rr where r = 2) l on l.user_id = t.sample_id
+left join successors d on d.src = l.sid)"""
+
+
+@query("evaluate_default_candidates", O.with_fixtures(
+    _metric_sql("drel"), "interactions", "catalog", "truth", extra=[_RR_CTE, _SUCCESSORS_CTE,
+                                                                   _DEFAULT_REL_CTE]))
+def q_evaluate_default_candidates(spark, sf):
+    return _rounded(evaluation.evaluate_direct(_default_candidates(spark, sf), fx.truth(spark, sf),
+                                               METRICS))
+
+
+@query("evaluate_legal", _esql(_metric_sql("drel"), """lpreds as (
+select p.* replace (case when l.sid is null then -1000.0::double else p.score end as score)
+from preds p left join (select distinct sid from catalog where sid is not null) l
+  on l.sid = p.pred_sid)""", _DIRECT_REL_CTE.replace("from preds", "from lpreds")))
+def q_evaluate_legal(spark, sf):
+    legal = fx.catalog(spark, sf).where(F.col("sid").isNotNull()).select("sid")
+    return _rounded(evaluation.evaluate_direct(_direct(spark, sf), fx.truth(spark, sf), METRICS,
+                                               legal=legal))
+
+
 # ------------------------------------------------------------ text / chat ---
 
 def _q(s: str) -> str:
@@ -845,7 +893,7 @@ def _gen_sql() -> str:
     return f"""gen as (
 select c.sample_id, c.think_idx, c.beam_idx, s.description u,
        {_opener_sql('s.description')} || c.text g
-from candidates c join sid_corpus s on s.user_id = cast(c.sample_id as varchar)
+from candidates c join sid_corpus s on s.user_id = c.sample_id
 where s.split = 'test')"""
 
 
@@ -916,12 +964,20 @@ from conversations group by conv_id)"""
 
 @query("loss_span", O.with_fixtures("""
 select conv_id, n_turns, length(text) n_chars,
-       cast(instr(text, '<|im_start|>user') - 1 as bigint) user_start
-from conv""", extra=[_CONV_CTE]))
+       cast(instr(text, '<|im_start|>user') - 1 as bigint) user_start,
+       instr(text, '<|im_start|>user') = 0 masked
+from conv
+union all
+select -1 - conv_id, count(*), sum(length('<|im_start|>' || role || text) + 12), -1, true
+from conversations where role <> 'user' group by conv_id""", extra=[_CONV_CTE]))
 def q_loss_span(spark, sf):
-    conv = chatf.conversation_text(read_table(spark, sf, "conversations"))
+    turns = read_table(spark, sf, "conversations")
+    # the same conversations without their user turns, under negative ids
+    silent = turns.where(F.col("role") != "user").withColumn("conv_id", -1 - F.col("conv_id"))
+    conv = chatf.conversation_text(turns.unionByName(silent))
+    span = txt.loss_span("text")
     return conv.select("conv_id", "n_turns", F.length("text").cast("bigint").alias("n_chars"),
-                       txt.loss_span("text")["start"].alias("user_start"))
+                       span["start"].alias("user_start"), span["masked"].alias("masked"))
 
 
 def _verb_case(col: str) -> str:
@@ -1029,9 +1085,9 @@ select c.split, c.user_id, c.description, c.groundtruth,
        case when m.user_id is not null then c.categories end categories,
        m.user_id is not null matched
 from ra_corpus c left join (
-  select distinct cast(sample_id as varchar) user_id,
+  select distinct sample_id user_id,
          nullif(regexp_extract(text, '{_STRICT3}', 0), '') sid
-  from candidates where think_idx < 2 and beam_idx < 5) m
+  from candidates) m
   on m.user_id = c.user_id and m.sid = nullif(regexp_extract(c.groundtruth, '{_STRICT3}', 0), ''))"""
 
 
@@ -1046,7 +1102,7 @@ def _k8_cands(spark, sf):
 
 @query("gate_rationales", _gsql("select split, user_id, title, categories, matched from gated"))
 def q_gate_rationales(spark, sf):
-    preds = _k8_cands(spark, sf).where((F.col("think_idx") < 2) & (F.col("beam_idx") < 5))
+    preds = _k8_cands(spark, sf)
     g = metrics_ops.gate_rationales(_ra_corpus(spark, sf), preds.select("user_id", "text"))
     return g.select("split", "user_id", "title", "categories", "matched")
 
@@ -1074,7 +1130,7 @@ def _sequence_text(spark, sf):
     variants real files have (tabs, padding, blank lines)."""
     inter = fx.interactions(spark, sf)
     lines = ordered_concat(inter, ["user_id"], "pos", "item_id", " ", "items")
-    u = F.col("user_id").cast("bigint")
+    u = fx.customer_number()
     body = F.concat_ws(" ", "user_id", "items")
     value = (F.when(u % 11 == 0, F.lit("   "))
              .when(u % 4 == 1, F.concat(F.lit("  "), F.regexp_replace(body, " ", "\t  "),
@@ -1084,8 +1140,8 @@ def _sequence_text(spark, sf):
 
 
 _SEQ_TEXT_CTE = """seqtext as (
-select case when cast(user_id as bigint) % 11 = 0 then '   '
-            when cast(user_id as bigint) % 4 = 1
+select case when cast(split_part(user_id, '-', 1) as bigint) % 11 = 0 then '   '
+            when cast(split_part(user_id, '-', 1) as bigint) % 4 = 1
               then '  ' || replace(user_id || ' ' || items, ' ', chr(9) || '  ') || ' ' || chr(9)
             else user_id || ' ' || items end value
 from (select user_id, string_agg(item_id, ' ' order by pos) items
@@ -1111,16 +1167,17 @@ def q_read_item_catalog(spark, sf):
 
 
 @query("read_eval_set", O.with_fixtures("""
-select coalesce(case when cast(user_id as bigint) % 5 = 0 then null else user_id end,
-                'user_' || cast(row_number() over (order by cast(user_id as bigint)) - 1
+select coalesce(case when cast(split_part(user_id, '-', 1) as bigint) % 5 = 0 then null
+                     else user_id end,
+                'user_' || cast(row_number() over (order by user_id) - 1
                                 as varchar)) user_id,
        description, groundtruth
 from sid_corpus where split = 'test'""", "interactions", "catalog", extra=[_K2_CTE]))
 def q_read_eval_set(spark, sf):
-    t = _test_corpus(spark, sf).withColumn("uid_num", F.col("user_id").cast("bigint"))
-    t = t.withColumn("user_id", F.when(F.col("uid_num") % 5 != 0, F.col("user_id")))
-    return readers.eval_set(t.select("user_id", "uid_num", "description", "groundtruth"),
-                            key="uid_num").select("user_id", "description", "groundtruth")
+    t = _test_corpus(spark, sf).withColumn("uid", F.col("user_id")).withColumn(
+        "user_id", F.when(fx.customer_number("uid") % 5 != 0, F.col("uid")))
+    return readers.eval_set(t.select("user_id", "uid", "description", "groundtruth"),
+                            key="uid").select("user_id", "description", "groundtruth")
 
 
 @query("stream_positive_behaviors", _bsql(_present_log_sql()))
@@ -1129,9 +1186,8 @@ def q_stream_positive_behaviors(spark, sf):
     from .session import checkpoint_dir
     from .streaming.behaviors import stream_positive_behaviors
     root = f"{checkpoint_dir(spark).rstrip('/')}/semrec-stream-{uuid.uuid4().hex}"
-    raw = fx.behaviors(spark, sf)
-    raw.write.partitionBy("p_date").parquet(f"{root}/raw")
-    return _present_log(stream_positive_behaviors(spark, f"{root}/raw", raw.schema,
+    raw = fx.behavior_table(spark, sf)  # the partitioned log itself is the stream's source
+    return _present_log(stream_positive_behaviors(spark, fx.behavior_path(spark, sf), raw.schema,
                                                   f"{root}/out", f"{root}/checkpoint"))
 
 
@@ -1140,24 +1196,24 @@ def _stub_scorer(pdf):
     recent SID of the prompt's history, score -b."""
     import pandas as pd
     from .functions.sid import sid_regex
-    pat = sid_regex(3)
-    rows = []
-    for sid_, desc in zip(pdf["sample_id"], pdf["prompt"]):
-        found = pd.Series([desc]).str.findall(pat).iloc[0]
-        for b in range(min(5, len(found))):
-            rows.append((int(sid_), 0, b, "<think>\n\n</think>\n" + found[-1 - b], float(-b)))
-    return pd.DataFrame(rows, columns=["sample_id", "think_idx", "beam_idx", "text", "score"])
+    recent = pdf["prompt"].str.findall(sid_regex(3)).map(lambda sids: sids[:-6:-1])
+    out = pd.DataFrame({"sample_id": pdf["sample_id"], "think_idx": 0, "sid": recent}).explode("sid")
+    out = out[out["sid"].notna()]
+    out["beam_idx"] = out.groupby(level=0).cumcount()
+    out["text"] = "<think>\n\n</think>\n" + out["sid"]
+    out["score"] = -out["beam_idx"].astype(float)
+    return out[["sample_id", "think_idx", "beam_idx", "text", "score"]]
 
 
 @query("generate_candidates", O.with_fixtures(f"""
-select cast(user_id as bigint) sample_id, 0 think_idx, cast(b.i as integer) beam_idx,
+select user_id sample_id, 0 think_idx, cast(b.i as integer) beam_idx,
        '<think>' || chr(10) || chr(10) || '</think>' || chr(10) || s[len(s) - b.i] text,
        cast(-b.i as double) score
 from (select user_id, regexp_extract_all(description, '{O.SID_RE}') s from sid_corpus
       where split = 'test') t, range(0, 5) b(i)
 where b.i < len(s)""", "interactions", "catalog", extra=[_K2_CTE]))
 def q_generate_candidates(spark, sf):
-    prompts = _test_corpus(spark, sf).select(F.col("user_id").cast("bigint").alias("sample_id"),
+    prompts = _test_corpus(spark, sf).select(F.col("user_id").alias("sample_id"),
                                              F.col("description").alias("prompt"))
     return cand.generate_candidates(prompts, _stub_scorer)
 
@@ -1230,15 +1286,71 @@ select cast(floor((row_number() over (order by user_id) - 1) /
        user_id, title, matched
 from gated where split = 'test'"""))
 def q_merge_shards(spark, sf):
-    """Shard the test split into 4 contiguous blocks, gate it (row-wise, so per
-    shard or at once is the same), and merge the shard outputs in shard order.
-    The gated frame is checkpointed once so the four shard reads do not redo
-    the gating."""
+    """Gate the test split, write it partitioned by contiguous shard, and read the
+    shard folders back as one table in shard order."""
+    import uuid
     from .session import checkpoint_dir
     corpus = _ra_corpus(spark, sf).where(F.col("split") == "test")
     sharded = metrics_ops.contiguous_shards(corpus, 4, "ceil", key="user_id")
-    preds = _k8_cands(spark, sf).where((F.col("think_idx") < 2) & (F.col("beam_idx") < 5))
-    checkpoint_dir(spark)
-    gated = metrics_ops.gate_rationales(sharded, preds.select("user_id", "text")).checkpoint()
-    parts = [gated.where(F.col("shard") == i).drop("shard") for i in range(4)]
-    return metrics_ops.merge_shards(parts).select("shard", "user_id", "title", "matched")
+    gated = metrics_ops.gate_rationales(sharded, _k8_cands(spark, sf).select("user_id", "text"))
+    root = f"{checkpoint_dir(spark).rstrip('/')}/semrec-shards-{uuid.uuid4().hex}"
+    gated.write.partitionBy("shard").parquet(root)
+    parts = [f"{root}/shard={i}" for i in range(4)]
+    return readers.read_shards(spark, parts).select("shard", "user_id", "title", "matched")
+
+
+# -------------------------------------------------- sinks, written and read ---
+
+def _folder(spark: SparkSession, name: str) -> str:
+    import uuid
+    from .session import checkpoint_dir
+    return f"{checkpoint_dir(spark).rstrip('/')}/semrec-{name}-{uuid.uuid4().hex}"
+
+
+@query("write_splits", _K2_SQL)
+def q_write_splits(spark, sf):
+    path = _folder(spark, "splits")
+    writers.write_splits(_sid_corpus(spark, sf), path)
+    return spark.read.parquet(path).select("split", "user_id", "description", "groundtruth")
+
+
+_TSV_COLUMNS = ["event_id", "user_id", "item_id", "prompt", "title", "introduction", "semantic_id",
+                "extra_info"]
+
+
+@query("behavior_tsv", O.with_fixtures(
+    "select " + ", ".join(f"coalesce(cast({c} as varchar), '') {c}" for c in _TSV_COLUMNS)
+    + " from behaviors", "behaviors"))
+def q_behavior_tsv(spark, sf):
+    """A TSV holds no difference between null and empty, as in the reference."""
+    path = _folder(spark, "tsv")
+    writers.write_behavior_tsv(fx.behaviors(spark, sf).select(*_TSV_COLUMNS), path)
+    back = readers.read_behavior_tsv(spark, path)
+    return back.select(*[F.coalesce(c, F.lit("")).alias(c) for c in _TSV_COLUMNS])
+
+
+@query("write_sequences", O.with_fixtures("""
+select user_id, pos, item_id from interactions""", "interactions"))
+def q_write_sequences(spark, sf):
+    path = _folder(spark, "sequences")
+    writers.write_sequences(fx.interactions(spark, sf).select("user_id", "pos", "item_id"), path)
+    return readers.read_sequences(spark, path).select("user_id", "pos", "item_id")
+
+
+@query("write_behaviors", ORACLE["user_behavior_details"])
+def q_write_behaviors(spark, sf):
+    path = _folder(spark, "behaviors")
+    details = bh.user_behavior_details(_plog(spark, sf))
+    writers.write_behaviors(details, path)
+    return spark.read.schema(details.schema).json(path)
+
+
+@query("sid_prediction_lines", O.with_fixtures(
+    "select split, split_part(user_id, ':', 2) user_id, description, groundtruth from sid_corpus",
+    "interactions", "catalog", extra=[_K2_CTE.replace("from interactions i", """from (
+        select (pos % 2) || ':' || user_id user_id, pos, item_id from interactions) i""")]))
+def q_sid_prediction_lines(spark, sf):
+    """Every user's purchases as two sequence lines of the same user."""
+    lines = fx.interactions(spark, sf).withColumn("line_id", F.col("pos") % 2)
+    out = corpora.by_line(corpora.sid_prediction_corpus, lines, fx.catalog(spark, sf))
+    return out.select("split", "user_id", "description", "groundtruth")

@@ -53,7 +53,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not configured:
-        if not sc.master.startswith("local"):
+        if not sc.master.startswith("local[") and sc.master != "local":
             raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...)")
         configured = tempfile.mkdtemp(prefix="semrec-ckpt-")
     sc.setCheckpointDir(configured)

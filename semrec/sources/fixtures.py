@@ -13,11 +13,13 @@ given tables with plain DataFrame code; the work grows with the tables.
 from __future__ import annotations
 
 import functools
+import uuid
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import ensure_parallelism, read_table, sized_broadcast
+from ..operators.ordered import positions
+from ..session import checkpoint_dir, ensure_parallelism, read_table, sized_broadcast
 
 _MEMO: dict[tuple[str, str, str], DataFrame] = {}
 
@@ -38,10 +40,22 @@ def _memo(fn):
 
 U2028 = "\u2028"
 U2029 = "\u2029"
-# documents rows referenced by the behaviour log (doc_id = event_id * 13 % 180).
-_DOC_MOD = 180
-# candidate item lookup modulus (see FIXTURES.md).
-_CAND_MOD = 1500
+
+
+def _rows(spark: SparkSession, sf_dir: str, table: str) -> int:
+    """Row count of a table, read once per application from the file footers (ids are dense)."""
+    key = (spark.sparkContext.applicationId, sf_dir, f"rows of {table}")
+    if key not in _COUNTS:
+        _COUNTS[key] = max(1, read_table(spark, sf_dir, table).count())
+    return _COUNTS[key]
+
+
+_COUNTS: dict[tuple[str, str, str], int] = {}
+
+
+def customer_number(user: str = "user_id"):
+    """The customer key in a user or sample id such as ``12`` or ``12-3``."""
+    return F.substring_index(user, "-", 1).cast("bigint")
 
 
 @_memo
@@ -63,20 +77,23 @@ def catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_memo
 def interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Time-ordered purchases per customer; some customers are cut short so
-    every split threshold is exercised."""
+    """Time-ordered purchases per customer.  Every third customer's history is cut
+    into several short users (``custkey-block``), so every split threshold is
+    exercised and no row is lost."""
     li = read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_linenumber", "l_shipdate")
     od = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    w = Window.partitionBy("o_custkey").orderBy("l_shipdate", "l_orderkey", "l_linenumber",
-                                                "l_partkey")
-    j = (li.join(od, F.col("l_orderkey") == F.col("o_orderkey"))
-         .withColumn("pos", F.row_number().over(w).cast("bigint")))
-    c = F.col("o_custkey")
-    return (j.where((c % 3 != 0) | (F.col("pos") <= c % 7))
-            .select(c.cast("string").alias("user_id"), "pos",
-                    F.col("l_partkey").cast("string").alias("item_id"),
-                    "o_custkey", "l_partkey"))
+    j = positions(li.join(od, F.col("l_orderkey") == F.col("o_orderkey")), ["o_custkey"],
+                  ["l_shipdate", "l_orderkey", "l_linenumber", "l_partkey"], "at",
+                  bucket=F.date_trunc("quarter", F.col("l_shipdate")))
+    c, at = F.col("o_custkey"), F.col("at") - 1
+    size, short = c % 7 + 1, c % 3 == 0
+    block = F.floor(at / size).cast("string")
+    return j.select(
+        F.when(short, F.concat_ws("-", c.cast("string"), block)).otherwise(c.cast("string"))
+        .alias("user_id"),
+        F.when(short, at % size + 1).otherwise(F.col("at")).cast("bigint").alias("pos"),
+        F.col("l_partkey").cast("string").alias("item_id"), "o_custkey", "l_partkey")
 
 
 @_memo
@@ -85,14 +102,12 @@ def behaviors(spark: SparkSession, sf_dir: str) -> DataFrame:
     types, empty/malformed/``[]``/null semantic ids, null timestamps,
     non-numeric durations, null prompts, CR and U+2028/U+2029 in text."""
     e = ensure_parallelism(read_table(spark, sf_dir, "events")).alias("e")
-    # Only doc ids below _DOC_MOD can match; the pre-filter is pushed to the
-    # scan and bounds the broadcast side to _DOC_MOD whole documents.
-    docs = (read_table(spark, sf_dir, "documents").where(F.col("doc_id") < _DOC_MOD)
-            .select("doc_id", "text"))
+    n_docs = _rows(spark, sf_dir, "documents")
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     eid = F.col("event_id")
     et = F.col("event_type")
-    item = ((eid * 13) % _DOC_MOD).cast("string")
-    j = e.join(sized_broadcast(docs), docs["doc_id"] == (eid * 13) % _DOC_MOD, "left")
+    item = ((eid * 13) % n_docs).cast("string")
+    j = e.join(sized_broadcast(docs), docs["doc_id"] == (eid * 13) % n_docs, "left")
     subtype = (F.when(eid % 8 == 0, "LIKE").when(eid % 8 == 1, "UNLIKE").when(eid % 8 == 2, "COMMENT")
                .when(eid % 8 == 3, "SHARE").when(eid % 8 == 4, "SAME_STYLE").when(eid % 8 == 5, "REPORT")
                .when(eid % 8 == 6, "LARGE").otherwise("NONE"))
@@ -107,6 +122,9 @@ def behaviors(spark: SparkSession, sf_dir: str) -> DataFrame:
                      F.lit('","query_cnt":'), (eid % 9).cast("string"), F.lit("}"))
     semantic = (F.when(eid % 53 == 0, F.lit(None).cast("string"))
                 .when(eid % 31 == 0, "").when(eid % 37 == 0, "[1,").when(eid % 43 == 0, "[]")
+                .when(eid % 59 == 0, "[1,2,3] x").when(eid % 61 == 0, "[1,2,3]]")
+                .when(eid % 67 == 0, "[1,null]").when(eid % 71 == 0, "(1,2,3)")
+                .when(eid % 73 == 0, "[1,2,]")
                 .otherwise(F.concat(F.lit(" ["), (eid % 256).cast("string"), F.lit(","),
                                     (F.col("user_id") % 256).cast("string"), F.lit(","),
                                     item, F.lit("] "))))
@@ -118,7 +136,7 @@ def behaviors(spark: SparkSession, sf_dir: str) -> DataFrame:
              .otherwise(F.concat(F.lit("Work "), item,
                                  F.when(eid % 10 == 2, F.lit("\rcut")).otherwise(F.lit("")))))
     intro = (F.when(eid % 6 == 0, F.lit(None).cast("string")).when(eid % 6 == 3, F.lit(""))
-             .otherwise(F.concat(F.substring(text, 1, 120), F.lit(U2028), F.lit("intro"))))
+             .otherwise(F.concat(text, F.lit(U2028), F.lit("intro"))))
     query = F.when(et == "signup",
                    F.when(eid % 5 == 0, F.lit("")).when(eid % 5 == 1, F.lit(None).cast("string"))
                    .otherwise(F.concat(F.lit("query "), (eid % 7).cast("string"), F.lit(U2029))))
@@ -148,27 +166,49 @@ def behaviors(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_PATHS: dict[tuple[str, str], str] = {}
+
+
+def behavior_path(spark: SparkSession, sf_dir: str) -> str:
+    """The behaviour log as a table partitioned by ``p_date``, written once per application
+    to the shared folder."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _PATHS:
+        path = f"{checkpoint_dir(spark).rstrip('/')}/semrec-log-{uuid.uuid4().hex}"
+        behaviors(spark, sf_dir).write.partitionBy("p_date").parquet(path)
+        _PATHS[key] = path
+    return _PATHS[key]
+
+
+def behavior_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """:func:`behavior_path` read back (``p_date`` as text)."""
+    schema = behaviors(spark, sf_dir).schema
+    return spark.read.schema(schema).parquet(behavior_path(spark, sf_dir))
+
+
 @_memo
 def truth(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per customer with >= 2 resolvable purchases: the last one's SID."""
-    inter = interactions(spark, sf_dir).select("o_custkey", "pos", "l_partkey")
+    """Per user with >= 2 resolvable purchases: the last one's SID."""
+    inter = interactions(spark, sf_dir).select("user_id", "pos", "l_partkey")
     cat = catalog(spark, sf_dir).where(F.col("sid").isNotNull()).select("p_partkey", "sid")
     j = inter.join(cat, inter["l_partkey"] == cat["p_partkey"])
-    last = j.groupBy("o_custkey").agg(F.max_by("sid", "pos").alias("groundtruth"),
-                                      F.count(F.lit(1)).alias("n"))
-    return last.where(F.col("n") >= 2).select(F.col("o_custkey").alias("sample_id"), "groundtruth")
+    last = j.groupBy("user_id").agg(F.max_by("sid", "pos").alias("groundtruth"),
+                                    F.count(F.lit(1)).alias("n"))
+    return last.where(F.col("n") >= 2).select(F.col("user_id").alias("sample_id"), "groundtruth")
 
 
 @_memo
 def candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Five thinking samples x ten beams of scored outputs per sample (a tenth
-    of the samples keep only four beams); scores tie, some texts hold no SID."""
-    t = truth(spark, sf_dir)
+    of the samples keep only four beams, every 29th customer's have none); scores tie,
+    some texts hold no SID."""
+    t = truth(spark, sf_dir).withColumn("s", customer_number("sample_id")).where(F.col("s") % 29 != 0)
     grid = (t.withColumn("think_idx", F.explode(F.sequence(F.lit(0), F.lit(4))))
             .withColumn("beam_idx", F.explode(F.sequence(F.lit(0), F.lit(9))))
-            .where((F.col("sample_id") % 10 != 0) | (F.col("beam_idx") < 4)))
-    s, ti, bi = F.col("sample_id"), F.col("think_idx"), F.col("beam_idx")
-    grid = grid.withColumn("lookup", (s * 37 + ti * 5 + bi * 3) % _CAND_MOD)
+            .where((F.col("s") % 10 != 0) | (F.col("beam_idx") < 4)))
+    s, ti, bi = F.col("s"), F.col("think_idx"), F.col("beam_idx")
+    n_parts = _rows(spark, sf_dir, "part")
+    grid = grid.withColumn("lookup", (s * 37 + ti * 5 + bi * 3) % n_parts)
     cat = catalog(spark, sf_dir).select(F.col("p_partkey").alias("lookup"),
                                         F.col("sid").alias("cand_sid"))
     j = grid.join(cat, "lookup", "left")

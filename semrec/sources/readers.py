@@ -99,61 +99,91 @@ def clean_column_names(df: DataFrame) -> DataFrame:
     return df.toDF(*[c.replace("\ufeff", "").split(".")[-1] for c in df.columns])
 
 
-def read_behavior_tsv(spark: SparkSession, path: str) -> DataFrame:
-    """Tab-separated behaviour log with a header (all columns as strings)."""
-    df = (spark.read.option("sep", "\t").option("header", True).option("multiLine", True)
-          .option("escape", '"').option("encoding", "UTF-8").csv(path))
-    return clean_column_names(df)
+#: What a TSV field holds in place of characters that would end it.
+TSV_ESCAPES = [("\\", "\\\\"), ("\t", "\\t"), ("\n", "\\n"), ("\r", "\\r")]
+
+
+def unescape_tsv(c: str):
+    """Characters back from their escapes; ``\\\\`` first becomes a mark no text holds."""
+    out = F.replace(F.col(c), F.lit("\\\\"), F.lit("\ufdd0"))
+    for plain, escaped in TSV_ESCAPES[1:]:
+        out = F.replace(out, F.lit(escaped), F.lit(plain))
+    return F.replace(out, F.lit("\ufdd0"), F.lit("\\"))
+
+
+def read_behavior_tsv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    """Tab-separated behaviour log with a header (all columns as strings).
+
+    One record is one line (line feeds, tabs and backslashes inside a field are
+    escaped, as :func:`..writers.write_behavior_tsv` does), so large files split
+    across tasks.  ``multi_line=True`` reads the quoted form with line feeds
+    inside fields instead; then each file is one task.
+    """
+    reader = (spark.read.option("sep", "\t").option("header", True).option("encoding", "UTF-8")
+              .option("maxCharsPerColumn", -1))
+    if multi_line:
+        return clean_column_names(reader.option("multiLine", True).option("escape", '"').csv(path))
+    df = clean_column_names(reader.option("quote", "").option("escape", "\x00").csv(path))
+    return df.select(*[unescape_tsv(c).alias(c) for c in df.columns])
 
 
 # ------------------------------------------------------------ metric logs ---
 
-# Banners and patterns of the evaluation logs being parsed.
-DIRECT_BLOCK = r"(?s)🎯 Final Hit Rate Results:.*?={60}(.*?)={60}"
+# Banners of the evaluation logs being parsed.
+DIRECT_MARKER = "🎯 Final Hit Rate Results:"
 COT_MARKER = "🎯 Final CoT Hit Rate Results:"
-COT_SAMPLE_PATTERNS = [r"(?i)Total samples:\s*(\d+)", r"(?i)Test data size:\s*(\d+)",
-                       r"(?is)samples.*?(\d+)"]
+RULE = "=" * 60
+
+
+def _labelled(text):
+    """``label: number`` lines of a text, in order, as ``array<struct<label, value>>``."""
+    lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(r":\s*[0-9.]+"))
+    return F.transform(lines, lambda x: F.struct(
+        F.trim(F.regexp_extract(x, r"^(.*?):\s*[0-9.]", 1)).alias("label"),
+        F.regexp_extract(x, r":\s*([0-9.]+)", 1).alias("value")))
+
+
+def _last(entries, label: str, kind: str):
+    """Value of the last entry whose label ends with ``label`` (any case)."""
+    hits = F.filter(entries, lambda e: F.lower(e["label"]).endswith(label.lower()))
+    return F.when(F.size(hits) > 0, F.element_at(hits, -1)["value"].try_cast(kind))
 
 
 def parse_metric_logs(spark: SparkSession, path: str, metrics: Sequence[str],
                       mode: str = "direct", default_samples: int | None = None) -> DataFrame:
     """A10: per shard log -> ``(shard, found, metric, value, n)``.
 
-    ``direct``: the block between the final-results banner and the next
-    ``=``*60 line; ``Total samples: n`` must be present.  ``cot``: the text
-    after the last CoT banner, the last value per metric line, the sample
-    count from three patterns in turn, else ``default_samples``.  A log
-    without a block yields one row with ``found = false``.  Each log is one
-    whole-text record (logs are per shard and small).
+    ``direct``: the metrics between the two rules after the results banner, and a
+    ``Total samples`` line.  ``cot``: the last value of each metric after the last CoT
+    banner; the count is the first found, and above 0, of a ``Total samples``
+    line, a ``Test data size`` line and a number behind ``samples`` on one line, else
+    ``default_samples``.  A log without results yields one row with
+    ``found = false``.  Each log is one whole-text record (logs are small).
     """
     logs = (spark.read.text(path, wholetext=True)
             .select(F.regexp_extract(F.input_file_name(), r"gpu_(\d+)\.log", 1).cast("int")
                     .alias("shard"), F.col("value").alias("content")))
+    everything = _labelled(F.col("content"))
     if mode == "direct":
-        block = F.regexp_extract("content", DIRECT_BLOCK, 1)
-        has = F.col("content").rlike(DIRECT_BLOCK)
-        n = F.nullif(F.regexp_extract("content", r"Total samples: (\d+)", 1), F.lit("")) \
-            .cast("bigint")
-        vals = [F.nullif(F.regexp_extract(block, rf"{m}:\s+([\d\.]+)", 1), F.lit(""))
-                .cast("double") for m in metrics]
-        found = has & n.isNotNull()
+        after = F.split(F.element_at(F.split("content", DIRECT_MARKER, 2), -1), RULE)
+        has = F.contains("content", F.lit(DIRECT_MARKER)) & (F.size(after) > 2)
+        entries = _labelled(F.get(after, F.lit(1)))
+        n = _last(everything, "Total samples", "bigint")
+        need = n.isNotNull()
     elif mode == "cot":
-        has = F.instr("content", COT_MARKER) > 0
-        section = F.substring_index("content", COT_MARKER, -1)
-        vals = []
-        for m in metrics:
-            pat = rf"(?m)^.*{m}:\s*([0-9]*\.?[0-9]+)"
-            allv = F.regexp_extract_all(section, F.lit(pat), F.lit(1))
-            vals.append(F.when(F.size(allv) > 0, F.element_at(allv, -1)).cast("double"))
-        n = F.coalesce(*[F.nullif(F.regexp_extract("content", p, 1), F.lit("")).cast("bigint")
-                         for p in COT_SAMPLE_PATTERNS],
-                       F.lit(default_samples).cast("bigint"))
-        found = has & F.greatest(*[v.isNotNull() for v in vals])
+        has = F.contains("content", F.lit(COT_MARKER))
+        entries = _labelled(F.substring_index("content", COT_MARKER, -1))
+        loose = F.regexp_extract("content", r"(?i)samples[^\n\d]*(\d+)", 1).try_cast("bigint")
+        counts = [_last(everything, "Total samples", "bigint"),
+                  _last(everything, "Test data size", "bigint"), loose]
+        n = F.coalesce(*[F.when(c > 0, c) for c in counts], F.lit(default_samples).cast("bigint"))
+        need = F.size(F.filter(F.array(*[_last(entries, m, "double") for m in metrics]),
+                               lambda v: v.isNotNull())) > 0
     else:
         raise ValueError(mode)
-    rows = F.array(*[F.struct(F.lit(m).alias("metric"), v.alias("value"))
-                     for m, v in zip(metrics, vals)])
-    parsed = logs.select("shard", found.alias("found"), n.alias("n"), rows.alias("rows"))
+    rows = F.array(*[F.struct(F.lit(m).alias("metric"), _last(entries, m, "double").alias("value"))
+                     for m in metrics])
+    parsed = logs.select("shard", (has & need).alias("found"), n.alias("n"), rows.alias("rows"))
     ok = parsed.where("found").select("shard", "found", F.explode("rows").alias("r"), "n") \
         .select("shard", "found", "r.metric", "r.value", "n").where(F.col("value").isNotNull())
     bad = parsed.where(~F.col("found")).select(

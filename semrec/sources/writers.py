@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.ordered import ordered_concat
-from .readers import CATALOG_FIELDS
+from .readers import CATALOG_FIELDS, TSV_ESCAPES
 
 
 def write_splits(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -15,12 +15,19 @@ def write_splits(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 
 def write_behavior_tsv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Tab-separated with a header, no index; text with tabs or newlines is
-    quoted so :func:`..readers.read_behavior_tsv` reads it back."""
-    cols = [F.col(c).cast("string").alias(c) if t not in ("string",) else F.col(c)
-            for c, t in df.dtypes]
-    (df.select(*cols).write.mode(mode).option("sep", "\t").option("header", True)
-     .option("escape", '"').option("quoteAll", False).csv(path))
+    """Tab-separated with a header, no index; tabs, line ends and backslashes
+    inside a field are escaped, so every record is one line and
+    :func:`..readers.read_behavior_tsv` reads it back in parallel."""
+    def field(c: str):
+        out = F.col(c).cast("string")
+        for plain, escaped in TSV_ESCAPES:
+            out = F.replace(out, F.lit(plain), F.lit(escaped))
+        return out.alias(c)
+
+    (df.select(*[field(c) for c in df.columns]).write.mode(mode).option("sep", "\t")
+     .option("header", True).option("quote", "").option("escape", "\x00")
+     .option("emptyValue", "").option("ignoreLeadingWhiteSpace", False)
+     .option("ignoreTrailingWhiteSpace", False).csv(path))
 
 
 def sequence_lines(seq: DataFrame, items: str = "items") -> DataFrame:
