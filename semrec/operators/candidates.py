@@ -121,12 +121,11 @@ def pad_candidates(ranked: DataFrame, k: int = 10, step: float = 0.1) -> DataFra
 
 
 def generate_candidates(prompts: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame],
-                        schema: str = "sample_id string, think_idx int, beam_idx int, "
-                                      "text string, score double",
+                        schema: str | None = None,
                         batch_rows: int | None = None) -> DataFrame:
     """Plug-in batch scorer.  ``fn`` maps a pandas batch of prompts
     (``sample_id``, ``prompt``, ...) of at most ``batch_rows`` rows to candidate rows
-    of ``schema``.  Runs in
+    of ``schema`` (the candidate columns by default).  Runs in
     Arrow batches through ``mapInPandas``; no model ships with this package.
     """
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -140,6 +139,9 @@ def generate_candidates(prompts: DataFrame, fn: Callable[[pd.DataFrame], pd.Data
             for at in range(0, len(pdf), batch_rows or max(1, len(pdf))):
                 yield pdf.iloc[at:at + (batch_rows or len(pdf))]
 
+    if schema is None:
+        kind = prompts.schema["sample_id"].dataType.simpleString()
+        schema = f"sample_id {kind}, think_idx int, beam_idx int, text string, score double"
     ship_package(prompts.sparkSession)
     return prompts.mapInPandas(lambda batches: run(batched(batches)), schema)
 
