@@ -31,7 +31,7 @@ MAX_REPEAT_PERCENT = 20
 SCALE = 1024
 DIMS = 4
 #: Smallest standard deviation assumed per entry, in the entry's own unit.
-FLOORS = (0.06, 0.05, 0.12, 0.12)
+FLOORS = (0.08, 0.05, 0.13, 0.13)
 CORE = 0.75
 STEPS = 4
 #: Rows a group needs for its own estimate; a smaller one uses its language's, then all.
