@@ -35,8 +35,9 @@ BLANK = "▁"
 MARK = "\ue000"
 #: Characters of a chunk; longer texts are scanned in parallel.
 CHUNK = 32_768
-CACHED_UNITS, CACHED_PAIRS = 800_000, 1_000_000
-TEXTS_TOGETHER = 300
+CACHED_UNITS, CACHED_PAIRS = 350_000, 400_000
+#: Rows handed on together, so a worker never holds a whole batch in several forms.
+ROWS_TOGETHER = 400
 NEVER = -np.inf
 
 State = tuple[int, int]  # (start, end) of a piece, relative to its cut
@@ -75,7 +76,7 @@ class Pieces:
         if any(re.search(f"[^{BLANK}]{BLANK}", p) for p in self.score):
             raise ValueError("pieces with a blank inside are not supported")
         self.run = re.compile(f"{BLANK}*[^{BLANK}\\n]+|{BLANK}+|\\n")
-        self.pairs: dict[tuple[str, str], bool] = {}
+        self.pairs: dict[int, bool] = {}
         self.made: dict[str, tuple[float, str, str] | None] = {}
         self.runs: dict[str, bytes] = {"": b""}  # stretches as they are
         self.words: dict[str, bytes] = {}  # stretches behind a blank, without it
@@ -115,7 +116,10 @@ class Pieces:
         """
         if not left:
             return self._made(right) is not None
-        key = (left, right)
+        i, j = self.ident.get(left), self.ident.get(right)
+        if i is None or j is None:  # a character that no piece has merges with nothing
+            return self._made(left) is not None and self._made(right) is not None
+        key = i * len(self.surface) + j
         got = self.pairs.get(key)
         if got is None:
             if len(self.pairs) > CACHED_PAIRS:
@@ -209,7 +213,7 @@ class Pieces:
             got = runs.get(u)
             if got is None:
                 got = self.ids(self.unit(u))
-                if len(runs) > CACHED_UNITS:
+                if len(runs) > CACHED_UNITS // 4:
                     runs.clear()
                 runs[u] = got
             out.append(got)
@@ -384,13 +388,13 @@ def _chunks(giants: DataFrame, model: str, chunk: int) -> DataFrame:
             .dropDuplicates(["key", "at"]))
 
 
-def _giant_ids(giants: DataFrame, model: str, chunk: int) -> DataFrame:
-    """``(key, ids)`` of every different giant text by the parallel scan."""
+def _giant_ids(giants: DataFrame, model: str, chunk: int, decoded: bool) -> DataFrame:
+    """``(key, ids, decoded)`` of every different giant text by the parallel scan."""
     cut = frozen(_chunks(giants, model, chunk))
 
     def matrices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p = pieces(model)
-        for b in batches:
+        for b in _slices(batches):
             made = [p.chunk_matrix(body, lo, hi) for body, lo, hi in
                     zip(*(b.column(c).to_pylist() for c in (2, 3, 4)))]
             yield pa.RecordBatch.from_arrays(
@@ -406,14 +410,15 @@ def _giant_ids(giants: DataFrame, model: str, chunk: int) -> DataFrame:
 
     def trace(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p = pieces(model)
-        for b in batches:
+        for b in _slices(batches):
             ids = [p.traced(*row) for row in zip(*(b.column(c).to_pylist() for c in (2, 3, 4, 5, 6)))]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(ids, pa.binary())],
                                              names=["key", "at", "ids"])
 
     def joined(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("at")
-        return pd.DataFrame({"key": [pdf["key"].iloc[0]], "ids": [b"".join(pdf["ids"])]})
+        ids = b"".join(pdf.sort_values("at")["ids"])
+        return pd.DataFrame({"key": [pdf["key"].iloc[0]], "ids": [ids],
+                             "decoded": [pieces(model).decode(ids) if decoded else None]})
 
     states = (cut.mapInArrow(matrices, "key string, at int, rows int, m binary")
               .groupBy("key").applyInPandas(combined, "key string, at int, enter int, leave int"))
@@ -421,35 +426,51 @@ def _giant_ids(giants: DataFrame, model: str, chunk: int) -> DataFrame:
               .select("key", "at", "body", "lo", "hi", "enter", "leave")
               .mapInArrow(trace, "key string, at int, ids binary"))
     # a text's ids are one value, as the text is
-    return traced.groupBy("key").applyInPandas(joined, "key string, ids binary")
+    return traced.groupBy("key").applyInPandas(joined, "key string, ids binary, decoded string")
+
 
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        for at in range(0, b.num_rows, ROWS_TOGETHER):
+            yield b.slice(at, ROWS_TOGETHER)
 
-def encode(docs: DataFrame, model: str, text_col: str = "text", chunk: int = CHUNK) -> DataFrame:
+
+def encode(docs: DataFrame, model: str, text_col: str = "text", chunk: int = CHUNK,
+           keep_text: bool = True, decoded: str | None = None) -> DataFrame:
     """``docs`` plus ``ids`` (little-endian 32-bit bytes) as SentencePiece encodes its text.
 
+    ``decoded`` names a further column with the text that the ids decode to;
+    ``keep_text=False`` leaves the text column out.
+
     A null or empty text has no ids.  Texts over ``chunk`` characters go through the
     parallel scan, each different one once.  Repeated rows stay; an input column
     named ``ids`` is replaced; an empty frame gives an empty one.
     """
-    names = [c for c in docs.columns if c != "ids"]
+    names = [c for c in docs.columns if c not in ("ids", decoded) and (keep_text or c != text_col)]
     base = python_ready(docs).select(*[F.col(f"`{c}`") for c in names],
                                      text_of(text_col).alias("__text"))
     size = F.length("__text")
-    schema = T.StructType([*(docs.schema[c] for c in names), T.StructField("ids", T.BinaryType())])
+    made = [T.StructField("ids", T.BinaryType())] + [T.StructField(c, T.StringType())
+                                                     for c in [decoded] if c]
+    schema = T.StructType([*(docs.schema[c] for c in names), *made])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p = pieces(model)
-        for b in batches:
+        for b in _slices(batches):
             ids = [p.encode(t) for t in b.column(b.num_columns - 1).to_pylist()]
+            texts = [pa.array([p.decode(i) for i in ids], pa.string())] if decoded else []
             yield pa.RecordBatch.from_arrays(
-                [*(b.column(i) for i in range(b.num_columns - 1)), pa.array(ids, pa.binary())],
+                [*(b.column(i) for i in range(b.num_columns - 1)), pa.array(ids, pa.binary()), *texts],
                 names=schema.names)
 
     small = base.where(size <= chunk).mapInArrow(work, schema)
     giants = base.where(size > chunk).withColumn("__key", F.sha2("__text", 256))
-    by_key = _giant_ids(giants, model, chunk)
-    large = (giants.drop("__text").join(by_key, F.col("__key") == F.col("key"))
-             .select(*[F.col(f"`{c}`") for c in names], "ids"))
+    by_key = (_giant_ids(giants, model, chunk, bool(decoded))
+              .select(F.col("key").alias("__of"), F.col("ids").alias("__ids"),
+                      F.col("decoded").alias("__decoded")))
+    large = (giants.drop("__text").join(by_key, F.col("__key") == F.col("__of"))
+             .select(*[F.col(f"`{c}`") for c in names], F.col("__ids").alias("ids"),
+                     *[F.col("__decoded").alias(c) for c in [decoded] if c]))
     return small.union(large)
 
 
@@ -460,7 +481,7 @@ def decode(encoded: DataFrame, model: str, ids_col: str = "ids", out: str = "dec
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p = pieces(model)
-        for b in batches:
+        for b in _slices(batches):
             texts = [None if i is None else p.decode(i)
                      for i in b.column(b.num_columns - 1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
