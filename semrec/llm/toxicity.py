@@ -3,11 +3,13 @@
 Words map to classes: insult stems (a lexicon learned from labelled rows),
 threats, targets, negations and reporting verbs.  Five small transducers read
 the classes of a clause: negation opens a scope of a few words, reported speech
-one that lasts to the clause's end, a target binds the insults and threats of
+one that lasts to the sentence's end, a target binds the insults and threats of
 its clause.  Their composition is the product automaton that ``clause_arcs``
-walks; it emits one weighted arc per matched pattern, and an isolated word is
-only ever one weak arc.  Arc weights come from a logistic fit on the labelled
-sample.  Scores read texts only.
+walks; it emits one weighted arc per matched pattern.  A negated or reported
+word gives its own arc only, never the plain one.  Arc weights come from a
+logistic fit on the labelled sample under fixed signs (``BOUNDS``).  The plain
+arc of an isolated word is free to decide alone where the labels ask for it
+(README has figures).  Scores read texts only.
 """
 
 from __future__ import annotations
@@ -37,6 +39,10 @@ THREATS = frozenset("kill murder destroy strangle stab töten ermorden umbringen
 NEGATION_SCOPE = 3
 MIN_STEM, MAX_STEM = 4, 8
 ARCS = ("insult", "aimed_insult", "negated_insult", "reported_insult", "threat", "density")
+#: Least and greatest weight of each arc: negation and report never count against a text,
+#: an aimed insult and a threat always do.
+BOUNDS = ((0.0, math.inf), (0.5, math.inf), (-math.inf, 0.0), (-math.inf, 0.0), (0.5, math.inf),
+          (0.0, math.inf))
 
 #: Labelled rows that shape the lexicon and weights, at most (about; drawn by a hash of doc_id).
 MAX_LABELLED = 20_000
@@ -49,7 +55,8 @@ MAX_LOG_CHANCE = -10.0
 CACHED_WORDS = 600_000
 
 WORD = re.compile(r"[^\W\d_]+")
-CLAUSE = re.compile(r"[.!?;:,\n]+")
+SENTENCE = re.compile(r"[.!?\n]+")
+CLAUSE = re.compile(r"[;:,]+")
 
 
 def held_out() -> Column:
@@ -79,10 +86,12 @@ class Grammar:
                 return name
         return 0.0
 
-    def clause_arcs(self, classes: list[float | str], total: list[float]) -> None:
-        """Walk the composed transducers over one clause, adding to the arc sums."""
+    def clause_arcs(self, classes: list[float | str], total: list[float],
+                    reported: bool = False) -> bool:
+        """Walk the composed transducers over one clause, adding to the arc sums;
+        whether the rest of its sentence is reported."""
         aimed = "T" in classes
-        negated, reported = 0, False
+        negated = 0
         for c in classes:
             if c == "N":
                 negated = NEGATION_SCOPE
@@ -93,15 +102,17 @@ class Grammar:
                 if aimed and not negated and not reported:
                     total[4] += 1.0
             elif c.__class__ is float and c > 0:
-                total[0] += c
                 if reported:
                     total[3] += c
                 elif negated:
                     total[2] += c
-                elif aimed:
-                    total[1] += c
+                else:
+                    total[0] += c
+                    if aimed:
+                        total[1] += c
             if negated:
                 negated -= 1
+        return reported
 
     def arcs(self, text: str) -> list[float]:
         """Arc features of a whole text (log-scaled sums; density per 100 words)."""
@@ -116,10 +127,12 @@ class Grammar:
                 known[w] = self.class_of(w)
         if not any(known[w] and known[w] not in ("T", "N", "R") for w in seen):
             return [0.0] * 6
-        for clause in CLAUSE.split(low):
-            classes = [known[w] for w in WORD.findall(clause)]
-            if any(classes):
-                self.clause_arcs(classes, total)
+        for sentence in SENTENCE.split(low):
+            reported = False
+            for clause in CLAUSE.split(sentence):
+                classes = [known[w] for w in WORD.findall(clause)]
+                if any(classes):
+                    reported = self.clause_arcs(classes, total, reported)
         density = 100.0 * total[0] / max(1, len(words))
         return [math.log1p(x) for x in (*total, density)]
 
@@ -197,18 +210,34 @@ def learn_stems(sample: DataFrame, max_stems: int = MAX_STEMS) -> dict[str, floa
     return chosen
 
 
-def fit_weights(x: np.ndarray, y: np.ndarray, ridge: float = 0.3, steps: int = 30) -> tuple[list, float]:
-    """Ridge logistic regression by Newton steps; arc weights and bias."""
+def fit_weights(x: np.ndarray, y: np.ndarray, ridge: float = 0.3, steps: int = 100) -> tuple[list, float]:
+    """Ridge logistic regression by projected Newton steps; arc weights within
+    ``BOUNDS`` and bias."""
     design = np.hstack([x, np.ones((len(x), 1))])
-    beta = np.zeros(design.shape[1])
+    low, high = np.array([*BOUNDS, (-np.inf, np.inf)]).T
     penalty = np.diag([ridge] * x.shape[1] + [1e-3])
+
+    def loss(b: np.ndarray) -> float:
+        z = design @ b
+        return float(np.sum(np.logaddexp(0.0, z) - y * z) + 0.5 * b @ penalty @ b)
+
+    beta = np.clip(np.zeros(design.shape[1]), low, high)
     for _ in range(steps):
         p = 1 / (1 + np.exp(-np.clip(design @ beta, -30, 30)))
-        gradient = design.T @ (y - p) - penalty @ beta
+        gradient = design.T @ (p - y) + penalty @ beta
         hessian = (design * (p * (1 - p))[:, None]).T @ design + penalty
-        step = np.linalg.solve(hessian, gradient)
-        beta = beta + step
-        if np.abs(step).max() < 1e-8:
+        held = (beta <= low) & (gradient > 0) | (beta >= high) & (gradient < 0)
+        free = np.flatnonzero(~held)
+        step = np.zeros(len(beta))
+        step[free] = np.linalg.solve(hessian[np.ix_(free, free)], gradient[free])
+        now, size = loss(beta), 1.0
+        moved = np.clip(beta - step, low, high)
+        while size > 1e-6 and loss(moved) > now:
+            size /= 2
+            moved = np.clip(beta - size * step, low, high)
+        done = np.abs(moved - beta).max() < 1e-8
+        beta = moved
+        if done:
             break
     return [float(b) for b in beta[:-1]], float(beta[-1])
 

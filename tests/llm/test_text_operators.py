@@ -274,3 +274,20 @@ def test_grammar_arcs_tell_clauses_apart():
 def test_threat_needs_a_target():
     g = toxicity.Grammar({})
     assert g.arcs("i kill you")[4] > 0 == g.arcs("i kill time")[4]
+
+
+def test_negated_and_reported_words_give_no_plain_arc():
+    g = toxicity.Grammar({"idiot": 2.0})
+    for text in ("you are not an idiot", 'he said: "you, idiot"', "she wrote, at length, idiot"):
+        plain, aimed, negated, reported, _, density = g.arcs(text)
+        assert plain == aimed == density == 0 < negated + reported, text
+    assert g.arcs("he said it. you idiot")[1] > 0
+
+
+def test_arc_weights_keep_their_signs():
+    rnd = np.random.default_rng(2)
+    x = rnd.random((500, len(toxicity.ARCS)))
+    y = (x[:, 0] + x[:, 2] + x[:, 3] - x[:, 1] - x[:, 4] > 0.5).astype(float)
+    weights, _ = toxicity.fit_weights(x, y)
+    assert all(low <= w <= high for w, (low, high) in zip(weights, toxicity.BOUNDS))
+    assert weights[2] == weights[3] == 0 and weights[1] == weights[4] == 0.5 and weights[0] > 1
