@@ -57,7 +57,7 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    docs = table(spark, sf_dir, "documents", "doc_id", "text", "lang")
     grammar = toxicity.learn(docs, table(spark, sf_dir, "labels", "doc_id", "toxic"))
     return (toxicity.toxicity_scores(docs, grammar)
             .select("doc_id", toxicity.held_out().alias("held_out"), "score", "predicted"))

@@ -48,9 +48,9 @@ BOUNDS = ((0.0, math.inf), (0.5, math.inf), (-math.inf, 0.0), (-math.inf, 0.0),
 MAX_LABELLED = 20_000
 #: Lexicon entries, at most.
 MAX_STEMS = 4_000
-MIN_TOXIC_DOCS, MIN_TOXIC_SHARE = 3, 0.02
+MIN_TOXIC_DOCS = 3
 MAX_CLEAN_SHARE, MIN_LOG_ODDS = 0.002, 3.0
-#: Log probability that so many word uses fall into toxic documents by chance, at most.
+#: Bound on the log probability that a stem's documents are toxic this often by chance, at most.
 MAX_LOG_CHANCE = -10.0
 CACHED_WORDS = 600_000
 
@@ -142,7 +142,8 @@ class Grammar:
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_LABELLED) -> DataFrame:
-    """``(text, toxic)`` of labelled, not held-out documents, about ``max_rows`` at most.
+    """``(text, toxic, lang)`` of labelled, not held-out documents, about ``max_rows`` at most;
+    ``lang`` is empty where ``docs`` has none.
 
     All labels count while they are few; beyond, a hash of the id decides, so the
     sample is the same in every run.
@@ -153,22 +154,29 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_LABE
     share = min(1.0, max_rows / max(1, n))
     drawn = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(share * 1_000_000))
     # bounded by max_rows ids
-    return (docs.select("doc_id", text_of().alias("text")).join(F.broadcast(drawn), "doc_id")
-            .select("text", "toxic"))
+    lang = text_of("lang") if "lang" in docs.columns else F.lit("")
+    return (docs.select("doc_id", text_of().alias("text"), lang.alias("lang"))
+            .join(F.broadcast(drawn), "doc_id").select("text", "toxic", "lang"))
 
 
 def learn_stems(sample: DataFrame, max_stems: int = MAX_STEMS) -> dict[str, float]:
-    """Word prefixes whose documents are toxic far more often than not.
-
-    Counted in Spark over the sample; the driver receives at most ``max_stems``
-    candidate rows, and keeps the shortest qualifying prefix of each family,
-    lengthened as long as no toxic document is lost.
+    """Word prefixes whose documents are toxic far more often than others of their languages.
+
+    The evidence is the log-likelihood ratio of a stem's toxic and clean documents
+    against the toxic share of their languages (a bound on the chance of so many), so it
+    grows with counts and a rare language is judged by its own documents.  Counted in
+    Spark over the sample; the driver receives at most ``max_stems`` candidate rows,
+    and keeps the shortest qualifying prefix of each family, lengthened as long as no
+    toxic document is lost.
     """
-    size = {r["toxic"]: r["n"] for r in
-            sample.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
-    toxic, clean = size.get(1, 0), size.get(0, 0)
+    size = sample.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.sum("toxic").alias("t"))
+    total = size.agg(F.sum("n").alias("n"), F.sum("t").alias("t")).collect()[0]
+    toxic, clean = int(total["t"] or 0), int((total["n"] or 0) - (total["t"] or 0))
     if not toxic:
         return {}
+    overall = toxic / (toxic + clean + 1)
+    # one document's worth of the overall share keeps the rate of a small language inside (0, 1)
+    rates = size.select("lang", ((F.col("t") + overall) / (F.col("n") + 1)).alias("rate"))
     words = F.filter(F.array_distinct(F.regexp_extract_all(
         F.lower("text"), F.lit(r"(\p{L}+)"), F.lit(1))), lambda w: F.length(w) >= MIN_STEM)
 
@@ -178,22 +186,26 @@ def learn_stems(sample: DataFrame, max_stems: int = MAX_STEMS) -> dict[str, floa
             lambda k: F.substring(w, F.lit(1), k))))
 
     longest = F.array_distinct(F.transform(words, lambda w: F.substring(w, 1, MAX_STEM)))
-    odds = F.log((F.col("t") + 0.5) / (toxic + 1)) - F.log((F.col("c") + 0.5) / (clean + 1))
-    least = max(MIN_TOXIC_DOCS, MIN_TOXIC_SHARE * toxic)
+    t, c, rate = F.col("t"), F.col("c"), F.col("rate")
+    odds = F.log((t + 0.5) / (c + 0.5)) - F.log(rate / (1 - rate))
+    # of differing rates their mean bounds the chance (Hoeffding)
+    evidence = t * F.log(t / ((t + c) * rate)) + F.when(
+        c > 0, c * F.log(c / ((t + c) * (1 - rate)))).otherwise(0.0)
     found = frozen(
-        sample.select("toxic", F.explode(F.array_distinct(prefixes(longest))).alias("stem"))
+        sample.join(F.broadcast(rates), "lang")
+        .select("toxic", "rate", F.explode(F.array_distinct(prefixes(longest))).alias("stem"))
         .groupBy("stem")
-        .agg(F.sum(F.col("toxic")).alias("t"), F.sum(1 - F.col("toxic")).alias("c"))
-        .withColumn("odds", odds)
-        .where((F.col("t") >= least) & (F.col("c") <= MAX_CLEAN_SHARE * clean)
-               & (F.col("odds") >= MIN_LOG_ODDS))
-        .orderBy(F.col("t").desc(), "stem").limit(max_stems))
+        .agg(F.sum(F.col("toxic")).alias("t"), F.sum(1 - F.col("toxic")).alias("c"),
+             F.round(F.avg("rate"), 9).alias("rate"))
+        .where((t >= MIN_TOXIC_DOCS) & (c <= MAX_CLEAN_SHARE * clean))
+        .withColumn("odds", odds).withColumn("evidence", evidence)
+        .where(F.col("odds") >= MIN_LOG_ODDS)
+        .orderBy(F.col("evidence").desc(), "stem").limit(max_stems))
     # different words of one family in one document are further evidence
     uses = (sample.where(F.col("toxic") == 1).select(F.explode(prefixes(words)).alias("stem"))
-            .join(F.broadcast(found), "stem").groupBy("stem", "t", "odds")
+            .join(F.broadcast(found), "stem").groupBy("stem", "t", "odds", "evidence")
             .agg(F.count(F.lit(1)).alias("uses")))
-    chance = math.log(toxic / (toxic + clean + 1))
-    rows = uses.where(F.col("uses") * F.lit(chance) <= MAX_LOG_CHANCE).collect()
+    rows = uses.where(F.col("uses") / t * F.col("evidence") >= -MAX_LOG_CHANCE).collect()
     docs_with = {r["stem"]: (int(r["t"]), float(r["odds"])) for r in rows}
     chosen: dict[str, float] = {}
     for stem in sorted(docs_with, key=lambda s: (len(s), s)):

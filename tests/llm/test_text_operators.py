@@ -291,3 +291,13 @@ def test_arc_weights_keep_their_signs():
     weights, _ = toxicity.fit_weights(x, y)
     assert all(low <= w <= high for w, (low, high) in zip(weights, toxicity.BOUNDS))
     assert weights[2] == weights[3] == 0 and weights[1] == weights[4] == 0.5 and weights[0] > 1
+
+
+def test_stems_of_a_rare_language_are_learned(spark):
+    rows = [("this is a plain text of many words", 0, "en")] * 3000
+    rows += [("what a grobnik text this one is", 1, "en")] * 400
+    rows += [("este texto tranquilo sirve", 0, "es")] * 60 + [("este bomentejo sirve", 1, "es")] * 6
+    sample = spark.createDataFrame(rows, "text string, toxic int, lang string")
+    stems = toxicity.learn_stems(sample)
+    assert toxicity.Grammar(stems).class_of("bomentejo") and toxicity.Grammar(stems).class_of("grobnik")
+    assert not any(w.startswith(s) for s in stems for w in ("texto", "sirve", "plain", "este"))
