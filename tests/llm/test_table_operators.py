@@ -132,6 +132,26 @@ def test_links_in_a_large_group_of_near_copies(spark, monkeypatch, block):
         assert as_set(got) == as_set(brute.components(rows, words, percent))
 
 
+@pytest.mark.parametrize("percent", [60, 80, 85])
+def test_combinations_of_long_sets_stay_linear_and_meet(percent):
+    rng = np.random.default_rng(percent)
+    for n in (14, 40, 511, 640, 1023, 1030, 5000, 20_000):
+        s = np.unique(rng.integers(0, 1 << 63, n + 50, dtype=np.uint64))[:n]
+        own = jaccard.combinations(s[:jaccard.prefix_length(n, percent)], n, percent)
+        assert len(own) < 12 * n
+        for keep in (-(-percent * n // 100), n - n // 20):  # a part of the set, and one more changed
+            for other in (rng.choice(s, keep, replace=False),
+                          np.r_[rng.choice(s, n - (n - keep) // 3, replace=False),
+                                rng.integers(0, 1 << 63, (n - keep) // 3, dtype=np.uint64)]):
+                other = np.unique(other)
+                common = len(np.intersect1d(s, other))
+                if 100 * common < percent * (n + len(other) - common):
+                    continue
+                theirs = jaccard.combinations(other[:jaccard.prefix_length(len(other), percent)],
+                                              len(other), percent)
+                assert len(np.intersect1d(own, theirs)), (n, len(other))
+
+
 def test_links_of_the_documents(spark):
     docs = table(spark, SF_SMALL, "documents", "doc_id", "text")
     want = brute.components([tuple(r) for r in docs.collect()], 4, 85)
