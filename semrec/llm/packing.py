@@ -44,7 +44,8 @@ class WordEncoder:
     no token crosses a blank or line feed, so the ids of a text are those of its
     words in order.  Lower-casing first and setting a final stop or comma apart
     cannot change them either (checked per text where normalisation could), and
-    make far fewer words.
+    make far fewer words.  Added tokens are matched in the raw text, so a text in
+    which lower-casing would make one is left as it is.
     """
 
     def __init__(self, path: str):
@@ -52,14 +53,16 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         vocab = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.ends_word = np.zeros(max(vocab.values()) + 1, dtype=bool)
         self.ends_word[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
         self.known: dict[str, bytes] = {"": b""}
 
-    @staticmethod
-    def words(text: str) -> list[str]:
+    def words(self, text: str) -> list[str]:
         low = text.lower()
-        if low.isascii() or "\u03a3" not in text and unicodedata.is_normalized(
+        if any(t in low and low.count(t) != text.count(t) for t in self.added):
+            pass  # another spelling of an added token
+        elif low.isascii() or "\u03a3" not in text and unicodedata.is_normalized(
                 "NFC", text) and unicodedata.is_normalized("NFC", low):
             text = _STOP.sub(r" \g<0>", low)
         return text.replace("\n", " ").split(" ")

@@ -92,6 +92,16 @@ def test_word_encoder_equals_the_library():
     assert list(own.encode_all(texts)) == want
 
 
+def test_word_encoder_matches_added_tokens_in_the_raw_text():
+    lib, own, rnd = Tokenizer.from_file(PACK), packing.WordEncoder(PACK), random.Random(9)
+    parts = ["<|endoftext|>", "<|ENDOFTEXT|>", "<|EndOfText|>", "<|startoftext|>", "<|STARTOFTEXT|>",
+             "<|", "|>", "a", "The", "É", " ", " ", ". ", ", ", "\n"]
+    texts = ["a <|ENDOFTEXT|> b"] + ["".join(rnd.choice(parts) for _ in range(rnd.randint(1, 12)))
+                                     for _ in range(3000)]
+    want = [raw(e.ids) for e in lib.encode_batch(texts, add_special_tokens=False)]
+    assert list(own.encode_all(texts)) == want
+
+
 def test_token_counts_of_odd_rows(odd, empty):
     lib = Tokenizer.from_file(COUNT)
     texts = [r["text"] or "" for r in odd.select("text").collect()]
