@@ -1,7 +1,8 @@
 """Personal data by anchor expansion.
 
-One Aho-Corasick pass over a text finds the anchors: at-signs, plus signs
-before a digit, digits, schemes and identifier cues.  From each anchor a small
+One Aho-Corasick pass over a text, A-Z read as a-z, finds the anchors: at-signs,
+plus signs before a digit, digits (behind a country prefix also of an IBAN),
+schemes and identifier cues.  From each anchor a small
 deterministic parser walks left and right to the boundaries of an address or
 account and validates it (octet range, Luhn, digit counts, mod 97).  No regular
 expression runs over a whole text.
@@ -10,8 +11,9 @@ Span kinds and offsets (code points, end exclusive):
 
 * base: ``email``, ``ip``, ``card``, ``phone`` - per kind leftmost and non-overlapping; a
   candidate that fails its check is dropped and its characters stay consumed;
-* added by the method: ``account`` (an IBAN passing mod 97, or the identifier of
-  6 or more characters with a digit after a cue such as ``account`` or ``passport``)
+* added by the method: ``account`` (an IBAN passing mod 97, after a cue or standing alone
+  with its country's length, or the identifier of 6 or more characters with a digit after a
+  cue such as ``account`` or ``passport``, with ``number``, ``no.`` and the like between)
   and ``url`` (a web or mail address from its scheme to the next blank or quote).
 """
 
@@ -30,7 +32,16 @@ BASE_KINDS = ("email", "ip", "card", "phone")
 KINDS = (*BASE_KINDS, "account", "url")
 SCHEMES = ("http://", "https://", "ftp://", "mailto:")
 CUES = ("iban", "account", "acct", "passport", "ssn", "tax id", "customer id", "member id")
+#: Words that may stand between a cue and its identifier.
+FILLERS = frozenset(("number", "no", "nr", "is"))
 MIN_IDENTIFIER = 6
+#: Characters of an IBAN by country (ISO 13616 registry).
+IBAN_LENGTHS = {c[:2]: int(c[2:]) for c in (
+    "AD24 AE23 AL28 AT20 AZ28 BA20 BE16 BG22 BH22 BI27 BR29 BY28 CH21 CR22 CY28 CZ24 DE22 DJ27 "
+    "DK18 DO28 EE20 EG29 ES24 FI18 FK18 FO18 FR27 GB22 GE22 GI23 GL18 GR27 GT28 HN28 HR21 HU28 "
+    "IE22 IL23 IQ23 IS26 IT27 JO30 KW30 KZ20 LB28 LC32 LI21 LT20 LU20 LV21 LY25 MC27 MD24 ME22 "
+    "MK19 MN20 MR27 MT31 MU30 NI28 NL18 NO15 OM23 PK24 PL28 PS29 PT25 QA29 RO24 RS22 RU33 SA24 "
+    "SC31 SD18 SE24 SI19 SK24 SM27 SO23 ST25 SV28 TL23 TN24 TR26 UA29 VA22 VG24 XK20 YE30").split()}
 
 _DIGITS = frozenset("0123456789")
 _LETTERS = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ")
@@ -40,6 +51,7 @@ _LABEL = _ALNUM | frozenset("-")
 _PHONE = _DIGITS | frozenset(" ().-")
 _URL_END = frozenset(" \t\n\r\x0b\x0c\"'<>`")
 _IDENTIFIER = _ALNUM | frozenset("-")
+_LOWER = {c: c + 32 for c in range(65, 91)}
 
 Span = tuple[str, int, int]
 
@@ -126,13 +138,33 @@ def phone_at(text: str, start: int) -> tuple[int, bool] | None:
     return end, 8 <= sum([c in _DIGITS for c in text[start:end]]) <= 15
 
 
+def behind_cue(text: str, cue_end: int) -> int:
+    """Where an identifier may begin: behind up to four separators, and again behind each
+    of up to three fillers."""
+    at = cue_end
+    for _ in range(4):
+        start = at
+        while at < len(text) and at - start < 4 and text[at] in " :#=":
+            at += 1
+        end = at
+        while end < len(text) and end - at < 8 and text[end] in _LETTERS:
+            end += 1
+        word = text[at:end].lower()
+        if at == start or word not in FILLERS or end < len(text) and text[end] in _IDENTIFIER:
+            break
+        if word in ("no", "nr") and end < len(text) and text[end] == ".":
+            end += 1
+        if end < len(text) and text[end] not in " :#=" and text[end - 1] != ".":
+            break
+        at = end
+    return at
+
+
 def account_after(text: str, cue_end: int) -> tuple[int, int] | None:
-    """Identifier behind a cue: up to four separators, then letters, digits, hyphens."""
+    """Identifier behind a cue: separators and fillers, then letters, digits, hyphens."""
     if cue_end < len(text) and text[cue_end] in _LETTERS:
         return None
-    at = cue_end
-    while at < len(text) and at - cue_end < 4 and text[at] in " :#=":
-        at += 1
+    at = behind_cue(text, cue_end)
     if at == cue_end:
         return None
     end = _run(text, at, _IDENTIFIER)
@@ -146,10 +178,7 @@ def account_after(text: str, cue_end: int) -> tuple[int, int] | None:
 
 def iban_after(text: str, cue_end: int) -> tuple[int, int] | None:
     """IBAN, written together or in blocks of four, behind its cue."""
-    at = cue_end
-    while at < len(text) and at - cue_end < 4 and text[at] in " :#=":
-        at += 1
-    end = at
+    at = end = behind_cue(text, cue_end)
     while end < len(text) and end - at < 42 and (
             text[end] in _ALNUM or text[end] == " " and end + 1 < len(text) and text[end + 1] in _ALNUM):
         end += 1
@@ -160,6 +189,27 @@ def iban_after(text: str, cue_end: int) -> tuple[int, int] | None:
     return None
 
 
+def iban_at(text: str, start: int) -> tuple[int, int] | None:
+    """IBAN whose country prefix is at ``start``: of its country's length, written together
+    or in blocks of four, and not part of a longer word."""
+    size = IBAN_LENGTHS.get(text[start:start + 2].upper())
+    if not size or start and text[start - 1] in _ALNUM:
+        return None
+    end, blocks = start, text[start + 4:start + 5] in (" ", "-")
+    for k in range(size):
+        if blocks and k and k % 4 == 0:
+            if text[end:end + 1] != text[start + 4]:
+                return None
+            end += 1
+        if end >= len(text) or text[end] not in _ALNUM:
+            return None
+        end += 1
+    if end < len(text) and text[end] in _ALNUM:
+        return None
+    code = text[start:end].replace(" ", "").replace("-", "").upper()
+    return (start, end) if iban_valid(code) else None
+
+
 def url_at(text: str, start: int, body: int) -> tuple[int, int] | None:
     end = body
     while end < len(text) and text[end] not in _URL_END:
@@ -184,8 +234,7 @@ def _automaton():
         for d in _DIGITS:
             a.add_word(d, ("0", 1))
         for word, kind in [(s, "url") for s in SCHEMES] + [(c, "cue") for c in CUES]:
-            for form in {word, word.upper(), word.capitalize()}:
-                a.add_word(form, ("iban" if word == "iban" else kind, len(form)))
+            a.add_word(word, ("iban" if word == "iban" else kind, len(word)))
         a.make_automaton()
         _AUTOMATON = a
     return _AUTOMATON
@@ -196,9 +245,17 @@ def find_spans(text: str) -> list[Span]:
     found: dict[str, list[tuple[int, int]]] = {k: [] for k in KINDS}
     free = dict.fromkeys(KINDS, 0)  # where the next span of a kind may start
     n, digits_end = len(text), 0
-    for last, (anchor, size) in _automaton().iter(text):
+    low = text.lower()
+    if len(low) != n:  # a dotted I became two characters; nothing else moves offsets
+        low = text.translate(_LOWER)
+    for last, (anchor, size) in _automaton().iter(low):
         at = last + 1 - size
         if anchor == "0":
+            if at >= free["account"] + 2 and text[at - 1] in _LETTERS and text[at - 2] in _LETTERS:
+                got = iban_at(text, at - 2)
+                if got:
+                    found["account"].append(got)
+                    free["account"] = got[1]
             if at >= free["card"]:
                 got = card_at(text, at)
                 if got:

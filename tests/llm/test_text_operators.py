@@ -149,6 +149,36 @@ def test_added_spans_and_redaction():
         "IBAN: [ACCOUNT] now, account no. passport=[ACCOUNT], [URL]). [EMAIL]")
 
 
+def accounts(t):
+    return [t[s:e] for k, s, e in pii.find_spans(t) if k == "account"]
+
+
+@pytest.mark.parametrize("cue", ["Customer ID", "customer id", "CUSTOMER ID", "Member ID", "Tax ID",
+                                 "tAx iD", "Passport", "É. Customer ID"])
+def test_cues_in_every_spelling(cue):
+    assert accounts(f"İ, {cue}: 12345678 and more") == ["12345678"]
+
+
+@pytest.mark.parametrize("between", [" number: ", " Number ", " no. ", " No.", " no: ", " nr ", " Nr. ", " is ",
+                                     " number is: ", " No. is #", ": "])
+def test_fillers_between_cue_and_identifier(between):
+    assert accounts(f"my account{between}X1234567, or so") == ["X1234567"]
+    assert accounts(f"iban{between}DE89 3704 0044 0532 0130 00.") == ["DE89 3704 0044 0532 0130 00"]
+
+
+def test_fillers_do_not_reach_further():
+    assert accounts("account nobody 12345678. account issued 12345678. account no, 12345678") == []
+    assert accounts("account no-1234567") == ["no-1234567"]
+
+
+def test_iban_without_a_cue():
+    for code in ("DE89370400440532013000", "DE89 3704 0044 0532 0130 00", "gb29nwbk60161331926819",
+                 "NO93 8601 1117 947", "GB29-NWBK-6016-1331-9268-19"):
+        assert accounts(f"pay to {code}, please") == accounts(code) == [code]
+        assert accounts(f"pay toX{code}") == accounts(f"{code}7") == []
+    assert accounts("DE88370400440532013000 ZZ89370400440532013000 DE8937040044053201300") == []
+
+
 def test_redacted_documents_keep_columns(odd):
     rows = {r["doc_id"]: r for r in pii.redact_documents(odd).collect()}
     assert pii.redact_documents(odd).columns == odd.columns
