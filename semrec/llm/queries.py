@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import balltree, jaccard, packing, pii, preference, quality, sharding, spm, token_counts, toxicity
+from . import (balltree, jaccard, merkle, neardup, packing, pii, preference, quality, repair, sharding, spm,
+               token_counts, toxicity)
 from .common import table, text_of, vocabulary
 
 
@@ -68,10 +69,32 @@ def op10_preference_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return preference.format_preferences(*preference.echo_pairs(preference.numbered_turns(turns)))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", *merkle.FIELDS)
+    hit = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    tampered = F.when(hit, F.col("n_chars") + 1).otherwise(F.col("n_chars"))
+    m = merkle.manifest(docs, changed={"n_chars": tampered})
+    folded = merkle.folded(F.col("changed_leaf"), F.col("path"))
+    return m.select("doc_id", "leaf", "subroot", "root",
+                    merkle.digest(merkle.siblings(F.col("path"))).alias("proof_sha256"),
+                    folded.alias("folded_root")).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
+    return repair.repair(repair.damaged(turns), turns)[0]
+
+
+def op13_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label"))
+
+
 QUERIES = {f.__name__: f for f in [op1_best_fit_packing, op2_pii, op3_sentencepiece, op4_sharding,
                                   op5_exact_top_k, op6_quality_rules,
                                   op7_ngram_jaccard,
-                                  op8_token_counts, op9_toxicity, op10_preference_formatting]}
+                                  op8_token_counts, op9_toxicity, op10_preference_formatting,
+                                  op11_merkle_manifest, op12_conversation_repair,
+                                  op13_embedding_near_dedup]}
 
 ORACLE: dict[str, str] = {}
 
@@ -131,3 +154,60 @@ select pair_id, part, pos, role, rendered,
 from rendered
 window upto as (partition by pair_id, part order by pos)
 """
+
+ORACLE["op11_merkle_manifest"] = """
+with recursive rows_in as (
+  select doc_id, coalesce('=' || lang, '-') tree, doc_id::varchar id_text, n_chars,
+         coalesce(strlen(doc_id::varchar) || ':' || doc_id::varchar, '-')
+           || coalesce(strlen(source) || ':' || source, '-') || coalesce(strlen(lang) || ':' || lang, '-') head,
+         coalesce(strlen(text) || ':' || text, '-') tail
+  from documents),
+hit as (
+  select *, xor(list_reduce(list_prepend(4294967295::bigint, [ord(c)::bigint for c in split(id_text, '')]),
+                lambda c, b: list_reduce(list_prepend(xor(c, b), [0, 0, 0, 0, 0, 0, 0, 0]),
+                                         lambda d, z: xor(d >> 1, 3988292384 * (d & 1)))), 4294967295) % 7 = 0 hit
+  from rows_in),
+leaves as (
+  select doc_id, tree,
+         sha256(head || coalesce(strlen(n_chars::varchar) || ':' || n_chars, '-') || tail) leaf,
+         sha256(head || coalesce(strlen((n_chars + hit::int)::varchar) || ':' || (n_chars + hit::int), '-') || tail) changed
+  from (select * replace (coalesce(hit, false) as hit) from hit)),
+placed as (
+  select *, row_number() over (partition by tree order by doc_id nulls first, leaf) - 1 idx,
+         count(*) over (partition by tree) n
+  from leaves),
+nodes as (
+  select tree, 0 level, idx, n, leaf digest from placed
+  union all
+  select tree, level + 1, idx // 2, (n + 1) // 2, sha256(string_agg(digest, '' order by idx))
+  from nodes where n > 1 group by tree, level, n, idx // 2),
+subroots as (
+  select tree, digest subroot, row_number() over (order by tree) - 1 idx, count(*) over () n
+  from nodes where n = 1),
+upper_nodes as (
+  select 0 level, idx, n, subroot digest from subroots
+  union all
+  select level + 1, idx // 2, (n + 1) // 2, sha256(string_agg(digest, '' order by idx))
+  from upper_nodes where n > 1 group by level, n, idx // 2),
+steps as (
+  select p.tree, p.idx, l.level, ((p.idx >> l.level) % 2)::varchar || coalesce(s.digest, '') step
+  from placed p join (select distinct tree, level from nodes where n > 1) l on p.tree = l.tree
+  left join nodes s on s.tree = p.tree and s.level = l.level and s.idx = xor(p.idx >> l.level, 1::bigint)),
+upper_steps as (
+  select r.tree, l.level, ((r.idx >> l.level) % 2)::varchar || coalesce(s.digest, '') step
+  from subroots r join (select distinct level from upper_nodes where n > 1) l on true
+  left join upper_nodes s on s.level = l.level and s.idx = xor(r.idx >> l.level, 1::bigint)),
+paths as (select tree, idx, list(step order by level) path from steps group by tree, idx),
+upper_paths as (select tree, list(step order by level) path from upper_steps group by tree),
+proved as (
+  select p.*, r.subroot, (select digest from upper_nodes where n = 1) root,
+         list_concat(coalesce(a.path, []), coalesce(b.path, [])) path
+  from placed p join subroots r on p.tree = r.tree
+  left join paths a on a.tree = p.tree and a.idx = p.idx left join upper_paths b on b.tree = p.tree),
+done as (
+  select doc_id, leaf, subroot, root, sha256(array_to_string([s[2:] for s in path], '')) proof_sha256,
+         list_reduce(list_prepend(changed, path), lambda a, s:
+           sha256(case when s[1] = '1' then s[2:] || a else a || s[2:] end)) folded_root
+  from proved)
+select *, folded_root = root verified from done
+"""

@@ -38,7 +38,7 @@ def test_query_matches_oracle(spark, con, name):
 
 def test_every_operator_is_registered():
     names = E.queries()
-    assert "pipeline" in names and all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 11))
+    assert "pipeline" in names and all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 14))
 
 
 # sharding -----------------------------------------------------------------
