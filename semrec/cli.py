@@ -19,9 +19,9 @@ from pyspark.sql import functions as F
 
 from .operators import behaviors as bh
 from .operators import trie
-from .operators.metrics import DEFAULT_METRICS, shard_metric_summary
+from .operators.metrics import DEFAULT_METRICS, match_rate, shard_metric_summary
 from .plans import corpora, evaluation, metadata
-from .session import get_session
+from .session import get_session, release, shared
 from .sources import readers, writers
 
 _CORPORA = {"sid": corpora.sid_prediction_corpus, "ra": corpora.reasoning_corpus,
@@ -48,6 +48,7 @@ def _behaviors(spark, a):
     log = (log.withColumn("time_stamp", F.col("time_stamp").cast("timestamp_ntz"))
            .withColumn("content_type", F.col("content_type").cast("bigint"))
            .withColumn("photo_type", F.col("photo_type").cast("bigint")))
+    log = shared(log, always=True)  # three sinks read it
     writers.write_catalog(metadata.item_metadata(log), f"{a.out}/items")
     seqs = bh.user_sequences(log, a.min_sequence_length)
     seqs.select(F.col("line").alias("value")).write.mode("overwrite").text(f"{a.out}/sequences")
@@ -70,8 +71,9 @@ def _evaluate(spark, a):
     truth = truth.select(F.col("sample_id").cast("string").alias("sample_id"), "groundtruth")
     cands = cands.withColumn("sample_id", F.col("sample_id").cast("string"))
     metrics = a.metrics.split(",")
-    rep = (evaluation.evaluate_cot(cands, truth, metrics) if a.mode == "cot"
-           else evaluation.evaluate_direct(cands, truth, metrics))
+    legal = spark.read.parquet(a.legal).select("sid") if a.legal else None
+    evaluate = evaluation.evaluate_cot if a.mode == "cot" else evaluation.evaluate_direct
+    rep = evaluate(cands, truth, metrics, legal=legal)
     rep.show(truncate=False)
 
 
@@ -85,9 +87,9 @@ def _summarize(spark, a):
 def _reconstruct(spark, a):
     corpus = spark.read.parquet(a.corpus)
     cands = spark.read.parquet(a.candidates)
-    out = evaluation.reconstruct_epoch_data(corpus, cands, a.levels)
+    out = shared(evaluation.reconstruct_epoch_data(corpus, cands, a.levels))
     out.write.mode("overwrite").parquet(a.out)
-    evaluation.reconstruct_match_rate(corpus, cands, a.levels).show()
+    match_rate(out).show()
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -124,6 +126,7 @@ def main(argv: list[str] | None = None) -> None:
     e.add_argument("--truth", required=True)
     e.add_argument("--mode", choices=["direct", "cot"], default="direct")
     e.add_argument("--metrics", default=",".join(DEFAULT_METRICS))
+    e.add_argument("--legal", default=None, help="parquet with the legal SIDs (column sid)")
     e.set_defaults(fn=_evaluate)
 
     s = sub.add_parser("summarize-logs")
@@ -142,7 +145,10 @@ def main(argv: list[str] | None = None) -> None:
 
     a = p.parse_args(argv)
     spark = get_session(a.master)
-    a.fn(spark, a)
+    try:
+        a.fn(spark, a)
+    finally:
+        release(spark)
 
 
 if __name__ == "__main__":

@@ -7,6 +7,7 @@ groups are bounded by the beam budget, so per-sample windows here are small.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -14,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import THINK_CLOSE, normalize_prediction
-from ..session import ship_package, sized_broadcast
+from ..session import shared, ship_package, sized_broadcast
 from .ordered import CHUNK_SIZE, global_row_number, positions
 
 ILLEGAL_SCORE = -1000.0
@@ -76,18 +77,20 @@ def unique_top_k(candidates: DataFrame, k: int = 10, step: float = 0.1) -> DataF
     ``k`` are padded by repeating the last with a compounding penalty
     (pad i scores ``last - step * i * (i + 1) / 2``).
 
-    Returns ``(sample_id, rank, text, pred_sid, score, padded)``.
+    Returns ``(sample_id, rank, text, pred_sid, score, padded)``.  No cell and no task holds
+    more than ``k`` SIDs of a sample besides the per-SID aggregates.
     """
     ordk = F.struct("think_idx", "beam_idx")
-    best = candidates.groupBy("sample_id", "pred_sid").agg(
+    best = shared(candidates.groupBy("sample_id", "pred_sid").agg(
         F.max("score").alias("score"), F.min(ordk).alias("first_ord"),
-        F.min_by("text", ordk).alias("text"))
-    # a sample has at most as many SIDs as its beam budget; one sorted list holds its top k
-    sids = F.sort_array(F.collect_list(F.struct(
-        F.col("score").isNull().alias("unscored"), (-F.col("score")).alias("s"), "first_ord",
-        "pred_sid")))
-    per = best.groupBy("sample_id").agg(F.slice(sids, 1, k).alias("top"),
-                                        F.min_by("text", "first_ord").alias("first_text"))
+        F.min_by("text", ordk).alias("text")))
+    # every map task keeps at most k SIDs of a sample before the shuffle (WindowGroupLimit)
+    order = Window.partitionBy("sample_id").orderBy(F.col("score").desc_nulls_last(), "first_ord", "pred_sid")
+    kept = best.withColumn("r", F.row_number().over(order)).where(F.col("r") <= k)
+    tops = kept.groupBy("sample_id").agg(F.array_sort(F.collect_list(F.struct(
+        "r", (-F.col("score")).alias("s"), "pred_sid"))).alias("top"))
+    firsts = best.groupBy("sample_id").agg(F.min_by("text", "first_ord").alias("first_text"))
+    per = tops.join(firsts, "sample_id")
     prefix = F.concat(F.substring_index("first_text", THINK_CLOSE, 1), F.lit(THINK_CLOSE))
     ranks = F.transform(F.sequence(F.lit(1), F.lit(k)), lambda r: F.struct(
         r.cast("bigint").alias("rank"), F.element_at("top", F.least(r, F.size("top"))).alias("c"),
@@ -120,30 +123,78 @@ def pad_candidates(ranked: DataFrame, k: int = 10, step: float = 0.1) -> DataFra
     return ranked.withColumn("padded", F.lit(False)).unionByName(pads)
 
 
-def generate_candidates(prompts: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame],
-                        schema: str | None = None,
-                        batch_rows: int | None = None) -> DataFrame:
-    """Plug-in batch scorer.  ``fn`` maps a pandas batch of prompts
-    (``sample_id``, ``prompt``, ...) of at most ``batch_rows`` rows to candidate rows
-    of ``schema`` (the candidate columns by default).  Runs in
-    Arrow batches through ``mapInPandas``; no model ships with this package.
+Scorer = Callable[[pd.DataFrame], pd.DataFrame]
+#: The scorer that this Python worker has built, by the name of its job.
+_BUILT: dict[str, Scorer] = {}
+
+
+def _built(job: str, factory: Callable[[], Scorer]) -> Scorer:
+    """The worker's scorer of ``job``; built on first use, kept over tasks, one at a time."""
+    if job not in _BUILT:
+        _BUILT.clear()
+        _BUILT[job] = factory()
+    return _BUILT[job]
+
+
+def _batched(frames: Iterator[pd.DataFrame], rows: int | None) -> Iterator[pd.DataFrame]:
+    """Frames of at most ``rows`` rows (as they come without a number); with a column ``_bucket`` none
+    holds two buckets, and a bucket's rows are filled up over the incoming frames."""
+    if rows is None:
+        for pdf in frames:
+            yield from ((g for _, g in pdf.groupby("_bucket")) if "_bucket" in pdf else [pdf])
+        return
+    held: list[pd.DataFrame] = []
+    size, bucket = 0, None
+    for pdf in frames:
+        groups = pdf.groupby("_bucket") if "_bucket" in pdf else [(None, pdf)]
+        for name, group in groups:
+            if held and name != bucket:
+                yield pd.concat(held)
+                held, size = [], 0
+            bucket = name
+            while len(group):
+                part, group = group.iloc[:rows - size], group.iloc[rows - size:]
+                held.append(part)
+                size += len(part)
+                if size == rows:
+                    yield pd.concat(held)
+                    held, size = [], 0
+    if held:
+        yield pd.concat(held)
+
+
+def generate_candidates(prompts: DataFrame, fn: Scorer | None = None, schema: str | None = None,
+                        batch_rows: int | None = None, factory: Callable[[], Scorer] | None = None,
+                        by_length: bool = False, profile=None) -> DataFrame:
+    """Plug-in batch scorer.  A scorer maps a pandas batch of prompts (``sample_id``, ``prompt``, ...) of at
+    most ``batch_rows`` rows to candidate rows of ``schema`` (the candidate columns by default).
+
+    ``fn`` is the scorer itself; ``factory`` builds one (loads a model) and is called once per Python worker,
+    which keeps what it built for its later tasks.  ``by_length`` sorts each partition so that a batch only
+    holds prompts of one length bucket (lengths between two powers of two), which wastes little padding.
+    ``profile`` is a Spark resource profile for this stage (GPUs).  Runs in Arrow batches through
+    ``mapInPandas``; no model ships with this package.
     """
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            out = fn(pdf)
+    if (fn is None) == (factory is None):
+        raise ValueError("give either fn or factory")
+    job = uuid.uuid4().hex
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in _batched(frames, batch_rows):
+            scorer = fn or _built(job, factory)
+            out = scorer(pdf.drop(columns="_bucket", errors="ignore").reset_index(drop=True))
             if out is not None and len(out):
                 yield out
 
-    def batched(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            for at in range(0, len(pdf), batch_rows or max(1, len(pdf))):
-                yield pdf.iloc[at:at + (batch_rows or len(pdf))]
-
     if schema is None:
         kind = prompts.schema["sample_id"].dataType.simpleString()
         schema = f"sample_id {kind}, think_idx int, beam_idx int, text string, score double"
+    if by_length:
+        size = F.coalesce(F.length("prompt"), F.lit(0))
+        prompts = (prompts.withColumn("_bucket", F.floor(F.log2(size + 1)).cast("int"))
+                   .sortWithinPartitions("_bucket", "sample_id"))
     ship_package(prompts.sparkSession)
-    return prompts.mapInPandas(lambda batches: run(batched(batches)), schema)
+    return prompts.mapInPandas(run, schema, profile=profile)
 
 
 def transition_candidates(train_seqs: DataFrame, last_items: DataFrame, k: int = 10) -> DataFrame:
@@ -157,8 +208,8 @@ def transition_candidates(train_seqs: DataFrame, last_items: DataFrame, k: int =
     Returns candidates ``(sample_id, think_idx, beam_idx, text, pred_sid, score)``
     that the evaluation jobs take as they are.
     """
-    dense = positions(train_seqs.select("user_id", F.col("pos").alias("at"), "sid"), ["user_id"],
-                      ["at"], bucket=F.floor(F.col("at") / CHUNK_SIZE))
+    dense = shared(positions(train_seqs.select("user_id", F.col("pos").alias("at"), "sid"), ["user_id"],
+                             ["at"], bucket=F.floor(F.col("at") / CHUNK_SIZE)))
     a = dense.select("user_id", "pos", F.col("sid").alias("src"))
     b = dense.select("user_id", (F.col("pos") - 1).alias("pos"), F.col("sid").alias("dst"))
     pairs = a.join(b, ["user_id", "pos"]).groupBy("src", "dst").agg(

@@ -3,23 +3,23 @@ E1, E2, D19, F3)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import PURCHASED_PREFIX, history_sentence, item_phrase
-from ..session import sized_broadcast
-from .ordered import last_k, ordered_concat
+from ..session import shared, sized_broadcast
+from .ordered import PART_CHARS, before_cut, last_k, ordered_concat, ordered_parts
 
 # Split name -> number of items removed from the end of the sequence.
 SPLITS = [("train", 2), ("val", 1), ("test", 0)]
 SEP = "; "
 
 
-def _split_array() -> F.Column:
+def _split_array() -> Column:
     return F.array(*[F.struct(F.lit(n).alias("split"), F.lit(k).alias("k")) for n, k in SPLITS])
 
 
-def _nonempty(c: str) -> F.Column:
+def _nonempty(c: str) -> Column:
     return F.coalesce(F.col(c), F.lit("")) != ""
 
 
@@ -59,7 +59,7 @@ def missing_items_report(interactions: DataFrame, items: DataFrame) -> DataFrame
             .groupBy("user_id", "reason").agg(F.count(F.lit(1)).alias("n_items")))
 
 
-def _drop_tail(full: F.Column, removed: F.Column) -> F.Column:
+def _drop_tail(full: Column, removed: Column) -> Column:
     """``full`` without its last phrases whose joined length (phrases plus
     separators) is ``removed``; character arithmetic, no second pass."""
     keep = F.length(full) - removed
@@ -81,6 +81,7 @@ def leave_k_out_split(items: DataFrame, phrase_col: str = "phrase",
     column is renamed ``groundtruth``.
     """
     max_k = max(k for _, k in SPLITS)
+    items = shared(items.select(*dict.fromkeys(["user_id", "pos", phrase_col, *target_cols])))
     tail = last_k(items, ["user_id"], "pos", max_k + 1)
     tail_agg = tail.groupBy("user_id").agg(
         F.array_sort(F.collect_list(F.struct("pos", phrase_col, *target_cols))).alias("tail"))
@@ -118,6 +119,7 @@ def prefix_split(interactions: DataFrame, items: DataFrame,
     described = _nonempty("sid") & _nonempty("title") & _nonempty("categories")
     r = r.withColumn("ok", described).withColumn(
         "phrase", F.when(F.col("ok"), item_phrase("sid", "title", "categories")))
+    r = shared(r.select("user_id", "pos", "ok", "phrase"))
     max_k = max(k for _, k in SPLITS)
     tail = last_k(r, ["user_id"], "pos", max_k)
     tail_agg = tail.groupBy("user_id").agg(
@@ -143,6 +145,44 @@ def prefix_split(interactions: DataFrame, items: DataFrame,
                     history_sentence(history, prefix).alias("description"))
 
 
+def _history_parts(rows: DataFrame, cuts: DataFrame, phrase_col: str, max_chars: int) -> DataFrame:
+    """``(split, user_id, part_no, part)``: the phrases in front of every split's cut."""
+    history = before_cut(rows.select("user_id", "pos", phrase_col), cuts.select("user_id", "split", "cut"), "pos")
+    return ordered_parts(history, ["split", "user_id"], "pos", phrase_col, SEP, max_chars)
+
+
+def _split_tails(rows: DataFrame, columns: list[str | Column]) -> DataFrame:
+    """``(split, *columns)``: the (k + 1)-th last row of every user with that many."""
+    tail = last_k(rows, ["user_id"], "pos", 1 + max(k for _, k in SPLITS))
+    at = F.filter(_split_array(), lambda s: s["k"] + 1 == F.col("rr"))
+    return tail.select(F.explode(at).alias("_s"), *columns).withColumn("split", F.col("_s.split")).drop("_s")
+
+
+def leave_k_out_parts(items: DataFrame, phrase_col: str = "phrase", target_cols: tuple[str, ...] = ("sid",),
+                      max_chars: int = PART_CHARS) -> DataFrame:
+    """E1 in long form ``(split, user_id, part_no, part, groundtruth, ...)``: the history of
+    :func:`leave_k_out_split` cut by :func:`.ordered.ordered_parts`; the targets stand in each history's part 0.
+
+    A history has at least one item, so it always has a part 0.  Items in front of a split's target join
+    it span by span (:func:`.ordered.before_cut`): no cell and no task grows with a user.
+    """
+    items = shared(items.select(*dict.fromkeys(["user_id", "pos", phrase_col, *target_cols])))
+    targets = _split_tails(items, ["user_id", F.col("pos").alias("cut"), *target_cols])
+    parts = _history_parts(items, targets, phrase_col, max_chars)
+    first = targets.select("split", "user_id", F.lit(0).cast("bigint").alias("part_no"),
+                           F.col(target_cols[0]).alias("groundtruth"), *target_cols[1:])
+    return parts.join(first, ["split", "user_id", "part_no"], "left")
+
+
+def prefix_parts(interactions: DataFrame, items: DataFrame, max_chars: int = PART_CHARS) -> DataFrame:
+    """E2 in long form ``(split, user_id, part_no, part)``: the described items of :func:`prefix_split`."""
+    r = resolve_sequence(interactions, items, "left")
+    described = _nonempty("sid") & _nonempty("title") & _nonempty("categories")
+    r = shared(r.select("user_id", "pos", F.when(described, item_phrase("sid", "title", "categories")).alias("phrase")))
+    cuts = _split_tails(r, ["user_id", (F.col("pos") + 1).alias("cut")])
+    return _history_parts(r.where(F.col("phrase").isNotNull()), cuts, "phrase", max_chars)
+
+
 def split_counts(corpus: DataFrame) -> DataFrame:
     """Rows per split."""
     return corpus.groupBy("split").agg(F.count(F.lit(1)).alias("n_rows"))

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.sid import extract_first_sid, extract_sid_strict
+from ..session import shared
 from .ordered import global_row_number
 
 #: Report blocks summed together before the running sum over spans.
@@ -186,7 +187,7 @@ def gate_rationales(corpus: DataFrame, predictions: DataFrame, levels: int = 3,
     gt = extract_sid_strict("groundtruth", levels, letters)
     preds = (predictions.select("user_id", extract_sid_strict("text", levels, letters)
                                 .alias("_sid")).where(F.col("_sid").isNotNull()).distinct())
-    c = corpus.withColumn("_gt", gt)
+    c = shared(corpus).withColumn("_gt", gt)
     hits = (c.select("user_id", F.col("_gt").alias("_sid")).where(F.col("_sid").isNotNull())
             .join(preds, ["user_id", "_sid"], "left_semi")
             .select("user_id", F.col("_sid").alias("_gt")).distinct()

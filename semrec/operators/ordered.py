@@ -21,35 +21,45 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import input_size, shared
+
 CHUNK_SIZE = 512
-#: Slices of an order, and keys sampled to find their bounds.
-BUCKETS, SAMPLE = 64, 2048
+#: Characters of a part of a long text.
+PART_CHARS = 1 << 20
+#: Positions of a group that meet one copy of its cuts.
+SPAN = 8192
+#: Input bytes of a slice of an order, fewest and most slices, and keys sampled for each.  The most is
+#: what one row of bounds and the table of counts may hold; slices then grow in length.
+SLICE_BYTES, MIN_SLICES, MAX_SLICES, SAMPLED = 32 << 20, 16, 8192, 32
 
 
 def _cols(cs: Sequence[str | Column]) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in cs]
 
 
-def _literal(value) -> Column:
-    return F.struct(*[F.lit(v) if v is not None else F.lit(None) for v in value])
+def slices_of(df: DataFrame) -> int:
+    """How many slices an order over ``df`` is cut into: grows with the size of its input tables."""
+    return max(MIN_SLICES, min(MAX_SLICES, -(-input_size(df) // SLICE_BYTES)))
 
 
-def order_bucket(df: DataFrame, cols: list[Column], buckets: int = BUCKETS) -> Column:
-    """Number (0 .. buckets - 1) of the slice of the order that a row falls into.
+def order_bucket(df: DataFrame, cols: list[Column], slices: int | None = None, out: str = "_b") -> DataFrame:
+    """Add ``out``, the number (0, 1, ...) of the slice of the order that a row falls into.
 
-    The bounds are quantiles of a bounded sample of order keys (the
-    ``SAMPLE`` smallest hashes, one small job) and enter the plan as literals, so the
-    bucket of a row never depends on the layout or on a recomputation.
+    The bounds are quantiles of the ``SAMPLED * slices`` keys with the smallest hashes, a
+    scalar subquery of the plan: nothing runs while the plan is built, and since the sample is
+    a function of the rows alone, every branch and every recomputed task finds the same bounds.
+    A row finds its slice by binary search.
     """
+    slices = slices or slices_of(df)
     key = F.struct(*[c.alias(f"k{i}") for i, c in enumerate(cols)])
-    drawn = (df.select(key.alias("k")).orderBy(F.xxhash64("k"), "k").limit(SAMPLE)
-             .orderBy("k").collect())
-    step = max(1, -(-len(drawn) // buckets))
-    bounds = [r["k"] for r in drawn[step::step]]
-    if not bounds:
-        return F.lit(0)
-    kind = df.select(key.alias("k")).schema["k"].dataType
-    return F.size(F.filter(F.array(*[_literal(b).cast(kind) for b in bounds]), lambda b: key >= b))
+    drawn = (df.select(key.alias("k")).orderBy(F.xxhash64("k"), "k").limit(SAMPLED * slices)
+             .agg(F.sort_array(F.collect_list("k")).alias("ks")))
+    step = F.ceil(F.size("ks") / slices).cast("int")
+    bounds = drawn.select(F.filter("ks", lambda k, i: (i > 0) & (i % step == 0)).alias("b")).scalar()
+    strides = F.array(*[F.lit(1 << i) for i in reversed(range(slices.bit_length()))])
+    at = F.aggregate(strides, F.lit(0), lambda at, stride: F.when(
+        F.get("_bounds", at + stride - 1) <= key, at + stride).otherwise(at))
+    return df.withColumn("_bounds", bounds).withColumn(out, at).drop("_bounds")
 
 
 def positions(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
@@ -70,7 +80,8 @@ def positions(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
     if not skew_safe:
         w = Window.partitionBy(*keys).orderBy(*cols)
         return df.withColumn(out, F.row_number().over(w).cast("bigint"))
-    s = df.withColumn("_b", order_bucket(df, cols) if bucket is None else bucket)
+    df = shared(df)
+    s = order_bucket(df, cols) if bucket is None else df.withColumn("_b", bucket)
     before = (Window.partitionBy(*keys).orderBy("_b")
               .rowsBetween(Window.unboundedPreceding, -1))
     starts = (s.groupBy(*keys, "_b").agg(F.count(F.lit(1)).alias("_cnt"))
@@ -92,6 +103,21 @@ def last_k(df: DataFrame, keys: Sequence[str], order_col: str, k: int,
     return df.withColumn(out, F.row_number().over(w)).where(F.col(out) <= k)
 
 
+def before_cut(rows: DataFrame, cuts: DataFrame, pos: str, cut: str = "cut", span: int = SPAN,
+               key: str = "user_id") -> DataFrame:
+    """Rows of ``rows`` joined with every row of ``cuts`` of the same ``key`` whose ``cut`` lies behind
+    ``pos`` (both at least 0).
+
+    Few ``cuts`` per key meet many ``rows``.  Rows join on ``(key, pos div span)`` and each cut is copied once for
+    every span that begins before it, so a hot key's rows are dealt over its spans however the
+    join is planned, and no span is met by a cut it lies behind.
+    """
+    spans = F.sequence(F.lit(0).cast("bigint"), F.floor((F.col(cut) - 1) / span))
+    copies = cuts.where(F.col(cut) > 0).withColumn("_span", F.explode(spans))
+    return (rows.withColumn("_span", F.floor(F.col(pos) / span)).join(copies, [key, "_span"])
+            .where(F.col(pos) < F.col(cut)).drop("_span"))
+
+
 def ordered_concat(df: DataFrame, keys: Sequence[str], order_col: str, value_col: str,
                    sep: str, out: str, count_out: str | None = None,
                    chunk_size: int = CHUNK_SIZE) -> DataFrame:
@@ -117,17 +143,44 @@ def ordered_concat(df: DataFrame, keys: Sequence[str], order_col: str, value_col
     return level1.groupBy(*keys).agg(*aggs)
 
 
+def ordered_parts(df: DataFrame, keys: Sequence[str], order_col: str, value_col: str, sep: str,
+                  max_chars: int = PART_CHARS, chunk_size: int = CHUNK_SIZE) -> DataFrame:
+    """Long form of :func:`ordered_concat`: ``(keys, part_no, part)``; the parts of a group in order, joined
+    by ``sep``, are its whole text.
+
+    A value belongs to the part that its start in the whole text falls into (running length
+    ``div max_chars``), so a part is at most ``max_chars`` and its last value long, whatever the size of the
+    group, and numbers may be skipped behind a value longer than that.  Running lengths are
+    summed inside chunks of the order and over the chunks, so no task needs a whole group.
+    """
+    keys = list(keys)
+    d = (df.select(*keys, F.col(order_col).alias("_o"), F.col(value_col).alias("_v"))
+         .withColumn("_chunk", F.floor(F.col("_o") / chunk_size))
+         .withColumn("_len", F.length("_v") + len(sep)))
+    d = shared(d)
+    earlier = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    starts = (d.groupBy(*keys, "_chunk").agg(F.sum("_len").alias("_n"))
+              .withColumn("_off", F.coalesce(F.sum("_n").over(earlier), F.lit(0))).drop("_n"))
+    inside = Window.partitionBy(*keys, "_chunk").orderBy("_o").rowsBetween(Window.unboundedPreceding, -1)
+    at = F.col("_off") + F.coalesce(F.sum("_len").over(inside), F.lit(0))
+    placed = (d.join(starts, [*keys, "_chunk"]).withColumn("part_no", F.floor(at / max_chars))
+              .repartition(*keys, "part_no"))
+    return placed.groupBy(*keys, "part_no").agg(F.array_join(F.transform(
+        F.array_sort(F.collect_list(F.struct("_o", "_v"))), lambda x: x["_v"]), sep).alias("part"))
+
+
 def global_row_number(df: DataFrame, order: Sequence[str | Column], out: str = "rn",
                       total_out: str | None = None) -> DataFrame:
     """Dense 1..N row number in ``order`` without a single-partition window over rows.
 
     Rows are counted per :func:`order_bucket`; a running sum over that table (at most
-    ``BUCKETS`` rows) gives each bucket's offset, a window per bucket the rest.
+    ``MAX_SLICES`` rows) gives each slice's offset, a window per slice the rest.
     ``order`` must be unique.  ``total_out`` adds the total row count from the same
-    small table.
+    small table.  A computed input is read three times and therefore :func:`..session.shared`.
     """
-    cols = _cols(order)
-    s = df.withColumn("_b", order_bucket(df, cols))
+    cols, slices = _cols(order), slices_of(df)
+    df = shared(df)
+    s = order_bucket(df, cols, slices)
     sizes = s.groupBy("_b").agg(F.count(F.lit(1)).alias("_cnt"))
     w = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.withColumn("_off", F.coalesce(F.sum("_cnt").over(w), F.lit(0)))

@@ -3,6 +3,7 @@ the DuckDB SQL that must give the same rows."""
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,7 +19,7 @@ from .operators import candidates as cand
 from .operators import trie
 from .operators import metrics as metrics_ops
 from .plans import corpora, evaluation, metadata, persona
-from .session import read_table
+from .session import read_table, release, shared
 from .operators.ordered import ordered_concat
 from .sources import fixtures as fx
 from .sources import readers, writers
@@ -28,9 +29,18 @@ QUERIES: dict[str, QueryFn] = {}
 ORACLE: dict[str, str] = {}
 
 
+#: Characters of a part in the compared long forms (:data:`.operators.ordered.PART_CHARS` by default).
+PART = 1000
+
+
 def query(name: str, sql: str | None = None):
     def deco(fn: QueryFn) -> QueryFn:
-        QUERIES[name] = fn
+        @functools.wraps(fn)
+        def job(spark: SparkSession, sf: str) -> DataFrame:
+            release(spark)  # what the job before has shared
+            return fn(spark, sf)
+
+        QUERIES[name] = job
         if sql is not None:
             ORACLE[name] = sql
         return fn
@@ -114,6 +124,52 @@ def q_alignment_corpus(spark, sf):
     return corpora.alignment_corpus(fx.interactions(spark, sf), fx.catalog(spark, sf))
 
 
+def _parts_sql(phrase: str, usable: str, on: str = "p.rr = s.k + 1", behind: str = "p.pos < c.cut",
+               targets: str = "") -> str:
+    """Histories in front of each split's cut, cut into parts of ``PART`` characters; ``targets``: columns of
+    the cut row that stand in part 0."""
+    names = [t.split(" ")[-1] for t in targets.split(", ") if t]
+    first = "".join(f", case when a.part_no = 0 then c.{n} end {n}" for n in names)
+    return O.with_fixtures(f"""
+select a.split, a.user_id, a.part_no, a.part{first}
+from (select split, user_id, cast(floor(ahead / {PART}) as bigint) part_no,
+             string_agg(phrase, '; ' order by pos) part
+      from (select c.split, c.user_id, p.pos, p.phrase,
+                   coalesce(sum(length(p.phrase) + 2) over (
+                     partition by c.split, c.user_id order by p.pos
+                     rows between unbounded preceding and 1 preceding), 0) ahead
+            from cuts c join ph p on p.user_id = c.user_id and {behind} and p.phrase is not null) h
+      group by split, user_id, floor(ahead / {PART})) a
+join cuts c on c.split = a.split and c.user_id = a.user_id""", "interactions", "catalog", extra=[f"""ph as (
+select i.user_id, i.pos, k.sid, coalesce(k.title, '') title, coalesce(k.categories, '') categories, {phrase} phrase,
+       row_number() over (partition by i.user_id order by i.pos desc) rr
+from interactions i {usable})""", f"""cuts as (
+select s.split, p.user_id, p.pos cut{', ' + targets if targets else ''}
+from ph p join (values ('train', 2), ('val', 1), ('test', 0)) s(split, k) on {on})"""])
+
+
+_USABLE = "join catalog k using (item_id) where coalesce(k.sid, '') <> ''"
+
+
+@query("sid_prediction_parts", _parts_sql("k.sid", _USABLE, targets="p.sid groundtruth"))
+def q_sid_prediction_parts(spark, sf):
+    return corpora.sid_prediction_parts(fx.interactions(spark, sf), fx.catalog(spark, sf), PART)
+
+
+@query("reasoning_parts", _parts_sql(_PHRASE_SQL.replace("sid ||", "k.sid ||"), _USABLE, targets=(
+    "p.sid groundtruth, p.title title, p.categories categories")))
+def q_reasoning_parts(spark, sf):
+    return corpora.reasoning_parts(fx.interactions(spark, sf), fx.catalog(spark, sf), PART)
+
+
+@query("alignment_parts", _parts_sql(
+    "case when coalesce(k.sid, '') <> '' and coalesce(k.title, '') <> '' and coalesce(k.categories, '') <> '' "
+    f"then {_PHRASE_SQL.replace('sid ||', 'k.sid ||')} end", "left join catalog k using (item_id)",
+    behind="p.pos <= c.cut"))
+def q_alignment_parts(spark, sf):
+    return corpora.alignment_parts(fx.interactions(spark, sf), fx.catalog(spark, sf), PART)
+
+
 @query("missing_items_report", O.with_fixtures("""
 select user_id, reason, count(*) n_items from (
   select i.user_id,
@@ -244,11 +300,13 @@ def q_parseable_sid_rows(spark, sf):
         "event_id", F.array_join(F.transform(codes, lambda x: x.cast("string")), ",").alias("codes"))
 
 
-@query("order_behaviors", _bsql(
-    f"select user_id, event_id, strftime(time_stamp, '{_TS_FMT_SQL}') time_stamp from plog"))
+@query("order_behaviors", _bsql(f"""
+select row_number() over (order by user_id nulls first, time_stamp nulls last, event_id) "position",
+       user_id, event_id, strftime(time_stamp, '{_TS_FMT_SQL}') time_stamp from plog"""))
 def q_order_behaviors(spark, sf):
-    return bh.order_behaviors(_plog(spark, sf)).select(
-        "user_id", "event_id", F.date_format("time_stamp", _TS_FMT).alias("time_stamp"))
+    log = _plog(spark, sf).select("user_id", "event_id", "time_stamp")
+    return bh.order_behaviors(log, "position").select(
+        "position", "user_id", "event_id", F.date_format("time_stamp", _TS_FMT).alias("time_stamp"))
 
 
 _TS_SQL = ("strftime(time_stamp, '%Y-%m-%d %H:%M:%S') || case when epoch_us(time_stamp) % 1000000 "
@@ -263,6 +321,17 @@ def q_user_sequences(spark, sf):
     return bh.user_sequences(_plog(spark, sf))
 
 
+@query("user_sequence_parts", _bsql(f"""
+select user_id, cast(floor(ahead / {PART}) as bigint) part_no, string_agg(item_id, ' ' order by n) part
+from (select user_id, item_id, row_number() over by_time n, count(*) over (partition by user_id) total,
+             coalesce(sum(length(item_id) + 1) over (by_time rows between unbounded preceding
+                                                     and 1 preceding), 0) ahead
+      from prows window by_time as (partition by user_id order by time_stamp nulls last, event_id)) s
+where total >= 3 group by user_id, floor(ahead / {PART})""", _PARSEABLE_CTE))
+def q_user_sequence_parts(spark, sf):
+    return bh.user_sequence_parts(_plog(spark, sf), 3, PART)
+
+
 @query("user_behavior_details", _bsql(f"""
 select user_id,
        row_number() over (partition by user_id order by time_stamp nulls last, event_id) idx,
@@ -1274,6 +1343,23 @@ from cuts c left join (select user_id, split, string_agg(clause, '; ' order by o
                      _CLAUSES_CTE)
 
 
+@query("persona_parts", _bsql(f"""
+select c.split, c.user_id, coalesce(a.part_no, 0) part_no, coalesce(a.part, '') part,
+       case when coalesce(a.part_no, 0) = 0 then c.groundtruth end groundtruth,
+       case when coalesce(a.part_no, 0) = 0 then c.title end title,
+       case when coalesce(a.part_no, 0) = 0 then c.categories end categories
+from cuts c left join (
+  select split, user_id, cast(floor(ahead / {PART}) as bigint) part_no, string_agg(clause, '; ' order by o) part
+  from (select *, coalesce(sum(length(clause) + 2) over (partition by split, user_id order by o
+                           rows between unbounded preceding and 1 preceding), 0) ahead from clauses) l
+  group by split, user_id, floor(ahead / {PART})) a on a.split = c.split and a.user_id = c.user_id""",
+                              _PARSEABLE_CTE, _LATEST_CTE, _ITEMS_CTE, _DET_CTE, _RES_CTE, _CUTS_CTE,
+                              _CLAUSES_CTE))
+def q_persona_parts(spark, sf):
+    log = _plog(spark, sf)
+    return persona.persona_parts(log, metadata.item_metadata(log), PART)
+
+
 @query("persona_grounding", _PERSONA_SQL)
 def q_persona_grounding(spark, sf):
     log = _plog(spark, sf)
@@ -1286,17 +1372,14 @@ select cast(floor((row_number() over (order by user_id) - 1) /
        user_id, title, matched
 from gated where split = 'test'"""))
 def q_merge_shards(spark, sf):
-    """Gate the test split, write it partitioned by contiguous shard, and read the
-    shard folders back as one table in shard order."""
-    import uuid
-    from .session import checkpoint_dir
+    """Gate the test split, cut it into contiguous shards, and concatenate the shards' outputs in shard
+    order (from files: :func:`.sources.readers.read_shards`)."""
     corpus = _ra_corpus(spark, sf).where(F.col("split") == "test")
-    sharded = metrics_ops.contiguous_shards(corpus, 4, "ceil", key="user_id")
-    gated = metrics_ops.gate_rationales(sharded, _k8_cands(spark, sf).select("user_id", "text"))
-    root = f"{checkpoint_dir(spark).rstrip('/')}/semrec-shards-{uuid.uuid4().hex}"
-    gated.write.partitionBy("shard").parquet(root)
-    parts = [f"{root}/shard={i}" for i in range(4)]
-    return readers.read_shards(spark, parts).select("shard", "user_id", "title", "matched")
+    gated = metrics_ops.gate_rationales(corpus, _k8_cands(spark, sf).select("user_id", "text"))
+    sharded = shared(metrics_ops.contiguous_shards(gated.select("user_id", "title", "matched"), 4, "ceil",
+                                                   key="user_id"))
+    outputs = [sharded.where(F.col("shard") == i).drop("shard") for i in range(4)]
+    return metrics_ops.merge_shards(outputs).select("shard", "user_id", "title", "matched")
 
 
 # -------------------------------------------------- sinks, written and read ---
@@ -1329,6 +1412,15 @@ def q_behavior_tsv(spark, sf):
     return back.select(*[F.coalesce(c, F.lit("")).alias(c) for c in _TSV_COLUMNS])
 
 
+@query("behavior_tsv_quoted", ORACLE["behavior_tsv"])
+def q_behavior_tsv_quoted(spark, sf):
+    """A6 on the quoted form, line ends inside fields, read in splits."""
+    path = _folder(spark, "tsv-quoted")
+    writers.write_behavior_tsv(fx.behaviors(spark, sf).select(*_TSV_COLUMNS), path, quoted=True)
+    back = readers.read_behavior_tsv(spark, path, multi_line=True)
+    return back.select(*[F.coalesce(c, F.lit("")).alias(c) for c in _TSV_COLUMNS])
+
+
 @query("write_sequences", O.with_fixtures("""
 select user_id, pos, item_id from interactions""", "interactions"))
 def q_write_sequences(spark, sf):

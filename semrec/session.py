@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -67,6 +69,39 @@ def estimated_bytes(df: DataFrame) -> int:
     return int(str(stats.sizeInBytes()))
 
 
+def input_size(df: DataFrame) -> int:
+    """Bytes of the tables under ``df``'s plan (the estimate of a whole plan multiplies its joins)."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+
+
+_SHARED: dict[str, list[DataFrame]] = {}
+#: Plan nodes that make a frame worth keeping; anything else is read again as cheaply.
+_WORK = re.compile(r"^[\s:+-]*'?(Join|Aggregate|Window|Sort|Repartition|Distinct|Deduplicate|MapIn|FlatMap)", re.M)
+
+
+def shared(df: DataFrame, always: bool = False) -> DataFrame:
+    """``df``, computed once for all its readers in the job.
+
+    Nothing runs now: the first reader stores the partitions on the executors (memory, then their
+    disks), later ones read them there, and a partition lost with its executor is computed again
+    from its lineage.  Results never depend on it.  A frame without joins, aggregations or
+    shuffles is returned as it is (unless ``always``), since reading its files again prunes columns.
+    :func:`release` drops what a job has shared.
+    """
+    if df.is_cached or not always and not _WORK.search(df._jdf.queryExecution().analyzed().toString()):
+        return df
+    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+    _SHARED.setdefault(df.sparkSession.sparkContext.applicationId, []).append(kept)
+    return kept
+
+
+def release(spark: SparkSession) -> None:
+    """Drop all that :func:`shared` has kept in this application; frames built on it stay usable."""
+    for df in _SHARED.pop(spark.sparkContext.applicationId, []):
+        df.unpersist()
+
+
 def sized_broadcast(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
     """Broadcast hint only when the estimated size is under ``max_bytes``.
 

@@ -9,11 +9,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions.sid import py_strip
 from ..operators.ordered import global_row_number
+from .structure import numbered_lines, object_entries, quoted_records
 
 CATALOG_FIELDS = ["title", "description", "categories", "sid"]
 _CATALOG_STRUCT = "struct<" + ",".join(f"{f}:string" for f in CATALOG_FIELDS) + ">"
@@ -26,19 +28,22 @@ def parse_sequence_lines(lines: DataFrame, col: str = "value") -> DataFrame:
     drop lines with <= 1 token; first token is the user, the rest the items
     in order.  Returns long form ``(line_id, user_id, pos, item_id)``.
 
-    ``line_id`` keeps two lines of the same user apart, as the reference does.
+    ``line_id`` keeps two lines of the same user apart, as the reference does; lines that come
+    without one are numbered as they are read.
     """
     toks = F.split(py_strip(col), r"(?U)\s+")
-    t = (lines.select(F.monotonically_increasing_id().alias("line_id"), toks.alias("toks"))
-         .where(F.size("toks") > 1))
+    line = F.col("line_id") if "line_id" in lines.columns else F.monotonically_increasing_id()
+    t = lines.select(line.alias("line_id"), toks.alias("toks")).where(F.size("toks") > 1)
     return t.select("line_id", F.col("toks")[0].alias("user_id"),
                     F.posexplode(F.slice("toks", 2, F.size("toks") - 1)).alias("pos", "item_id")) \
         .withColumn("pos", (F.col("pos") + 1).cast("bigint"))
 
 
 def read_sequences(spark: SparkSession, path: str) -> DataFrame:
-    """A1: sequence text file(s) ``user item item ...`` -> long form."""
-    return parse_sequence_lines(spark.read.text(path))
+    """A1: sequence text file(s) ``user item item ...`` -> long form.  ``line_id`` is the file and the line's
+    number in it, whatever splits Spark reads."""
+    lines = numbered_lines(spark, path)
+    return parse_sequence_lines(lines.select(F.concat_ws("#", "file", "line_no").alias("line_id"), "value"))
 
 
 # ------------------------------------------------------------- catalogue ---
@@ -59,32 +64,31 @@ def parse_catalog_json(lines: DataFrame, col: str = "value") -> DataFrame:
 def read_item_catalog(spark: SparkSession, path: str, whole_file: bool = False) -> DataFrame:
     """A2: item catalogue JSON.
 
-    Preferred layout is JSON lines (one or more ``{"id": {...}}`` objects
-    per line) which splits across tasks.  ``whole_file=True`` accepts the
-    reference's single-object file; such a file is one record, so keep it for
-    small catalogues.
+    The default layout is JSON lines (one or more ``{"id": {...}}`` objects per line).
+    ``whole_file=True`` reads files that are one object each, indented or on one line; they are
+    cut and read by many tasks too (:func:`.structure.object_entries`).
     """
-    lines = spark.read.text(path, wholetext=whole_file)
-    return parse_catalog_json(lines)
+    return parse_catalog_json(object_entries(spark, path) if whole_file else spark.read.text(path))
 
 
 # -------------------------------------------------------------- eval set ---
 
 def eval_set(df: DataFrame, key: str | None = None) -> DataFrame:
     """A3 checks: ``description`` and ``groundtruth`` are required; a missing
-    ``user_id`` becomes ``user_{idx}`` (row index in ``key`` order, or file
-    order when ``key`` is None)."""
+    ``user_id`` becomes ``user_{idx}`` (row index in ``key`` order).  Without ``key`` the rows go by file
+    and by their place in it, for a frame that reads Parquet files; it does not depend on splits."""
     missing = [c for c in ("description", "groundtruth") if c not in df.columns]
     if missing:
         raise ValueError(f"eval set lacks required columns: {missing}")
+    keys = [key]
     if key is None:
-        df = df.withColumn("_file_order", F.monotonically_increasing_id())
-        key = "_file_order"
-    idx = global_row_number(df, [key], "_idx")
+        df = df.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+        keys = ["_file", "_row"]
+    idx = global_row_number(df, keys, "_idx")
     uid = F.concat(F.lit("user_"), (F.col("_idx") - 1).cast("string"))
     if "user_id" in df.columns:
         uid = F.coalesce(F.col("user_id").cast("string"), uid)
-    return idx.withColumn("user_id", uid).drop("_idx", "_file_order")
+    return idx.withColumn("user_id", uid).drop("_idx", "_file", "_row")
 
 
 def read_eval_set(spark: SparkSession, path: str) -> DataFrame:
@@ -115,14 +119,19 @@ def read_behavior_tsv(spark: SparkSession, path: str, multi_line: bool = False)
     """Tab-separated behaviour log with a header (all columns as strings).
 
     One record is one line (line feeds, tabs and backslashes inside a field are
-    escaped, as :func:`..writers.write_behavior_tsv` does), so large files split
-    across tasks.  ``multi_line=True`` reads the quoted form with line feeds
-    inside fields instead; then each file is one task.
+    escaped, as :func:`..writers.write_behavior_tsv` does).  ``multi_line=True`` reads the
+    quoted form with line feeds inside fields instead (quotes inside are doubled); its
+    files are cut and read by many tasks too (:func:`.structure.quoted_records`).
     """
     reader = (spark.read.option("sep", "\t").option("header", True).option("encoding", "UTF-8")
               .option("maxCharsPerColumn", -1))
     if multi_line:
-        return clean_column_names(reader.option("multiLine", True).option("escape", '"').csv(path))
+        # Spark reads the header of one file for the names; records are cut and parsed in splits
+        names = reader.option("multiLine", True).option("escape", '"').csv(path).columns
+        records = quoted_records(spark, path).where((F.col("record_no") > 0) & (F.col("value") != ""))
+        kind = StructType([StructField(f"c{i}", StringType()) for i in range(len(names))]).simpleString()
+        fields = F.from_csv("value", kind, {"sep": "\t", "escape": '"', "maxCharsPerColumn": "-1"})
+        return clean_column_names(records.select(fields.alias("r")).select("r.*").toDF(*names))
     df = clean_column_names(reader.option("quote", "").option("escape", "\x00").csv(path))
     return df.select(*[unescape_tsv(c).alias(c) for c in df.columns])
 
@@ -135,61 +144,78 @@ COT_MARKER = "🎯 Final CoT Hit Rate Results:"
 RULE = "=" * 60
 
 
-def _labelled(text):
-    """``label: number`` lines of a text, in order, as ``array<struct<label, value>>``."""
-    lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(r":\s*[0-9.]+"))
-    return F.transform(lines, lambda x: F.struct(
-        F.trim(F.regexp_extract(x, r"^(.*?):\s*[0-9.]", 1)).alias("label"),
-        F.regexp_extract(x, r":\s*([0-9.]+)", 1).alias("value")))
+def _number_after(label: str, gap: str, number: str) -> str:
+    """Pattern of ``label: number``, found at the label wherever a line holds it."""
+    return rf"\Q{label}\E:{gap}({number})"
 
 
-def _last(entries, label: str, kind: str):
-    """Value of the last entry whose label ends with ``label`` (any case)."""
-    hits = F.filter(entries, lambda e: F.lower(e["label"]).endswith(label.lower()))
-    return F.when(F.size(hits) > 0, F.element_at(hits, -1)["value"].try_cast(kind))
+def _first(text: Column, pattern: str, kind: str) -> Column:
+    """First number that ``pattern`` finds in ``text``, null without one."""
+    return F.nullif(F.regexp_extract(text, pattern, 1), F.lit("")).try_cast(kind)
+
+
+def _direct_results(content: Column, metrics: Sequence[str]) -> tuple[Column, Column, list[Column]]:
+    """``(has results, sample count, metric values)``: the text between the two rules behind the banner
+    decides; of each metric the first number counts."""
+    behind = F.split(F.element_at(F.split(content, DIRECT_MARKER, 2), -1), RULE, 3)
+    complete = F.contains(content, F.lit(DIRECT_MARKER)) & (F.size(behind) == 3)
+    n = _first(content, _number_after("Total samples", " ", r"\d+"), "bigint")
+    values = [_first(F.get(behind, F.lit(1)), _number_after(m, r"\s+", r"[\d.]+"), "double") for m in metrics]
+    return complete & n.isNotNull(), n, values
+
+
+def _cot_results(content: Column, metrics: Sequence[str],
+                 default_samples: int | None) -> tuple[Column, Column, list[Column]]:
+    """As :func:`_direct_results`: every line behind the last banner gives one metric, the first of
+    ``metrics`` that it names, by the last number behind that name; later lines win."""
+    lines = F.split(F.substring_index(content, COT_MARKER, -1), "\n")
+    names = [".*" + _number_after(m, r"\s*", r"[0-9]*\.?[0-9]+") for m in metrics]
+
+    def value(i: int) -> Column:
+        def decides(line: Column) -> Column:
+            own = line.rlike(names[i])
+            for earlier in names[:i]:
+                own = own & ~line.rlike(earlier)
+            return own
+        return _first(F.try_element_at(F.filter(lines, decides), F.lit(-1)), names[i], "double")
+
+    values = [value(i) for i in range(len(names))]
+    counts = ["(?i)" + _number_after("Total samples", r"\s*", r"\d+"),
+              "(?i)" + _number_after("Test data size", r"\s*", r"\d+"), r"(?i)samples.*?(\d+)"]
+    stated = F.coalesce(*[_first(content, p, "bigint") for p in counts])
+    n = F.when(stated > 0, stated).otherwise(F.lit(default_samples).cast("bigint"))
+    some = F.coalesce(*values).isNotNull()
+    return F.contains(content, F.lit(COT_MARKER)) & some, n, values
 
 
 def parse_metric_logs(spark: SparkSession, path: str, metrics: Sequence[str],
                       mode: str = "direct", default_samples: int | None = None) -> DataFrame:
     """A10: per shard log -> ``(shard, found, metric, value, n)``.
 
-    ``direct``: the metrics between the two rules after the results banner, and a
-    ``Total samples`` line.  ``cot``: the last value of each metric after the last CoT
-    banner; the count is the first found, and above 0, of a ``Total samples``
-    line, a ``Test data size`` line and a number behind ``samples`` on one line, else
-    ``default_samples``.  A log without results yields one row with
-    ``found = false``.  Each log is one whole-text record (logs are small).
+    Labels are found at their number, whatever a logger wrote before them on the line (time stamp,
+    level).  ``direct``: the metrics between the two rules after the results banner, and a
+    ``Total samples`` count; a log that lacks either has no results.  ``cot``: the last value of each
+    metric after the last CoT banner; the count is that of the first of ``Total samples``, ``Test data
+    size`` and a number behind ``samples`` on one line that the log holds, else (or when it is 0)
+    ``default_samples``.  A log without results yields one row with ``found = false``.  Logs are spread over
+    tasks; each one is one record.
     """
     logs = (spark.read.text(path, wholetext=True)
-            .select(F.regexp_extract(F.input_file_name(), r"gpu_(\d+)\.log", 1).cast("int")
-                    .alias("shard"), F.col("value").alias("content")))
-    everything = _labelled(F.col("content"))
+            .select(F.regexp_extract(F.col("_metadata.file_name"), r"gpu_(\d+)\.log", 1).cast("int")
+                    .alias("shard"), F.replace("value", F.lit("\r\n"), F.lit("\n")).alias("content")))
     if mode == "direct":
-        after = F.split(F.element_at(F.split("content", DIRECT_MARKER, 2), -1), RULE)
-        has = F.contains("content", F.lit(DIRECT_MARKER)) & (F.size(after) > 2)
-        entries = _labelled(F.get(after, F.lit(1)))
-        n = _last(everything, "Total samples", "bigint")
-        need = n.isNotNull()
+        found, n, values = _direct_results(F.col("content"), metrics)
     elif mode == "cot":
-        has = F.contains("content", F.lit(COT_MARKER))
-        entries = _labelled(F.substring_index("content", COT_MARKER, -1))
-        loose = F.regexp_extract("content", r"(?i)samples[^\n\d]*(\d+)", 1).try_cast("bigint")
-        counts = [_last(everything, "Total samples", "bigint"),
-                  _last(everything, "Test data size", "bigint"), loose]
-        n = F.coalesce(*[F.when(c > 0, c) for c in counts], F.lit(default_samples).cast("bigint"))
-        need = F.size(F.filter(F.array(*[_last(entries, m, "double") for m in metrics]),
-                               lambda v: v.isNotNull())) > 0
+        found, n, values = _cot_results(F.col("content"), metrics, default_samples)
     else:
         raise ValueError(mode)
-    rows = F.array(*[F.struct(F.lit(m).alias("metric"), _last(entries, m, "double").alias("value"))
-                     for m in metrics])
-    parsed = logs.select("shard", (has & need).alias("found"), n.alias("n"), rows.alias("rows"))
-    ok = parsed.where("found").select("shard", "found", F.explode("rows").alias("r"), "n") \
-        .select("shard", "found", "r.metric", "r.value", "n").where(F.col("value").isNotNull())
-    bad = parsed.where(~F.col("found")).select(
-        "shard", "found", F.lit(None).cast("string").alias("metric"),
-        F.lit(None).cast("double").alias("value"), F.lit(None).cast("bigint").alias("n"))
-    return ok.unionByName(bad)
+    rows = F.filter(F.array(*[F.struct(F.lit(m).alias("metric"), v.alias("value"))
+                              for m, v in zip(metrics, values)]), lambda r: r["value"].isNotNull())
+    found = F.coalesce(found, F.lit(False))
+    parsed = logs.select("shard", found.alias("found"), F.when(found, n).alias("n"),
+                         F.when(found, rows).alias("rows"))
+    return parsed.select("shard", "found", F.explode_outer("rows").alias("r"), "n").select(
+        "shard", "found", "r.metric", "r.value", "n")
 
 
 def read_shards(spark: SparkSession, paths: Sequence[str]) -> DataFrame:

@@ -14,10 +14,17 @@ def write_splits(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).partitionBy("split").parquet(path)
 
 
-def write_behavior_tsv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+def write_behavior_tsv(df: DataFrame, path: str, mode: str = "overwrite", quoted: bool = False) -> None:
     """Tab-separated with a header, no index; tabs, line ends and backslashes
     inside a field are escaped, so every record is one line and
-    :func:`..readers.read_behavior_tsv` reads it back in parallel."""
+    :func:`..readers.read_behavior_tsv` reads it back in parallel.  ``quoted``: fields are quoted instead
+    (quotes inside doubled), and line ends stay as they are (``multi_line`` reads it)."""
+    if quoted:
+        (df.write.mode(mode).option("sep", "\t").option("header", True).option("quoteAll", True)
+         .option("escape", '"').option("ignoreLeadingWhiteSpace", False)
+         .option("ignoreTrailingWhiteSpace", False).csv(path))
+        return
+
     def field(c: str):
         out = F.col(c).cast("string")
         for plain, escaped in TSV_ESCAPES:
