@@ -32,8 +32,8 @@ from .components import components
 
 #: Classes of a bucket that are compared together.
 CHUNK = 1024
-#: Unrelated classes that share a bucket, about.
-BUCKET = 4
+#: Other unrelated classes in a class's bucket, about.
+BUCKET = 0.25
 #: Vectors that are projected together.
 SLICE = 1024
 
@@ -234,7 +234,7 @@ def near_duplicates(rows: DataFrame, threshold: float = 0.93, id_col: str = "vec
     largest = classes.groupBy("lab").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 1
     planned = table_plan(largest, threshold, recall)
     bits = bits or planned[0]
-    tables = tables or table_plan(BUCKET * 2 ** bits, threshold, recall)[1]
+    tables = tables or table_plan(round(BUCKET * 2 ** bits), threshold, recall)[1]
 
     sigs = frozen(signed(classes, bits, tables, seed))
     tasks = bucket_tasks(sigs.join(classes.select("cls", "lab"), "cls"), chunk)
