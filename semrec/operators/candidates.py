@@ -81,15 +81,14 @@ def unique_top_k(candidates: DataFrame, k: int = 10, step: float = 0.1) -> DataF
     more than ``k`` SIDs of a sample besides the per-SID aggregates.
     """
     ordk = F.struct("think_idx", "beam_idx")
-    best = shared(candidates.groupBy("sample_id", "pred_sid").agg(
-        F.max("score").alias("score"), F.min(ordk).alias("first_ord"),
-        F.min_by("text", ordk).alias("text")))
+    best = candidates.groupBy("sample_id", "pred_sid").agg(
+        F.max("score").alias("score"), F.min(ordk).alias("first_ord"))
     # every map task keeps at most k SIDs of a sample before the shuffle (WindowGroupLimit)
     order = Window.partitionBy("sample_id").orderBy(F.col("score").desc_nulls_last(), "first_ord", "pred_sid")
     kept = best.withColumn("r", F.row_number().over(order)).where(F.col("r") <= k)
     tops = kept.groupBy("sample_id").agg(F.array_sort(F.collect_list(F.struct(
         "r", (-F.col("score")).alias("s"), "pred_sid"))).alias("top"))
-    firsts = best.groupBy("sample_id").agg(F.min_by("text", "first_ord").alias("first_text"))
+    firsts = candidates.groupBy("sample_id").agg(F.min_by("text", ordk).alias("first_text"))
     per = tops.join(firsts, "sample_id")
     prefix = F.concat(F.substring_index("first_text", THINK_CLOSE, 1), F.lit(THINK_CLOSE))
     ranks = F.transform(F.sequence(F.lit(1), F.lit(k)), lambda r: F.struct(

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import PURCHASED_PREFIX, history_sentence, item_phrase
-from ..session import shared, sized_broadcast
+from ..session import sized_broadcast
 from .ordered import PART_CHARS, before_cut, last_k, ordered_concat, ordered_parts
 
 # Split name -> number of items removed from the end of the sequence.
@@ -74,19 +74,15 @@ def leave_k_out_split(items: DataFrame, phrase_col: str = "phrase",
 
     ``items``: one row per usable item ``(user_id, pos, phrase_col, *target_cols)``.
     The whole history is joined once by :func:`ordered_concat` (chunked, so a
-    hot user is spread over tasks); only the last three items per user are
-    gathered into an array, and each split's history is the full text with
+    hot user is spread over tasks), which also hands on the last three items
+    per user; each split's history is the full text with
     its last k + 1 phrases cut off by their known length.
     Returns ``(split, user_id, description, <target_cols>)``; the first target
     column is renamed ``groundtruth``.
     """
     max_k = max(k for _, k in SPLITS)
-    items = shared(items.select(*dict.fromkeys(["user_id", "pos", phrase_col, *target_cols])))
-    tail = last_k(items, ["user_id"], "pos", max_k + 1)
-    tail_agg = tail.groupBy("user_id").agg(
-        F.array_sort(F.collect_list(F.struct("pos", phrase_col, *target_cols))).alias("tail"))
-    full = ordered_concat(items, ["user_id"], "pos", phrase_col, SEP, "full", "n")
-    per_user = tail_agg.join(full, "user_id")
+    per_user = ordered_concat(items, ["user_id"], "pos", phrase_col, SEP, "full", "n", tail=max_k + 1,
+                              tail_cols=target_cols)
     t = F.size("tail")
     s = per_user.select("user_id", "tail", "full", "n", t.alias("t"),
                         F.explode(_split_array()).alias("s"))
@@ -95,8 +91,7 @@ def leave_k_out_split(items: DataFrame, phrase_col: str = "phrase",
     target = F.element_at(F.col("tail"), (F.col("t") - k).cast("int"))
     # the target and the k items after it: the last k + 1 tail entries
     cut = F.slice(F.col("tail"), (F.col("t") - k).cast("int"), (k + 1).cast("int"))
-    removed = F.aggregate(cut, F.lit(0), lambda acc, x: acc + F.length(x[phrase_col])
-                          + len(SEP))
+    removed = F.aggregate(cut, F.lit(0), lambda acc, x: acc + F.length(x["value"]) + len(SEP))
     history = _drop_tail(F.col("full"), removed)
     out = [F.col("s.split").alias("split"), "user_id",
            history_sentence(history, prefix).alias("description"),
@@ -117,29 +112,19 @@ def prefix_split(interactions: DataFrame, items: DataFrame,
     """
     r = resolve_sequence(interactions, items, "left")
     described = _nonempty("sid") & _nonempty("title") & _nonempty("categories")
-    r = r.withColumn("ok", described).withColumn(
-        "phrase", F.when(F.col("ok"), item_phrase("sid", "title", "categories")))
-    r = shared(r.select("user_id", "pos", "ok", "phrase"))
+    r = r.withColumn("phrase", F.when(described, item_phrase("sid", "title", "categories")))
     max_k = max(k for _, k in SPLITS)
-    tail = last_k(r, ["user_id"], "pos", max_k)
-    tail_agg = tail.groupBy("user_id").agg(
-        F.array_sort(F.collect_list(F.struct("pos", "ok", "phrase"))).alias("tail"))
-    n_raw = r.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
-    full = ordered_concat(r.where(F.col("ok")), ["user_id"], "pos", "phrase", SEP,
-                          "full", "n_ok")
-    per_user = tail_agg.join(n_raw, "user_id").join(full, "user_id", "left")
+    per_user = ordered_concat(r, ["user_id"], "pos", "phrase", SEP, "full", "n", tail=max_k, values_out="n_ok")
     t = F.size("tail")
-    s = per_user.select("user_id", "tail", "full", F.coalesce("n_ok", F.lit(0)).alias("n_ok"),
-                        "n", t.alias("t"), F.explode(_split_array()).alias("s"))
+    s = per_user.select("user_id", "tail", "full", "n_ok", "n", t.alias("t"), F.explode(_split_array()).alias("s"))
     k = F.col("s.k")
     s = s.where(F.col("n") > k)
     # described items among the k raw items dropped from the end
     dropped = F.filter(F.slice(F.col("tail"), F.greatest(F.col("t") - k + 1, F.lit(1)).cast("int"),
-                               k.cast("int")), lambda x: x["ok"])
+                               k.cast("int")), lambda x: x["value"].isNotNull())
     s = s.withColumn("dropped", F.when(k > 0, dropped).otherwise(F.array()))
     s = s.where(F.col("n_ok") - F.size("dropped") > 0)
-    removed = F.aggregate("dropped", F.lit(0), lambda acc, x: acc + F.length(x["phrase"])
-                          + len(SEP))
+    removed = F.aggregate("dropped", F.lit(0), lambda acc, x: acc + F.length(x["value"]) + len(SEP))
     history = _drop_tail(F.col("full"), removed)
     return s.select(F.col("s.split").alias("split"), "user_id",
                     history_sentence(history, prefix).alias("description"))
@@ -166,7 +151,6 @@ def leave_k_out_parts(items: DataFrame, phrase_col: str = "phrase", target_cols:
     A history has at least one item, so it always has a part 0.  Items in front of a split's target join
     it span by span (:func:`.ordered.before_cut`): no cell and no task grows with a user.
     """
-    items = shared(items.select(*dict.fromkeys(["user_id", "pos", phrase_col, *target_cols])))
     targets = _split_tails(items, ["user_id", F.col("pos").alias("cut"), *target_cols])
     parts = _history_parts(items, targets, phrase_col, max_chars)
     first = targets.select("split", "user_id", F.lit(0).cast("bigint").alias("part_no"),
@@ -178,7 +162,7 @@ def prefix_parts(interactions: DataFrame, items: DataFrame, max_chars: int = PAR
     """E2 in long form ``(split, user_id, part_no, part)``: the described items of :func:`prefix_split`."""
     r = resolve_sequence(interactions, items, "left")
     described = _nonempty("sid") & _nonempty("title") & _nonempty("categories")
-    r = shared(r.select("user_id", "pos", F.when(described, item_phrase("sid", "title", "categories")).alias("phrase")))
+    r = r.select("user_id", "pos", F.when(described, item_phrase("sid", "title", "categories")).alias("phrase"))
     cuts = _split_tails(r, ["user_id", (F.col("pos") + 1).alias("cut")])
     return _history_parts(r.where(F.col("phrase").isNotNull()), cuts, "phrase", max_chars)
 

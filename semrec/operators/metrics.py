@@ -16,7 +16,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.sid import extract_first_sid, extract_sid_strict
-from ..session import shared
 from .ordered import global_row_number
 
 #: Report blocks summed together before the running sum over spans.
@@ -181,19 +180,15 @@ def gate_rationales(corpus: DataFrame, predictions: DataFrame, levels: int = 3,
     """Keep ``title``/``categories`` only where the ground-truth SID is among
     the sample's predicted SIDs; otherwise null both.  Rows are never dropped.
 
-    ``predictions``: ``(user_id, text)``.  Matching is an equi join on
-    ``(user_id, sid)``, so no per-user candidate list is ever materialised.
+    ``predictions``: ``(user_id, text)``.  Matching is one equi join on
+    ``(user_id, sid)`` with the distinct predictions, so no per-user candidate list is
+    ever materialised and the corpus is read once.
     """
     gt = extract_sid_strict("groundtruth", levels, letters)
-    preds = (predictions.select("user_id", extract_sid_strict("text", levels, letters)
-                                .alias("_sid")).where(F.col("_sid").isNotNull()).distinct())
-    c = shared(corpus).withColumn("_gt", gt)
-    hits = (c.select("user_id", F.col("_gt").alias("_sid")).where(F.col("_sid").isNotNull())
-            .join(preds, ["user_id", "_sid"], "left_semi")
-            .select("user_id", F.col("_sid").alias("_gt")).distinct()
-            .withColumn("matched", F.lit(True)))
-    out = c.join(hits, ["user_id", "_gt"], "left").withColumn(
-        "matched", F.coalesce(F.col("matched"), F.lit(False)))
+    preds = (predictions.select("user_id", extract_sid_strict("text", levels, letters).alias("_gt"))
+             .where(F.col("_gt").isNotNull()).distinct().withColumn("matched", F.lit(True)))
+    out = (corpus.withColumn("_gt", gt).join(preds, ["user_id", "_gt"], "left")
+           .withColumn("matched", F.coalesce("matched", F.lit(False))))
     return (out.withColumn("title", F.when(F.col("matched"), F.col("title")))
             .withColumn("categories", F.when(F.col("matched"), F.col("categories")))
             .drop("_gt"))

@@ -120,26 +120,43 @@ def before_cut(rows: DataFrame, cuts: DataFrame, pos: str, cut: str = "cut", spa
 
 def ordered_concat(df: DataFrame, keys: Sequence[str], order_col: str, value_col: str,
                    sep: str, out: str, count_out: str | None = None,
-                   chunk_size: int = CHUNK_SIZE) -> DataFrame:
-    """Per group: ``value_col`` joined by ``sep`` in ``order_col`` order.
+                   chunk_size: int = CHUNK_SIZE, tail: int = 0, tail_cols: Sequence[str] = (),
+                   values_out: str | None = None) -> DataFrame:
+    """Per group: ``value_col`` joined by ``sep`` in ``order_col`` order (null values are left out).
 
     ``order_col`` is an integer position.  Rows are first grouped into
     ``(keys, order div chunk_size)`` chunks, so a hot group is spread over
-    many tasks; the second level only joins chunk strings.
+    many tasks; the second level only joins chunk strings.  ``count_out`` counts the rows, ``values_out``
+    those with a value.  ``tail`` adds an array ``tail`` of the last so many rows as
+    ``struct<pos, value, tail_cols...>``; a chunk hands on no more than that.
     """
     keys = list(keys)
-    chunked = (df.select(*keys, F.col(order_col).alias("_o"), F.col(value_col).alias("_v"))
+    cells = [F.col(c).alias(f"_t{i}") for i, c in enumerate(tail_cols)]
+    chunked = (df.select(*keys, F.col(order_col).alias("_o"), F.col(value_col).alias("_v"), *cells)
                .withColumn("_chunk", F.floor(F.col("_o") / chunk_size))
                # its own exchange: an input dealt by ``keys`` alone would keep a hot group in one task
                .repartition(*keys, "_chunk"))
+
+    def last(rows: Column) -> Column:
+        return F.when(F.size(rows) > tail, F.slice(rows, -tail, tail)).otherwise(rows)
+
+    row = F.struct(F.col("_o").alias("pos"), F.col("_v").alias("value"),
+                   *[F.col(f"_t{i}").alias(c) for i, c in enumerate(tail_cols)])
     level1 = chunked.groupBy(*keys, "_chunk").agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_o", "_v"))),
-                                 lambda x: x["_v"]), sep).alias("_part"),
-        F.count(F.lit(1)).alias("_n"))
-    aggs = [F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_chunk", "_part"))),
-                                     lambda x: x["_part"]), sep).alias(out)]
+        F.array_sort(F.collect_list(row)).alias("_rows"), F.count(F.lit(1)).alias("_n"), F.count("_v").alias("_nv"))
+    kept = [last(F.col("_rows")).alias("_tail")] if tail else []
+    level1 = level1.select(*keys, "_chunk", "_n", "_nv", F.array_join(
+        F.transform("_rows", lambda x: x["value"]), sep).alias("_part"), *kept)
+    part = F.when(F.col("_nv") > 0, F.col("_part"))  # a chunk without values adds no separator
+    aggs = [F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_chunk", part.alias("p")))),
+                                     lambda x: x["p"]), sep).alias(out)]
     if count_out:
         aggs.append(F.sum("_n").alias(count_out))
+    if values_out:
+        aggs.append(F.sum("_nv").alias(values_out))
+    if tail:
+        ends = F.array_sort(F.collect_list(F.struct("_chunk", "_tail")))
+        aggs.append(last(F.flatten(F.transform(ends, lambda x: x["_tail"]))).alias("tail"))
     return level1.groupBy(*keys).agg(*aggs)
 
 
