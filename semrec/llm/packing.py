@@ -18,16 +18,18 @@ from array import array
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.taskcontext import TaskContext
 
-from .common import python_ready, text_of
+from .common import frozen, python_ready, text_of
 
 CAPACITY = 2048
 OPEN_BINS = 8192
+#: Full sequences of a pack task, at least.
+TASK_SEQUENCES = 512
 #: Words whose ids a worker remembers; beyond that it starts afresh.
 CACHED_WORDS = 800_000
 END_ID = 0
@@ -121,37 +123,31 @@ def token_pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY,
     bytes.  ``salt`` counts rows inside the task, so equal rows can be spread.
     Other columns are not carried; repeated rows stay.
     """
-    schema = (f"{id_col} {docs.schema[id_col].dataType.simpleString()}, piece int, start bigint, "
-              "length bigint, ids_crc32 bigint, salt int" + (", ids binary" if with_ids else ""))
+    made = [("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()),
+            ("salt", pa.int32())] + [("ids", pa.binary())] * with_ids
+    kinds = {pa.int32(): T.IntegerType(), pa.int64(): T.LongType(), pa.binary(): T.BinaryType()}
+    schema = T.StructType([T.StructField(id_col, docs.schema[id_col].dataType),
+                           *(T.StructField(n, kinds[t]) for n, t in made)])
 
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, n, step = _encoder(vocabulary), TaskContext.get().partitionId() * 7919, 4 * capacity
         end = END_ID.to_bytes(4, "little")
-        for pdf in batches:
-            out = []
-            for doc_id, ids in zip(pdf.iloc[:, 0].tolist(), encoder.encode_all(pdf.iloc[:, 1].tolist())):
+        for b in batches:
+            rows, out = [], []
+            for i, ids in enumerate(encoder.encode_all(b.column(1).to_pylist())):
                 ids += end
                 for k, at in enumerate(range(0, len(ids), step)):
                     part = ids[at:at + step]
                     n += 1
-                    row = (doc_id, k, at // 4, len(part) // 4, zlib.crc32(part), n % 1024)
-                    out.append(row + (part,) if with_ids else row)
-            names = [id_col, "piece", "start", "length", "ids_crc32", "salt"] + ["ids"] * with_ids
-            frame = pd.DataFrame(out, columns=names)
-            frame[id_col] = pd.Series(frame[id_col].tolist(), dtype=object).where(
-                frame[id_col].notna(), None)
-            yield frame
+                    rows.append(i)
+                    out.append((k, at // 4, len(part) // 4, zlib.crc32(part), n % 1024, part))
+            cells = list(zip(*out)) or [()] * 6
+            yield pa.RecordBatch.from_arrays(  # ids of documents never leave Arrow
+                [b.column(0).take(pa.array(rows, pa.int32())),
+                 *(pa.array(c, t) for c, (_, t) in zip(cells, made))], names=schema.names)
 
-    return (python_ready(docs).select(F.col(id_col), text_of(text_col).alias("__text"))
-            .mapInPandas(_keep_null_ids(cut, id_col), schema))
-
-
-def _keep_null_ids(fn, id_col):
-    """Nullable ids arrive as floats in a batch that has a null; keep them whole numbers."""
-    def wrapped(batches):
-        return fn(b.assign(**{id_col: b[id_col].astype("Int64")}) if b[id_col].dtype.kind == "f"
-                  else b for b in batches)
-    return wrapped
+    return (python_ready(docs).select(F.col(f"`{id_col}`"), text_of(text_col).alias("__text"))
+            .mapInArrow(cut, schema))
 
 
 class BestFit:
@@ -190,38 +186,49 @@ class BestFit:
         return at, self.capacity - free
 
 
+def pack_tasks(pieces: DataFrame, capacity: int = CAPACITY) -> int:
+    """Tasks to pack in: as many as the session shuffles over, but none with fewer than about ``TASK_SEQUENCES``
+    full sequences, as every task leaves some bins unfilled."""
+    total = pieces.agg(F.sum("length")).first()[0] or 0
+    most = int(pieces.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(1, min(most, total // (capacity * TASK_SEQUENCES)))
+
+
 def pack(pieces: DataFrame, capacity: int = CAPACITY, open_bins: int = OPEN_BINS,
          tasks: int | None = None) -> DataFrame:
     """``pieces`` plus ``sequence_id`` and ``offset`` (gapless from 0 per sequence).
 
     ``pieces`` needs ``length`` (1 .. capacity), ``ids_crc32`` and ``salt``.  Each
-    task packs an evenly dealt share, so the number of tasks only costs a
-    half-filled sequence each.  Input columns named ``sequence_id`` or ``offset``
+    task packs an evenly dealt share; without ``tasks`` their number follows from the tokens
+    (:func:`pack_tasks`; ``pieces`` is read twice then).  Input columns named ``sequence_id`` or ``offset``
     are replaced.  An empty frame gives an empty one.
     """
     pieces = pieces.drop("sequence_id", "offset")
-    spark = pieces.sparkSession
-    tasks = tasks or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    tasks = tasks or pack_tasks(pieces, capacity)
     names = pieces.columns
     order = [F.col("length").desc()] + [F.col(f"`{c}`") for c in names if c != "length"]
     schema = T.StructType([*pieces.schema.fields, T.StructField("sequence_id", T.LongType()),
                            T.StructField("offset", T.LongType())])
 
-    def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        packer = BestFit(capacity, open_bins, TaskContext.get().partitionId() << 32)
-        for pdf in batches:
-            spots = [packer.place(n) for n in pdf["length"].tolist()]
-            yield pdf.assign(sequence_id=[s for s, _ in spots], offset=[o for _, o in spots])
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        packer, length = BestFit(capacity, open_bins, TaskContext.get().partitionId() << 32), names.index("length")
+        for b in batches:
+            spots = [packer.place(n) for n in b.column(length).to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [*b.columns, pa.array([s for s, _ in spots], pa.int64()), pa.array([o for _, o in spots], pa.int64())],
+                names=schema.names)
 
     # pieces of one task in a fixed order: a recomputed task packs alike
     dealt = (python_ready(pieces).repartition(tasks, "ids_crc32", "salt")
              .sortWithinPartitions(*order))
-    return dealt.mapInPandas(_keep_null_ids(place, names[0]), schema)
+    return dealt.mapInArrow(place, schema)
 
 
 def pack_documents(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY,
                    open_bins: int = OPEN_BINS, id_col: str = "doc_id", text_col: str = "text",
                    with_ids: bool = False) -> DataFrame:
-    """Tokenise, cut and pack every document; see :func:`token_pieces` and :func:`pack`."""
-    pieces = token_pieces(docs, vocabulary, capacity, id_col, text_col, with_ids)
+    """Tokenise, cut and pack every document; see :func:`token_pieces` and :func:`pack`.  Pieces are written once,
+    so no text is encoded again to count them.  Texts of any length are encoded whole; an empty or null
+    text is one piece of one token; columns other than id and text are left out, whatever their names."""
+    pieces = frozen(token_pieces(docs, vocabulary, capacity, id_col, text_col, with_ids))
     return pack(pieces, capacity, open_bins).drop("salt")

@@ -10,7 +10,7 @@ import sentencepiece
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from semrec.llm import packing, pii, quality, spm, token_counts, toxicity
+from semrec.llm import packing, pii, quality, queries, spm, token_counts, toxicity
 from semrec.llm.common import table, vocabulary
 
 from brute import BASE, SCHEMA, base_spans, odd_rows, statistics
@@ -65,12 +65,31 @@ def test_packing_of_odd_rows(odd, empty):
     assert all(zlib.crc32(bytes(r["ids"])) == r["ids_crc32"] for r in ids)
 
 
-def test_packing_uses_few_sequences(spark):
-    docs = table(spark, SF_SMALL, "documents", "doc_id", "text")
-    rows = packing.pack(packing.token_pieces(docs, PACK), tasks=1).collect()
-    n = check_packing([tuple(r) for r in docs.collect()], rows, packing.CAPACITY)
+def test_packing_uses_few_sequences_whatever_the_partitions(spark):
+    docs = [tuple(r) for r in table(spark, SF_SMALL, "documents", "doc_id", "text").collect()]
+    keep = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "200")
+    try:
+        rows = queries.op1_best_fit_packing(spark, SF_SMALL).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", keep)
+    n = check_packing(docs, rows, packing.CAPACITY)
     least = -(-sum(r["length"] for r in rows) // packing.CAPACITY)
-    assert n <= least * 1.03 + 1
+    assert n <= least * 1.02 + 1
+
+
+def test_packing_deals_many_sequences_to_several_tasks(spark, monkeypatch):
+    docs = table(spark, SF_SMALL, "documents", "doc_id", "text")
+    pieces = packing.token_pieces(docs, PACK)
+    least = pieces.agg({"length": "sum"}).first()[0] // packing.CAPACITY
+    monkeypatch.setattr(packing, "TASK_SEQUENCES", 10)
+    assert packing.pack_tasks(pieces) == min(8, least // 10) > 1
+
+
+def test_document_ids_over_two_to_the_53_survive_beside_null(spark):
+    big = 9007199254740993
+    df = spark.createDataFrame([(big, "one"), (None, "two"), (-big, None)], "doc_id bigint, text string").coalesce(1)
+    assert {r["doc_id"] for r in packing.pack_documents(df, PACK).collect()} == {big, None, -big}
 
 
 def test_bounded_best_fit_takes_the_tightest_bin_and_closes_the_fullest():
