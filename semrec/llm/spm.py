@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import sized_broadcast
 from .common import frozen, python_ready, text_of
 
 BLANK = "▁"
@@ -54,6 +55,7 @@ class Pieces:
         self.score: dict[str, float] = {}
         self.ident: dict[str, int] = {}
         self.byte_id = [0] * 256
+        self.short = n <= 1 << 16  # ids fit into two bytes
         self.surface: list[bytes] = []
         for i in range(n):
             piece = model.id_to_piece(i)
@@ -321,6 +323,13 @@ class Pieces:
         return (self.ids(self._back(text[begin:first], before)) + self.encoded(text[first:last])
                 + self.ids(self._back(text[last:end], "") + tail))
 
+    def packed(self, ids: bytes) -> bytes:
+        """Ids in two bytes each where the vocabulary allows it."""
+        return np.frombuffer(ids, dtype="<u4").astype("<u2").tobytes() if self.short else ids
+
+    def unpacked(self, ids: bytes) -> bytes:
+        return np.frombuffer(ids, dtype="<u2").astype("<u4").tobytes() if self.short else ids
+
     def _back(self, text: str, before: str) -> list[str]:
         paths, out, i = self.path(text, before), [], len(text)
         while i:
@@ -364,7 +373,13 @@ def _normal(text: str) -> str:
 
 
 def _chunks(giants: DataFrame, model: str, chunk: int) -> DataFrame:
-    """``(key, at, body, lo, hi)``: each chunk of each different giant text once, with margins."""
+    """``(key, at, body, lo, hi)``: the chunks of the giant texts, with margins.
+
+    One row stands for each different text: the one whose ``__row`` is smallest, found without its text.  Rows
+    repeated exactly in other tasks are told apart later, by ``(key, at)``."""
+    chosen = frozen(giants.groupBy("__key").agg(F.min("__row").alias("__row")))
+    giants = giants.join(sized_broadcast(chosen), ["__key", "__row"], "left_semi")
+
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         margin, seen = pieces(model).longest, set()
         for b in batches:
@@ -384,12 +399,13 @@ def _chunks(giants: DataFrame, model: str, chunk: int) -> DataFrame:
                         names=["key", "at", "body", "lo", "hi"])
 
     return (giants.select("__key", "__text")
-            .mapInArrow(work, "key string, at int, body string, lo int, hi int")
-            .dropDuplicates(["key", "at"]))
+            .mapInArrow(work, "key string, at int, body string, lo int, hi int"))
 
 
 def _giant_ids(giants: DataFrame, model: str, chunk: int, decoded: bool) -> DataFrame:
-    """``(key, ids, decoded)`` of every different giant text by the parallel scan."""
+    """``(key, ids, decoded)`` of every different giant text by the parallel scan.
+
+    Chunk bodies are written once and never shuffled: only transfer matrices and ids are."""
     cut = frozen(_chunks(giants, model, chunk))
 
     def matrices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -402,7 +418,7 @@ def _giant_ids(giants: DataFrame, model: str, chunk: int, decoded: bool) -> Data
                  pa.array([m.tobytes() for m in made], pa.binary())], names=["key", "at", "rows", "m"])
 
     def combined(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("at")
+        pdf = pdf.drop_duplicates("at").sort_values("at")
         mats = [np.frombuffer(m).reshape(r, -1) for m, r in zip(pdf["m"], pdf["rows"])]
         both = scan(mats)
         return pd.DataFrame({"key": pdf["key"].to_numpy(), "at": pdf["at"].to_numpy(),
@@ -411,18 +427,18 @@ def _giant_ids(giants: DataFrame, model: str, chunk: int, decoded: bool) -> Data
     def trace(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p = pieces(model)
         for b in _slices(batches):
-            ids = [p.traced(*row) for row in zip(*(b.column(c).to_pylist() for c in (2, 3, 4, 5, 6)))]
+            ids = [p.packed(p.traced(*row)) for row in zip(*(b.column(c).to_pylist() for c in (2, 3, 4, 5, 6)))]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(ids, pa.binary())],
                                              names=["key", "at", "ids"])
 
     def joined(pdf: pd.DataFrame) -> pd.DataFrame:
-        ids = b"".join(pdf.sort_values("at")["ids"])
+        ids = pieces(model).unpacked(b"".join(pdf.drop_duplicates("at").sort_values("at")["ids"]))
         return pd.DataFrame({"key": [pdf["key"].iloc[0]], "ids": [ids],
                              "decoded": [pieces(model).decode(ids) if decoded else None]})
 
     states = (cut.mapInArrow(matrices, "key string, at int, rows int, m binary")
               .groupBy("key").applyInPandas(combined, "key string, at int, enter int, leave int"))
-    traced = (cut.join(states, ["key", "at"])
+    traced = (cut.join(sized_broadcast(frozen(states)), ["key", "at"])
               .select("key", "at", "body", "lo", "hi", "enter", "leave")
               .mapInArrow(trace, "key string, at int, ids binary"))
     # a text's ids are one value, as the text is
@@ -464,11 +480,14 @@ def encode(docs: DataFrame, model: str, text_col: str = "text", chunk: int = CHU
                 names=schema.names)
 
     small = base.where(size <= chunk).mapInArrow(work, schema)
-    giants = base.where(size > chunk).withColumn("__key", F.sha2("__text", 256))
+    giants = base.where(size > chunk).withColumn("__key", F.sha2("__text", 256)).withColumn(
+        "__row", F.xxhash64("__key", *[F.col(f"`{c}`").cast("string") for c in names if c != text_col]))
     by_key = (_giant_ids(giants, model, chunk, bool(decoded))
               .select(F.col("key").alias("__of"), F.col("ids").alias("__ids"),
                       F.col("decoded").alias("__decoded")))
-    large = (giants.drop("__text").join(by_key, F.col("__key") == F.col("__of"))
+    # written, the giant rows have a known size: without their texts they are small enough to broadcast
+    rows = frozen(giants.drop("__text", "__row"))
+    large = (by_key.join(sized_broadcast(rows), F.col("__key") == F.col("__of"))
              .select(*[F.col(f"`{c}`") for c in names], F.col("__ids").alias("ids"),
                      *[F.col("__decoded").alias(c) for c in [decoded] if c]))
     return small.union(large)
