@@ -149,7 +149,8 @@ def rationale_text(user, target, title, categories, system: str = SYSTEM_MESSAGE
 def normalize_prediction(c, levels: int = 3) -> Column:
     """Text after the last '</think>', stripped, spaces removed, first SID."""
     tail = F.substring_index(_col(c), THINK_CLOSE, -1)
-    return extract_first_sid(F.regexp_replace(py_strip(tail), " ", ""), levels)
+    # a SID is found the same before stripping, and text without one is stripped there
+    return extract_first_sid(F.replace(tail, F.lit(" "), F.lit("")), levels)
 
 
 def extract_thinking(text, user) -> Column:
@@ -171,13 +172,13 @@ def extract_thinking(text, user) -> Column:
 def extract_response(c, levels: int = 3) -> Column:
     """The assistant's answer reduced to its first SID."""
     c = _col(c)
-    after_think = py_strip(F.substring_index(c, THINK_CLOSE, -1))
+    after_think = F.substring_index(c, THINK_CLOSE, -1)
     turn = F.split_part(c, F.lit(ASSISTANT_TURN), F.lit(2))
     turn = F.when(F.instr(turn, IM_END) > 0, F.substring_index(turn, IM_END, 1)).otherwise(turn)
     picked = (F.when(F.contains(c, F.lit(THINK_CLOSE)), after_think)
-              .when(F.contains(c, F.lit(ASSISTANT_TURN)), py_strip(turn))
+              .when(F.contains(c, F.lit(ASSISTANT_TURN)), turn)
               .otherwise(c))
-    return extract_first_sid(picked, levels)
+    return extract_first_sid(picked, levels)  # which strips what holds no SID
 
 
 def loss_span_start(text) -> Column:

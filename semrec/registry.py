@@ -19,7 +19,7 @@ from .operators import candidates as cand
 from .operators import trie
 from .operators import metrics as metrics_ops
 from .plans import corpora, evaluation, metadata, persona
-from .session import read_table, release, shared
+from .session import read_table, release, scratch_path, shared
 from .operators.ordered import ordered_concat
 from .sources import fixtures as fx
 from .sources import readers, writers
@@ -1251,10 +1251,8 @@ def q_read_eval_set(spark, sf):
 
 @query("stream_positive_behaviors", _bsql(_present_log_sql()))
 def q_stream_positive_behaviors(spark, sf):
-    import uuid
-    from .session import checkpoint_dir
     from .streaming.behaviors import stream_positive_behaviors
-    root = f"{checkpoint_dir(spark).rstrip('/')}/semrec-stream-{uuid.uuid4().hex}"
+    root = scratch_path(spark, "stream")
     raw = fx.behavior_table(spark, sf)  # the partitioned log itself is the stream's source
     return _present_log(stream_positive_behaviors(spark, fx.behavior_path(spark, sf), raw.schema,
                                                   f"{root}/out", f"{root}/checkpoint"))
@@ -1384,15 +1382,9 @@ def q_merge_shards(spark, sf):
 
 # -------------------------------------------------- sinks, written and read ---
 
-def _folder(spark: SparkSession, name: str) -> str:
-    import uuid
-    from .session import checkpoint_dir
-    return f"{checkpoint_dir(spark).rstrip('/')}/semrec-{name}-{uuid.uuid4().hex}"
-
-
 @query("write_splits", _K2_SQL)
 def q_write_splits(spark, sf):
-    path = _folder(spark, "splits")
+    path = scratch_path(spark, "splits")
     writers.write_splits(_sid_corpus(spark, sf), path)
     return spark.read.parquet(path).select("split", "user_id", "description", "groundtruth")
 
@@ -1406,7 +1398,7 @@ _TSV_COLUMNS = ["event_id", "user_id", "item_id", "prompt", "title", "introducti
     + " from behaviors", "behaviors"))
 def q_behavior_tsv(spark, sf):
     """A TSV holds no difference between null and empty, as in the reference."""
-    path = _folder(spark, "tsv")
+    path = scratch_path(spark, "tsv")
     writers.write_behavior_tsv(fx.behaviors(spark, sf).select(*_TSV_COLUMNS), path)
     back = readers.read_behavior_tsv(spark, path)
     return back.select(*[F.coalesce(c, F.lit("")).alias(c) for c in _TSV_COLUMNS])
@@ -1415,7 +1407,7 @@ def q_behavior_tsv(spark, sf):
 @query("behavior_tsv_quoted", ORACLE["behavior_tsv"])
 def q_behavior_tsv_quoted(spark, sf):
     """A6 on the quoted form, line ends inside fields, read in splits."""
-    path = _folder(spark, "tsv-quoted")
+    path = scratch_path(spark, "tsv-quoted")
     writers.write_behavior_tsv(fx.behaviors(spark, sf).select(*_TSV_COLUMNS), path, quoted=True)
     back = readers.read_behavior_tsv(spark, path, multi_line=True)
     return back.select(*[F.coalesce(c, F.lit("")).alias(c) for c in _TSV_COLUMNS])
@@ -1424,14 +1416,14 @@ def q_behavior_tsv_quoted(spark, sf):
 @query("write_sequences", O.with_fixtures("""
 select user_id, pos, item_id from interactions""", "interactions"))
 def q_write_sequences(spark, sf):
-    path = _folder(spark, "sequences")
+    path = scratch_path(spark, "sequences")
     writers.write_sequences(fx.interactions(spark, sf).select("user_id", "pos", "item_id"), path)
     return readers.read_sequences(spark, path).select("user_id", "pos", "item_id")
 
 
 @query("write_behaviors", ORACLE["user_behavior_details"])
 def q_write_behaviors(spark, sf):
-    path = _folder(spark, "behaviors")
+    path = scratch_path(spark, "behaviors")
     details = bh.user_behavior_details(_plog(spark, sf))
     writers.write_behaviors(details, path)
     return spark.read.schema(details.schema).json(path)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import re
 import tempfile
+import uuid
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -62,6 +63,23 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
+_SCRATCH: set[str] = set()
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path for a table that only this application reads, in a folder of its own under
+    :func:`checkpoint_dir`; the file system deletes that folder when the application ends."""
+    sc = spark.sparkContext
+    folder = f"{checkpoint_dir(spark).rstrip('/')}/{sc.applicationId}"
+    if folder not in _SCRATCH:
+        path = sc._jvm.org.apache.hadoop.fs.Path(folder)
+        fs = path.getFileSystem(sc._jsc.hadoopConfiguration())
+        fs.mkdirs(path)
+        fs.deleteOnExit(path)
+        _SCRATCH.add(folder)
+    return f"{folder}/{name}-{uuid.uuid4().hex}"
+
+
 def estimated_bytes(df: DataFrame) -> int:
     """Optimizer's size estimate for ``df`` (what Catalyst uses for its own
     broadcast decision)."""

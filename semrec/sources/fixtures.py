@@ -13,13 +13,12 @@ given tables with plain DataFrame code; the work grows with the tables.
 from __future__ import annotations
 
 import functools
-import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.ordered import positions
-from ..session import checkpoint_dir, ensure_parallelism, read_table, sized_broadcast
+from ..session import ensure_parallelism, read_table, scratch_path, sized_broadcast
 
 _MEMO: dict[tuple[str, str, str], DataFrame] = {}
 
@@ -174,7 +173,7 @@ def behavior_path(spark: SparkSession, sf_dir: str) -> str:
     to the shared folder."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _PATHS:
-        path = f"{checkpoint_dir(spark).rstrip('/')}/semrec-log-{uuid.uuid4().hex}"
+        path = scratch_path(spark, "log")
         behaviors(spark, sf_dir).write.partitionBy("p_date").parquet(path)
         _PATHS[key] = path
     return _PATHS[key]

@@ -163,3 +163,20 @@ def test_running_metrics_over_many_spans(spark, monkeypatch):
 def test_sums_of_registered_shards_keep_every_sample(spark):
     summary = registry.QUERIES["shard_metric_summary"](spark, SF_SMALL).first()
     assert summary.n_samples == fx.truth(spark, SF_SMALL).count()
+
+
+def test_scratch_tables_go_with_the_application(tmp_dir):
+    import subprocess
+    import sys
+    code = f"""
+import sys; sys.path.insert(0, {os.path.dirname(os.path.dirname(os.path.abspath(__file__)))!r})
+from semrec.session import get_session, scratch_path
+spark = get_session("local[1]")
+spark.sparkContext.setCheckpointDir({tmp_dir!r})
+paths = [scratch_path(spark, "t") for _ in range(2)]
+for p in paths: spark.range(3).write.parquet(p)
+assert paths[0] != paths[1] and sum(spark.read.parquet(p).count() for p in paths) == 6
+"""
+    subprocess.run([sys.executable, "-c", code], check=True, capture_output=True, timeout=200)
+    left = [f for _, _, files in os.walk(tmp_dir) for f in files if f.endswith(".parquet")]
+    assert left == []
