@@ -2,13 +2,10 @@
 
 from __future__ import annotations
 
-import uuid
-
-import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_dir, ensure_parallelism, ship_package
+from ..session import ensure_parallelism, scratch_path, ship_package
 
 WHITESPACE = r"[\x20\x09-\x0D]+"
 
@@ -21,6 +18,8 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
 
 def vocabulary(name: str) -> str:
     """Place of a public vocabulary file (the same on every machine)."""
+    import public_tokenizers  # only operators that read a vocabulary need it
+
     return public_tokenizers.path(name)
 
 
@@ -39,9 +38,10 @@ def frozen(df: DataFrame) -> DataFrame:
     """``df`` written once to the shared checkpoint folder and read from there.
 
     Used where a later step reads a result more than once, or must see the
-    very same rows again after an executor is lost.
+    very same rows again after an executor is lost.  The table goes when the
+    application ends.
     """
     spark = df.sparkSession
-    path = f"{checkpoint_dir(spark)}/frozen-{uuid.uuid4().hex}"
+    path = scratch_path(spark, "frozen")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from . import (balltree, jaccard, merkle, neardup, packing, pii, preference, quality, repair, sharding, spm,
                token_counts, toxicity)
-from .common import table, text_of, vocabulary
+from .common import frozen, table, text_of, vocabulary
 
 
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,7 +66,8 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_preference_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
-    return preference.format_preferences(*preference.echo_pairs(preference.numbered_turns(turns)))
+    numbered = frozen(preference.numbered_turns(turns))  # both sides of every pair read it
+    return preference.format_preferences(*preference.echo_pairs(numbered))
 
 
 def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -16,6 +16,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 BUCKETS = 4096
+#: Copies of one row that a task writes out together.
+SPAN = 8192
 ROUNDS = 6
 MAX_WALK = 64
 _PRIME = 2147483647
@@ -74,7 +76,7 @@ def row_numbers(df: DataFrame, buckets: int = BUCKETS) -> DataFrame:
     Distinct rows are counted with map-side combine, dealt to ``buckets`` by a
     hash of all columns, numbered inside a bucket by a running sum of counts,
     and shifted by the bucket's offset (one row per bucket, broadcast).  Equal
-    rows get consecutive numbers.  The result depends on the rows only, not on
+    rows get consecutive numbers and are written out by several tasks.  The result depends on the rows only, not on
     the layout of the input.  Columns must be comparable (no maps).
     """
     cols = [F.col(f"`{c}`") for c in df.columns]
@@ -87,10 +89,14 @@ def row_numbers(df: DataFrame, buckets: int = BUCKETS) -> DataFrame:
     offsets = (sizes.withColumn("__base", F.coalesce(F.sum("__size").over(running), F.lit(0)))
                .withColumn("n_rows", F.sum("__size").over(Window.partitionBy()))
                .drop("__size"))
-    return (inside.join(F.broadcast(offsets), "__b")
-            .withColumn("__copy", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("__n") - 1)))
+    # a row repeated very often is cut into spans of copies, which are dealt before they are written out
+    spans = F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("__n") - 1) / SPAN))
+    dealt = (inside.join(F.broadcast(offsets), "__b").withColumn("__span", F.explode(spans) * SPAN)
+             .repartition("__b", "__at", "__span"))
+    copies = F.sequence(F.col("__span"), F.least(F.col("__span") + SPAN, F.col("__n")) - 1)
+    return (dealt.withColumn("__copy", F.explode(copies))
             .withColumn("row_no", F.col("__base") + F.col("__at") + F.col("__copy"))
-            .drop("__b", "__n", "__at", "__base", "__copy"))
+            .drop("__b", "__n", "__at", "__base", "__copy", "__span"))
 
 
 def assign_shards(df: DataFrame, n_shards: int, seed: int = 0, rounds: int = ROUNDS,
@@ -98,8 +104,9 @@ def assign_shards(df: DataFrame, n_shards: int, seed: int = 0, rounds: int = ROU
     """``df`` plus ``shard`` (0 .. n_shards-1) and ``slot`` (gapless from 0).
 
     Counts per shard differ by at most one.  Null values are ordinary values,
-    repeated rows keep one place each, an empty frame gives an empty one.
-    Input columns named ``shard``, ``slot``, ``row_no`` or ``n_rows`` are replaced.
+    repeated rows keep one place each, an empty frame gives an empty one; texts are
+    compared whole.  Input columns named ``shard``, ``slot``, ``row_no`` or ``n_rows`` are
+    replaced; names that start with ``__`` are reserved.
     """
     base = df.drop("shard", "slot", "row_no", "n_rows")
     numbered = row_numbers(base, buckets)

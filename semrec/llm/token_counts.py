@@ -8,6 +8,7 @@ The surviving symbols are counted; no ids are kept.
 
 from __future__ import annotations
 
+import heapq
 import json
 from collections.abc import Iterator
 
@@ -20,6 +21,8 @@ from .common import python_ready, text_of
 
 #: Pre-tokens whose count a worker remembers; beyond that it starts afresh.
 CACHED = 700_000
+#: Bytes beyond which a pre-token's places are kept by rank instead of passed over in every round.
+LONG = 4096
 #: Pre-tokens merged together in one ragged array.
 ROWS_PER_ROUND = 200_000
 
@@ -58,6 +61,70 @@ class MergeTable:
 
     def counts(self, tokens: list[bytes]) -> np.ndarray:
         """Symbols left of each pre-token after all merges."""
+        left = np.zeros(len(tokens), dtype=np.int64)
+        long = np.fromiter((len(t) > LONG for t in tokens), dtype=bool, count=len(tokens))
+        for i in np.flatnonzero(long):
+            left[i] = self._count_long(tokens[i])
+        if not long.all():
+            left[~long] = self._count_ragged([t for t in tokens if len(t) <= LONG])
+        return left
+
+    def _ranked(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Rank of each pair, the number of merges where there is none."""
+        pair = left * self.width + right
+        at = np.minimum(np.searchsorted(self.keys, pair), len(self.keys) - 1)
+        return np.where(self.keys[at] == pair, self.ranks[at], len(self.merged))
+
+    def _count_long(self, token: bytes) -> int:
+        """As :meth:`_count_ragged` for one very long sequence: places wait by the rank of the pair that starts
+        there, and a round touches only the places of the lowest rank and their neighbours."""
+        sym = self.byte_id[np.frombuffer(token, dtype=np.uint8)]
+        n, none = len(sym), len(self.merged)
+        after, before = np.arange(1, n + 1), np.arange(-1, n - 1)  # n and -1: no neighbour
+        rank = np.r_[self._ranked(sym[:-1], sym[1:]), none]
+        waiting: dict[int, list[np.ndarray]] = {}
+        ranks: list[int] = []
+
+        def wait(places: np.ndarray) -> None:
+            places = places[rank[places] < none]
+            order = np.argsort(rank[places], kind="stable")
+            places = places[order]
+            values, first = np.unique(rank[places], return_index=True)
+            for value, part in zip(values.tolist(), np.split(places, first[1:])):
+                if value not in waiting:
+                    waiting[value] = []
+                    heapq.heappush(ranks, value)
+                waiting[value].append(part)
+
+        wait(np.arange(n - 1))
+        left = n
+        while ranks:
+            lowest = heapq.heappop(ranks)
+            hit = np.unique(np.concatenate(waiting.pop(lowest)))
+            hit = hit[rank[hit] == lowest]
+            if not len(hit):
+                continue
+            # overlapping places (a a a): within a chain of neighbours take every other one
+            chain = np.r_[True, after[hit[:-1]] != hit[1:]]
+            start = np.maximum.accumulate(np.where(chain, np.arange(len(hit)), 0))
+            hit = hit[(np.arange(len(hit)) - start) % 2 == 0]
+            gone = after[hit]
+            sym[hit] = self.merged[lowest]
+            rank[gone] = none
+            after[hit] = after[gone]
+            inner = after[hit] < n
+            before[after[hit][inner]] = hit[inner]
+            left -= len(hit)
+            # a new symbol's pairs rank behind the merge that made it
+            touched = np.unique(np.r_[hit, before[hit]])
+            touched = touched[touched >= 0]
+            rank[touched] = none
+            paired = touched[after[touched] < n]
+            rank[paired] = self._ranked(sym[paired], sym[after[paired]])
+            wait(touched)
+        return left
+
+    def _count_ragged(self, tokens: list[bytes]) -> np.ndarray:
         size = np.fromiter(map(len, tokens), dtype=np.int64, count=len(tokens))
         sym = self.byte_id[np.frombuffer(b"".join(tokens), dtype=np.uint8)]
         seq = np.repeat(np.arange(len(tokens)), size)
@@ -159,7 +226,8 @@ def token_counts(docs: DataFrame, vocabulary: str, limit: int = 1024,
     """``docs`` without its text, plus ``n_bytes``, ``n_tokens`` and ``over_limit``.
 
     ``vocabulary`` is a byte-level BPE file; special strings in a text count as
-    the one special token.  A null text is empty: 0 bytes, 0 tokens.  Repeated
+    the one special token.  A null text is empty: 0 bytes, 0 tokens.  Texts and runs without
+    blanks may be of any length.  Repeated
     rows stay, an empty frame gives an empty one, and input columns with the
     names of the results are replaced.
     """

@@ -1,5 +1,7 @@
 """Sharding, search, joins, preferences and the pipeline against brute force."""
 
+import math
+
 import duckdb
 import numpy as np
 import pytest
@@ -61,6 +63,52 @@ def test_shards_do_not_depend_on_the_layout(odd):
     assert sorted(map(str, a.collect())) == sorted(map(str, b.collect()))
 
 
+def plain_permuted(x, n, seed, rounds):
+    """The Feistel walk of one number in plain Python."""
+    a = max(1, math.isqrt(n - 1) + 1)
+    b = max(1, -(-n // a))
+    keys, k, prime = [], (seed * 2654435761 + 97) % 2147483647, 2147483647
+    for _ in range(rounds):
+        k = (k * 48271 + 11) % prime
+        keys.append(k)
+
+    def mix(v, key):
+        y = (v + key) % prime
+        return (y * y % prime * y + key) % prime
+
+    while True:
+        left, right = x % a, x // a
+        for i, key in enumerate(keys):
+            if i % 2 == 0:
+                left = (left + mix(right, key)) % a
+            else:
+                right = (right + mix(left, key)) % b
+        x = left + right * a
+        if x < n:
+            return x
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 10, 997, 4096, 5000])
+def test_permutation_equals_its_plain_version(spark, n):
+    for seed in (0, 7):
+        p = spark.range(n).select("id", sharding.permuted(F.col("id"), F.lit(n).cast("bigint"), seed=seed).alias("p"))
+        assert all(r["p"] == plain_permuted(r["id"], n, seed, sharding.ROUNDS) for r in p.collect())
+
+
+def test_copies_of_one_row_are_written_out_by_many_tasks(spark):
+    rows = spark.range(200_000).select(F.lit(1).alias("doc_id"), F.lit("same").alias("text"))
+    placed = sharding.assign_shards(rows, 40)
+    sizes = [r["n"] for r in placed.groupBy("shard").agg(F.count(F.lit(1)).alias("n"), F.max("slot").alias("m")).collect()]
+    assert sum(sizes) == 200_000 and max(sizes) - min(sizes) <= 1
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # which joins small partitions
+    try:
+        tasks = sharding.row_numbers(rows).groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    assert len(tasks) > 4 and max(r["count"] for r in tasks) < 100_000
+
+
 @pytest.mark.parametrize("n", [1, 2, 3, 10, 997, 4096, 5000])
 def test_permutation_is_a_bijection(spark, n):
     p = spark.range(n).select(sharding.permuted(F.col("id"), F.lit(n).cast("bigint"), seed=3).alias("p"))
