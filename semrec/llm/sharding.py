@@ -76,8 +76,8 @@ def row_numbers(df: DataFrame, buckets: int = BUCKETS) -> DataFrame:
     Distinct rows are counted with map-side combine, dealt to ``buckets`` by a
     hash of all columns, numbered inside a bucket by a running sum of counts,
     and shifted by the bucket's offset (one row per bucket, broadcast).  Equal
-    rows get consecutive numbers and are written out by several tasks.  The result depends on the rows only, not on
-    the layout of the input.  Columns must be comparable (no maps).
+    rows get consecutive numbers and are written out by several tasks.  The result
+    depends on the rows only, not on the layout of the input.  Columns must be comparable (no maps).
     """
     cols = [F.col(f"`{c}`") for c in df.columns]
     counted = (df.groupBy(*cols).agg(F.count(F.lit(1)).alias("__n"))
@@ -91,9 +91,10 @@ def row_numbers(df: DataFrame, buckets: int = BUCKETS) -> DataFrame:
                .drop("__size"))
     # a row repeated very often is cut into spans of copies, which are dealt before they are written out
     spans = F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("__n") - 1) / SPAN))
-    dealt = (inside.join(F.broadcast(offsets), "__b").withColumn("__span", F.explode(spans) * SPAN)
+    dealt = (inside.join(F.broadcast(offsets), "__b").withColumn("__span", F.explode(spans))
              .repartition("__b", "__at", "__span"))
-    copies = F.sequence(F.col("__span"), F.least(F.col("__span") + SPAN, F.col("__n")) - 1)
+    first = F.col("__span") * SPAN
+    copies = F.sequence(first, F.least(first + SPAN, F.col("__n")) - 1)
     return (dealt.withColumn("__copy", F.explode(copies))
             .withColumn("row_no", F.col("__base") + F.col("__at") + F.col("__copy"))
             .drop("__b", "__n", "__at", "__base", "__copy", "__span"))
