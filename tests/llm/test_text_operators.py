@@ -251,20 +251,43 @@ def test_statistics_of_odd_rows(odd, empty):
     assert quality.kept_documents(empty).columns == empty.columns
 
 
-def estimates_by_numpy(x):
-    """Concentration steps of one group as the operator does them."""
-    floors = np.diag(np.square(quality.FLOORS))
-    core = np.ones(len(x), dtype=bool)
-    for step in range(quality.STEPS + 1):
-        m = x[core].mean(axis=0)
-        cov = (x[core][:, :, None] * x[core][:, None, :]).mean(axis=0) - np.outer(m, m) + floors
-        d = np.einsum("ij,jk,ik->i", x - m, np.linalg.inv(cov), x - m)
-        if step < quality.STEPS:
+def middle(x):
+    """Smallest value that half of the values do not exceed."""
+    return np.sort(x)[(len(x) - 1) // 2]
+
+
+def estimates_by_numpy(groups):
+    """``{group: (mean, covariance)}`` of the least determinant, for ``{group: (vectors, errors)}``.
+
+    Every start steps until no start of any group finds a smaller determinant.
+    """
+    runs, best = [], {}
+    for k, (x, e) in groups.items():
+        w = e.mean(axis=0)
+        m = np.array([middle(c) for c in x.T])
+        mad = np.diag([(1.4826 * middle(np.abs(c - c0))) ** 2 for c, c0 in zip(x.T, m)])
+        for mean, cov, share in ((x.mean(axis=0), np.cov(x.T, bias=True), quality.CORE),
+                                 (m, mad, quality.CORE), (m, mad, .5)):
+            runs.append([k, mean, cov + np.diag(w), share, np.inf])
+    falls = True
+    while falls:
+        falls = False
+        for run in runs:
+            k, m, cov, share, least = run
+            x, e = groups[k]
+            d = np.einsum("ij,jk,ik->i", x - m, np.linalg.inv(cov), x - m)
             bins = np.floor(np.log2(1 + d) * quality.BINS)
             values, counts = np.unique(bins, return_counts=True)
-            before = np.cumsum(counts) - counts
-            core = np.isin(bins, values[before < quality.CORE * len(x)])
-    return d
+            core = np.isin(bins, values[np.cumsum(counts) - counts < share * len(x)])
+            m, own = x[core].mean(axis=0), np.cov(x[core].T, bias=True)
+            cov = own + np.diag(e[core].mean(axis=0))
+            det = np.linalg.slogdet(cov)[1]
+            whole = share == quality.CORE
+            falls |= not whole or least - det > quality.FALL
+            if whole and (k not in best or det < best[k][0]):
+                best[k] = (det, m, quality.consistency(quality.CORE) * own)
+            run[1:] = [m, cov, quality.CORE, min(least, det) if whole else least]
+    return {k: v[1:] for k, v in best.items()}
 
 
 def test_verdicts_equal_numpy(spark):
@@ -280,19 +303,38 @@ def test_verdicts_equal_numpy(spark):
             continue
         v = [np.log(chars / n), np.sqrt(sym / chars), np.sqrt(dup / max(1, lines)), np.sqrt(rep / n)]
         v = np.floor(np.array(v) * quality.SCALE + .5) / quality.SCALE
+        e = np.ceil(quality.SCALE ** 2 / (4 * np.array([n, chars, max(1, lines), max(1, n / 5)]))) / quality.SCALE ** 2
         for k in ((r["lang"], r["source"]), (r["lang"],), ()):
-            groups.setdefault(k, []).append((d, v))
-    distance = {k: dict(zip([d for d, _ in v], estimates_by_numpy(np.array([x for _, x in v]))))
-                for k, v in groups.items()}
+            groups.setdefault(k, {})[d] = (v, e)
+    estimates = estimates_by_numpy({k: tuple(map(np.array, zip(*g.values()))) for k, g in groups.items()})
     for d, r in rows.items():
         if d not in want:
             k = next(k for k in ((r["lang"], r["source"]), (r["lang"],), ())
                      if not k or len(groups.get(k, [])) >= 10)
-            assert got.loc[d, "distance"] == pytest.approx(distance[k][d], rel=1e-6, abs=1e-9)
-            want[d] = distance[k][d] <= quality.CUTOFF
+            (v, e), (m, cov) = groups[k][d], estimates[k]
+            distance = (v - m) @ np.linalg.inv(cov + np.diag(e)) @ (v - m)
+            assert got.loc[d, "distance"] == pytest.approx(distance, rel=1e-6, abs=1e-9)
+            want[d] = distance <= quality.CUTOFF
     assert got["kept"].to_dict() == want
 
 
+def test_planted_cluster_cannot_mask_itself(spark):
+    rng = np.random.default_rng(5)
+    regular = rng.normal(0, .1, (780, quality.DIMS)) + 1
+    planted = rng.normal(0, .01, (220, quality.DIMS)) + 2
+    x = np.round(np.r_[regular, planted] * quality.SCALE).astype(int)
+    rows = spark.createDataFrame([("a", "s", *map(int, r), *[1] * quality.DIMS) for r in x],
+                                 ["__lang", "__source", *quality._XS, *quality._ES])
+    r = quality.robust_estimates(rows).collect()[0]
+    m = np.array([r[f"m{i}"] for i in range(quality.DIMS)])
+    cov = np.array([[r[f"v{max(i, j)}{min(i, j)}"] for j in range(quality.DIMS)] for i in range(quality.DIMS)])
+    y = x / quality.SCALE - m
+    far = np.einsum("ij,jk,ik->i", y, np.linalg.inv(cov), y) > quality.CUTOFF
+    assert far[780:].all() and far[:780].mean() < .01
+    z = x / quality.SCALE - x.mean(axis=0) / quality.SCALE  # the classical estimate sees none of them
+    assert not (np.einsum("ij,jk,ik->i", z, np.linalg.inv(np.cov(z.T)), z) > quality.CUTOFF)[780:].any()
+
+
 def test_kept_documents_are_the_kept_verdicts(odd):
     kept = quality.kept_documents(odd)
     verdicts = quality.quality_verdicts(odd).where("kept").select("doc_id")
