@@ -14,13 +14,24 @@ def write_splits(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).partitionBy("split").parquet(path)
 
 
-def write_behavior_tsv(df: DataFrame, path: str, mode: str = "overwrite", quoted: bool = False) -> None:
+#: Rows of a compressed file, which one task reads.
+GZIP_ROWS = 50_000
+
+
+def write_behavior_tsv(df: DataFrame, path: str, mode: str = "overwrite", quoted: bool = False,
+                       compression: str | None = None) -> None:
     """Tab-separated with a header, no index; tabs, line ends and backslashes
     inside a field are escaped, so every record is one line and
     :func:`..readers.read_behavior_tsv` reads it back in parallel.  ``quoted``: fields are quoted instead
-    (quotes inside doubled), and line ends stay as they are (``multi_line`` reads it)."""
+    (quotes inside doubled), and line ends stay as they are (``multi_line`` reads it).  ``compression`` such as
+    ``gzip`` keeps long texts small on disk; files then hold at most ``GZIP_ROWS`` records, so that many tasks
+    read them."""
+    def writer(out: DataFrame):
+        w = out.write.mode(mode)
+        return w.option("compression", compression).option("maxRecordsPerFile", GZIP_ROWS) if compression else w
+
     if quoted:
-        (df.write.mode(mode).option("sep", "\t").option("header", True).option("quoteAll", True)
+        (writer(df).option("sep", "\t").option("header", True).option("quoteAll", True)
          .option("escape", '"').option("ignoreLeadingWhiteSpace", False)
          .option("ignoreTrailingWhiteSpace", False).csv(path))
         return
@@ -31,7 +42,7 @@ def write_behavior_tsv(df: DataFrame, path: str, mode: str = "overwrite", quoted
             out = F.replace(out, F.lit(plain), F.lit(escaped))
         return out.alias(c)
 
-    (df.select(*[field(c) for c in df.columns]).write.mode(mode).option("sep", "\t")
+    (writer(df.select(*[field(c) for c in df.columns])).option("sep", "\t")
      .option("header", True).option("quote", "").option("escape", "\x00")
      .option("emptyValue", "").option("ignoreLeadingWhiteSpace", False)
      .option("ignoreTrailingWhiteSpace", False).csv(path))
