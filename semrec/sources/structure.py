@@ -14,10 +14,15 @@ Only tables with one row per split are combined; no file is read by one task.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..session import sized_broadcast
+from ..session import ship_package, sized_broadcast
 
 _SPLIT = ["file", "split"]
 
@@ -62,28 +67,121 @@ def _quotes(value: Column) -> Column:
     return F.length(value) - F.length(F.replace(value, F.lit('"'), F.lit("")))
 
 
+def _runs(files: pa.Array, splits: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Bounds of the rows of one split in a batch, whose rows stand as they were read."""
+    moved = splits[1:] != splits[:-1]
+    if len(files) > 1:
+        moved = moved | pc.not_equal(files[1:], files[:-1]).to_numpy(zero_copy_only=False)
+    edges = [0, *(np.flatnonzero(moved) + 1).tolist(), len(splits)]
+    return zip(edges, edges[1:])
+
+
+def _count_records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per split the parity of its quotes and the lines with an even and with an odd number of them in front."""
+    at, odd, counts = None, 0, [0, 0]
+
+    def row():
+        return pa.RecordBatch.from_pydict({"file": [at[0]], "split": [at[1]], "odd": [odd], "n0": [counts[0]],
+                                           "n1": [counts[1]]}, schema=_COUNTED)
+
+    for batch in batches:
+        files, splits = batch.column(0), batch.column(1).to_numpy(zero_copy_only=False)
+        quotes = batch.column(2).to_numpy(zero_copy_only=False).astype(np.int64)
+        for lo, hi in _runs(files, splits):
+            here = (files[lo].as_py(), int(splits[lo]))
+            if here != at:
+                if at is not None:
+                    yield row()
+                at, odd, counts = here, 0, [0, 0]
+            upto = odd + np.cumsum(quotes[lo:hi])
+            n1 = int(((upto - quotes[lo:hi]) % 2).sum())
+            counts[1] += n1
+            counts[0] += hi - lo - n1
+            odd = int(upto[-1] % 2)
+    if at is not None:
+        yield row()
+
+
+_COUNTED = pa.schema([("file", pa.string()), ("split", pa.int64()), ("odd", pa.int64()), ("n0", pa.int64()),
+                      ("n1", pa.int64())])
+_RECORDS = pa.schema([("file", pa.string()), ("split", pa.int64()), ("record_no", pa.int64()), ("value", pa.string()),
+                      ("whole", pa.bool_())])
+
+
+def _records(file: str, split: int, numbers, values: pa.Array, whole) -> pa.RecordBatch:
+    n = len(values)
+    return pa.RecordBatch.from_arrays([pa.array([file] * n, pa.string()), pa.array([split] * n, pa.int64()),
+                                       pa.array(numbers, pa.int64()), values.cast(pa.string()),
+                                       pa.array(whole, pa.bool_())], schema=_RECORDS)
+
+
+def _put_together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The records of every split from its lines.  The lines that end a record begun in an earlier split, and
+    those of a record that goes on in the next one, are pieces of it (not ``whole``)."""
+    at, odd, number, held, begun = None, 0, 0, [], False  # held: lines of the record that is still open
+
+    def piece():
+        return _records(*at, [number], pa.array(["\n".join(held)], pa.string()), [False])
+
+    for batch in batches:
+        files, splits = batch.column(0), batch.column(1).to_numpy(zero_copy_only=False)
+        quotes = batch.column(2).to_numpy(zero_copy_only=False).astype(np.int64)
+        for lo, hi in _runs(files, splits):
+            here = (files[lo].as_py(), int(splits[lo]))
+            if here != at:
+                if held:
+                    yield piece()
+                at, odd, held, begun = here, batch.column(4)[lo].as_py(), [], False
+                number = batch.column(5)[lo].as_py() - 1
+            upto = odd + np.cumsum(quotes[lo:hi])
+            odd = int(upto[-1] % 2)
+            values = batch.column(3)[lo:hi]
+            starts = np.flatnonzero((upto - quotes[lo:hi]) % 2 == 0)
+            if not len(starts):
+                held += values.to_pylist()
+                continue
+            first = int(starts[0])
+            held += values[:first].to_pylist()
+            if held:  # complete: the next line starts another record
+                yield _records(*at, [number], pa.array(["\n".join(held)], pa.string()), [begun])
+            # the last record may go on behind these lines
+            last = int(starts[-1]) if odd else hi - lo
+            bounds = np.append(starts[:-1] if odd else starts, last)
+            if len(bounds) > 1:
+                # a record ends in front of the next start
+                lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), values.cast(pa.string()))
+                n = len(bounds) - 1
+                yield _records(*at, np.arange(number + 1, number + 1 + n), pc.binary_join(lists, "\n"), [True] * n)
+            number += len(starts)
+            held, begun = (values[last:].to_pylist(), True) if odd else ([], False)
+    if held:
+        yield piece()
+
+
 def quoted_records(spark: SparkSession, path: str) -> DataFrame:
     """``(file, record_no, value)`` of files whose double-quoted fields may hold line ends (a quote inside
     is doubled).  Records are counted from 0 in every file; empty lines are records.
 
-    A line starts a record when an even number of quotes stands before it in the file.
+    A line starts a record when an even number of quotes stands before it in the file.  A first reading
+    describes every split by the parity of its quotes and its number of records; in a second one
+    each task puts the records of its splits together as it reads them.  Only records that lie in two
+    splits or more are shuffled.
     """
-    lines = _pieces(spark, path, "\n").withColumn("odd", _quotes(F.col("value")) % 2)
-    lines = lines.withColumn("inside", _earlier("odd") % 2)  # as if the split began outside a quote
-    splits = lines.groupBy(*_SPLIT).agg(F.sum("odd").alias("odd"), F.count_if(F.col("inside") == 0).alias("n0"),
-                                        F.count_if(F.col("inside") == 1).alias("n1"))
+    ship_package(spark)
+    lines = _pieces(spark, path, "\n").withColumn("odd", (_quotes(F.col("value")) % 2).cast("bigint"))
+    splits = lines.select(*_SPLIT, "odd").mapInArrow(
+        _count_records, "file string, split bigint, odd bigint, n0 bigint, n1 bigint")
     splits = splits.withColumn("turned", _before("odd") % 2)
     splits = splits.withColumn("n", F.when(F.col("turned") == 0, F.col("n0")).otherwise(F.col("n1")))
-    splits = splits.select(*_SPLIT, "turned", _before("n").alias("earlier"))
-    placed = lines.join(sized_broadcast(splits), _SPLIT)
-    starts = (F.col("inside") == F.col("turned")).cast("int")
-    placed = placed.withColumn("starts", starts).withColumn(
-        "record_no", F.col("earlier") + F.sum("starts").over(_in_split(0)) - 1)
-    # a line with all of its record is complete as it is
-    alone = (F.col("starts") == 1) & (F.col("odd") == 0)
-    single = placed.where(alone).select("file", "record_no", "value")
-    joined = _joined(placed.where(~alone), "record_no", "\n")
-    return single.unionByName(joined).withColumn("value", F.regexp_replace("value", r"\r\z", ""))
+    splits = splits.select(*_SPLIT, "turned", _before("n").cast("bigint").alias("earlier"))
+    # one row per split: as small as the list of splits that the driver plans the scan with
+    placed = lines.join(F.broadcast(splits), _SPLIT).select(*_SPLIT, "odd", "value", "turned", "earlier")
+    records = placed.mapInArrow(
+        _put_together, "file string, split bigint, record_no bigint, value string, whole boolean")
+    single = records.where("whole").select("file", "record_no", "value")
+    joined = _joined(records.where("not whole").withColumn("at", F.lit(0)), "record_no", "\n")
+    return single.unionByName(joined).withColumn("value", F.when(
+        F.endswith("value", F.lit("\r")), F.expr("left(value, length(value) - 1)")).otherwise(F.col("value")))
 
 
 def _joined(pieces: DataFrame, number: str, separator: str) -> DataFrame:
