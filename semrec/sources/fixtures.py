@@ -13,9 +13,11 @@ given tables with plain DataFrame code; the work grows with the tables.
 from __future__ import annotations
 
 import functools
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..operators.ordered import positions
 from ..session import ensure_parallelism, read_table, scratch_path, sized_broadcast
@@ -95,18 +97,14 @@ def interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_partkey").cast("string").alias("item_id"), "o_custkey", "l_partkey")
 
 
-@_memo
-def behaviors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw behaviour log with every awkward case of the real one: null event
-    types, empty/malformed/``[]``/null semantic ids, null timestamps,
-    non-numeric durations, null prompts, CR and U+2028/U+2029 in text."""
-    e = ensure_parallelism(read_table(spark, sf_dir, "events")).alias("e")
+def _log_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw behaviour log but for its two long texts; ``doc_ref`` is the document they come from."""
+    e = ensure_parallelism(read_table(spark, sf_dir, "events"))
     n_docs = _rows(spark, sf_dir, "documents")
-    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     eid = F.col("event_id")
     et = F.col("event_type")
-    item = ((eid * 13) % n_docs).cast("string")
-    j = e.join(sized_broadcast(docs), docs["doc_id"] == (eid * 13) % n_docs, "left")
+    doc = (eid * 13) % n_docs
+    item = doc.cast("string")
     subtype = (F.when(eid % 8 == 0, "LIKE").when(eid % 8 == 1, "UNLIKE").when(eid % 8 == 2, "COMMENT")
                .when(eid % 8 == 3, "SHARE").when(eid % 8 == 4, "SAME_STYLE").when(eid % 8 == 5, "REPORT")
                .when(eid % 8 == 6, "LARGE").otherwise("NONE"))
@@ -127,15 +125,9 @@ def behaviors(spark: SparkSession, sf_dir: str) -> DataFrame:
                 .otherwise(F.concat(F.lit(" ["), (eid % 256).cast("string"), F.lit(","),
                                     (F.col("user_id") % 256).cast("string"), F.lit(","),
                                     item, F.lit("] "))))
-    text = F.col("text")
-    prompt = (F.when(eid % 47 == 0, F.lit(None).cast("string"))
-              .when(eid % 5 == 4, F.concat(text, F.lit("\r"), F.lit("tail")))
-              .otherwise(text))
     title = (F.when(eid % 4 == 0, F.lit("")).when(eid % 4 == 1, F.lit(None).cast("string"))
              .otherwise(F.concat(F.lit("Work "), item,
                                  F.when(eid % 10 == 2, F.lit("\rcut")).otherwise(F.lit("")))))
-    intro = (F.when(eid % 6 == 0, F.lit(None).cast("string")).when(eid % 6 == 3, F.lit(""))
-             .otherwise(F.concat(text, F.lit(U2028), F.lit("intro"))))
     query = F.when(et == "signup",
                    F.when(eid % 5 == 0, F.lit("")).when(eid % 5 == 1, F.lit(None).cast("string"))
                    .otherwise(F.concat(F.lit("query "), (eid % 7).cast("string"), F.lit(U2029))))
@@ -143,7 +135,7 @@ def behaviors(spark: SparkSession, sf_dir: str) -> DataFrame:
                     .otherwise((eid % 3).cast("int")))
     photo_type = (F.when(eid % 13 == 0, F.lit(None).cast("int")).when(eid % 13 == 12, F.lit(5))
                   .otherwise((eid % 2 + 1).cast("int")))
-    return j.select(
+    return e.select(
         F.col("user_id").cast("string").alias("user_id"),
         item.alias("item_id"),
         photo_type.alias("photo_type"),
@@ -154,35 +146,71 @@ def behaviors(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(eid % 41 == 0, F.lit(None).cast("timestamp_ntz")).otherwise(F.col("ts"))
         .alias("time_stamp"),
         content_type.alias("content_type"),
-        prompt.alias("prompt"),
         title.alias("title"),
-        intro.alias("introduction"),
         query.alias("element_query_content"),
         extra.alias("extra_info"),
         semantic.alias("semantic_id"),
         F.date_format(F.col("ts"), "yyyyMMdd").alias("p_date"),
         eid.alias("event_id"),
+        doc.alias("doc_ref"),
     )
 
 
+BEHAVIOR_COLUMNS = ["user_id", "item_id", "photo_type", "event_type", "behavior_type", "behavior_subtype",
+                    "platform_type", "time_stamp", "content_type", "prompt", "title", "introduction",
+                    "element_query_content", "extra_info", "semantic_id", "p_date", "event_id"]
+
+
+def _with_texts(rows: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw behaviour log from :func:`_log_rows`: every row with the texts of its document."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    j = rows.join(sized_broadcast(docs), F.col("doc_id") == F.col("doc_ref"), "left")
+    eid, text = F.col("event_id"), F.col("text")
+    prompt = (F.when(eid % 47 == 0, F.lit(None).cast("string"))
+              .when(eid % 5 == 4, F.concat(text, F.lit("\r"), F.lit("tail")))
+              .otherwise(text))
+    intro = (F.when(eid % 6 == 0, F.lit(None).cast("string")).when(eid % 6 == 3, F.lit(""))
+             .otherwise(F.concat(text, F.lit(U2028), F.lit("intro"))))
+    return j.withColumns({"prompt": prompt, "introduction": intro}).select(*BEHAVIOR_COLUMNS)
+
+
+@_memo
+def behaviors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw behaviour log with every awkward case of the real one: null event
+    types, empty/malformed/``[]``/null semantic ids, null timestamps,
+    non-numeric durations, null prompts, CR and U+2028/U+2029 in text."""
+    return _with_texts(_log_rows(spark, sf_dir), spark, sf_dir)
+
+
 _PATHS: dict[tuple[str, str], str] = {}
 
 
 def behavior_path(spark: SparkSession, sf_dir: str) -> str:
-    """The behaviour log as a table partitioned by ``p_date``, written once per application
-    to the shared folder."""
+    """The rows of the behaviour log partitioned by ``p_date``, written once per application to the shared
+    folder.  A text that many rows share stays in ``documents`` and is looked up when the log is
+    read (:func:`behavior_rows`), so the copy on disk grows with the events and not with events times texts."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _PATHS:
         path = scratch_path(spark, "log")
-        behaviors(spark, sf_dir).write.partitionBy("p_date").parquet(path)
+        _log_rows(spark, sf_dir).write.partitionBy("p_date").parquet(path)
         _PATHS[key] = path
     return _PATHS[key]
 
 
+def behavior_schema(spark: SparkSession, sf_dir: str) -> StructType:
+    """Columns of the files under :func:`behavior_path` (``p_date`` as text)."""
+    return _log_rows(spark, sf_dir).schema
+
+
+def behavior_rows(spark: SparkSession, sf_dir: str) -> Callable[[DataFrame], DataFrame]:
+    """What turns rows read (or streamed) from :func:`behavior_path` into the raw log."""
+    return lambda rows: _with_texts(rows, spark, sf_dir)
+
+
 def behavior_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """:func:`behavior_path` read back (``p_date`` as text)."""
-    schema = behaviors(spark, sf_dir).schema
-    return spark.read.schema(schema).parquet(behavior_path(spark, sf_dir))
+    """The partitioned raw log, read from :func:`behavior_path`."""
+    rows = spark.read.schema(behavior_schema(spark, sf_dir)).parquet(behavior_path(spark, sf_dir))
+    return behavior_rows(spark, sf_dir)(rows)
 
 
 @_memo
