@@ -9,6 +9,8 @@ import pytest
 from conftest import SF_SMALL
 from pyspark.sql import functions as F
 
+from semrec.operators import candidates as C
+from semrec.operators.ordered import before_cut, ordered_parts, parts_before_cuts
 from semrec.sources import fixtures as fx
 from semrec.sources import readers as R
 from semrec.sources import structure
@@ -52,3 +54,27 @@ def test_the_copy_of_the_log_holds_no_texts_and_gives_the_same_rows(spark):
     log, table = fx.behaviors(spark, SF_SMALL), fx.behavior_table(spark, SF_SMALL)
     table = table.select(log.columns)
     assert table.exceptAll(log).count() == 0 and log.exceptAll(table).count() == 0
+
+
+def test_values_are_placed_once_for_all_cuts(spark):
+    rows = spark.createDataFrame([("u", i, f"v{i}" * (1 + i % 4)) for i in range(1, 60)], "user_id string, pos long, v string")
+    cuts = spark.createDataFrame([("u", "a", 60), ("u", "b", 31), ("u", "c", 1), ("x", "a", 5)],
+                                 "user_id string, split string, cut long")
+    parts = parts_before_cuts(rows, cuts, "pos", "v", "; ", 25)
+    got = {}
+    for r in parts.collect():
+        got.setdefault(r.split, []).append((r.part_no, r.part))
+    whole = {c: "; ".join(f"v{i}" * (1 + i % 4) for i in range(1, n)) for c, n in (("a", 60), ("b", 31))}
+    assert {c: "; ".join(p for _, p in sorted(v)) for c, v in got.items()} == whole
+    assert min(len(v) for v in got.values()) > 3
+    each = ordered_parts(before_cut(rows, cuts, "pos"), ["split", "user_id"], "pos", "v", "; ", 25)
+    assert sorted(map(tuple, each.collect())) == sorted(map(tuple, parts.collect()))
+
+
+def test_first_places_are_numbers_in_generation_order(spark):
+    rows = [("s", 1, 0, "p", 1.0), ("s", 0, 7, "p", 0.5), ("s", 0, 3, "q", 2.0), ("s", None, 9, "q", 2.0)]
+    df = spark.createDataFrame(rows, "sample_id string, think_idx int, beam_idx int, pred_sid string, score double")
+    best = C.best_score_per_sid(df)
+    assert "SortAggregate" not in plan_of(best)
+    assert {(r.pred_sid, r.score, r.first_ord.think_idx, r.first_ord.beam_idx) for r in best.collect()} == {
+        ("p", 1.0, 0, 7), ("q", 2.0, None, 9)}
