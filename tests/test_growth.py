@@ -9,6 +9,7 @@ import pytest
 from conftest import SF_SMALL
 from pyspark.sql import functions as F
 
+from semrec.operators import behaviors as B
 from semrec.operators import candidates as C
 from semrec.operators.ordered import before_cut, ordered_parts, parts_before_cuts
 from semrec.sources import fixtures as fx
@@ -56,6 +57,23 @@ def test_the_copy_of_the_log_holds_no_texts_and_gives_the_same_rows(spark):
     assert table.exceptAll(log).count() == 0 and log.exceptAll(table).count() == 0
 
 
+def test_no_documents_text_is_broadcast_or_moved_without_need(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert "Broadcast" not in plan_of(fx._with_texts(fx._log_rows(spark, SF_SMALL), spark, SF_SMALL))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    long, short = fx.behaviors(spark, SF_SMALL), fx.behavior_outline(spark, SF_SMALL)
+    texts = ["prompt", "introduction"]
+    assert short.columns == long.columns
+    rows = [df.select(*[c for c in df.columns if c not in texts], *[F.isnull(c).alias(c) for c in texts])
+            for df in (long, short)]
+    assert rows[0].exceptAll(rows[1]).count() == 0 and rows[1].exceptAll(rows[0]).count() == 0
+    assert short.agg(F.max(F.length("prompt"))).first()[0] <= len("\rtail")
+    details = [B.user_behavior_details(B.positive_log(df)) for df in (long, short)]
+    assert sorted(map(tuple, details[0].collect())) == sorted(map(tuple, details[1].collect()))
+
+
 def test_values_are_placed_once_for_all_cuts(spark):
     rows = spark.createDataFrame([("u", i, f"v{i}" * (1 + i % 4)) for i in range(1, 60)], "user_id string, pos long, v string")
     cuts = spark.createDataFrame([("u", "a", 60), ("u", "b", 31), ("u", "c", 1), ("x", "a", 5)],
