@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from semrec.operators import behaviors as B
 from semrec.operators import candidates as C
 from semrec.operators.ordered import before_cut, ordered_parts, parts_before_cuts
+from semrec.plans import metadata
 from semrec.sources import fixtures as fx
 from semrec.sources import readers as R
 from semrec.sources import structure
@@ -74,6 +75,20 @@ def test_no_documents_text_is_broadcast_or_moved_without_need(spark):
     assert sorted(map(tuple, details[0].collect())) == sorted(map(tuple, details[1].collect()))
 
 
+def test_items_are_cut_short_before_rows_move(spark):
+    schema = ("item_id string, time_stamp timestamp, event_id long, semantic_id string, prompt string, title string, "
+              "introduction string, content_type int, photo_type int")
+    rows = [("a", None, 1, "[1,2,3]", "p" * 3000, "", "i" * 3000, 0, 1), ("a", None, 2, "[4,5,6]", "q" * 3000, None, "", 0, 2),
+            ("b", None, 3, "[1,2,3]", "p", "t", "", 1, 1), ("b", None, 4, "[", "p", "t", "", 1, 1),
+            ("c", None, 5, "[7,8,9]", None, None, None, None, None)]
+    items = metadata.item_metadata(spark.createDataFrame(rows, schema))
+    got = {r.item_id: (r.title, r.description) for r in items.collect()}
+    assert got == {"a": ("q" * 100, "q" * 1000 + "..."), "c": ("Item c", "")}
+    for line in plan_of(items).splitlines():
+        if line.startswith("Functions"):
+            assert "introduction" not in line and "prompt" not in line
+
+
 def test_values_are_placed_once_for_all_cuts(spark):
     rows = spark.createDataFrame([("u", i, f"v{i}" * (1 + i % 4)) for i in range(1, 60)], "user_id string, pos long, v string")
     cuts = spark.createDataFrame([("u", "a", 60), ("u", "b", 31), ("u", "c", 1), ("x", "a", 5)],
