@@ -181,12 +181,16 @@ def _moments(sums: DataFrame, factor: float) -> DataFrame:
 
 def _factored(rows: DataFrame, variances: list[Column]) -> DataFrame:
     """Add the lower Cholesky factor ``c_ij`` of ``v_ij`` with ``variances`` on its diagonal and ``logdet``."""
-    for i, j in _PAIRS:
+    def rest(i: int, j: int) -> Column:
         cov = F.col(f"v{i}{j}") + (variances[i] if i == j else F.lit(0.0))
         for k in range(j):
             cov = cov - F.col(f"c{i}{k}") * F.col(f"c{j}{k}")
-        value = F.sqrt(F.greatest(cov, variances[i] / 4)) if i == j else cov / F.col(f"c{j}{j}")
-        rows = rows.withColumn(f"c{i}{j}", value)
+        return cov
+
+    for j in range(DIMS):
+        rows = rows.withColumn(f"c{j}{j}", F.sqrt(F.greatest(rest(j, j), variances[j] / 4)))
+        below = {f"c{i}{j}": rest(i, j) / F.col(f"c{j}{j}") for i in range(j + 1, DIMS)}
+        rows = rows.withColumns(below) if below else rows
     return rows.withColumn("logdet", 2 * sum((F.log(f"c{i}{i}") for i in range(DIMS)), F.lit(0.0)))
 
 
@@ -302,17 +306,19 @@ def judged(stats: DataFrame, estimates: DataFrame, cutoff: float = CUTOFF) -> Da
     estimate of the document's group, else its language's, else that of all."""
     out = stats.select("*", *_vector())
     own_error = [F.col(e) / SCALE ** 2 for e in _ES]
+    cells = [*[f"m{i}" for i in range(DIMS)], *[f"v{i}{j}" for i, j in _PAIRS]]
     for level in range(3):
         keyed = out.withColumns({"__lang": _key(level, "lang"), "__source": _key(level, "source")})
-        met = _joined(keyed, estimates.where(F.col("lang").startswith(f"{level}:")))
-        out = (_factored(met, own_error).withColumn(f"__d{level}", _distance())
-               .drop(*_GROUP, "size", "logdet", *[f"m{i}" for i in range(DIMS)],
-                     *[f"{x}{i}{j}" for i, j in _PAIRS for x in "vc"]))
-    distance = F.coalesce("__d0", "__d1", "__d2")
-    return (out.withColumn("distance", F.when(~F.col("base_failed"), distance))
-            .withColumn("kept", F.when(F.col("base_failed"), F.lit(False)).otherwise(
+        own = estimates.where(F.col("lang").startswith(f"{level}:")).select(
+            "lang", "source", F.struct(*cells).alias(f"__g{level}"))
+        out = _joined(keyed, own).drop(*_GROUP)
+    # the estimate is picked first, so one factor and one distance are computed and compiled, not three
+    groups = [f"__g{level}" for level in range(3)]
+    out = out.withColumn("__g", F.coalesce(*groups)).select("*", "__g.*").drop("__g", *groups)
+    out = _factored(out, own_error).withColumn("distance", F.when(~F.col("base_failed"), _distance()))
+    return (out.withColumn("kept", F.when(F.col("base_failed"), F.lit(False)).otherwise(
                 F.coalesce(F.col("distance") <= cutoff, F.lit(True))))
-            .drop(*_XS, *_ES, "__d0", "__d1", "__d2"))
+            .drop(*_XS, *_ES, "logdet", *cells, *[f"c{i}{j}" for i, j in _PAIRS]))
 
 
 def _statistics(docs: DataFrame, text_col: str) -> DataFrame:

@@ -9,6 +9,7 @@ import pytest
 from conftest import SF_SMALL
 from pyspark.sql import functions as F
 
+from semrec.llm import quality as Q
 from semrec.operators import behaviors as B
 from semrec.operators import candidates as C
 from semrec.operators.ordered import before_cut, ordered_parts, parts_before_cuts
@@ -111,3 +112,31 @@ def test_first_places_are_numbers_in_generation_order(spark):
     assert "SortAggregate" not in plan_of(best)
     assert {(r.pred_sid, r.score, r.first_ord.think_idx, r.first_ord.beam_idx) for r in best.collect()} == {
         ("p", 1.0, 0, 7), ("q", 2.0, None, 9)}
+
+
+def test_a_document_is_judged_by_one_factor_of_its_closest_estimate(spark):
+    rows = [(i, lang, source, 20, 90 + i, 2, i % 3, 0, 0, i == 5) for i, (lang, source) in enumerate(
+        [("en", "web"), ("en", "new"), ("de", "web"), ("en", None), (None, "web"), ("en", "web")])]
+    stats = spark.createDataFrame(rows, "doc_id long, lang string, source string, n_words long, word_chars long, "
+                                        "n_lines long, n_symbols long, n_dup_lines long, n_repeat_words long, "
+                                        "base_failed boolean")
+    keys = [("0:=en", "=web"), ("1:=en", "-"), ("2:-", "-")]
+    variances = [float(i == j) / 4 for i, j in Q._PAIRS]
+    names = ["lang", "source", "size", *[f"m{i}" for i in range(Q.DIMS)], *[f"v{i}{j}" for i, j in Q._PAIRS]]
+    estimates = spark.createDataFrame([(*k, 300, *[float(n + 1)] * Q.DIMS, *variances) for n, k in enumerate(keys)], names)
+    judged = Q.judged(stats, estimates, 30.0)
+    assert judged.columns == [*stats.columns, "distance", "kept"]
+    spark.conf.set("spark.sql.debug.maxToStringFields", "1000")
+    try:
+        plan = judged._jdf.queryExecution().analyzed().toString()
+    finally:
+        spark.conf.unset("spark.sql.debug.maxToStringFields")
+    assert plan.count(" AS c33#") == 1
+    vectors = {r.doc_id: r for r in stats.select("doc_id", *Q._vector()).collect()}
+    got = {r.doc_id: r for r in judged.collect()}
+    for doc_id, mean in enumerate([1, 2, 3, 2, 3]):
+        v = vectors[doc_id]
+        want = sum((v[f"__x{i}"] / Q.SCALE - mean) ** 2 / (0.25 + v[f"__e{i}"] / Q.SCALE ** 2) for i in range(Q.DIMS))
+        assert got[doc_id].distance == pytest.approx(want) and got[doc_id].kept == (want <= 30)
+    assert got[5].distance is None and not got[5].kept
+    assert all(r.distance is None and r.kept != r.base_failed for r in Q.judged(stats, estimates.limit(0)).collect())
