@@ -5,15 +5,19 @@ import io
 import os
 from contextlib import redirect_stdout
 
+import pyarrow as pa
 import pytest
 from conftest import SF_SMALL
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from semrec.functions import text as txt
+from semrec.llm import pii
 from semrec.llm import quality as Q
 from semrec.operators import behaviors as B
 from semrec.operators import candidates as C
-from semrec.operators.ordered import before_cut, ordered_parts, parts_before_cuts
-from semrec.plans import metadata
+from semrec.operators.ordered import before_cut, ordered_parts, parts_before_cuts, positions
+from semrec.plans import evaluation, metadata
 from semrec.sources import fixtures as fx
 from semrec.sources import readers as R
 from semrec.sources import structure
@@ -140,3 +144,21 @@ def test_a_document_is_judged_by_one_factor_of_its_closest_estimate(spark):
         assert got[doc_id].distance == pytest.approx(want) and got[doc_id].kept == (want <= 30)
     assert got[5].distance is None and not got[5].kept
     assert all(r.distance is None and r.kept != r.base_failed for r in Q.judged(stats, estimates.limit(0)).collect())
+
+
+def test_descriptions_meet_samples_and_not_their_outputs(spark):
+    details = fx.truth(spark, SF_SMALL).where("sample_id < '3'").select(
+        "sample_id", F.concat(F.lit("d"), "sample_id").alias("description"))
+    got = fx.candidates(spark, SF_SMALL, details)
+    want = fx.candidates(spark, SF_SMALL).join(details, "sample_id").select(got.columns)
+    assert got.count() > 0 and got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("explode") < plan.index("Join")
+
+
+def test_thinking_is_found_from_the_end(spark):
+    rows = [("x<think>a</think>", "x"), ("uu<think> k </think>u<think>\nb\n</think>c", "u"), ("no", "n"), ("<think>k", None),
+            ("<think>k</think>", "q"), ("<think>k</think>u", "u"), (None, "u"), ("<think>k", "")]
+    df = spark.createDataFrame(rows, "t string, u string").select(txt.extract_thinking("t", "u").alias("k"))
+    assert [r.k for r in df.collect()] == ["a", "b", "", "k", "k", "", "", ""]
+    assert "instr" not in df._jdf.queryExecution().analyzed().toString().lower()
