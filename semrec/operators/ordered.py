@@ -72,8 +72,8 @@ def positions(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
     ``skew_safe`` (default): rows are counted per ``(keys, bucket)`` with map-side
     combine, where ``bucket`` is a coarse function of the order (default:
     :func:`order_bucket`); a running count over that small table gives each
-    bucket's offset and a window numbers the rows inside a bucket, so a hot
-    group is spread over its buckets.  Otherwise a plain ``row_number`` window,
+    bucket's offset, a row of its own at the bucket's head, and a window numbers the rows
+    behind it, so a hot group is spread over its buckets.  Otherwise a plain ``row_number`` window,
     which sorts each group in one task.
     """
     keys, cols = list(keys), _cols(order)
@@ -85,15 +85,14 @@ def positions(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
     before = (Window.partitionBy(*keys).orderBy("_b")
               .rowsBetween(Window.unboundedPreceding, -1))
     starts = (s.groupBy(*keys, "_b").agg(F.count(F.lit(1)).alias("_cnt"))
-              .select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col("_b").alias("_sb"),
-                      F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off")))
-    inside = F.row_number().over(Window.partitionBy(*keys, "_b").orderBy(*cols))
-    on = F.col("_b").eqNullSafe(F.col("_sb"))
-    for i, k in enumerate(keys):
-        on = on & F.col(k).eqNullSafe(F.col(f"_k{i}"))
-    return (s.withColumn("_in", inside).join(starts, on)
-            .withColumn(out, (F.col("_off") + F.col("_in")).cast("bigint"))
-            .drop("_b", "_in", "_sb", "_off", *[f"_k{i}" for i in range(len(keys))]))
+              .select(*keys, "_b", F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off")))
+    # a bucket's offset goes ahead of its rows: they move once, where a join on keys that may be null moves them again
+    both = s.withColumn("_off", F.lit(None).cast("bigint")).unionByName(starts, allowMissingColumns=True)
+    inside = Window.partitionBy(*keys, "_b").orderBy(F.col("_off").isNull(), *cols)
+    first = F.first("_off").over(inside.rowsBetween(Window.unboundedPreceding, 0))
+    return (both.withColumns({"_in": F.row_number().over(inside), "_first": first}).where(F.col("_off").isNull())
+            .withColumn(out, (F.col("_first") + F.col("_in") - 1).cast("bigint"))
+            .drop("_b", "_in", "_off", "_first"))
 
 
 def last_k(df: DataFrame, keys: Sequence[str], order_col: str, k: int,

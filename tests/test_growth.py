@@ -146,6 +146,16 @@ def test_a_document_is_judged_by_one_factor_of_its_closest_estimate(spark):
     assert all(r.distance is None and r.kept != r.base_failed for r in Q.judged(stats, estimates.limit(0)).collect())
 
 
+def test_rows_are_numbered_with_one_shuffle_of_their_own(spark):
+    rows = spark.createDataFrame([(u, i, f"v{i}") for u in ("a", "b", None) for i in range(50)],
+                                 "user_id string, at int, v string")
+    got = positions(rows, ["user_id"], ["at"], bucket=F.floor(F.col("at") / 7))
+    assert sorted(got.columns) == ["at", "pos", "user_id", "v"]
+    assert [r.pos for r in got.orderBy("user_id", "at").collect()] == list(range(1, 51)) * 3
+    plan = got._jdf.queryExecution().analyzed().toString()
+    assert "Join" not in plan
+
+
 def test_descriptions_meet_samples_and_not_their_outputs(spark):
     details = fx.truth(spark, SF_SMALL).where("sample_id < '3'").select(
         "sample_id", F.concat(F.lit("d"), "sample_id").alias("description"))
