@@ -156,6 +156,33 @@ def test_rows_are_numbered_with_one_shuffle_of_their_own(spark):
     assert "Join" not in plan
 
 
+def test_transitions_cross_chunks_and_gaps_without_a_self_join(spark):
+    rows = [("u", p, s) for p, s in ((1, "a"), (2, "b"), (5, "a"), (511, "b"), (512, "a"), (2000, "b"), (2001, "c"))]
+    rows += [("w", 3, "a"), ("w", 1030, "b"), (None, 1, "a"), (None, 2, "b"), ("x", 7, "c")]
+    train = spark.createDataFrame(rows, "user_id string, pos long, sid string")
+    last = spark.createDataFrame([("u", "a"), ("w", "b"), ("x", "c")], "sample_id string, sid string")
+    got = C.transition_candidates(train, last)
+    assert {(r.sample_id, r.beam_idx, r.pred_sid, r.score) for r in got.collect()} == {
+        ("u", 0, "b", 4.0), ("w", 0, "a", 2.0), ("w", 1, "c", 1.0)}
+    assert got._jdf.queryExecution().analyzed().toString().count("Join") == 1
+
+
+@pytest.mark.parametrize("n", [3, 1100])
+def test_default_candidates_leave_out_the_last_two(spark, n):
+    items = spark.createDataFrame([(str(i), f"s{i}", "t", "c") for i in range(5)],
+                                  "item_id string, sid string, title string, categories string")
+    seqs = {"u": [(p, str(p % 5)) for p in range(1, n + 1)], "w": [(4, "1")], "v": [(1, "1"), (2, "9"), (9, "2")]}
+    inter = spark.createDataFrame([(u, p, i) for u, v in seqs.items() for p, i in v],
+                                  "user_id string, pos long, item_id string")
+    want = {}
+    for p in range(1, n - 2):
+        want[f"s{p % 5}", f"s{(p + 1) % 5}"] = want.get((f"s{p % 5}", f"s{(p + 1) % 5}"), 0) + 1
+    expected = {(u, d, float(c)) for u, last in (("u", f"s{(n - 1) % 5}"), ("v", "s1"))
+                for (s, d), c in want.items() if s == last}
+    got = evaluation.default_candidates(inter, items)
+    assert {(r.sample_id, r.pred_sid, r.score) for r in got.collect()} == expected
+
+
 def test_descriptions_meet_samples_and_not_their_outputs(spark):
     details = fx.truth(spark, SF_SMALL).where("sample_id < '3'").select(
         "sample_id", F.concat(F.lit("d"), "sample_id").alias("description"))
