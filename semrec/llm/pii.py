@@ -35,6 +35,8 @@ CUES = ("iban", "account", "acct", "passport", "ssn", "tax id", "customer id", "
 #: Words that may stand between a cue and its identifier.
 FILLERS = frozenset(("number", "no", "nr", "is"))
 MIN_IDENTIFIER = 6
+#: Rows whose texts a task holds as Python strings at once.
+ROWS = 256
 #: Characters of an IBAN by country (ISO 13616 registry).
 IBAN_LENGTHS = {c[:2]: int(c[2:]) for c in (
     "AD24 AE23 AL28 AT20 AZ28 BA20 BE16 BG22 BH22 BI27 BR29 BY28 CH21 CR22 CY28 CZ24 DE22 DJ27 "
@@ -313,7 +315,7 @@ def redact(text: str, spans: list[Span], mark: str = "[{}]") -> str:
 
 
 def _mapped(docs: DataFrame, text_col: str, fields: list[T.StructField], row) -> DataFrame:
-    """``docs`` with the fields that ``row(text)`` gives appended, in Arrow batches."""
+    """``docs`` with the fields that ``row(text)`` gives appended, in Arrow batches of at most ``ROWS`` rows."""
     names = {f.name for f in fields}
     rest = [f for f in docs.schema.fields if f.name not in names]
     schema = T.StructType([*rest, *fields])
@@ -323,7 +325,7 @@ def _mapped(docs: DataFrame, text_col: str, fields: list[T.StructField], row) ->
         from pyspark.sql.pandas.types import to_arrow_type
 
         kinds = [to_arrow_type(f.dataType) for f in fields]
-        for batch in batches:
+        for batch in (b.slice(at, ROWS) for b in batches for at in range(0, b.num_rows, ROWS)):
             rows = [row(t) for t in batch.column(batch.num_columns - 1).to_pylist()]
             made = [pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)]
             yield pa.RecordBatch.from_arrays(

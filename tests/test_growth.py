@@ -199,3 +199,24 @@ def test_thinking_is_found_from_the_end(spark):
     df = spark.createDataFrame(rows, "t string, u string").select(txt.extract_thinking("t", "u").alias("k"))
     assert [r.k for r in df.collect()] == ["a", "b", "", "k", "k", "", "", ""]
     assert "instr" not in df._jdf.queryExecution().analyzed().toString().lower()
+
+
+def test_personal_data_is_found_in_small_batches(spark):
+    rows = [(i, None if i % 7 == 0 else f"mail me{i}@x.org now") for i in range(3 * pii.ROWS + 5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    got = {r.doc_id: r.text for r in pii.redact_documents(docs).collect()}
+    assert got == {i: None if t is None else "mail [EMAIL] now" for i, t in rows}
+
+    class Docs:  # hands the batch function on, to be called here
+        schema = docs.schema
+        select = mapInArrow = lambda self, *a: a[0] if callable(a[0]) else self
+
+    ready, pii.python_ready = pii.python_ready, lambda df: df
+    try:
+        work = pii._mapped(Docs(), "text", [T.StructField("__r", T.StringType())], lambda t: (t,))
+    finally:
+        pii.python_ready = ready
+    batch = pa.RecordBatch.from_pydict({n: [r[k] for r in rows] for n, k in (("doc_id", 0), ("text", 1), ("__text", 1))})
+    out = list(work(iter([batch, batch.slice(0, 0)])))
+    assert [b.num_rows for b in out] == [pii.ROWS] * 3 + [5]
+    assert pa.Table.from_batches(out)["__r"].to_pylist() == [r[1] for r in rows]
