@@ -66,9 +66,28 @@ def _last_code() -> Column:
 
 def _sid_text(p: Column, last: Column) -> Column:
     """The SID of item ``p`` with the last code ``last``."""
-    return F.concat(F.lit("<|sid_begin|><s_a_"), (p % 256).cast("string"),
-                    F.lit("><s_b_"), (F.floor(p / 256) % 256).cast("bigint").cast("string"),
-                    F.lit("><s_c_"), last.cast("string"), F.lit("><|sid_end|>"))
+    return _sid_of_codes(p % 256, (F.floor(p / 256) % 256).cast("bigint"), last)
+
+
+def _sid_of_codes(a: Column, b: Column, c: Column) -> Column:
+    return F.concat(F.lit("<|sid_begin|><s_a_"), a.cast("string"), F.lit("><s_b_"), b.cast("string"),
+                    F.lit("><s_c_"), c.cast("string"), F.lit("><|sid_end|>"))
+
+
+#: One more than the largest number of :func:`_packed_sid` and a mark for an item without a SID.
+_NO_SID = 1 << 27
+
+
+def _packed_sid(p: Column, last: Column) -> Column:
+    """The codes of :func:`_sid_text` in one number, nine bits each (a code lies between -255 and 255)."""
+    codes = [p % 256, F.floor(p / 256) % 256, last]
+    return functools.reduce(lambda n, c: n * 512 + c + 255, codes, F.lit(0).cast("bigint"))
+
+
+def _unpacked_sid(packed: Column) -> Column:
+    """The SID text of a number from :func:`_packed_sid`."""
+    a, b, c = (((F.shiftright(packed, bits) % 512) - 255) for bits in (18, 9, 0))
+    return _sid_of_codes(a, b, c)
 
 
 @_memo
@@ -249,7 +268,7 @@ def _truth(spark: SparkSession, sf_dir: str) -> DataFrame:
     cat = (read_table(spark, sf_dir, "part").where((F.col("p_partkey") % 17 != 0) & (F.col("p_partkey") % 19 != 0))
            .select("p_partkey", (F.col("p_partkey") * 256 + _last_code()).alias("code"))
            .where(F.col("code").isNotNull()))
-    j = inter.join(cat, inter["l_partkey"] == cat["p_partkey"])
+    j = inter.join(sized_broadcast(cat), F.col("l_partkey") == F.col("p_partkey"))
     last = j.groupBy("user_id").agg(F.max_by("code", "pos").alias("code"), F.count(F.lit(1)).alias("n"))
     return last.where(F.col("n") >= 2).select(
         F.col("user_id").alias("sample_id"), _sid_text(F.floor(F.col("code") / 256), F.col("code") % 256)
@@ -273,16 +292,21 @@ def candidates(spark: SparkSession, sf_dir: str, details: DataFrame | None = Non
             .withColumn("beam_idx", F.explode(F.sequence(F.lit(0), F.lit(9))))
             .where((s % 10 != 0) | (bi < 4))
             .withColumn("lookup", (s * 37 + ti * 5 + bi * 3) % n_parts))
-    cat = catalog(spark, sf_dir).select(F.col("p_partkey").alias("lookup"),
-                                        F.col("sid").alias("cand_sid"))
-    offers = grid.join(cat, "lookup", "left").groupBy("s").agg(
-        F.collect_list(F.struct("think_idx", "beam_idx", "cand_sid")).alias("offers"))
+    p = F.col("p_partkey")
+    cat = (read_table(spark, sf_dir, "part").where(p % 17 != 0)
+           .select(p.alias("lookup"), F.when(p % 19 != 0, _packed_sid(p, _last_code())).alias("packed")))
+    # an offer moves as one number, its SID is written where the sample's outputs are made
+    offer = (ti * 10 + bi).cast("bigint") * _NO_SID + F.coalesce(F.col("packed"), F.lit(_NO_SID - 1))
+    offers = grid.join(sized_broadcast(cat), "lookup", "left").groupBy("s").agg(F.collect_list(offer).alias("offers"))
     # one row per sample moves, its outputs are made where it stands
     per = t.join(offers, "s")
     per = per.repartition("sample_id") if details is None else per.join(details, "sample_id")
     more = [] if details is None else [c for c in details.columns if c != "sample_id"]
+    slot, packed = F.floor(F.col("o") / _NO_SID), F.col("o") % _NO_SID
     j = (per.select("sample_id", "groundtruth", "s", *more, F.explode("offers").alias("o"))
-         .select("sample_id", "groundtruth", "s", *more, "o.*"))
+         .select("sample_id", "groundtruth", "s", *more, F.floor(slot / 10).alias("think_idx"),
+                 (slot % 10).alias("beam_idx"),
+                 F.when(packed != _NO_SID - 1, _unpacked_sid(packed)).alias("cand_sid")))
     answer = (F.when((s * 7 + ti * 3 + bi) % 23 == 0, F.col("groundtruth"))
               .when((s + bi) % 13 == 0, F.lit("no id here"))
               .otherwise(F.coalesce(F.col("cand_sid"), F.lit("unknown"))))

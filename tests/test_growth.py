@@ -220,3 +220,14 @@ def test_personal_data_is_found_in_small_batches(spark):
     out = list(work(iter([batch, batch.slice(0, 0)])))
     assert [b.num_rows for b in out] == [pii.ROWS] * 3 + [5]
     assert pa.Table.from_batches(out)["__r"].to_pylist() == [r[1] for r in rows]
+
+
+def test_offers_of_a_sample_move_as_numbers(spark):
+    assert "cand_sid" not in plan_of(fx.candidates(spark, SF_SMALL)).split("collect_list", 1)[1].split("\n", 1)[0]
+    sizes = [(p, s) for p in (-300, -1, 0, 5, 255, 256, 70_000, 1 << 40) for s in (-9, 0, 50, None)]
+    rows = spark.createDataFrame(sizes, "p_partkey long, p_size int")
+    p, last = F.col("p_partkey"), fx._last_code()
+    got = rows.select(fx._packed_sid(p, last).alias("n"), fx._sid_text(p, last).alias("sid")).select(
+        "n", "sid", fx._unpacked_sid(F.col("n")).alias("back")).collect()
+    assert all(r.back == r.sid and (r.n is None or 0 <= r.n < fx._NO_SID - 1) for r in got)
+    assert sum(r.sid is None for r in got) == 8
