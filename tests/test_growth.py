@@ -18,6 +18,7 @@ from semrec.operators import behaviors as B
 from semrec.operators import candidates as C
 from semrec.operators.ordered import before_cut, ordered_parts, parts_before_cuts, positions
 from semrec.plans import evaluation, metadata
+from semrec.session import sized_broadcast
 from semrec.sources import fixtures as fx
 from semrec.sources import readers as R
 from semrec.sources import structure
@@ -222,6 +223,23 @@ def test_personal_data_is_found_in_small_batches(spark):
     assert pa.Table.from_batches(out)["__r"].to_pylist() == [r[1] for r in rows]
 
 
+def test_a_columnar_file_is_not_broadcast_by_its_size_on_disk(spark, tmp_dir):
+    path = f"{tmp_dir}/items.parquet"
+    spark.range(200_000).select(F.col("id").cast("string").alias("item"), F.lit("a long text " * 20).alias("title"),
+                                F.lit("more " * 20).alias("more")).coalesce(1).write.parquet(path)
+    items = spark.read.parquet(path)
+    on_disk = os.path.getsize(glob.glob(f"{path}/*.parquet")[0])
+    rows = spark.range(1000).select(F.col("id").cast("string").alias("item"))
+    whole = rows.join(sized_broadcast(items, 2 * on_disk), "item")
+    one_column = rows.join(sized_broadcast(items, 2 * on_disk), "item", "left").select("item")
+    for joined in (whole, one_column):  # an estimate for one column falls under Spark's own bound
+        assert "BroadcastHashJoin" not in plan_of(joined)
+    assert "BroadcastHashJoin" in plan_of(rows.join(sized_broadcast(items, 40 * on_disk), "item"))
+    assert whole.count() == one_column.count() == 1000
+    small = spark.range(10).select(F.col("id").cast("string").alias("item"))
+    assert "BroadcastHashJoin" in plan_of(rows.join(sized_broadcast(small, 1 << 20), "item"))
+
+
 def test_offers_of_a_sample_move_as_numbers(spark):
     assert "cand_sid" not in plan_of(fx.candidates(spark, SF_SMALL)).split("collect_list", 1)[1].split("\n", 1)[0]
     sizes = [(p, s) for p in (-300, -1, 0, 5, 255, 256, 70_000, 1 << 40) for s in (-9, 0, 50, None)]
