@@ -14,6 +14,8 @@ Only tables with one row per split are combined; no file is read by one task.
 
 from __future__ import annotations
 
+import functools
+import posixpath
 from collections.abc import Iterator
 
 import numpy as np
@@ -64,7 +66,7 @@ def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _quotes(value: Column) -> Column:
-    return F.length(value) - F.length(F.replace(value, F.lit('"'), F.lit("")))
+    return F.octet_length(value) - F.octet_length(F.replace(value, F.lit('"'), F.lit("")))
 
 
 def _runs(files: pa.Array, splits: np.ndarray) -> Iterator[tuple[int, int]]:
@@ -115,13 +117,14 @@ def _records(file: str, split: int, numbers, values: pa.Array, whole) -> pa.Reco
                                        pa.array(whole, pa.bool_())], schema=_RECORDS)
 
 
-def _put_together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _put_together(batches: Iterator[pa.RecordBatch], whole_files: bool = False) -> Iterator[pa.RecordBatch]:
     """The records of every split from its lines.  The lines that end a record begun in an earlier split, and
-    those of a record that goes on in the next one, are pieces of it (not ``whole``)."""
+    those of a record that goes on in the next one, are pieces of it (not ``whole``).  ``whole_files``: a split is
+    a file, so none goes on."""
     at, odd, number, held, begun = None, 0, 0, [], False  # held: lines of the record that is still open
 
     def piece():
-        return _records(*at, [number], pa.array(["\n".join(held)], pa.string()), [False])
+        return _records(*at, [number], pa.array(["\n".join(held)], pa.string()), [whole_files])
 
     for batch in batches:
         files, splits = batch.column(0), batch.column(1).to_numpy(zero_copy_only=False)
@@ -158,6 +161,19 @@ def _put_together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield piece()
 
 
+_RECORD = "file string, split bigint, record_no bigint, value string, whole boolean"
+
+
+def _cannot_be_cut(spark: SparkSession, path: str) -> bool:
+    """Whether all files under ``path`` are compressed in a way that Spark reads from their start only."""
+    compress, conf = spark._jvm.org.apache.hadoop.io.compress, spark.sparkContext._jsc.hadoopConfiguration()
+    codecs = compress.CompressionCodecFactory(conf)
+    kinds = {posixpath.splitext(file)[1] for file in spark.read.text(path).inputFiles()}
+    found = [codecs.getCodec(spark._jvm.org.apache.hadoop.fs.Path(f"/file{kind}")) for kind in kinds]
+    cut = spark._jvm.java.lang.Class.forName("org.apache.hadoop.io.compress.SplittableCompressionCodec")
+    return bool(found) and all(codec is not None and not cut.isInstance(codec) for codec in found)
+
+
 def quoted_records(spark: SparkSession, path: str) -> DataFrame:
     """``(file, record_no, value)`` of files whose double-quoted fields may hold line ends (a quote inside
     is doubled).  Records are counted from 0 in every file; empty lines are records.
@@ -165,10 +181,15 @@ def quoted_records(spark: SparkSession, path: str) -> DataFrame:
     A line starts a record when an even number of quotes stands before it in the file.  A first reading
     describes every split by the parity of its quotes and its number of records; in a second one
     each task puts the records of its splits together as it reads them.  Only records that lie in two
-    splits or more are shuffled.
+    splits or more are shuffled.  Compressed files that cannot be cut are read once, each by one task.
     """
     ship_package(spark)
     lines = _pieces(spark, path, "\n").withColumn("odd", (_quotes(F.col("value")) % 2).cast("bigint"))
+    if _cannot_be_cut(spark, path):
+        zero = F.lit(0).cast("bigint")
+        files = lines.select(*_SPLIT, "odd", "value", zero.alias("turned"), zero.alias("earlier"))
+        return _without_return(files.mapInArrow(functools.partial(_put_together, whole_files=True), _RECORD).select(
+            "file", "record_no", "value"))
     splits = lines.select(*_SPLIT, "odd").mapInArrow(
         _count_records, "file string, split bigint, odd bigint, n0 bigint, n1 bigint")
     splits = splits.withColumn("turned", _before("odd") % 2)
@@ -176,11 +197,14 @@ def quoted_records(spark: SparkSession, path: str) -> DataFrame:
     splits = splits.select(*_SPLIT, "turned", _before("n").cast("bigint").alias("earlier"))
     # one row per split: as small as the list of splits that the driver plans the scan with
     placed = lines.join(F.broadcast(splits), _SPLIT).select(*_SPLIT, "odd", "value", "turned", "earlier")
-    records = placed.mapInArrow(
-        _put_together, "file string, split bigint, record_no bigint, value string, whole boolean")
+    records = placed.mapInArrow(_put_together, _RECORD)
     single = records.where("whole").select("file", "record_no", "value")
     joined = _joined(records.where("not whole").withColumn("at", F.lit(0)), "record_no", "\n")
-    return single.unionByName(joined).withColumn("value", F.when(
+    return _without_return(single.unionByName(joined))
+
+
+def _without_return(records: DataFrame) -> DataFrame:
+    return records.withColumn("value", F.when(
         F.endswith("value", F.lit("\r")), F.expr("left(value, length(value) - 1)")).otherwise(F.col("value")))
 
 

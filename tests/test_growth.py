@@ -249,3 +249,16 @@ def test_offers_of_a_sample_move_as_numbers(spark):
         "n", "sid", fx._unpacked_sid(F.col("n")).alias("back")).collect()
     assert all(r.back == r.sid and (r.n is None or 0 <= r.n < fx._NO_SID - 1) for r in got)
     assert sum(r.sid is None for r in got) == 8
+
+
+def test_compressed_quoted_files_are_read_once(spark, tmp_dir):
+    rows = [(str(i), f'a "{i}"\nb\r\n\n{"x" * (i % 50)}', "" if i % 3 else "\t") for i in range(700)]
+    df = spark.createDataFrame(rows, "k string, a string, b string").repartition(3)
+    W.write_behavior_tsv(df, f"{tmp_dir}/gz", quoted=True, compression="gzip")
+    got = R.read_behavior_tsv(spark, f"{tmp_dir}/gz", multi_line=True)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan text") == 1 and "Exchange" not in plan
+    plain = W.write_behavior_tsv(df, f"{tmp_dir}/plain", quoted=True) or R.read_behavior_tsv(
+        spark, f"{tmp_dir}/plain", multi_line=True)
+    assert sorted(map(tuple, got.na.fill("").collect())) == sorted(map(tuple, plain.na.fill("").collect()))
+    assert sorted(r.a for r in got.collect()) == sorted(a for _, a, _ in rows)
