@@ -16,8 +16,8 @@ from semrec.llm import pii
 from semrec.llm import quality as Q
 from semrec.operators import behaviors as B
 from semrec.operators import candidates as C
-from semrec.operators.ordered import before_cut, ordered_parts, parts_before_cuts, positions
-from semrec.plans import evaluation, metadata
+from semrec.operators.ordered import before_cut, ordered_concat, ordered_parts, parts_before_cuts, positions
+from semrec.plans import evaluation, metadata, persona
 from semrec.session import sized_broadcast
 from semrec.sources import fixtures as fx
 from semrec.sources import readers as R
@@ -262,3 +262,20 @@ def test_compressed_quoted_files_are_read_once(spark, tmp_dir):
         spark, f"{tmp_dir}/plain", multi_line=True)
     assert sorted(map(tuple, got.na.fill("").collect())) == sorted(map(tuple, plain.na.fill("").collect()))
     assert sorted(r.a for r in got.collect()) == sorted(a for _, a, _ in rows)
+
+
+def test_persona_clauses_are_moved_once_for_all_splits(spark):
+    rows = [("u", i, i * 3 + 1 + i % 2, f"clause {i} " + "y" * (i % 40)) for i in range(1, 900)] + [("v", 1, 4, "only")]
+    others = spark.createDataFrame(rows, "user_id string, idx long, o long, clause string")
+    cuts = spark.createDataFrame([("u", "train", 300), ("u", "val", 895), ("u", "test", 899), ("v", "test", 2),
+                                  ("w", "test", 5)], "user_id string, split string, cut long")
+    found = [("u", "train", 30, "q 1"), ("u", "val", 30, "q 22"), ("u", "test", 30, "q 22"), ("u", "test", 2691, "late")]
+    searches = spark.createDataFrame(found, "user_id string, split string, o long, clause string")
+    clauses = searches.unionByName(before_cut(others, cuts, "idx").select("user_id", "split", "o", "clause"))
+    keys = ["user_id", "split"]
+    want = {r[:2]: r[2] for r in map(tuple, ordered_concat(clauses, keys, "o", "clause", "; ", "h").collect())}
+    got = persona._histories(cuts, searches, others)
+    assert {(r.user_id, r.split): r.history for r in got.collect()} == want and len(want) == 4
+    wanted = ordered_parts(clauses, keys, "o", "clause", "; ", 1000)
+    parts = persona._history_parts(cuts, searches, others, 1000)
+    assert sorted(map(tuple, parts.select(*wanted.columns).collect())) == sorted(map(tuple, wanted.collect()))
